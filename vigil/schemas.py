@@ -1,20 +1,9 @@
 """Schema helpers: which columns of a frame an operator applies to."""
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 NUMERIC = (T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
-VALIDATION_RESULT = T.StructType([
-    T.StructField("rule_id", T.StringType()),
-    T.StructField("rule_type", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("message", T.StringType()),
-    T.StructField("details", T.MapType(T.StringType(), T.DoubleType())),
-    T.StructField("errors", T.ArrayType(T.StringType())),
-    T.StructField("warnings", T.ArrayType(T.StringType())),
-])
-
-
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
 
@@ -36,8 +25,6 @@ def has_columns(df: DataFrame, *names: str) -> bool:
     return set(names) <= set(df.columns)
 
 
-def quoted(name: str):
+def quoted(name: str) -> Column:
     """Column reference that also works for names with dots or spaces."""
-    from pyspark.sql import functions as F
-
     return F.col("`" + name.replace("`", "``") + "`")

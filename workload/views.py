@@ -87,7 +87,7 @@ FROM cd"""
 
 
 def _label(labels: list[str], index) -> F.Column:
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), index)
+    return F.get(F.array(*[F.lit(x) for x in labels]), index)
 
 
 def uploads(spark, sf):
@@ -101,8 +101,8 @@ def uploads(spark, sf):
         F.when(n == 2, F.date_format(d, "dd/MM/yyyy")).when(n == 3, F.date_format(d, "MM/dd/yyyy"))
          .when(n == 4, F.date_format(d, "dd-MM-yyyy")).when(n == 5, F.lit("no date"))
          .otherwise(F.date_format(d, "yyyy-MM-dd")).alias("report_date"),
-        _label(REGION_LABELS, nation + 1).alias("region"),
-        _label(DISEASE_LABELS, brand).alias("disease_name"),
+        _label(REGION_LABELS, nation).alias("region"),
+        _label(DISEASE_LABELS, brand - 1).alias("disease_name"),
         F.when(n == 1, F.concat(F.col("case_count").cast("string"), F.lit(".5")))
          .when(n == 2, F.lit("n/a")).otherwise(F.col("case_count").cast("string"))
          .alias("case_count"),
