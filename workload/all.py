@@ -1,4 +1,4 @@
 """Every registered query; importing the modules registers them."""
 
-from workload import aggregates, checks, cleaning  # noqa: F401
+from workload import aggregates, checks, cleaning, intake, privacy  # noqa: F401
 from workload.registry import ORACLE, QUERIES  # noqa: F401
