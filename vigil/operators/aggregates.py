@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vigil.functions import dates, measures
 from vigil.schemas import numeric_columns, quoted
@@ -49,6 +49,98 @@ def daily(df: DataFrame) -> DataFrame:
     ).withColumn("aggregation_level", F.lit("daily"))
 
 
+def day_totals(df: DataFrame) -> DataFrame:
+    """One row per day, region and disease, from which all coarser reports follow."""
+    return df.groupBy("report_date", "region", "disease_name").agg(
+        F.sum("case_count").alias("cases"), F.count("case_count").alias("counted"),
+        F.sum("death_count").alias("deaths"),
+        F.sum("hospitalization_count").alias("hospitalizations"),
+        F.count(F.lit(1)).alias("records"), F.avg("case_count").alias("mean"),
+        F.stddev("case_count").alias("stddev"), F.var_pop("case_count").alias("variance"),
+        F.min("case_count").alias("least"), F.max("case_count").alias("most"))
+
+
+def _mean_cases() -> Column:
+    return F.try_divide(F.sum("cases"), F.sum("counted"))
+
+
+def daily_of(days: DataFrame) -> DataFrame:
+    """daily, from day totals."""
+    return days.select(
+        F.date_format("report_date", "yyyy-MM-dd").alias("date"), "region", "disease_name",
+        F.col("cases").alias("total_cases"), F.col("deaths").alias("total_deaths"),
+        F.col("hospitalizations").alias("total_hospitalizations"),
+        F.col("records").alias("record_count"), F.col("mean").alias("avg_cases"),
+        F.col("stddev").alias("stddev_cases"), F.col("least").alias("min_cases"),
+        F.col("most").alias("max_cases"), F.lit("daily").alias("aggregation_level"))
+
+
+def weekly_of(days: DataFrame) -> DataFrame:
+    """weekly, from day totals."""
+    entry = F.when(F.col("report_date").isNotNull(), F.struct("report_date", "records"))
+    return days.groupBy(
+        dates.week_start(F.col("report_date")).alias("week_start"), "region", "disease_name",
+    ).agg(
+        F.sum("cases").alias("total_cases"), F.sum("deaths").alias("total_deaths"),
+        _mean_cases().alias("avg_daily_cases"),
+        F.sort_array(F.collect_list(entry)).alias("dates_included"),
+    ).withColumn("aggregation_level", F.lit("weekly"))
+
+
+def monthly_of(days: DataFrame) -> DataFrame:
+    """monthly, from day totals."""
+    return days.groupBy(
+        F.date_format("report_date", "yyyy-MM").alias("month"), "region", "disease_name",
+    ).agg(
+        F.sum("cases").alias("total_cases"), F.sum("deaths").alias("total_deaths"),
+        _mean_cases().alias("avg_daily_cases"),
+        F.min("report_date").alias("period_start"), F.max("report_date").alias("period_end"),
+    ).withColumn("aggregation_level", F.lit("monthly"))
+
+
+def region_days_of(days: DataFrame) -> DataFrame:
+    """region_days, from day totals."""
+    return days.groupBy("report_date", "region").agg(F.sum("cases").alias("total_cases"))
+
+
+def region_weeks_of(days: DataFrame, year_mode: str = "calendar") -> DataFrame:
+    """region_weeks, from day totals."""
+    return days.groupBy(
+        dates.week_year(F.col("report_date"), year_mode).alias("year"),
+        F.weekofyear("report_date").alias("week"), "region",
+    ).agg(
+        F.sum("cases").alias("weekly_cases"), F.sum("deaths").alias("weekly_deaths"),
+        _mean_cases().alias("avg_daily_cases"), F.max("most").alias("max_daily_cases"),
+        F.min("least").alias("min_daily_cases"), F.sum("records").alias("days_reported"))
+
+
+def region_months_of(days: DataFrame) -> DataFrame:
+    """region_months, from day totals; variances merge around the common mean."""
+    keyed = days.select(F.year("report_date").alias("year"),
+                        F.month("report_date").alias("month"), "*")
+    group = Window.partitionBy("year", "month", "region")
+    common = F.try_divide(F.sum("cases").over(group), F.sum("counted").over(group))
+    squares = F.col("counted") * (F.col("variance") + F.pow(F.col("mean") - F.col("common"), F.lit(2)))
+    counted = F.sum("counted")
+    # The same value the sample deviation has: null for no or a single value.
+    deviation = F.when(counted > 1, F.sqrt(F.sum("squares") / (counted - 1)))
+    return keyed.withColumn("common", common).withColumn("squares", squares) \
+        .groupBy("year", "month", "region").agg(
+            F.sum("cases").alias("monthly_cases"), F.sum("deaths").alias("monthly_deaths"),
+            _mean_cases().alias("avg_daily_cases"), deviation.alias("stddev_daily_cases"),
+            F.sum("records").alias("days_reported"),
+            F.countDistinct("disease_name").alias("unique_diseases"))
+
+
+def region_stats_of(days: DataFrame) -> DataFrame:
+    """region_stats, from day totals."""
+    return days.groupBy("region").agg(
+        F.sum("cases").alias("total_cases"), F.sum("deaths").alias("total_deaths"),
+        _mean_cases().alias("avg_cases_per_day"), F.sum("records").alias("reports_submitted"),
+    ).withColumn("case_fatality_rate", measures.percentage_or_zero(
+        F.col("total_deaths"), F.col("total_cases")))
+
+
 def weekly(df: DataFrame) -> DataFrame:
     """Weekly totals with the reported dates of the week.
 
@@ -56,19 +148,7 @@ def weekly(df: DataFrame) -> DataFrame:
     days: the list of every row's date in run-length form, so that a group of
     any size stays small. expand_dates writes the list out.
     """
-    days = df.groupBy(
-        dates.week_start(F.col("report_date")).alias("week_start"),
-        "region", "disease_name", "report_date",
-    ).agg(
-        F.sum("case_count").alias("cases"), F.count("case_count").alias("counted"),
-        F.sum("death_count").alias("deaths"), F.count(F.lit(1)).alias("records"))
-    entry = F.when(F.col("report_date").isNotNull(), F.struct("report_date", "records"))
-    return days.groupBy("week_start", "region", "disease_name").agg(
-        F.sum("cases").alias("total_cases"),
-        F.sum("deaths").alias("total_deaths"),
-        F.try_divide(F.sum("cases"), F.sum("counted")).alias("avg_daily_cases"),
-        F.sort_array(F.collect_list(entry)).alias("dates_included"),
-    ).withColumn("aggregation_level", F.lit("weekly"))
+    return weekly_of(day_totals(df))
 
 
 def expand_dates(weekly_totals: DataFrame) -> DataFrame:

@@ -13,9 +13,6 @@ from vigil.schemas import quoted, string_columns
 # Needed by every disease file and not personal, though it contains 'name'.
 NOT_PERSONAL = ("disease_name",)
 
-FINDINGS = ("column_name string, source string, pii_type string, severity string, "
-            "finding string, records bigint")
-
 
 def flagged_names(columns: list[str], indicators: list[str] = NAME_INDICATORS,
                   allowed: tuple = NOT_PERSONAL) -> list[str]:
@@ -24,15 +21,19 @@ def flagged_names(columns: list[str], indicators: list[str] = NAME_INDICATORS,
             if c not in allowed and any(word in c.lower() for word in indicators)]
 
 
-def _findings(df: DataFrame, entries: list[tuple]) -> DataFrame:
+def _findings(df: DataFrame, entries: list[tuple], by: tuple = ()) -> DataFrame:
     """One scan over all (column, source, type, severity, text, condition) entries."""
-    if not entries:
-        return df.sparkSession.createDataFrame([], FINDINGS)
-    measured = df.agg(*[count_if(e[5]).alias(f"f{i}") for i, e in enumerate(entries)])
     names = ["column_name", "source", "pii_type", "severity", "finding"]
+    measured = df.groupBy(*[quoted(k) for k in by]).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[count_if(e[5]).alias(f"f{i}") for i, e in enumerate(entries)])
     rows = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, e)],
                      F.col(f"f{i}").alias("records")) for i, e in enumerate(entries)]
-    return measured.select(F.inline(F.array(*rows)))
+    if not rows:  # nothing to look for: no findings, but the columns of findings
+        rows = [F.struct(*[F.lit(None).cast("string").alias(n) for n in names],
+                         F.lit(0).cast("bigint").alias("records"))]
+        measured = measured.where(F.lit(False))
+    return measured.select(*[quoted(k) for k in by], F.inline(F.array(*rows)))
 
 
 def _name_entries(df, indicators, allowed):
@@ -59,10 +60,12 @@ def pii_content_scan(df: DataFrame, patterns: list[Pattern] = INLINE,
 
 
 def scan(df: DataFrame, patterns: list[Pattern] = INLINE,
-         indicators: list[str] = NAME_INDICATORS, allowed: tuple = NOT_PERSONAL) -> DataFrame:
-    """Findings by column name and by content."""
-    entries = _name_entries(df, indicators, allowed) + _content_entries(df, patterns)
-    return _findings(df, entries).where((F.col("source") == "name") | (F.col("records") > 0))
+         indicators: list[str] = NAME_INDICATORS, allowed: tuple = NOT_PERSONAL,
+         by: tuple = ()) -> DataFrame:
+    """Findings by column name and by content, per unit when `by` names one."""
+    data = df.drop(*by)
+    entries = _name_entries(data, indicators, allowed) + _content_entries(data, patterns)
+    return _findings(df, entries, by).where((F.col("source") == "name") | (F.col("records") > 0))
 
 
 def findings_of_severity(findings: DataFrame, severities=("HIGH", "CRITICAL")) -> DataFrame:

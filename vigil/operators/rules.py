@@ -298,48 +298,72 @@ def _details(pairs: list[tuple[str, Column]]) -> Column:
                              .cast("array<double>"))
 
 
-def evaluate(df: DataFrame, rules: list[dict], as_of: date | None = None) -> DataFrame:
-    """One result row per enabled rule.
+def _group_fences(df: DataFrame, by: list[str], columns: list[str], factor: float):
+    """Quartile fences per unit as columns, and the frame that holds them."""
+    quartiles = df.groupBy(*[quoted(k) for k in by]).agg(*[
+        F.percentile(quoted(c), [0.25, 0.75]).alias(f"__q{i}") for i, c in enumerate(columns)])
+    fences = {}
+    for i, c in enumerate(columns):
+        low, high = F.get(f"__q{i}", F.lit(0)), F.get(f"__q{i}", F.lit(1))
+        fences[c] = (low - factor * (high - low), high + factor * (high - low))
+    return quartiles, fences
+
+
+def evaluate(df: DataFrame, rules: list[dict], as_of: date | None = None,
+             by: list[str] | None = None) -> DataFrame:
+    """One result row per enabled rule, and per unit when `by` names units such as files.
 
     Outlier fences (interpolated quartiles) come from their own passes; every
     other count of every rule comes from a single aggregate. When a rule looks
     for repeated rows, that aggregate runs over the distinct rows with their
-    number of copies, so it still is one scan.
+    number of copies, so it still is one scan. Units must be of bounded size,
+    as admitted files are; a whole table needs no unit.
     """
+    by = by or []
     rules = [r for r in map(normalize_rule, rules) if r["enabled"]]
+    if not rules:
+        return df.select(*[quoted(k) for k in by]).limit(0) \
+            .withColumns({name: F.lit(None).cast(kind) for name, kind in RESULT_COLUMNS.items()})
+    data = df.drop(*by)
     quality = [r for r in rules if r["rule_type"] == "data_quality"]
+    if any(r.get("check_duplicates") for r in quality):
+        source = counted_rows(df)
+    else:
+        source = df.withColumn("__n", F.lit(1).cast("bigint"))
     factors: dict[float, set] = {}
     for r in quality:
-        factors.setdefault(r.get("outlier_factor", 1.5), set()).update(_outlier_columns(r, df))
-    per_factor = {f: quantiles.iqr_fences(df, sorted(cs), f, interpolated=True)
-                  for f, cs in factors.items() if cs}
-    measures = _Measures(df)
+        factors.setdefault(r.get("outlier_factor", 1.5), set()).update(_outlier_columns(r, data))
+    fences: dict[float, dict] = {}
+    for factor, columns in factors.items():
+        if by and columns:
+            quartiles, fences[factor] = _group_fences(df, by, sorted(columns), factor)
+            if len(fences) > 1:
+                raise ValueError("rules per unit must share one outlier factor")
+            source = source.join(quartiles, by)
+        elif columns:
+            fences[factor] = quantiles.iqr_fences(df, sorted(columns), factor, interpolated=True)
+    measures = _Measures(data)
     structs = []
     for position, r in enumerate(rules):
-        fences = per_factor.get(r.get("outlier_factor", 1.5), {})
-        o = _outcome(r, df, measures, as_of, fences)
+        o = _outcome(r, data, measures, as_of, fences.get(r.get("outlier_factor", 1.5), {}))
         errors, warnings = _texts(o.errors), _texts(o.warnings)
         status = F.when(F.size(errors) > 0, "FAILED").when(F.size(warnings) > 0, "WARNING") \
             .otherwise("PASSED")
-        structs.append(F.struct(
-            F.lit(position).alias("position"), F.lit(r["rule_id"]).cast("string").alias("rule_id"),
-            F.lit(r["rule_type"]).cast("string").alias("rule_type"), status.alias("status"),
-            F.when(F.size(errors) > 0, o.failed).otherwise(o.passed).alias("message"),
-            _details(o.details).alias("details"), errors.alias("errors"),
-            warnings.alias("warnings")))
-    if not structs:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    if any(r.get("check_duplicates") for r in quality):
-        source = counted_rows(df)
-    else:
-        source = df.withColumn("__n", F.lit(1).cast("bigint"))
-    measured = source.agg(F.count(F.lit(1)).alias("__rows"), *measures.columns)
-    return measured.select(F.inline(F.array(*structs)))
-
-
-RESULT_SCHEMA = (
-    "position int, rule_id string, rule_type string, status string, message string, "
-    "details map<string,double>, errors array<string>, warnings array<string>")
+        values = [F.lit(position), F.lit(r["rule_id"]), F.lit(r["rule_type"]), status,
+                  F.when(F.size(errors) > 0, o.failed).otherwise(o.passed),
+                  _details(o.details), errors, warnings]
+        structs.append(F.struct(*[
+            v.cast(kind).alias(name) for v, (name, kind) in zip(values, RESULT_COLUMNS.items())]))
+    measured = source.groupBy(*[quoted(k) for k in by]) \
+        .agg(F.count(F.lit(1)).alias("__rows"), *measures.columns)
+    return measured.select(*[quoted(k) for k in by], F.inline(F.array(*structs)))
+
+
+RESULT_COLUMNS = {
+    "position": "int", "rule_id": "string", "rule_type": "string", "status": "string",
+    "message": "string", "details": "map<string,double>", "errors": "array<string>",
+    "warnings": "array<string>",
+}
 
 
 def result_details(results: DataFrame) -> DataFrame:
@@ -351,8 +375,9 @@ def _severity(status: Column) -> Column:
     return F.array_position(F.array(*[F.lit(s) for s in C.STATUSES]), status)
 
 
-def aggregate_results(results: DataFrame) -> DataFrame:
+def aggregate_results(results: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The outcome of a rule set: worst status, all errors and warnings in rule order."""
+    by = by or []
     worst = F.min(_severity(F.col("status")))
 
     def joined(name: str) -> Column:
@@ -360,7 +385,7 @@ def aggregate_results(results: DataFrame) -> DataFrame:
         ordered = F.sort_array(F.collect_list(F.struct("position", F.col(name).alias("m"))))
         return F.flatten(F.transform(ordered, lambda e: e["m"]))
 
-    merged = results.agg(
+    merged = results.groupBy(*[quoted(k) for k in by]).agg(
         worst.alias("worst"), joined("errors").alias("errors"), joined("warnings").alias("warnings"))
     status = F.coalesce(F.get(F.array(*[F.lit(s) for s in C.STATUSES]),
                               F.col("worst").cast("int") - 1), F.lit("PASSED"))
@@ -371,7 +396,7 @@ def aggregate_results(results: DataFrame) -> DataFrame:
         .when(F.col("status") == "WARNING", "Validation passed with warnings")
         .otherwise("All validations passed"))
     return merged.withColumn("status", status) \
-        .select("status", message.alias("message"), "errors", "warnings")
+        .select(*[quoted(k) for k in by], "status", message.alias("message"), "errors", "warnings")
 
 
 def disallowed_values(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:

@@ -26,8 +26,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared scratch folder and read it back.
+def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write df once to the shared scratch folder; return the copy and its path.
 
     Unlike an RDD checkpoint the copy is Parquet, so later passes still prune
     columns and push filters; a lost executor re-reads it from shared storage.
@@ -35,4 +35,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table once nothing reads it any more."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
