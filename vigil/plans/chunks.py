@@ -16,7 +16,7 @@ from vigil.schemas import quoted
 GRAINS = ["all", "year", "month", "day"]
 MIN_CHUNK_ROWS = 500
 CHUNKS_PER_PARTITION = 8
-FINE = 64  # cut points per coarse step when one day is split further
+STEPS = 8  # steps per chunk in which a large day is counted
 
 
 @dataclass
@@ -57,7 +57,7 @@ def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
 
     `order` is a date column and ties[0] a number that tells rows of one day
     apart. The chunk is the coarsest calendar period that is small enough for
-    every key; days that are still too large are cut at quantiles of ties[0].
+    every key; days that are still too large are cut along ties[0].
     """
     if not isinstance(df.schema[order].dataType, T.DateType):
         raise ValueError(f"{order} must be a date to cut windows along it")
@@ -72,7 +72,7 @@ def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
     if biggest <= limit:
         chunked = chunked.withColumn("__sub", F.lit(0))
     else:
-        chunked = _split_days(chunked, cells, keys, order, ties[0], limit, biggest)
+        chunked = _split_days(chunked, cells, keys, order, ties[0], limit)
     return Chunked(chunked, keys, order, ties, single=grain == "all" and biggest <= limit)
 
 
@@ -90,38 +90,44 @@ def _largest_per_grain(cells: DataFrame, keys: list[str]) -> dict[str, int]:
 
 
 def _split_days(df: DataFrame, cells: DataFrame, keys: list[str], order: str,
-                tie: str, limit: int, biggest: int) -> DataFrame:
-    """Number the parts of days above the limit by quantiles of the tie-break."""
+                tie: str, limit: int) -> DataFrame:
+    """Number the parts of days above the limit along the tie-break.
+
+    A large day is counted in equal steps of its tie-break, several per chunk,
+    and neighbouring steps are joined until they hold `limit` rows. There are at
+    most rows / limit large days, with STEPS steps per `limit` rows: that bounds
+    both broadcasts. Uneven tie-breaks make uneven chunks, never wrong ones.
+    """
     if not isinstance(df.schema[tie].dataType, T.NumericType):
-        raise ValueError(f"{tie} must be numeric to split a day of {biggest} rows")
-    steps = min(FINE, max(2, -(-biggest // (limit * FINE))))
-    parts = steps * FINE
+        raise ValueError(f"{tie} must be numeric to split days of more than {limit} rows")
     cell = [f"__c{i}" for i in range(len(keys) + 1)]
-    originals = [*keys, order]
-    # At most rows / limit days are above the limit: the broadcasts are bounded.
-    large = cells.where(F.col("__n") > limit).select(
-        *[quoted(k).alias(c) for k, c in zip([*keys, "__order"], cell)])
     same = F.lit(True)
-    for k, c in zip(originals, cell):
+    for k, c in zip([*keys, order], cell):
         same = same & quoted(k).eqNullSafe(F.col(c))
-    cuts = (
-        df.join(F.broadcast(large), same).groupBy(*cell)
-        .agg(F.percentile_approx(quoted(tie), [i / parts for i in range(1, parts)],
-                                 10 * parts).alias("__cuts"))
+    large = cells.where(F.col("__n") > limit).select(
+        *[quoted(k).alias(c) for k, c in zip([*keys, "__order"], cell)])
+    value = quoted(tie).cast("double")
+    steps = F.ceil(F.count(F.lit(1)) * STEPS / limit)
+    ranges = df.join(F.broadcast(large), same).groupBy(*cell).agg(
+        F.min(value).alias("__lo"), F.max(value).alias("__hi"), steps.alias("__steps"))
+    position = F.try_divide(value - F.col("__lo"), F.col("__hi") - F.col("__lo"))
+    step = F.coalesce(F.least(F.floor(position * F.col("__steps")), F.col("__steps") - 1), F.lit(0))
+    stepped = df.join(F.broadcast(ranges), same, "left") \
+        .withColumn("__step", F.when(F.col("__steps").isNotNull(), step))
+    running = Window.partitionBy(*cell).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = (
+        stepped.where(F.col("__step").isNotNull()).groupBy(*cell, "__step")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__sub", F.floor(F.coalesce(F.sum("__n").over(running), F.lit(0)) / limit))
+        .select(*[F.col(c).alias(f"{c}n") for c in cell], F.col("__step").alias("__stepn"), "__sub")
     )
-    rows = df.join(F.broadcast(cuts), same, "left").drop(*cell)
-    # Two short scans instead of one over all cut points.
-    passed = F.size(F.filter(
-        F.sequence(F.lit(1), F.lit(steps - 1)),
-        lambda i: F.get(F.col("__cuts"), i * FINE - 1) <= quoted(tie)))
+    matched = F.col("__step") == F.col("__stepn")
+    for c in cell:
+        matched = matched & F.col(c).eqNullSafe(F.col(f"{c}n"))
     return (
-        rows.withColumn("__step", F.when(F.col("__cuts").isNotNull(), passed))
-        .withColumn("__sub", F.coalesce(
-            F.col("__step") * FINE + F.size(F.filter(
-                F.slice(F.col("__cuts"), F.col("__step") * FINE + 1, FINE - 1),
-                lambda x: x <= quoted(tie))),
-            F.lit(0)))
-        .drop("__cuts", "__step")
+        stepped.join(F.broadcast(numbered), matched, "left")
+        .withColumn("__sub", F.coalesce("__sub", F.lit(0)))
+        .drop(*cell, *[f"{c}n" for c in cell], "__stepn", "__step", "__lo", "__hi", "__steps")
     )
 
 

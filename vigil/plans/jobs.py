@@ -138,10 +138,11 @@ LOG_COLUMNS = ["original_file", "dataset_type", "status", "message", "record_cou
 def route_rows(rows: DataFrame, outcomes: DataFrame, target: str, dataset_type: str,
                run_time: datetime) -> None:
     """Write each file's rows to the place its outcome names."""
-    routed = rows.join(outcomes.select("original_file", "route"), "original_file")
+    known = outcomes.select("original_file", "route", "record_count")
+    routed = rows.join(known, "original_file")
     passed = routed.where(F.col("route") == "validated").drop("route")
     sinks.write_validated(passed, target, dataset_type, run_time)
-    held = routed.where(F.col("route") != "validated") \
+    held = routed.where(F.col("route") != "validated").drop("record_count") \
         .withColumns({"dataset_type": F.lit(dataset_type), "held_on": F.lit(run_time.date())})
     held.write.mode("append").partitionBy("dataset_type", "route", "held_on") \
         .parquet(f"{target}/held")
@@ -172,25 +173,28 @@ def validation_job(spark: SparkSession, source: str, target: str, run_time: date
     rejected = admitted.where(~readable).withColumn("reason", reason)
     sinks.write_quarantine(admission.quarantine(rejected, day), target)
     log = _unread(rejected, "FAILED", F.col("reason"))
-    # One list of paths per format and type, like any file listing.
-    batches = admitted.where(readable).groupBy("extension", "dataset_type") \
-        .agg(F.collect_list("path").alias("paths")).collect()
+    # One row per file, like the listing the driver makes of any source.
+    listed = admitted.where(readable).select("extension", "dataset_type", "path").collect()
+    batches: dict[tuple[str, str], list[str]] = {}
+    for f in listed:
+        batches.setdefault((f.extension, f.dataset_type), []).append(files.literal_path(f.path))
     copies = []
     try:
-        for b in sorted(batches, key=lambda b: (b.extension, b.dataset_type)):
+        for (extension, dataset_type), paths in sorted(batches.items()):
             try:
-                paths = [files.literal_path(p) for p in b.paths]
-                rows = READERS[b.extension](spark, paths, with_file=True)
+                # Text is parsed once; the checks and writes below read columns of the copy.
+                rows, copy = scratch.materialize(
+                    READERS[extension](spark, paths, with_file=True), "rows")
+                copies.append(copy)
                 outcomes, copy = scratch.materialize(validation.validate_files(
-                    rows, rules.get(b.dataset_type, []), day), "outcomes")
+                    rows, rules.get(dataset_type, []), day), "outcomes")
                 copies.append(copy)
-                route_rows(rows, outcomes, target, b.dataset_type, run_time)
-                entries = outcomes.withColumn("dataset_type", F.lit(b.dataset_type)) \
+                route_rows(rows, outcomes, target, dataset_type, run_time)
+                entries = outcomes.withColumn("dataset_type", F.lit(dataset_type)) \
                     .select(*LOG_COLUMNS)
             except (AnalysisException, SparkRuntimeException) as e:
                 failed = admitted.where(readable).where(
-                    (F.col("extension") == b.extension)
-                    & (F.col("dataset_type") == b.dataset_type))
+                    (F.col("extension") == extension) & (F.col("dataset_type") == dataset_type))
                 entries = _unread(failed, "ERROR", F.lit(f"Validation failed with error: {e}"))
             log = log.unionByName(entries)
         return sinks.write_validation_log(log, target, run_time)

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from vigil.operators.rules import rules_from_document
 
 
+CSV_FILES = "*.[cC][sS][vV]"
+
+
 def file_path() -> Column:
     """Path of the row's file as storage names it (the metadata column is URL-encoded)."""
     encoded = F.col("_metadata.file_path")
@@ -47,7 +50,7 @@ def scan_table(spark: SparkSession, table: str, database: str | None = None) ->
 def inspect_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Header line and UTF-8 validity per file, from one scan."""
     lines = spark.read.option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.[cC][sS][vV]").text(path)
+        .option("pathGlobFilter", CSV_FILES).text(path)
     position = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
     return lines.select(file_path().alias("file"), "value", position.alias("position")) \
         .groupBy("file").agg(
@@ -56,22 +59,28 @@ def inspect_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], infer_types: bool = False,
-             with_file: bool = False) -> DataFrame:
+             with_file: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV files with headers; columns are matched by name across files.
 
-    A file that is not valid UTF-8 is read as Latin-1. Files are read together
-    per header and encoding; the driver holds their paths, as it does for any
-    file listing.
+    A file that is not valid UTF-8 is read as Latin-1. When headers or encodings
+    differ, files are read together per header and encoding; the driver then
+    holds their paths, as it does for any file listing. multi_line allows line
+    breaks in quotes, and then reads each file in one task.
     """
-    groups = inspect_text(spark, path).groupBy("header", "utf8") \
-        .agg(F.collect_list("file").alias("files")).collect()
-    frames = []
-    for g in sorted(groups, key=lambda g: (g.header, not g.utf8)):
-        reader = spark.read.option("header", "true").option("inferSchema", str(infer_types)) \
-            .option("encoding", "UTF-8" if g.utf8 else "ISO-8859-1")
-        frames.append(_with_file(reader.csv([literal_path(f) for f in g.files]), with_file))
-    if not frames:
+    inspected = inspect_text(spark, path).collect()  # one row per file
+    if not inspected:
         raise ValueError(f"no CSV files under {path}")
+    groups: dict[tuple, list[str]] = {}
+    for f in inspected:
+        groups.setdefault((f.header, f.utf8), []).append(literal_path(f.file))
+    frames = []
+    for (_, utf8), files in sorted(groups.items()):
+        reader = spark.read.options(
+            header="true", inferSchema=str(infer_types), multiLine=str(multi_line),
+            encoding="UTF-8" if utf8 else "ISO-8859-1",
+            recursiveFileLookup="true", pathGlobFilter=CSV_FILES)
+        rows = reader.csv(path if len(groups) == 1 else files)
+        frames.append(_with_file(rows, with_file))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

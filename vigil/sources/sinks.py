@@ -82,9 +82,10 @@ def write_quality_report(results: DataFrame, root: str, table: str, day: date) -
 
 def validated_rows(df: DataFrame, validated_at: datetime,
                    file_column: str = "original_file") -> DataFrame:
-    """Add when the rows were validated and how many their file holds."""
-    counted = skew.with_group_value(df, [file_column], "record_count", F.count(F.lit(1)))
-    return counted.withColumn("validation_timestamp", F.lit(validated_at).cast("timestamp"))
+    """Add when the rows were validated and, unless known, how many their file holds."""
+    if "record_count" not in df.columns:
+        df = skew.with_group_value(df, [file_column], "record_count", F.count(F.lit(1)))
+    return df.withColumn("validation_timestamp", F.lit(validated_at).cast("timestamp"))
 
 
 def write_validated(df: DataFrame, root: str, dataset_type: str, validated_at: datetime,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigil import constants as C
 from vigil.functions.text import dataset_type_of
-from vigil.plans import validation
+from vigil.plans import scratch, validation
 from vigil.sources.files import file_path
 
 
@@ -32,31 +32,40 @@ def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, s
     return sum(p.numInputRows for p in query.recentProgress)
 
 
+def _judged(rows: DataFrame, rules: dict[str, list[dict]], as_of: date) -> DataFrame:
+    """The outcome of every file of a batch."""
+    too_large = F.col("__size") > C.MAX_FILE_BYTES
+    log = rows.where(too_large).groupBy("original_file", "dataset_type") \
+        .agg(F.count(F.lit(1)).alias("record_count")) \
+        .withColumns({"status": F.lit("FAILED"), "route": F.lit("quarantine"),
+                      "message": F.lit("File exceeds maximum size")})
+    present = rows.where(~too_large).select("dataset_type").distinct().collect()
+    for (dataset_type,) in sorted(present):  # at most one per dataset type
+        typed = rows.where(~too_large & (F.col("dataset_type") == dataset_type)) \
+            .drop("__size", "dataset_type")
+        outcome = validation.validate_files(typed, rules.get(dataset_type, []), as_of)
+        log = log.unionByName(outcome.withColumn("dataset_type", F.lit(dataset_type)),
+                              allowMissingColumns=True)
+    return log
+
+
 def _per_batch(target: str, rules: dict[str, list[dict]], as_of: date) -> Callable:
-    def handle(rows: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> None:
         # A repeated batch replaces its own folders, so a restart repeats nothing.
         def write(df: DataFrame, name: str, *partitions: str) -> None:
             df.write.mode("overwrite").partitionBy(*partitions) \
                 .parquet(f"{target}/{name}/batch={batch_id}")
 
-        too_large = F.col("__size") > C.MAX_FILE_BYTES
-        refused = rows.where(too_large).groupBy("original_file", "dataset_type") \
-            .agg(F.count(F.lit(1)).alias("record_count")) \
-            .withColumns({"status": F.lit("FAILED"), "route": F.lit("quarantine"),
-                          "message": F.lit("File exceeds maximum size")})
-        log = None
-        for dataset_type in C.DATASET_TYPES:
-            typed = rows.where(~too_large & (F.col("dataset_type") == dataset_type)) \
-                .drop("__size", "dataset_type")
-            outcome = validation.validate_files(typed, rules.get(dataset_type, []), as_of) \
-                .withColumn("dataset_type", F.lit(dataset_type))
-            log = outcome if log is None else log.unionByName(outcome)
-        log = log.unionByName(refused, allowMissingColumns=True)
-        write(log, "log", "dataset_type")
-        outcomes = rows.sparkSession.read.parquet(f"{target}/log/batch={batch_id}") \
-            .select("original_file", "route")
-        write(rows.drop("__size").join(outcomes, "original_file"), "routed",
-              "route", "dataset_type")
+        spark = batch.sparkSession
+        rows, copy = scratch.materialize(batch, "batch")  # the text is parsed once
+        try:
+            write(_judged(rows, rules, as_of), "log", "dataset_type")
+            outcomes = spark.read.parquet(f"{target}/log/batch={batch_id}") \
+                .select("original_file", "route")
+            write(rows.drop("__size").join(outcomes, "original_file"), "routed",
+                  "route", "dataset_type")
+        finally:
+            scratch.remove(spark, copy)
 
     return handle
 
