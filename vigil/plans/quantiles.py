@@ -7,13 +7,15 @@ enough rows are left in a range, their distinct values decide.
 """
 
 import math
+import struct
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigil.schemas import quoted
 
-BUCKETS = 4096
+BUCKETS = 4096  # equal steps of a range
+EDGES = 16  # squared: steps between neighbouring doubles, for uneven values
 SMALL_RANGE = 10_000
 
 
@@ -26,6 +28,7 @@ class _Range:
     hi: float
     below: int
     inside: int
+    uneven: bool = False  # the last pass left most rows in one bucket
 
     @property
     def key(self):
@@ -54,12 +57,34 @@ def _ranks(n: int, p: float, interpolated: bool) -> tuple[int, int, float]:
 
 
 def _bucket(value: Column, r: _Range) -> Column:
+    if r.uneven:
+        return _edge_bucket(value, r)
     # Halved operands keep hi - lo finite over the whole double range.
     width = r.hi / 2 - r.lo / 2
     position = F.floor((value / 2 - F.lit(r.lo / 2)) / F.lit(width) * BUCKETS)
     return F.least(position, F.lit(BUCKETS - 1)).cast("int")
 
 
+def _place(x: float) -> int:
+    """Number of a double in the order of all doubles."""
+    bits = struct.unpack(">q", struct.pack(">d", x))[0]
+    return bits if bits >= 0 else -(bits & (2**63 - 1))
+
+
+def _double(place: int) -> float:
+    x = struct.unpack(">d", struct.pack(">q", abs(place)))[0]
+    return x if place >= 0 else -x
+
+
+def _edge_bucket(value: Column, r: _Range) -> Column:
+    """Buckets with equally many doubles each: few passes for any distribution."""
+    first, last, parts = _place(r.lo), _place(r.hi), EDGES * EDGES
+    edges = [_double(first + (last - first) * k // parts) for k in range(1, parts)]
+    coarse = F.size(F.filter(F.lit(edges[EDGES - 1::EDGES]), lambda e: e <= value))
+    near = F.slice(F.lit(edges), coarse * EDGES + 1, F.lit(EDGES - 1))
+    return coarse * EDGES + F.size(F.filter(near, lambda e: e <= value))
+
+
 def _narrow(df: DataFrame, ranges: list[_Range]) -> dict[tuple, list]:
     """Row count, min and max per bucket of each range."""
     entries = []
@@ -135,7 +160,7 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
             below = r.below
             for _, n, lo, hi in buckets[r.key]:
                 if below + n >= rank:
-                    targets[c, rank] = _Range(c, lo, hi, below, n)
+                    targets[c, rank] = _Range(c, lo, hi, below, n, uneven=n > r.inside / 8)
                     break
                 below += n
 
