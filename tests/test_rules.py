@@ -197,3 +197,12 @@ def test_validate_files(spark):
         "c.csv": ("FAILED", "quarantine", 2)}
     assert log["c.csv"].message == "PII detected in file" and log["a.csv"].completeness == 0.75
     assert {r.status for r in validation.validate_files(df, []).collect()} == {"PASSED", "FAILED"}
+
+
+def test_outliers_of_text_columns(spark):
+    rows = [("f", str(i % 10), str(i)) for i in range(40)] + [("f", "900", "x")]
+    df = spark.createDataFrame(rows, "original_file string, v string, w string")
+    rule = {"rule_id": "q", "rule_type": "data_quality", "outlier_columns": "numeric"}
+    for found in (rules.evaluate(df.drop("original_file"), [rule]),
+                  rules.evaluate(df, [rule], by=["original_file"])):
+        assert found.first().warnings == ["Column 'v' has 1 potential outliers"]

@@ -10,7 +10,7 @@ from vigil.functions.dates import first_parsed_date
 from vigil.functions.measures import outside, share
 from vigil.operators.quality import counted_rows
 from vigil.plans import quantiles
-from vigil.schemas import numeric_columns, quoted
+from vigil.schemas import numeric_columns, quoted, string_columns
 
 # --- one form for all spellings ---------------------------------------------------
 
@@ -200,9 +200,7 @@ def _business_logic(rule, df, measures, as_of) -> _Outcome:
     for c, r in split.get("value_ranges", {}).items():
         if c not in df.columns:
             continue
-        value = quoted(c)
-        if isinstance(df.schema[c].dataType, T.StringType):
-            value = value.try_cast("double")
+        value = _as_number(df, c)
         for side, word, place in [("min", "minimum", "below"), ("max", "maximum", "above")]:
             bound = r.get(side)
             if bound is None:
@@ -240,7 +238,11 @@ def _data_quality(rule, df, measures, fences) -> _Outcome:
     outlier_limit = rule.get("outlier_threshold", 0.0)
     for c in _outlier_columns(rule, df):
         if c in fences:
-            found = measures.count(outside(quoted(c), *fences[c]))
+            found = measures.count(outside(_as_number(df, c), *fences[c]))
+            if isinstance(df.schema[c].dataType, T.StringType):
+                # Text counts as a numeric column only if every value is a number.
+                others = measures.count(quoted(c).isNotNull() & _as_number(df, c).isNull())
+                found = F.when(others == 0, found)
             details.append((f"{c}_outliers", found))
             warnings.append(_text(share(found, rows) > outlier_limit, f"Column '{c}' has ",
                                   _number(found), " potential outliers"))
@@ -254,9 +256,15 @@ def _data_quality(rule, df, measures, fences) -> _Outcome:
 
 
 def _outlier_columns(rule: dict, df: DataFrame) -> list[str]:
+    """The columns to look at; 'numeric' means all, in a frame of text all text columns."""
     wanted = rule.get("outlier_columns", [])
-    numeric = numeric_columns(df)
-    return numeric if wanted == "numeric" else [c for c in wanted if c in numeric]
+    numeric, text = numeric_columns(df), string_columns(df)
+    return numeric or text if wanted == "numeric" else [c for c in wanted if c in numeric + text]
+
+
+def _as_number(df: DataFrame, c: str) -> Column:
+    text = isinstance(df.schema[c].dataType, T.StringType)
+    return quoted(c).try_cast("double") if text else quoted(c)
 
 
 def _allowed_values(rule, df, measures) -> _Outcome:
@@ -301,7 +309,7 @@ def _details(pairs: list[tuple[str, Column]]) -> Column:
 def _group_fences(df: DataFrame, by: list[str], columns: list[str], factor: float):
     """Quartile fences per unit as columns, and the frame that holds them."""
     quartiles = df.groupBy(*[quoted(k) for k in by]).agg(*[
-        F.percentile(quoted(c), [0.25, 0.75]).alias(f"__q{i}") for i, c in enumerate(columns)])
+        F.percentile(_as_number(df, c), [0.25, 0.75]).alias(f"__q{i}") for i, c in enumerate(columns)])
     fences = {}
     for i, c in enumerate(columns):
         low, high = F.get(f"__q{i}", F.lit(0)), F.get(f"__q{i}", F.lit(1))

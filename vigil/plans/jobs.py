@@ -2,6 +2,7 @@
 
 import traceback
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -129,7 +130,13 @@ def region_aggregation_job(df: DataFrame, target: str) -> dict[str, str]:
         scratch.remove(df.sparkSession, copy)
 
 
-READERS = {".csv": files.scan_csv, ".json": files.scan_json, ".xml": files.scan_xml}
+# All formats bring text, so that rows of one dataset share a schema; admitted
+# files are small enough to be read by one task each.
+READERS = {
+    ".csv": partial(files.scan_csv, multi_line=True),
+    ".json": partial(files.scan_json, as_text=True),
+    ".xml": files.scan_xml,
+}
 
 LOG_COLUMNS = ["original_file", "dataset_type", "status", "message", "record_count",
                "pii_findings", "completeness", "route"]

@@ -40,8 +40,8 @@ class _Range:
 
 
 def _value(df: DataFrame, column: str) -> Column:
-    value = quoted(column).cast("double")
-    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+    value = quoted(column).try_cast("double")
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType, T.StringType)):
         value = F.when(~F.isnan(value), value)
     return value
 
@@ -131,7 +131,7 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
 
     Discrete quantiles return a value of the column (rank ceil(p * n));
     interpolated ones weigh the two neighbours of position p * (n - 1).
-    Nulls and NaN are ignored.
+    Nulls, NaN and text that is not a number are ignored.
     """
     columns = [c for c, ps in wanted.items() if ps]
     if not columns:

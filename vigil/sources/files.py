@@ -94,14 +94,17 @@ def scan_xml(spark: SparkSession, path: str | list[str], row_tag: str = "record"
 
 
 def scan_json(spark: SparkSession, path: str | list[str], record: T.StructType | None = None,
-              with_file: bool = False, one_per_line: bool = False) -> DataFrame:
+              with_file: bool = False, one_per_line: bool = False,
+              as_text: bool = False) -> DataFrame:
     """The rows of {metadata, records: [...]} documents.
 
+    as_text reads values as text, the way CSV and XML files bring them.
+
     A file is one document, parsed as a whole by one task (admission limits
     files to 100 MB), or has one document per line, which splits freely.
     """
-    reader = spark.read.option("multiLine", str(not one_per_line)) \
-        .option("recursiveFileLookup", "true")
+    reader = spark.read.options(multiLine=str(not one_per_line), recursiveFileLookup="true",
+                                primitivesAsString=str(as_text))
     if not one_per_line:
         reader = reader.option("pathGlobFilter", "*.[jJ][sS][oO][nN]")
     if record:
@@ -120,7 +123,7 @@ def load_rules(spark: SparkSession, path: str, dataset_type: str | None = None,
     Rules without a dataset type apply to all. A document that cannot be read
     raises, so that missing rules never let data pass.
     """
-    documents = spark.read.option("wholetext", "true").text(path).collect()  # configuration
+    documents = spark.read.text(path, wholetext=True).collect()  # configuration
     if not documents:
         raise ValueError(f"no rule documents under {path}")
     rules = [r for d in documents for r in rules_from_document(json.loads(d.value))]
