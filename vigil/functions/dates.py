@@ -7,9 +7,23 @@ from pyspark.sql import Column, functions as F
 from vigil.constants import DATE_FORMATS
 
 
+def _shaped(text: Column, fmt: str) -> Column:
+    """Whether text is as long as the format and has its first separator in place."""
+    at = next(i for i, c in enumerate(fmt) if not c.isalpha())
+    return (F.length(text) == len(fmt)) & (F.substring(text, at + 1, 1) == fmt[at])
+
+
+def parsed_date(text: Column, fmt: str) -> Column:
+    """The date in a fixed-width format, null for anything else.
+
+    A parser that fails is slow, so that text of another shape never reaches it.
+    """
+    return F.when(_shaped(text, fmt), F.try_to_date(text, fmt))
+
+
 def first_parsed_date(text: Column, formats: list[str] = DATE_FORMATS) -> Column:
     """The date under the first format that parses; null if none does."""
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[parsed_date(text, f) for f in formats])
 
 
 def is_date(text: Column, fmt: str = "%Y-%m-%d") -> Column:

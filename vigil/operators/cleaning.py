@@ -50,15 +50,16 @@ def rename_aliases(df: DataFrame, aliases: dict[str, list[str]] = C.DATE_FIELD_A
 
 
 def _typed(column: Column, source: T.DataType, target: str) -> Column:
+    text = isinstance(source, T.StringType)
     if target == "date":
-        if isinstance(source, T.StringType):
-            return F.try_to_date(column, "yyyy-MM-dd")
-        return column.cast("date")
+        return dates.parsed_date(column, "yyyy-MM-dd") if text else column.cast("date")
     if target in ("integer", "long"):
-        if isinstance(source, T.StringType):
-            # Text casts drop a fraction ('12.7' is 12) and reject anything else.
-            column = F.nullif(F.regexp_extract(F.trim(column), r"^([+-]?\d+)(\.\d*)?$", 1), F.lit(""))
-        return column.try_cast("int" if target == "integer" else "bigint")
+        kind = "int" if target == "integer" else "bigint"
+        if not text:
+            return column.try_cast(kind)
+        # Text casts drop a fraction ('12.7' is 12) and reject anything else.
+        whole = F.regexp_extract(F.trim(column), r"^([+-]?\d+)\.\d*$", 1)
+        return F.coalesce(column.try_cast(kind), whole.try_cast(kind))
     return column.try_cast(target)
 
 

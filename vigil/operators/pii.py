@@ -5,10 +5,9 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vigil.constants import REDACTED
-from vigil.functions.measures import count_if
 from vigil.functions.patterns import INLINE, NAME_INDICATORS, POSTCODE_PARTS, UK_CONFIG, Pattern
 from vigil.functions.text import outward_postcode
-from vigil.schemas import quoted, string_columns
+from vigil.schemas import name_sql, quoted, rows_of, string_columns, text_sql
 
 # Needed by every disease file and not personal, though it contains 'name'.
 NOT_PERSONAL = ("disease_name",)
@@ -21,29 +20,31 @@ def flagged_names(columns: list[str], indicators: list[str] = NAME_INDICATORS,
             if c not in allowed and any(word in c.lower() for word in indicators)]
 
 
+_FINDING = ["column_name", "source", "pii_type", "severity", "finding"]
+
+
 def _findings(df: DataFrame, entries: list[tuple], by: tuple = ()) -> DataFrame:
     """One scan over all (column, source, type, severity, text, condition) entries."""
-    names = ["column_name", "source", "pii_type", "severity", "finding"]
     measured = df.groupBy(*[quoted(k) for k in by]).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *[count_if(e[5]).alias(f"f{i}") for i, e in enumerate(entries)])
-    rows = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, e)],
-                     F.col(f"f{i}").alias("records")) for i, e in enumerate(entries)]
+        F.expr("count(1) AS __rows"),
+        *[F.expr(f"count_if({e[5]}) AS f{i}") for i, e in enumerate(entries)])
+    rows = [{**dict(zip(_FINDING, map(text_sql, e))), "records": f"f{i}"}
+            for i, e in enumerate(entries)]
     if not rows:  # nothing to look for: no findings, but the columns of findings
-        rows = [F.struct(*[F.lit(None).cast("string").alias(n) for n in names],
-                         F.lit(0).cast("bigint").alias("records"))]
-        measured = measured.where(F.lit(False))
-    return measured.select(*[quoted(k) for k in by], F.inline(F.array(*rows)))
+        rows = [{**{n: text_sql(None) for n in _FINDING}, "records": "0L"}]
+        measured = measured.where("false")
+    return rows_of(measured, rows, by)
 
 
 def _name_entries(df, indicators, allowed):
-    return [(c, "name", None, None, f"Column name suggests PII: {c}", quoted(c).isNotNull())
+    return [(c, "name", None, None, f"Column name suggests PII: {c}",
+             f"{name_sql(c)} IS NOT NULL")
             for c in flagged_names(df.columns, indicators, allowed)]
 
 
 def _content_entries(df, patterns, columns=None):
     return [(c, "content", p.name, p.severity, f"Potential {p.name} detected",
-             quoted(c).rlike(p.regex))
+             f"{name_sql(c)} RLIKE {text_sql(p.regex)}")
             for c in (string_columns(df) if columns is None else columns) for p in patterns]
 
 

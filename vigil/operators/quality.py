@@ -2,12 +2,12 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from vigil import constants as C
-from vigil.functions.measures import count_if, outside, share
+from vigil.functions.measures import count_if
 from vigil.plans import quantiles
-from vigil.schemas import numeric_columns, quoted
+from vigil.schemas import literal_sql, name_sql, numeric_columns, quoted, rows_of, text_sql
 
 
 def stage_metrics(df: DataFrame, stage: str) -> DataFrame:
@@ -18,64 +18,50 @@ def stage_metrics(df: DataFrame, stage: str) -> DataFrame:
         F.lit(df.schema.simpleString()).alias("schema"))
 
 
-def _rows(measures: DataFrame, structs: list[Column]) -> DataFrame:
-    """One result row per struct over a one-row frame of measures."""
-    return measures.select(F.inline(F.array(*structs)))
-
-
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values per column, null counted as a value.
 
     The exact form shuffles every distinct (column, value) pair once; copies of
     a value collapse before the shuffle, so a frequent value costs nothing.
     """
-    names = df.columns
+    names = [(c, name_sql(c)) for c in df.columns]
     if approximate:
-        measured = df.agg(*[
-            (F.approx_count_distinct(quoted(c))
-             + F.max(quoted(c).isNull().cast("int"))).alias(f"d{i}")
-            for i, c in enumerate(names)])
-        return _rows(measured, [F.struct(
-            F.lit(c).alias("column_name"),
-            F.coalesce(F.col(f"d{i}"), F.lit(0)).cast("bigint").alias("distinct_count"))
-            for i, c in enumerate(names)])
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), quoted(c).cast("string").alias("v"))
-        for c in names])).alias("p"))
-    return pairs.select("p.*").distinct().groupBy("column_name") \
-        .agg(F.count(F.lit(1)).alias("distinct_count"))
+        measured = df.agg(*[F.expr(
+            f"coalesce(approx_count_distinct({n}) + max(int({n} IS NULL)), 0) AS d{i}")
+            for i, (_, n) in enumerate(names)])
+        return rows_of(measured, [
+            {"column_name": text_sql(c), "distinct_count": f"bigint(d{i})"}
+            for i, (c, _) in enumerate(names)])
+    pairs = rows_of(df, [{"column_name": text_sql(c), "v": f"string({n})"} for c, n in names])
+    return pairs.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
 
 
 def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
     """Per column: nulls, distinct values, completeness and, for numbers, statistics."""
     numeric = numeric_columns(df)
-    measured = [F.count(F.lit(1)).alias("n")]
+    measured = ["count(1) AS n"]
     for i, c in enumerate(df.columns):
-        measured.append(count_if(quoted(c).isNull()).alias(f"null{i}"))
+        name = name_sql(c)
+        measured.append(f"count_if({name} IS NULL) AS null{i}")
         if c in numeric:
-            value = quoted(c).cast("double")
-            measured += [F.min(value).alias(f"min{i}"), F.max(value).alias(f"max{i}"),
-                         F.avg(value).alias(f"mean{i}"), F.stddev(value).alias(f"sd{i}")]
+            value = f"double({name})"
+            measured += [f"min({value}) AS min{i}", f"max({value}) AS max{i}",
+                         f"avg({value}) AS mean{i}", f"stddev({value}) AS stddev{i}"]
     medians = quantiles.quantiles(df, {c: [0.5] for c in numeric})
-
-    def number(name: str, i: int, c: str) -> Column:
-        return F.col(f"{name}{i}") if c in numeric else F.lit(None).cast("double")
-
-    def percent(part: Column) -> Column:
-        return F.coalesce(share(part, F.col("n")) * 100, F.lit(0.0))
-
-    rows = [F.struct(
-        F.lit(c).alias("column_name"),
-        F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
-        F.col(f"null{i}").alias("null_count"),
-        percent(F.col(f"null{i}")).alias("null_percentage"),
-        percent(F.col("n") - F.col(f"null{i}")).alias("completeness"),
-        number("min", i, c).alias("min"), number("max", i, c).alias("max"),
-        number("mean", i, c).alias("mean"), number("sd", i, c).alias("stddev"),
-        F.lit(medians[c][0] if c in medians else None).cast("double").alias("median"),
-    ) for i, c in enumerate(df.columns)]
+    rows = []
+    for i, c in enumerate(df.columns):
+        median = medians[c][0] if c in medians else None
+        rows.append({
+            "column_name": text_sql(c),
+            "data_type": text_sql(df.schema[c].dataType.simpleString()),
+            "null_count": f"null{i}",
+            "null_percentage": f"coalesce(try_divide(null{i}, n) * 100, 0D)",
+            "completeness": f"coalesce(try_divide(n - null{i}, n) * 100, 0D)",
+            **{m: f"{m}{i}" if c in numeric else "double(NULL)"
+               for m in ("min", "max", "mean", "stddev")},
+            "median": f"double({'NULL' if median is None else literal_sql(median)})"})
     distinct = distinct_counts(df, approximate_distinct)
-    return _rows(df.agg(*measured), rows).join(distinct, "column_name", "left") \
+    return rows_of(df.agg(*map(F.expr, measured)), rows).join(distinct, "column_name", "left") \
         .withColumn("distinct_count", F.coalesce("distinct_count", F.lit(0)))
 
 
@@ -87,85 +73,81 @@ def counted_rows(df: DataFrame) -> DataFrame:
 def etl_quality_checks(df: DataFrame, null_limit: float = C.NULL_LIMIT,
                        duplicate_limit: float = C.DUPLICATE_LIMIT) -> DataFrame:
     """Null share per column and share of repeated rows against their limits."""
-    rows = counted_rows(df)
-    n = F.col("__n")
-    total = F.coalesce(F.sum(n), F.lit(0))
-    measured = rows.agg(
-        total.alias("total"), (total - F.count(F.lit(1))).alias("repeated"),
-        *[F.coalesce(F.sum(F.when(quoted(c).isNull(), n)), F.lit(0)).alias(f"null{i}")
+    measured = counted_rows(df).agg(
+        F.expr("coalesce(sum(__n), 0) AS total"),
+        F.expr("coalesce(sum(__n - 1), 0) AS repeated"),
+        *[F.expr(f"coalesce(sum(if({name_sql(c)} IS NULL, __n, 0)), 0) AS null{i}")
           for i, c in enumerate(df.columns)])
 
-    def check(name: str, count: Column, limit: float) -> Column:
-        percentage = F.coalesce(share(count, F.col("total")) * 100, F.lit(0.0))
-        return F.struct(
-            F.lit(name).alias("check_name"), count.alias("failing_count"),
-            percentage.alias("percentage"), (percentage <= limit * 100).alias("passed"))
+    def check(name: str, count: str, limit: float) -> dict[str, str]:
+        percentage = f"coalesce(try_divide({count}, total) * 100, 0D)"
+        return {"check_name": text_sql(name), "failing_count": count,
+                "percentage": percentage, "passed": f"{percentage} <= {limit * 100}D"}
 
-    checks = [check(f"{c}_null_check", F.col(f"null{i}"), null_limit)
-              for i, c in enumerate(df.columns)]
-    checks.append(check("duplicate_check", F.col("repeated"), duplicate_limit))
-    return _rows(measured, checks).withColumn(
+    checks = [check(f"{c}_null_check", f"null{i}", null_limit) for i, c in enumerate(df.columns)]
+    checks.append(check("duplicate_check", "repeated", duplicate_limit))
+    return rows_of(measured, checks).withColumn(
         "overall_passed", F.min("passed").over(Window.partitionBy(F.lit(0))))
 
 
 # --- check results --------------------------------------------------------------
 
 @dataclass
-class Check:
-    """Measures of one check and the result rows made from them.
+class Row:
+    """One result of a check, as SQL over the names of its measures."""
 
-    rows: (column, metric, value, detail, passed) over the measure names.
-    """
+    column: str | None
+    metric: str
+    passed: str
+    value: str = "NULL"
+    detail: str = "NULL"
+
+
+@dataclass
+class Check:
+    """Measures of one check, as SQL by name, and the result rows made from them."""
 
     name: str
-    measures: dict[str, Column]
-    rows: list[tuple]
+    measures: dict[str, str]
+    rows: list[Row]
     on_failure: str = "FAILED"
 
+    def results(self) -> list[dict[str, str]]:
+        # A check without columns passes.
+        rows = self.rows or [Row(None, "none", "true")]
+        passed = " AND ".join(f"({r.passed})" for r in rows)
+        status = f"if({passed}, 'PASSED', '{self.on_failure}')"
+        return [{
+            "check_name": text_sql(self.name), "status": status,
+            "column_name": text_sql(r.column), "metric": text_sql(r.metric),
+            "value": f"double({r.value})", "detail": f"string({r.detail})",
+            "passed": r.passed} for r in rows]
+
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Evaluate checks in one pass; one row per check, column and metric."""
-    measured = df.agg(F.count(F.lit(1)).alias("__rows"),
-                      *[m.alias(f"{c.name}_{k}") for c in checks for k, m in c.measures.items()])
-    out = []
-    for c in checks:
-        passed = F.lit(True)
-        for row in c.rows:
-            passed = passed & row[4]
-        status = F.when(passed, "PASSED").otherwise(c.on_failure)
-        out += [F.struct(
-            F.lit(c.name).alias("check_name"), status.alias("status"),
-            F.lit(column).cast("string").alias("column_name"), F.lit(metric).alias("metric"),
-            value.cast("double").alias("value"), detail.cast("string").alias("detail"),
-            ok.alias("passed")) for column, metric, value, detail, ok in c.rows]
-        if not c.rows:  # a check without columns passes
-            out.append(F.struct(
-                F.lit(c.name).alias("check_name"), F.lit("PASSED").alias("status"),
-                F.lit(None).cast("string").alias("column_name"), F.lit("none").alias("metric"),
-                F.lit(None).cast("double").alias("value"),
-                F.lit(None).cast("string").alias("detail"), F.lit(True).alias("passed")))
-    return _rows(measured, out)
-
-
-def _none() -> Column:
-    return F.lit(None)
+    measured = df.agg(F.expr("count(1) AS rows"), *[
+        F.expr(f"{sql} AS {name}") for c in checks for name, sql in c.measures.items()])
+    return rows_of(measured, [r for c in checks for r in c.results()])
 
 
 def completeness_check(df: DataFrame, threshold: float = C.COMPLETENESS_LIMIT) -> Check:
     rows = []
     for i, c in enumerate(df.columns):
-        ratio = F.coalesce(share(F.col(f"completeness_{i}"), F.col("__rows")), F.lit(0.0))
-        rows.append((c, "completeness", ratio, _none(), ratio >= threshold))
-    return Check("completeness", {str(i): F.count(quoted(c)) for i, c in enumerate(df.columns)},
-                 rows)
+        ratio = f"coalesce(try_divide(filled{i}, rows), 0D)"
+        rows.append(Row(c, "completeness", f"{ratio} >= {threshold}D", ratio))
+    return Check("completeness", {
+        f"filled{i}": f"count({name_sql(c)})" for i, c in enumerate(df.columns)}, rows)
 
 
 def validity_check(df: DataFrame, ranges: dict[str, dict]) -> Check:
     """Rows outside [min, max]; only columns of the frame with both bounds."""
     columns = [c for c, r in ranges.items() if c in df.columns and {"min", "max"} <= r.keys()]
-    measures = {str(i): count_if(outside(quoted(c), ranges[c]["min"], ranges[c]["max"]))
-                for i, c in enumerate(columns)}
-    rows = [(c, "invalid_count", F.col(f"validity_{i}"), _none(), F.col(f"validity_{i}") == 0)
+    measures = {
+        f"invalid{i}": f"count_if({name_sql(c)} < {literal_sql(ranges[c]['min'])}"
+                       f" OR {name_sql(c)} > {literal_sql(ranges[c]['max'])})"
+        for i, c in enumerate(columns)}
+    rows = [Row(c, "invalid_count", f"invalid{i} = 0", f"invalid{i}")
             for i, c in enumerate(columns)]
     return Check("validity", measures, rows)
 
@@ -175,10 +157,10 @@ def consistency_check(df: DataFrame) -> Check:
     columns = [c for c in df.columns if "date" in c.lower()]
     measures, rows = {}, []
     for i, c in enumerate(columns):
-        for metric, bound in [("min_date", F.min), ("max_date", F.max)]:
-            measures[f"{metric}{i}"] = bound(quoted(c))
-            found = F.col(f"consistency_{metric}{i}")
-            rows.append((c, metric, _none(), found, found.isNotNull()))
+        for bound in ("min", "max"):
+            name = f"{bound}_date{i}"
+            measures[name] = f"{bound}({name_sql(c)})"
+            rows.append(Row(c, f"{bound}_date", f"{name} IS NOT NULL", detail=name))
     return Check("consistency", measures, rows, on_failure="WARNING")
 
 
@@ -194,18 +176,18 @@ def outlier_check(df: DataFrame, columns: list[str] | None = None, threshold: fl
     columns = [c for c in columns if c in df.columns]
     measures, rows = {}, []
     if columns:
-        row = df.agg(*[e for i, c in enumerate(columns) for e in (
-            F.avg(quoted(c)).alias(f"m{i}"), F.stddev(quoted(c)).alias(f"s{i}"))]).first()
+        row = df.agg(*[F.expr(e) for i, c in enumerate(columns) for e in (
+            f"avg({name_sql(c)}) AS m{i}", f"stddev({name_sql(c)}) AS s{i}")]).first()
         for i, c in enumerate(columns):
             mean, deviation = row[f"m{i}"], row[f"s{i}"]
             if not deviation or deviation <= 0:
                 continue
-            z = F.abs((quoted(c) - F.lit(mean)) / F.lit(deviation))
-            measures[str(i)] = count_if(z > threshold)
-            found, total = F.col(f"outliers_{i}"), F.col("__rows")
-            passed = found < total * 0.01
-            rows += [(c, "outlier_count", found, _none(), passed),
-                     (c, "outlier_percentage", share(found, total) * 100, _none(), passed)]
+            measures[f"outside{i}"] = (
+                f"count_if(abs(({name_sql(c)} - {literal_sql(mean)}) / {literal_sql(deviation)})"
+                f" > {threshold}D)")
+            passed = f"outside{i} < rows * 0.01D"
+            rows += [Row(c, "outlier_count", passed, f"outside{i}"),
+                     Row(c, "outlier_percentage", passed, f"try_divide(outside{i}, rows) * 100")]
     return Check("outliers", measures, rows, on_failure="WARNING")
 
 
@@ -228,19 +210,12 @@ def outliers_zscore(df: DataFrame, columns: list[str] | None = None,
 
 def uniqueness(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows against distinct keys; null keys are equal to each other."""
-    keys = df.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("__copies"))
-    total = F.coalesce(F.sum("__copies"), F.lit(0))
-    measured = keys.agg(total.alias("t"), F.count(F.lit(1)).alias("u"))
-    repeated = F.col("t") - F.col("u")
-    passed = repeated == 0
-    metrics = [("total_rows", F.col("t")), ("unique_rows", F.col("u")),
-               ("duplicate_count", repeated)]
-    return _rows(measured, [F.struct(
-        F.lit("uniqueness").alias("check_name"),
-        F.when(passed, "PASSED").otherwise("FAILED").alias("status"),
-        F.lit(", ".join(columns)).alias("column_name"), F.lit(name).alias("metric"),
-        value.cast("double").alias("value"), F.lit(None).cast("string").alias("detail"),
-        passed.alias("passed")) for name, value in metrics])
+    keys = df.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
+    measured = keys.agg(F.expr("coalesce(sum(copies), 0) AS total"), F.expr("count(1) AS distinct"))
+    metrics = {"total_rows": "total", "unique_rows": "distinct", "duplicate_count": "total - distinct"}
+    check = Check("uniqueness", {}, [
+        Row(", ".join(columns), m, "total = distinct", v) for m, v in metrics.items()])
+    return rows_of(measured, check.results())
 
 
 def quality_summary(results: DataFrame) -> DataFrame:

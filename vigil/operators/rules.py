@@ -7,10 +7,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigil import constants as C
 from vigil.functions.dates import first_parsed_date
-from vigil.functions.measures import outside, share
+from vigil.functions.measures import outside
 from vigil.operators.quality import counted_rows
 from vigil.plans import quantiles
-from vigil.schemas import numeric_columns, quoted, string_columns
+from vigil.schemas import (
+    literal_sql, name_sql, numeric_columns, quoted, rows_of, string_columns, text_sql,
+)
 
 # --- one form for all spellings ---------------------------------------------------
 
@@ -98,11 +100,11 @@ def rules_from_document(document) -> list[dict]:
 
 @dataclass
 class _Outcome:
-    """Messages and measures of one rule; each message is text or null."""
+    """Messages and measures of one rule as SQL; each message is text or null."""
 
-    errors: list[Column]
-    warnings: list[Column]
-    details: list[tuple[str, Column]]
+    errors: list[str]
+    warnings: list[str]
+    details: list[tuple[str, str]]
     passed: str
     failed: str
 
@@ -110,32 +112,35 @@ class _Outcome:
 class _Measures:
     """Collects the aggregates all rules need and names each."""
 
-    def __init__(self, df: DataFrame):
-        self.df = df
+    def __init__(self):
         self.columns: list[Column] = []
 
-    def add(self, aggregate: Column) -> Column:
+    def add(self, aggregate: str | Column) -> str:
         name = f"m{len(self.columns)}"
-        self.columns.append(aggregate.alias(name))
-        return F.col(name)
+        column = F.expr(aggregate) if isinstance(aggregate, str) else aggregate
+        self.columns.append(column.alias(name))
+        return name
 
-    def count(self, condition: Column) -> Column:
+    def count(self, condition: str | Column) -> str:
+        if isinstance(condition, str):
+            return self.add(f"coalesce(sum(if({condition}, __n, 0)), 0)")
         return self.add(F.coalesce(F.sum(F.when(condition, F.col("__n"))), F.lit(0)))
 
 
-def _text(condition: Column, *parts) -> Column:
-    return F.when(condition, F.concat(*[
-        p if isinstance(p, Column) else F.lit(p) for p in parts]))
+def _message(condition: str, *parts: str) -> str:
+    """Text put together from literals and (in braces) SQL, where the condition holds."""
+    pieces = [p[1:-1] if p.startswith("{") else text_sql(p) for p in parts]
+    return f"if({condition}, concat({', '.join(pieces)}), NULL)"
 
 
-def _number(value: Column) -> Column:
-    return value.cast("string")
+def _sql(value: str) -> str:
+    return "{" + value + "}"
 
 
 def _schema(rule, df, measures) -> _Outcome:
     missing = [c for c in rule.get("required_columns", []) if c not in df.columns]
-    errors = [F.lit(f"Missing columns: {', '.join(missing)}")] if missing else []
-    optional = [(f"optional_{c}", F.lit(float(c in df.columns)))
+    errors = [text_sql(f"Missing columns: {', '.join(missing)}")] if missing else []
+    optional = [(f"optional_{c}", "1D" if c in df.columns else "0D")
                 for c in rule.get("optional_columns", [])]
     return _Outcome(errors, [], optional, "Schema validation passed", "Schema validation failed")
 
@@ -168,9 +173,9 @@ def _data_type(rule, df, measures) -> _Outcome:
             # Text is accepted when every value parses as the expected type.
             value = quoted(c)
             bad = measures.count(value.isNotNull() & _parsed(value, expected).isNull())
-            errors.append(_text(bad > 0, message))
+            errors.append(_message(f"{bad} > 0", message))
         elif expected != actual.simpleString():
-            errors.append(F.lit(message))
+            errors.append(text_sql(message))
     return _Outcome(errors, [], [], "Data type validation passed", "Data type validation failed")
 
 
@@ -186,71 +191,78 @@ def _bound(value, as_of: date | None):
     return date.fromisoformat(value) if isinstance(value, str) else value
 
 
+def _number_sql(df: DataFrame, c: str) -> str:
+    text = isinstance(df.schema[c].dataType, T.StringType)
+    return f"try_cast({name_sql(c)} AS DOUBLE)" if text else name_sql(c)
+
+
 def _business_logic(rule, df, measures, as_of) -> _Outcome:
     errors, warnings = [], []
-    ranges = rule.get("value_ranges", {})
-    split = _split_ranges(ranges)
+    split = _split_ranges(rule.get("value_ranges", {}))
     for r in rule.get("date_ranges", []) + split.get("date_ranges", []):
         if r["column"] in df.columns:
             value = _as_date(quoted(r["column"]), df.schema[r["column"]].dataType)
             found = measures.count(outside(
                 value, _bound(r.get("min"), as_of), _bound(r.get("max"), as_of)))
-            errors.append(_text(found > 0, "Found ", _number(found),
-                                " records with dates outside valid range"))
+            errors.append(_message(f"{found} > 0", "Found ", _sql(found),
+                                   " records with dates outside valid range"))
     for c, r in split.get("value_ranges", {}).items():
         if c not in df.columns:
             continue
-        value = _as_number(df, c)
-        for side, word, place in [("min", "minimum", "below"), ("max", "maximum", "above")]:
+        for side, sign, words in [("min", "<", "below minimum"), ("max", ">", "above maximum")]:
             bound = r.get(side)
-            if bound is None:
-                continue
-            found = measures.count(value < bound if side == "min" else value > bound)
-            warnings.append(_text(found > 0, f"Column '{c}' has ", _number(found),
-                                  f" values {place} {word} {bound}"))
+            if bound is not None:
+                found = measures.count(f"{_number_sql(df, c)} {sign} {literal_sql(bound)}")
+                warnings.append(_message(f"{found} > 0", f"Column '{c}' has ", _sql(found),
+                                         f" values {words} {bound}"))
     done = "Business logic validation completed"
     return _Outcome(errors, warnings, [], done, done)
 
 
-def _percent(value: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f%%", value * 100)
+def _percent(value: str) -> str:
+    return _sql(f"format_string('%.2f%%', {value} * 100)")
 
 
 def _data_quality(rule, df, measures, fences) -> _Outcome:
     errors, warnings, details = [], [], []
-    rows = measures.add(F.coalesce(F.sum("__n"), F.lit(0)))
+    rows = measures.add("coalesce(sum(__n), 0)")
+
+    def share(part: str) -> str:
+        return f"try_divide({part}, {rows})"
+
     limit = rule.get("null_threshold", C.NULL_LIMIT)
     complete = rule.get("minimum_completeness")
     for c in df.columns:
-        ratio = share(measures.count(quoted(c).isNull()), rows)
+        ratio = share(measures.count(f"{name_sql(c)} IS NULL"))
         details.append((f"{c}_null_ratio", ratio))
-        warnings.append(_text(ratio > limit, f"Column '{c}' has ", _percent(ratio, 2),
-                              f" null values (threshold: {limit:.0%})"))
+        warnings.append(_message(f"{ratio} > {limit}D", f"Column '{c}' has ", _percent(ratio),
+                                 f" null values (threshold: {limit:.0%})"))
         if complete is not None:
-            warnings.append(_text(1 - ratio < complete, f"Column '{c}' is ",
-                                  _percent(1 - ratio, 2), f" complete (minimum: {complete:.0%})"))
+            warnings.append(_message(
+                f"1 - {ratio} < {complete}D", f"Column '{c}' is ", _percent(f"(1 - {ratio})"),
+                f" complete (minimum: {complete:.0%})"))
     if rule.get("check_duplicates"):
-        repeated = measures.add(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)))
-        allowed = rule.get("duplicate_threshold", 0.0)
+        repeated = measures.add("coalesce(sum(__n - 1), 0)")
         details.append(("duplicate_count", repeated))
-        warnings.append(_text(share(repeated, rows) > allowed,
-                              "Found ", _number(repeated), " duplicate rows"))
-    outlier_limit = rule.get("outlier_threshold", 0.0)
+        warnings.append(_message(f"{share(repeated)} > {rule.get('duplicate_threshold', 0.0)}D",
+                                 "Found ", _sql(repeated), " duplicate rows"))
     for c in _outlier_columns(rule, df):
-        if c in fences:
-            found = measures.count(outside(_as_number(df, c), *fences[c]))
-            if isinstance(df.schema[c].dataType, T.StringType):
-                # Text counts as a numeric column only if every value is a number.
-                others = measures.count(quoted(c).isNotNull() & _as_number(df, c).isNull())
-                found = F.when(others == 0, found)
-            details.append((f"{c}_outliers", found))
-            warnings.append(_text(share(found, rows) > outlier_limit, f"Column '{c}' has ",
-                                  _number(found), " potential outliers"))
+        if c not in fences:
+            continue
+        value, (low, high) = _number_sql(df, c), fences[c]
+        found = measures.count(f"{value} < {low} OR {value} > {high}")
+        if isinstance(df.schema[c].dataType, T.StringType):
+            # Text counts as a numeric column only if every value is a number.
+            others = measures.count(f"{name_sql(c)} IS NOT NULL AND {value} IS NULL")
+            found = f"if({others} = 0, {found}, NULL)"
+        details.append((f"{c}_outliers", found))
+        warnings.append(_message(f"{share(found)} > {rule.get('outlier_threshold', 0.0)}D",
+                                 f"Column '{c}' has ", _sql(found), " potential outliers"))
     for c in rule.get("required_nonnull", []):
         if c in df.columns:
-            missing = measures.count(quoted(c).isNull())
-            errors.append(_text(missing > 0, f"Column '{c}' has ", _number(missing),
-                                " missing values"))
+            missing = measures.count(f"{name_sql(c)} IS NULL")
+            errors.append(_message(f"{missing} > 0", f"Column '{c}' has ", _sql(missing),
+                                   " missing values"))
     done = "Data quality validation completed"
     return _Outcome(errors, warnings, details, done, done)
 
@@ -262,18 +274,13 @@ def _outlier_columns(rule: dict, df: DataFrame) -> list[str]:
     return numeric or text if wanted == "numeric" else [c for c in wanted if c in numeric + text]
 
 
-def _as_number(df: DataFrame, c: str) -> Column:
-    text = isinstance(df.schema[c].dataType, T.StringType)
-    return quoted(c).try_cast("double") if text else quoted(c)
-
-
 def _allowed_values(rule, df, measures) -> _Outcome:
     warnings = []
     c = rule["column"]
     if c in df.columns:
         found = measures.count(~quoted(c).isin(rule["allowed_values"]))
-        warnings.append(_text(found > 0, f"Column '{c}' has ", _number(found),
-                              " values outside the allowed list"))
+        warnings.append(_message(f"{found} > 0", f"Column '{c}' has ", _sql(found),
+                                 " values outside the allowed list"))
     done = "Allowed values validation completed"
     return _Outcome([], warnings, [], done, done)
 
@@ -291,29 +298,42 @@ def _outcome(rule, df, measures, as_of, fences) -> _Outcome:
     if kind == "allowed_values":
         return _allowed_values(rule, df, measures)
     unknown = f"Unknown rule type: {kind}"
-    return _Outcome([], [F.lit(unknown)], [], unknown, unknown)
+    return _Outcome([], [text_sql(unknown)], [], unknown, unknown)
 
 
-def _texts(messages: list[Column]) -> Column:
-    if not messages:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*messages))
-
-
-def _details(pairs: list[tuple[str, Column]]) -> Column:
-    keys = F.array(*[F.lit(k) for k, _ in pairs]).cast("array<string>")
-    return F.map_from_arrays(keys, F.array(*[v.cast("double") for _, v in pairs])
-                             .cast("array<double>"))
+RESULT_COLUMNS = {
+    "position": "int", "rule_id": "string", "rule_type": "string", "status": "string",
+    "message": "string", "details": "map<string,double>", "errors": "array<string>",
+    "warnings": "array<string>",
+}
 
 
-def _group_fences(df: DataFrame, by: list[str], columns: list[str], factor: float):
-    """Quartile fences per unit as columns, and the frame that holds them."""
+def _result(position: int, rule: dict, o: _Outcome) -> dict[str, str]:
+    """The result row of a rule."""
+    errors, warnings = (f"array_compact(CAST(array({', '.join(m)}) AS ARRAY<STRING>))"
+                        for m in (o.errors, o.warnings))
+    failed, warned = f"size({errors}) > 0", f"size({warnings}) > 0"
+    details = ", ".join(f"{text_sql(k)}, double({v})" for k, v in o.details)
+    return {
+        "position": str(position), "rule_id": text_sql(rule["rule_id"]),
+        "rule_type": text_sql(rule["rule_type"]),
+        "status": f"CASE WHEN {failed} THEN 'FAILED' WHEN {warned} THEN 'WARNING' "
+                  "ELSE 'PASSED' END",
+        "message": f"if({failed}, {text_sql(o.failed)}, {text_sql(o.passed)})",
+        "details": f"CAST(map({details}) AS MAP<STRING, DOUBLE>)",
+        "errors": errors, "warnings": warnings}
+
+
+def _unit_fences(df: DataFrame, by: list[str], columns: list[str], factor: float):
+    """Quartile fences per unit as SQL, and the frame whose columns they name."""
     quartiles = df.groupBy(*[quoted(k) for k in by]).agg(*[
-        F.percentile(_as_number(df, c), [0.25, 0.75]).alias(f"__q{i}") for i, c in enumerate(columns)])
+        F.expr(f"percentile({_number_sql(df, c)}, array(0.25, 0.75)) AS __q{i}")
+        for i, c in enumerate(columns)])
     fences = {}
     for i, c in enumerate(columns):
-        low, high = F.get(f"__q{i}", F.lit(0)), F.get(f"__q{i}", F.lit(1))
-        fences[c] = (low - factor * (high - low), high + factor * (high - low))
+        low, high = f"__q{i}[0]", f"__q{i}[1]"
+        spread = f"{factor}D * ({high} - {low})"
+        fences[c] = (f"({low} - {spread})", f"({high} + {spread})")
     return quartiles, fences
 
 
@@ -344,34 +364,22 @@ def evaluate(df: DataFrame, rules: list[dict], as_of: date | None = None,
     fences: dict[float, dict] = {}
     for factor, columns in factors.items():
         if by and columns:
-            quartiles, fences[factor] = _group_fences(df, by, sorted(columns), factor)
+            quartiles, fences[factor] = _unit_fences(df, by, sorted(columns), factor)
             if len(fences) > 1:
                 raise ValueError("rules per unit must share one outlier factor")
             source = source.join(quartiles, by)
         elif columns:
-            fences[factor] = quantiles.iqr_fences(df, sorted(columns), factor, interpolated=True)
-    measures = _Measures(data)
-    structs = []
-    for position, r in enumerate(rules):
-        o = _outcome(r, data, measures, as_of, fences.get(r.get("outlier_factor", 1.5), {}))
-        errors, warnings = _texts(o.errors), _texts(o.warnings)
-        status = F.when(F.size(errors) > 0, "FAILED").when(F.size(warnings) > 0, "WARNING") \
-            .otherwise("PASSED")
-        values = [F.lit(position), F.lit(r["rule_id"]), F.lit(r["rule_type"]), status,
-                  F.when(F.size(errors) > 0, o.failed).otherwise(o.passed),
-                  _details(o.details), errors, warnings]
-        structs.append(F.struct(*[
-            v.cast(kind).alias(name) for v, (name, kind) in zip(values, RESULT_COLUMNS.items())]))
+            found = quantiles.iqr_fences(df, sorted(columns), factor, interpolated=True)
+            fences[factor] = {c: (literal_sql(float(low)), literal_sql(float(high)))
+                              for c, (low, high) in found.items()}
+    measures = _Measures()
+    results = [
+        _result(position, r, _outcome(r, data, measures, as_of,
+                                      fences.get(r.get("outlier_factor", 1.5), {})))
+        for position, r in enumerate(rules)]
     measured = source.groupBy(*[quoted(k) for k in by]) \
-        .agg(F.count(F.lit(1)).alias("__rows"), *measures.columns)
-    return measured.select(*[quoted(k) for k in by], F.inline(F.array(*structs)))
-
-
-RESULT_COLUMNS = {
-    "position": "int", "rule_id": "string", "rule_type": "string", "status": "string",
-    "message": "string", "details": "map<string,double>", "errors": "array<string>",
-    "warnings": "array<string>",
-}
+        .agg(F.expr("count(1) AS __rows"), *measures.columns)
+    return rows_of(measured, results, tuple(by))
 
 
 def result_details(results: DataFrame) -> DataFrame:
