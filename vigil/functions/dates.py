@@ -1,5 +1,6 @@
 """Column expressions for parsing dates and naming periods."""
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -7,18 +8,15 @@ from pyspark.sql import Column, functions as F
 from vigil.constants import DATE_FORMATS
 
 
-def _shaped(text: Column, fmt: str) -> Column:
-    """Whether text is as long as the format and has its first separator in place."""
-    at = next(i for i, c in enumerate(fmt) if not c.isalpha())
-    return (F.length(text) == len(fmt)) & (F.substring(text, at + 1, 1) == fmt[at])
-
-
 def parsed_date(text: Column, fmt: str) -> Column:
-    """The date in a fixed-width format, null for anything else.
+    """The date in a format of yyyy, MM and dd with separators, null for anything else.
 
-    A parser that fails is slow, so that text of another shape never reaches it.
+    The parts are put in ISO order and cast, which is several times faster than
+    a pattern parser and does not fail slowly on text of another shape.
     """
-    return F.when(_shaped(text, fmt), F.try_to_date(text, fmt))
+    digits = re.sub("[yMd]", r"\\d", re.escape(fmt))
+    parts = [F.substring(text, fmt.index(p) + 1, len(p)) for p in ("yyyy", "MM", "dd")]
+    return F.when(text.rlike(f"^{digits}$"), F.concat_ws("-", *parts).try_cast("date"))
 
 
 def first_parsed_date(text: Column, formats: list[str] = DATE_FORMATS) -> Column:

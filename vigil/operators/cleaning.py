@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigil import constants as C
-from vigil.functions import dates, measures
+from vigil.functions import dates, measures, numbers
 from vigil.operators import windows
 from vigil.plans import chunks, quantiles
 from vigil.schemas import date_columns, has_columns, numeric_columns, quoted, string_columns
@@ -53,14 +53,10 @@ def _typed(column: Column, source: T.DataType, target: str) -> Column:
     text = isinstance(source, T.StringType)
     if target == "date":
         return dates.parsed_date(column, "yyyy-MM-dd") if text else column.cast("date")
-    if target in ("integer", "long"):
-        kind = "int" if target == "integer" else "bigint"
-        if not text:
-            return column.try_cast(kind)
-        # Text casts drop a fraction ('12.7' is 12) and reject anything else.
-        whole = F.regexp_extract(F.trim(column), r"^([+-]?\d+)\.\d*$", 1)
-        return F.coalesce(column.try_cast(kind), whole.try_cast(kind))
-    return column.try_cast(target)
+    if target == "double":
+        return numbers.number(column) if text else column.try_cast(target)
+    kind = "int" if target == "integer" else "bigint"
+    return numbers.whole_part(column, kind) if text else column.try_cast(kind)
 
 
 def apply_data_types(df: DataFrame, dataset_type: str) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigil import constants as C
+from vigil.functions import numbers
 from vigil.functions.dates import first_parsed_date
 from vigil.functions.measures import outside
 from vigil.operators.quality import counted_rows
@@ -155,9 +156,8 @@ _COMPATIBLE = {
 
 
 def _parsed(column: Column, expected: str) -> Column:
-    if expected == "datetime":
-        return first_parsed_date(column)
-    return column.try_cast({"integer": "bigint", "float": "double"}.get(expected, expected))
+    parsers = {"datetime": first_parsed_date, "integer": numbers.integer, "float": numbers.number}
+    return parsers[expected](column) if expected in parsers else column.try_cast(expected)
 
 
 def _data_type(rule, df, measures) -> _Outcome:
@@ -193,7 +193,7 @@ def _bound(value, as_of: date | None):
 
 def _number_sql(df: DataFrame, c: str) -> str:
     text = isinstance(df.schema[c].dataType, T.StringType)
-    return f"try_cast({name_sql(c)} AS DOUBLE)" if text else name_sql(c)
+    return numbers.number_sql(name_sql(c)) if text else name_sql(c)
 
 
 def _business_logic(rule, df, measures, as_of) -> _Outcome:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from vigil.functions import numbers
 from vigil.schemas import quoted
 
 BUCKETS = 4096  # equal steps of a range
@@ -40,8 +41,11 @@ class _Range:
 
 
 def _value(df: DataFrame, column: str) -> Column:
-    value = quoted(column).try_cast("double")
-    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType, T.StringType)):
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        return numbers.number(quoted(column))
+    value = quoted(column).cast("double")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
         value = F.when(~F.isnan(value), value)
     return value
 
@@ -136,6 +140,16 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
     columns = [c for c, ps in wanted.items() if ps]
     if not columns:
         return {c: [] for c in wanted}
+    # Kept for the passes: a derived frame is computed once, a lost block again.
+    narrow = df.select(*[quoted(c) for c in columns]).persist()
+    try:
+        return _quantiles(narrow, wanted, columns, interpolated)
+    finally:
+        narrow.unpersist()
+
+
+def _quantiles(df: DataFrame, wanted: dict[str, list[float]], columns: list[str],
+               interpolated: bool) -> dict[str, list]:
     row = df.agg(*[
         e for i, c in enumerate(columns) for e in (
             F.count(_value(df, c)).alias(f"n{i}"),
@@ -178,6 +192,9 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
 
     result: dict[str, list] = {}
     for c in wanted:
+        if c not in columns:
+            result[c] = []
+            continue
         whole_numbers = isinstance(df.schema[c].dataType, T.IntegralType)
         values = []
         for p in wanted[c]:
