@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from vigil.plans.scratch import materialize
 from vigil.schemas import quoted
 
 # Chunk widths in order of size: how a date is cut, coarsest first.
@@ -24,6 +25,7 @@ class Chunked:
     """A frame whose rows carry `__chunk`, increasing along the window order."""
 
     df: DataFrame
+    cells: DataFrame  # rows per key and day, with the day's period
     keys: list[str]
     order: str
     ties: list[str]
@@ -61,8 +63,10 @@ def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
     """
     if not isinstance(df.schema[order].dataType, T.DateType):
         raise ValueError(f"{order} must be a date to cut windows along it")
-    cells = df.groupBy(*[quoted(k) for k in keys], quoted(order).alias("__order")) \
-        .agg(F.count(F.lit(1)).alias("__n"))
+    # One row per key and day: small, and read again for the sizes and the carry.
+    cells, _ = materialize(
+        df.groupBy(*[quoted(k) for k in keys], quoted(order).alias("__order"))
+        .agg(F.count(F.lit(1)).alias("__n")), "cells")
     sizes = _largest_per_grain(cells, keys)
     total = sizes["rows"] or 0
     limit = chunk_rows or chunk_rows_for(df, total)
@@ -73,7 +77,8 @@ def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
         chunked = chunked.withColumn("__sub", F.lit(0))
     else:
         chunked = _split_days(chunked, cells, keys, order, ties[0], limit)
-    return Chunked(chunked, keys, order, ties, single=grain == "all" and biggest <= limit)
+    cells = cells.withColumn("__day", _grain_start(F.col("__order"), grain))
+    return Chunked(chunked, cells, keys, order, ties, single=grain == "all" and biggest <= limit)
 
 
 def _largest_per_grain(cells: DataFrame, keys: list[str]) -> dict[str, int]:
@@ -142,6 +147,29 @@ def _run(chunked: Chunked, carry: DataFrame, name: str, expression, frame) -> Da
     )
 
 
+def _last_days(chunked: Chunked, rows: int) -> DataFrame:
+    """Rows of the days at the end of each period that hold its last `rows` rows.
+
+    Counting days tells where they start, so that no period is sorted as a whole.
+    """
+    period = [quoted(k) for k in chunked.keys] + [F.col("__day")]
+    later = Window.partitionBy(*period).orderBy(F.col("__order").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    copies = [f"__k{i}" for i in range(len(period))]
+    starts = (
+        chunked.cells.withColumn("__later", F.coalesce(F.sum("__n").over(later), F.lit(0)))
+        .where(F.col("__later") < rows)
+        .groupBy(*[c.alias(a) for c, a in zip(period, copies)])
+        .agg(F.min("__order").alias("__from"))
+    )
+    same = F.lit(True)
+    for c, a in zip(period, copies):
+        same = same & c.eqNullSafe(F.col(a))
+    # Rows without a date are a period of their own.
+    return chunked.df.join(starts, same).drop(*copies) \
+        .where(F.col("__from").isNull() | (quoted(chunked.order) >= F.col("__from")))
+
+
 def rolling(chunked: Chunked, value: str, name: str, rows: int, aggregate=F.avg) -> DataFrame:
     """aggregate(value) over the current and the rows - 1 preceding rows."""
     before = rows - 1
@@ -153,8 +181,9 @@ def rolling(chunked: Chunked, value: str, name: str, rows: int, aggregate=F.avg)
             .drop(*chunked.chunk)
     backwards = Window.partitionBy(*chunked.group).orderBy(*[c.desc() for c in chunked.row_order])
     tails = (
-        chunked.df.select(*chunked.keys, *chunked.chunk, chunked.order, *chunked.ties,
-                          quoted(value).alias("__v"))
+        _last_days(chunked, before)
+        .select(*chunked.keys, *chunked.chunk, chunked.order, *chunked.ties,
+                quoted(value).alias("__v"))
         .withColumn("__back", F.row_number().over(backwards))
         .where(F.col("__back") <= before)
         .groupBy(*chunked.group)
