@@ -17,7 +17,7 @@ from vigil.schemas import quoted
 
 BUCKETS = 4096  # equal steps of a range
 EDGES = 16  # squared: steps between neighbouring doubles, for uneven values
-SMALL_RANGE = 10_000
+SMALL_RANGE = 20_000
 
 
 @dataclass
