@@ -7,11 +7,11 @@ from vigil.operators import flags
 from vigil.plans import skew
 
 
-@pytest.mark.parametrize("hot_rows", [1, 5, 10**9])
-def test_equals_the_window(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, few_groups", [(1, 0), (5, 0), (10**9, 0), (5, 10**6)])
+def test_equals_the_window(spark, hot_rows, few_groups):
     rows = [(i, "hot" if i % 3 else f"k{i % 20}", None if i % 5 == 0 else i % 2) for i in range(600)]
     df = spark.createDataFrame(rows, "id int, a string, b int").repartition(7)
-    got = skew.with_group_value(df, ["a", "b"], "total", F.sum("id"), hot_rows)
+    got = skew.with_group_value(df, ["a", "b"], "total", F.sum("id"), hot_rows, few_groups)
     expected = df.withColumn("total", F.sum("id").over(Window.partitionBy("a", "b")))
     assert sorted(got.collect(), key=repr) == sorted(expected.collect(), key=repr)
     assert got.columns == df.columns + ["total"]
@@ -19,7 +19,7 @@ def test_equals_the_window(spark, hot_rows):
 
 def test_copies_of_one_row(spark):
     df = spark.createDataFrame([("x", 1)] * 500, "a string, b int").repartition(6)
-    got = skew.with_group_value(df, ["a"], "n", F.count(F.lit(1)), hot_rows=10)
+    got = skew.with_group_value(df, ["a"], "n", F.count(F.lit(1)), hot_rows=10, few_groups=0)
     assert {r.n for r in got.collect()} == {500} and got.count() == 500
 
 

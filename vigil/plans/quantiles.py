@@ -18,6 +18,7 @@ from vigil.schemas import quoted
 BUCKETS = 4096  # equal steps of a range
 EDGES = 16  # squared: steps between neighbouring doubles, for uneven values
 SMALL_RANGE = 20_000
+KEPT_VALUES = 500_000_000
 
 
 @dataclass
@@ -140,22 +141,27 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
     columns = [c for c, ps in wanted.items() if ps]
     if not columns:
         return {c: [] for c in wanted}
-    # Kept for the passes: a derived frame is computed once, a lost block again.
-    narrow = df.select(*[quoted(c) for c in columns]).persist()
-    try:
-        return _quantiles(narrow, wanted, columns, interpolated)
-    finally:
-        narrow.unpersist()
-
-
-def _quantiles(df: DataFrame, wanted: dict[str, list[float]], columns: list[str],
-               interpolated: bool) -> dict[str, list]:
-    row = df.agg(*[
+    narrow = df.select(*[quoted(c) for c in columns])
+    row = narrow.agg(*[
         e for i, c in enumerate(columns) for e in (
             F.count(_value(df, c)).alias(f"n{i}"),
             F.min(_value(df, c)).alias(f"lo{i}"),
             F.max(_value(df, c)).alias(f"hi{i}"))
     ]).first()
+    # Few values are kept for the next passes; many are read again, column by column.
+    keep = sum(row[f"n{i}"] for i in range(len(columns))) <= KEPT_VALUES
+    if keep:
+        narrow.persist()
+    try:
+        return _search(narrow, wanted, columns, row, interpolated)
+    finally:
+        if keep:
+            narrow.unpersist()
+
+
+def _search(df: DataFrame, wanted: dict[str, list[float]], columns: list[str], row,
+            interpolated: bool) -> dict[str, list]:
+    """The quantiles, given count, min and max of every column."""
     counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     whole = {c: _Range(c, row[f"lo{i}"], row[f"hi{i}"], 0, counts[c])
              for i, c in enumerate(columns)}

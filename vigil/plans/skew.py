@@ -2,39 +2,41 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vigil.plans.scratch import materialize
 from vigil.schemas import quoted
 
+FEW_GROUPS = 100_000
 HOT_GROUP_ROWS = 10_000_000
 SALTS = 1024
 
 
 def with_group_value(df: DataFrame, keys: list[str], name: str, value: Column,
-                     hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                     hot_rows: int = HOT_GROUP_ROWS, few_groups: int = FEW_GROUPS) -> DataFrame:
     """Add the aggregate `value` of the row's group (null keys form a group).
 
-    Groups of at least hot_rows rows are pre-aggregated; there can be no more
-    than rows / hot_rows of them, which bounds what is broadcast. Their rows
-    take the value from that table and are spread over salted partitions, so
-    the window below never sees a group above hot_rows.
+    The groups are aggregated first, and counted. Few groups are broadcast: no
+    row moves. Otherwise a window computes the value, except for groups of at
+    least hot_rows rows, of which there can be no more than rows / hot_rows:
+    those are broadcast, and their rows spread over salted partitions, so that
+    the window never sees a group above hot_rows.
     """
-    grouped = df.select(*[quoted(k).alias(f"__k{i}") for i, k in enumerate(keys)], "*")
-    key_copies = [f"__k{i}" for i in range(len(keys))]
-    hot = (
-        grouped.groupBy(*key_copies)
-        .agg(F.count(F.lit(1)).alias("__rows"), value.alias("__hot_value"))
-        .where(F.col("__rows") >= hot_rows)
-        .drop("__rows").withColumn("__hot", F.lit(True))
-    )
+    copies = [f"__k{i}" for i in range(len(keys))]
+    groups, _ = materialize(
+        df.groupBy(*[quoted(k).alias(c) for k, c in zip(keys, copies)])
+        .agg(F.count(F.lit(1)).alias("__rows"), value.alias("__value")), "groups")
     same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & quoted(k).eqNullSafe(F.col(f"__k{i}"))
-    marked = df.join(F.broadcast(hot), same, "left").drop(*key_copies)
+    for k, c in zip(keys, copies):
+        same = same & quoted(k).eqNullSafe(F.col(c))
+    if groups.count() <= few_groups:
+        return df.join(F.broadcast(groups.drop("__rows")), same) \
+            .withColumn(name, F.col("__value")).drop(*copies, "__value")
+    hot = groups.where(F.col("__rows") >= hot_rows).drop("__rows").withColumn("__hot", F.lit(True))
+    marked = df.join(F.broadcast(hot), same, "left").drop(*copies)
     # The input partition is stable when a task is retried, so rows keep their salt.
     salt = F.when(F.col("__hot"), F.pmod(F.hash(F.spark_partition_id()), F.lit(SALTS)))
     marked = marked.withColumn("__salt", F.coalesce(salt, F.lit(0)))
     window = Window.partitionBy(*[quoted(k) for k in keys], "__salt")
     return (
-        marked.withColumn(name, F.when(F.col("__hot"), F.col("__hot_value"))
-                          .otherwise(value.over(window)))
-        .drop("__hot", "__hot_value", "__salt")
+        marked.withColumn(name, F.when(F.col("__hot"), F.col("__value")).otherwise(value.over(window)))
+        .drop("__hot", "__value", "__salt")
     )
