@@ -21,10 +21,9 @@ def clean(raw: DataFrame, dataset_type: str, order_by: str | None = None,
 
 
 def transform(cleaned: DataFrame, dataset_type: str, tie_break: list[str],
-              capped: list[str] | None = None) -> DataFrame:
-    """Outliers and business rules; keys of the order are never capped."""
-    if capped is None:
-        capped = [c for c in numeric_columns(cleaned) if c not in tie_break]
+              identifiers: list[str]) -> DataFrame:
+    """Outliers and business rules; numbers that identify are not capped."""
+    capped = [c for c in numeric_columns(cleaned) if c not in identifiers]
     return P.apply_business_rules(P.cap_outliers_iqr(cleaned, capped), dataset_type, tie_break)
 
 
@@ -40,10 +39,14 @@ def _stage(spark: SparkSession, stage: str, df: DataFrame, seen: Observation) ->
 
 
 def etl_job(raw: DataFrame, dataset_type: str, target: str, run_time: datetime, job_name: str,
-            source_system: str, tie_break: list[str], order_by: str | None = None,
-            partition_by: list[str] | None = None, table: str | None = None) -> dict[str, str]:
+            source_system: str, tie_break: list[str], identifiers: list[str] | None = None,
+            order_by: str | None = None, partition_by: list[str] | None = None,
+            table: str | None = None) -> dict[str, str]:
     """Clean, transform, profile, check, aggregate and write one dataset.
 
+    tie_break orders the reports of a day; identifiers, by default the same
+    columns, are numbers that are not measurements.
+
     The cleaned rows are written once to shared scratch space, because the
     outlier fences and the business rules read them several times; profile,
     checks and aggregates read the processed table itself. Row counts of the
@@ -58,7 +61,8 @@ def etl_job(raw: DataFrame, dataset_type: str, target: str, run_time: datetime,
         cleaned, copy = scratch.materialize(observed, "cleaned")
         copies.append(copy)
         stages.append(_stage(spark, "CLEANED_DATA", cleaned, seen))
-        shaped = P.add_metadata(transform(cleaned, dataset_type, tie_break),
+        shaped = P.add_metadata(transform(cleaned, dataset_type, tie_break,
+                                          tie_break if identifiers is None else identifiers),
                                 job_name, source_system, run_time)
         observed, seen = _counted(shaped, "transformed")
         paths = {"processed": sinks.write_processed(

@@ -5,7 +5,7 @@ from datetime import datetime
 from vigil import constants as C
 from vigil.operators import cleaning as P, flags as Q
 from workload.registry import query
-from workload.views import TIES, communicable, doses, reports, samples, table, uploads
+from workload.views import ALL_TIES, TIES, communicable, doses, reports, samples, table, uploads
 
 from pyspark.sql import functions as F
 
@@ -254,7 +254,8 @@ def age_groups(spark, sf):
 
 
 def sql_rolling(key, cases):
-    return f"""ROUND(AVG({cases}) OVER (PARTITION BY {key} ORDER BY report_date NULLS FIRST, {ROW}
+    return f"""ROUND(AVG({cases}) OVER (PARTITION BY {key} ORDER BY report_date NULLS FIRST, {ROW},
+      case_count NULLS FIRST, death_count NULLS FIRST, population NULLS FIRST
       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS seven_day_avg"""
 
 
@@ -264,7 +265,7 @@ SELECT * REPLACE (CAST(report_date AS VARCHAR) AS report_date),
 FROM (SELECT DISTINCT * REPLACE ({CLAMPED} AS case_count) FROM reports)""", ("reports",))
 def business_rules(spark, sf):
     return P.apply_business_rules(P.remove_duplicates(reports(spark, sf)),
-                                  "communicable_disease", TIES)
+                                  "communicable_disease", ALL_TIES)
 
 
 @query("P21_apply_business_rules_doses", """
@@ -286,7 +287,7 @@ SELECT * REPLACE (CAST(report_date AS VARCHAR) AS report_date), {FATALITY},
        {sql_rolling("region", "case_count")}, {AGE_GROUP}
 FROM (SELECT DISTINCT * FROM reports)""", ("reports",))
 def derived(spark, sf):
-    return P.derived_metrics(P.remove_duplicates(reports(spark, sf)), TIES)
+    return P.derived_metrics(P.remove_duplicates(reports(spark, sf)), ALL_TIES)
 
 
 # --- row flags ------------------------------------------------------------------

@@ -16,7 +16,9 @@ from vigil.streaming import alarms, ingest
 from workload import aggregates as AQ, checks as CQ
 from workload.cleaning import ROW, sql_fences, sql_rolling
 from workload.registry import query
-from workload.views import TIES, communicable, doses, files, people, reports, samples, table, uploads
+from workload.views import (
+    ALL_TIES, TIES, communicable, doses, files, people, reports, samples, table, uploads,
+)
 
 from pyspark.sql import functions as F
 
@@ -344,7 +346,7 @@ def _etl(spark, sf):
     raw = uploads(spark, sf).drop("incidence_rate")
     raw = raw.withColumnsRenamed({"report_date": "Report Date", "disease_name": "Disease-Name"})
     return jobs.etl_job(raw, "communicable_disease", scratch_path(spark, "etl"), RUN, "nightly",
-                        "surveillance", TIES)
+                        "surveillance", ALL_TIES, TIES)
 
 
 @query("L01_etl_run", ETL + """

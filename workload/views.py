@@ -10,6 +10,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# With these, rows that still tie are equal in all that a rolling average shows.
+ALL_TIES = TIES + ["case_count", "death_count", "population"]
 
 # Spellings given to the 25 nations and 25 brands, to have labels worth cleaning.
 REGION_LABELS = [
