@@ -16,7 +16,7 @@ def test_csv_encodings_headers_and_odd_names(spark, tmp_path):
     (tmp_path / "b.CSV").write_bytes("y,x\nété,3\n".encode("latin-1"))
     (tmp_path / "c[1].csv").write_bytes("y,x\nnaïve,4\n".encode())
     (tmp_path / "notes.txt").write_text("x,y\n9,9\n")
-    df = files.scan_csv(spark, str(tmp_path), with_file=True)
+    df = files.scan_csv(spark, str(tmp_path), source=True)
     assert rows(df, "x", "y") == [("1", "café"), ("2", "b"), ("3", "été"), ("4", "naïve")]
     names = {r.original_file.rsplit("/", 1)[1] for r in df.collect()}
     assert names == {"a b (1)+%41.csv", "b.CSV", "c[1].csv"}
@@ -61,7 +61,7 @@ def test_json(spark, tmp_path):
         {"region": "London", "case_count": 1}, {"region": "Wales", "case_count": 2}]}
     (tmp_path / "a.json").write_text(json.dumps(document, indent=2))
     (tmp_path / "b.json").write_text(json.dumps({"records": document["records"][:1]}))
-    df = files.scan_json(spark, str(tmp_path), with_file=True)
+    df = files.scan_json(spark, str(tmp_path), source=True)
     assert rows(df, "region", "case_count") == [("London", 1), ("London", 1), ("Wales", 2)]
     assert {r.original_file.rsplit("/", 1)[1] for r in df.collect()} == {"a.json", "b.json"}
 

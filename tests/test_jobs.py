@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vigil.constants import REGIONS
 from vigil.operators import aggregates, quality
 from vigil.plans import jobs, scratch
+from vigil.sources import files
 from vigil.streaming import alarms, ingest
 
 RUN = datetime(2025, 1, 31, 12)
@@ -96,6 +97,14 @@ def test_validation(spark, tmp_path):
         "sheet.xlsx": ("FAILED", "quarantine", 0)}
     valid = spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/out/validated/communicable_disease")
     assert sorted(r.record_count for r in valid.collect()) == [1, 2, 2]
+    rates = jobs.validation_rates(log).first()
+    assert rates.files == 7 and rates.pii_detection_rate == pytest.approx(100 / 7)
+    # The same run again replaces its output.
+    jobs.validation_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), RUN,
+                        {"communicable_disease": RULES, "laboratory": strict})
+    again = files.scan_dataset(spark, f"{tmp_path}/out/validated", "communicable_disease")
+    assert again.count() == 3 and set(again.columns) == {
+        "report_date", "region", "case_count", "remark"}
     held = spark.read.option("mergeSchema", "true").parquet(f"{tmp_path}/out/held")
     assert {(r.dataset_type, r.route) for r in held.collect()} == {
         ("communicable_disease", "review"), ("communicable_disease", "quarantine"),
@@ -105,6 +114,28 @@ def test_validation(spark, tmp_path):
         "notes.pdf", "sheet.xlsx"}
 
 
+def test_files_are_judged_by_their_own_columns(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "full.csv").write_text("report_date,region,case_count\n2025-01-01,London,5\n")
+    (folder / "empty_column.csv").write_text("report_date,region,note\n2025-01-01,London,\n")
+    (folder / "short.csv").write_text("report_date,case_count\n2025-01-01,5\n")
+    (folder / "named.csv").write_text("report_date,region,patient_name\n2025-01-01,London,\n")
+    (folder / "a.json").write_text('{"records": [{"report_date": "2025-01-01", "region": "Wales"}]}')
+    (folder / "only a header (1).csv").write_text("report_date,region\n")
+    (folder / "b.json").write_text('{"records": [{"report_date": "2025-01-01", "email": "x"}]}')
+    quality = {"id": "q", "type": "quality", "checks": {"null_threshold": 0.1}}
+    log = jobs.validation_job(spark, str(folder), str(tmp_path / "out"), RUN,
+                              {"communicable_disease": RULES + [quality]})
+    got = {r.original_file.rsplit("/", 1)[1]: (r.status, r.pii_findings, r.completeness)
+           for r in log.collect()}
+    assert got == {
+        "full.csv": ("PASSED", 0, 1.0), "empty_column.csv": ("WARNING", 0, pytest.approx(2 / 3)),
+        "short.csv": ("FAILED", 0, 1.0), "named.csv": ("FAILED", 1, pytest.approx(2 / 3)),
+        "only a header (1).csv": ("WARNING", 0, None),
+        "a.json": ("PASSED", 0, 1.0), "b.json": ("FAILED", 1, 1.0)}
+
+
 def test_unreadable_batch_is_logged(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -99,15 +99,17 @@ def rate_metrics(log: DataFrame) -> DataFrame:
     """Daily rates of a validation log.
 
     The log has one row per validated file: day, status, pii_found,
-    completeness, processing_seconds.
+    completeness and, if it was measured, processing_seconds.
     """
     files = F.count(F.lit(1))
-    return log.groupBy("day").agg(
+    rates = [
         files.alias("files"),
         (share(count_if(F.col("status") == "PASSED"), files) * 100).alias("validation_success_rate"),
         (share(count_if(F.col("pii_found")), files) * 100).alias("pii_detection_rate"),
-        F.avg("completeness").alias("data_completeness"),
-        F.avg("processing_seconds").alias("processing_time"))
+        F.avg("completeness").alias("data_completeness")]
+    if "processing_seconds" in log.columns:
+        rates.append(F.avg("processing_seconds").alias("processing_time"))
+    return log.groupBy("day").agg(*rates)
 
 
 def audit_trail(log: DataFrame, user_id, as_of: datetime) -> DataFrame:

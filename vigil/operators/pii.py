@@ -62,11 +62,20 @@ def pii_content_scan(df: DataFrame, patterns: list[Pattern] = INLINE,
 
 def scan(df: DataFrame, patterns: list[Pattern] = INLINE,
          indicators: list[str] = NAME_INDICATORS, allowed: tuple = NOT_PERSONAL,
-         by: tuple = ()) -> DataFrame:
-    """Findings by column name and by content, per unit when `by` names one."""
+         by: tuple = (), present: DataFrame | None = None) -> DataFrame:
+    """Findings by column name and by content, per unit when `by` names one.
+
+    `present` gives the columns each unit has (by, columns); a name counts only
+    for units that have the column.
+    """
     data = df.drop(*by)
     entries = _name_entries(data, indicators, allowed) + _content_entries(data, patterns)
-    return _findings(df, entries, by).where((F.col("source") == "name") | (F.col("records") > 0))
+    found = _findings(df, entries, by)
+    named = F.col("source") == "name"
+    if present is not None:
+        found = found.join(present, list(by))
+        named = named & F.array_contains("columns", F.col("column_name"))
+    return found.where(named | (F.col("records") > 0)).drop("columns")
 
 
 def findings_of_severity(findings: DataFrame, severities=("HIGH", "CRITICAL")) -> DataFrame:

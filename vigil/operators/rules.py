@@ -111,10 +111,19 @@ class _Outcome:
 
 
 class _Measures:
-    """Collects the aggregates all rules need and names each."""
+    """Collects the aggregates all rules need and names each.
 
-    def __init__(self):
+    `present` is SQL for the columns a unit has; None when all units have all.
+    """
+
+    def __init__(self, present: str | None = None):
         self.columns: list[Column] = []
+        self.present = present
+
+    def if_present(self, column: str, value: str) -> str:
+        if self.present is None:
+            return value
+        return f"if(array_contains({self.present}, {text_sql(column)}), {value}, NULL)"
 
     def add(self, aggregate: str | Column) -> str:
         name = f"m{len(self.columns)}"
@@ -139,11 +148,20 @@ def _sql(value: str) -> str:
 
 
 def _schema(rule, df, measures) -> _Outcome:
-    missing = [c for c in rule.get("required_columns", []) if c not in df.columns]
-    errors = [text_sql(f"Missing columns: {', '.join(missing)}")] if missing else []
-    optional = [(f"optional_{c}", "1D" if c in df.columns else "0D")
-                for c in rule.get("optional_columns", [])]
-    return _Outcome(errors, [], optional, "Schema validation passed", "Schema validation failed")
+    required = rule.get("required_columns", [])
+    optional = rule.get("optional_columns", [])
+    if measures.present is None:
+        missing = [c for c in required if c not in df.columns]
+        errors = [text_sql(f"Missing columns: {', '.join(missing)}")] if missing else []
+        details = [(f"optional_{c}", "1D" if c in df.columns else "0D") for c in optional]
+    else:
+        wanted = f"CAST(array({', '.join(map(text_sql, required))}) AS ARRAY<STRING>)"
+        missing = f"array_except({wanted}, {measures.present})"
+        errors = [_message(f"size({missing}) > 0", "Missing columns: ",
+                           _sql(f"array_join({missing}, ', ')"))]
+        details = [(f"optional_{c}", f"int(array_contains({measures.present}, {text_sql(c)}))")
+                   for c in optional]
+    return _Outcome(errors, [], details, "Schema validation passed", "Schema validation failed")
 
 
 _COMPATIBLE = {
@@ -233,7 +251,7 @@ def _data_quality(rule, df, measures, fences) -> _Outcome:
     limit = rule.get("null_threshold", C.NULL_LIMIT)
     complete = rule.get("minimum_completeness")
     for c in df.columns:
-        ratio = share(measures.count(f"{name_sql(c)} IS NULL"))
+        ratio = measures.if_present(c, share(measures.count(f"{name_sql(c)} IS NULL")))
         details.append((f"{c}_null_ratio", ratio))
         warnings.append(_message(f"{ratio} > {limit}D", f"Column '{c}' has ", _percent(ratio),
                                  f" null values (threshold: {limit:.0%})"))
@@ -255,12 +273,13 @@ def _data_quality(rule, df, measures, fences) -> _Outcome:
             # Text counts as a numeric column only if every value is a number.
             others = measures.count(f"{name_sql(c)} IS NOT NULL AND {value} IS NULL")
             found = f"if({others} = 0, {found}, NULL)"
+        found = measures.if_present(c, found)
         details.append((f"{c}_outliers", found))
         warnings.append(_message(f"{share(found)} > {rule.get('outlier_threshold', 0.0)}D",
                                  f"Column '{c}' has ", _sql(found), " potential outliers"))
     for c in rule.get("required_nonnull", []):
         if c in df.columns:
-            missing = measures.count(f"{name_sql(c)} IS NULL")
+            missing = measures.if_present(c, measures.count(f"{name_sql(c)} IS NULL"))
             errors.append(_message(f"{missing} > 0", f"Column '{c}' has ", _sql(missing),
                                    " missing values"))
     done = "Data quality validation completed"
@@ -320,7 +339,8 @@ def _result(position: int, rule: dict, o: _Outcome) -> dict[str, str]:
         "status": f"CASE WHEN {failed} THEN 'FAILED' WHEN {warned} THEN 'WARNING' "
                   "ELSE 'PASSED' END",
         "message": f"if({failed}, {text_sql(o.failed)}, {text_sql(o.passed)})",
-        "details": f"CAST(map({details}) AS MAP<STRING, DOUBLE>)",
+        "details": f"map_filter(CAST(map({details}) AS MAP<STRING, DOUBLE>), "
+                   "(k, v) -> v IS NOT NULL)",
         "errors": errors, "warnings": warnings}
 
 
@@ -338,9 +358,12 @@ def _unit_fences(df: DataFrame, by: list[str], columns: list[str], factor: float
 
 
 def evaluate(df: DataFrame, rules: list[dict], as_of: date | None = None,
-             by: list[str] | None = None) -> DataFrame:
+             by: list[str] | None = None, present: DataFrame | None = None) -> DataFrame:
     """One result row per enabled rule, and per unit when `by` names units such as files.
 
+    `present` gives the columns each unit has (by, columns); other columns of
+    the frame do not count for the unit.
+
     Outlier fences (interpolated quartiles) come from their own passes; every
     other count of every rule comes from a single aggregate. When a rule looks
     for repeated rows, that aggregate runs over the distinct rows with their
@@ -372,13 +395,15 @@ def evaluate(df: DataFrame, rules: list[dict], as_of: date | None = None,
             found = quantiles.iqr_fences(df, sorted(columns), factor, interpolated=True)
             fences[factor] = {c: (literal_sql(float(low)), literal_sql(float(high)))
                               for c, (low, high) in found.items()}
-    measures = _Measures()
+    measures = _Measures("columns" if present is not None else None)
     results = [
         _result(position, r, _outcome(r, data, measures, as_of,
                                       fences.get(r.get("outlier_factor", 1.5), {})))
         for position, r in enumerate(rules)]
     measured = source.groupBy(*[quoted(k) for k in by]) \
         .agg(F.expr("count(1) AS __rows"), *measures.columns)
+    if present is not None:
+        measured = measured.join(present, by)
     return rows_of(measured, results, tuple(by))
 
 

@@ -4,10 +4,12 @@ import traceback
 from datetime import date, datetime
 from functools import partial
 
-from pyspark.errors import AnalysisException, SparkRuntimeException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from vigil.operators import admission, aggregates as A, cleaning as P, quality as Q, windows as W
+from vigil.operators import admission, aggregates as A, cleaning as P, governance
+from vigil.operators import quality as Q, windows as W
 from vigil.plans import scratch, validation
 from vigil.schemas import numeric_columns
 from vigil.sources import files, sinks
@@ -147,25 +149,24 @@ LOG_COLUMNS = ["original_file", "dataset_type", "status", "message", "record_cou
 
 
 def route_rows(rows: DataFrame, outcomes: DataFrame, target: str, dataset_type: str,
-               run_time: datetime) -> None:
+               run_time: datetime, batch: str) -> None:
     """Write each file's rows to the place its outcome names."""
     known = outcomes.select("original_file", "route", "record_count")
-    routed = rows.join(known, "original_file")
+    routed = rows.drop("file_columns").join(known, "original_file")
     passed = routed.where(F.col("route") == "validated").drop("route")
-    sinks.write_validated(passed, target, dataset_type, run_time)
-    held = routed.where(F.col("route") != "validated").drop("record_count") \
-        .withColumns({"dataset_type": F.lit(dataset_type), "held_on": F.lit(run_time.date())})
-    held.write.mode("append").partitionBy("dataset_type", "route", "held_on") \
-        .parquet(f"{target}/held")
+    sinks.write_validated(passed, target, dataset_type, run_time, batch)
+    held = routed.where(F.col("route") != "validated").drop("record_count")
+    sinks.write_held(held, target, dataset_type, run_time, batch)
 
 
-def _unread(entries: DataFrame, status: str, message) -> DataFrame:
-    """Log entries of files whose rows were not read."""
+def _unread(entries: DataFrame, status: str, message: Column,
+            route: str = "quarantine") -> DataFrame:
+    """Log entries of files without rows."""
     return entries.select(
         F.col("path").alias("original_file"), "dataset_type", F.lit(status).alias("status"),
         message.alias("message"), F.lit(0).cast("bigint").alias("record_count"),
         F.lit(0).cast("bigint").alias("pii_findings"),
-        F.lit(None).cast("double").alias("completeness"), F.lit("quarantine").alias("route"))
+        F.lit(None).cast("double").alias("completeness"), F.lit(route).alias("route"))
 
 
 def validation_job(spark: SparkSession, source: str, target: str, run_time: datetime,
@@ -182,7 +183,7 @@ def validation_job(spark: SparkSession, source: str, target: str, run_time: date
     readable = F.col("valid") & F.col("extension").isin(*READERS)
     reason = F.coalesce("reason", F.concat(F.lit("No reader for "), "extension"))
     rejected = admitted.where(~readable).withColumn("reason", reason)
-    sinks.write_quarantine(admission.quarantine(rejected, day), target)
+    sinks.write_quarantine(admission.quarantine(rejected, day), target, run_time)
     log = _unread(rejected, "FAILED", F.col("reason"))
     # One row per file, like the listing the driver makes of any source.
     listed = admitted.where(readable).select("extension", "dataset_type", "path").collect()
@@ -192,23 +193,32 @@ def validation_job(spark: SparkSession, source: str, target: str, run_time: date
     copies = []
     try:
         for (extension, dataset_type), paths in sorted(batches.items()):
+            batch = admitted.where(readable).where(
+                (F.col("extension") == extension) & (F.col("dataset_type") == dataset_type))
             try:
                 # Text is parsed once; the checks and writes below read columns of the copy.
                 rows, copy = scratch.materialize(
-                    READERS[extension](spark, paths, with_file=True), "rows")
+                    READERS[extension](spark, paths, source=True), "rows")
                 copies.append(copy)
                 outcomes, copy = scratch.materialize(validation.validate_files(
                     rows, rules.get(dataset_type, []), day), "outcomes")
                 copies.append(copy)
-                route_rows(rows, outcomes, target, dataset_type, run_time)
+                route_rows(rows, outcomes, target, dataset_type, run_time, extension[1:])
+                silent = batch.join(outcomes, F.col("path") == F.col("original_file"), "left_anti")
                 entries = outcomes.withColumn("dataset_type", F.lit(dataset_type)) \
-                    .select(*LOG_COLUMNS)
-            except (AnalysisException, SparkRuntimeException) as e:
-                failed = admitted.where(readable).where(
-                    (F.col("extension") == extension) & (F.col("dataset_type") == dataset_type))
-                entries = _unread(failed, "ERROR", F.lit(f"Validation failed with error: {e}"))
+                    .select(*LOG_COLUMNS).unionByName(
+                        _unread(silent, "WARNING", F.lit("File has no records"), "review"))
+            except (PySparkException, Py4JJavaError) as e:
+                entries = _unread(batch, "ERROR", F.lit(f"Validation failed with error: {e}"))
             log = log.unionByName(entries)
         return sinks.write_validation_log(log, target, run_time)
     finally:
         for copy in copies:
             scratch.remove(spark, copy)
+
+
+def validation_rates(log: DataFrame) -> DataFrame:
+    """Daily success, personal-data and completeness rates of validation logs."""
+    return governance.rate_metrics(log.select(
+        F.col("log_date").alias("day"), "status", (F.col("pii_findings") > 0).alias("pii_found"),
+        "completeness"))

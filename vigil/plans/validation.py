@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vigil.functions.measures import share
 from vigil.functions.patterns import INLINE, Pattern
 from vigil.operators import pii, rules as V
-from vigil.schemas import quoted
+from vigil.schemas import name_sql, quoted, text_sql
 
 PII_MESSAGE = "PII detected in file"
 
@@ -33,32 +33,42 @@ def validate_dataset(df: DataFrame, rules: list[dict], as_of: date | None = None
     return outcome.withColumn("route", route(F.col("status")))
 
 
+def columns_per_file(df: DataFrame, file: str) -> DataFrame:
+    """The columns each file has: as noted by the reader, else those with any value."""
+    if "file_columns" in df.columns:
+        return df.groupBy(quoted(file)).agg(F.first("file_columns").alias("columns"))
+    filled = ", ".join(f"if(count({name_sql(c)}) > 0, {text_sql(c)}, NULL)"
+                       for c in df.columns if c != file)
+    return df.groupBy(quoted(file)).agg(F.expr(f"array_compact(array({filled})) AS columns"))
+
+
 def validate_files(df: DataFrame, rules: list[dict], as_of: date | None = None,
                    patterns: list[Pattern] = INLINE, file: str = "original_file") -> DataFrame:
     """Outcome per file of a frame that holds the rows of many files.
 
     Every step groups by file instead of looping over files: one scan for the
-    patterns, one for the rules, one for the row counts.
+    patterns, one for the rules, one for the row counts. A file is judged by
+    the columns it has, not by those other files add to the frame.
     """
-    data = [c for c in df.columns if c != file]
-    filled = F.lit(0)
-    for c in data:
-        filled = filled + quoted(c).isNotNull().cast("int")
-    rows = df.groupBy(quoted(file)).agg(
-        F.count(F.lit(1)).alias("record_count"),
-        share(F.sum(filled), F.count(F.lit(1)) * len(data)).alias("completeness"))
-    found = pii.scan(df, patterns, by=(file,)).groupBy(quoted(file)).agg(
-        F.count(F.lit(1)).alias("pii_findings"))
-    judged = V.aggregate_results(V.evaluate(df, rules, as_of, [file]), [file])
+    present = columns_per_file(df, file)
+    data = df.drop("file_columns")
+    filled = " + ".join(f"int({name_sql(c)} IS NOT NULL)" for c in data.columns if c != file)
+    rows = data.groupBy(quoted(file)).agg(
+        F.expr("count(1) AS record_count"), F.expr(f"sum({filled}) AS filled"))
+    found = pii.scan(data, patterns, by=(file,), present=present).groupBy(quoted(file)).agg(
+        F.expr("count(1) AS pii_findings"))
+    judged = V.aggregate_results(V.evaluate(data, rules, as_of, [file], present), [file])
     personal = F.col("pii_findings") > 0
     empty = F.array().cast("array<string>")
     return (
-        rows.join(found, file, "left").join(judged, file, "left")
-        .withColumn("pii_findings", F.coalesce("pii_findings", F.lit(0)))
-        .withColumn("status", F.when(personal, "FAILED").otherwise(F.coalesce("status", F.lit("PASSED"))))
-        .withColumn("message", F.when(personal, PII_MESSAGE).otherwise(
-            F.coalesce("message", F.lit("No validation rules applied"))))
-        .withColumn("errors", F.when(personal, empty).otherwise(F.coalesce("errors", empty)))
-        .withColumn("warnings", F.when(personal, empty).otherwise(F.coalesce("warnings", empty)))
-        .withColumn("route", route(F.col("status")))
+        rows.join(present, file).join(found, file, "left").join(judged, file, "left")
+        .withColumns({
+            "pii_findings": F.coalesce("pii_findings", F.lit(0)),
+            "completeness": share(F.col("filled"), F.col("record_count") * F.size("columns")),
+            "status": F.when(personal, "FAILED").otherwise(F.coalesce("status", F.lit("PASSED"))),
+            "message": F.when(personal, PII_MESSAGE).otherwise(
+                F.coalesce("message", F.lit("No validation rules applied"))),
+            "errors": F.when(personal, empty).otherwise(F.coalesce("errors", empty)),
+            "warnings": F.when(personal, empty).otherwise(F.coalesce("warnings", empty))})
+        .withColumn("route", route(F.col("status"))).drop("filled", "columns")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from vigil.operators.rules import rules_from_document
 
 
+SOURCE_COLUMNS = ["original_file", "validation_timestamp", "record_count", "run"]
 CSV_FILES = "*.[cC][sS][vV]"
 
 
@@ -23,10 +24,15 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _with_file(df: DataFrame, wanted: bool) -> DataFrame:
+def with_file(df: DataFrame, wanted: bool = True) -> DataFrame:
     return df.withColumn("original_file", file_path()) if wanted else df
 
 
+def with_columns_of_file(df: DataFrame) -> DataFrame:
+    """Note the columns the row's files have, before other files add theirs."""
+    return df.withColumn("file_columns", F.array(*[F.lit(c) for c in df.columns]))
+
+
 # --- Parquet and tables -----------------------------------------------------------
 
 def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -36,9 +42,10 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def scan_dataset(spark: SparkSession, root: str, dataset_type: str,
-                 schema: T.StructType | None = None) -> DataFrame:
-    """The validated files of a dataset type."""
-    return scan_parquet(spark, f"{root}/{dataset_type.lower()}", schema)
+                 schema: T.StructType | None = None, with_source: bool = False) -> DataFrame:
+    """The validated rows of a dataset type, with or without the file they came from."""
+    rows = scan_parquet(spark, f"{root}/{dataset_type.lower()}", schema)
+    return rows if with_source else rows.drop(*SOURCE_COLUMNS)
 
 
 def scan_table(spark: SparkSession, table: str, database: str | None = None) -> DataFrame:
@@ -59,7 +66,7 @@ def inspect_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], infer_types: bool = False,
-             with_file: bool = False, multi_line: bool = False) -> DataFrame:
+             source: bool = False, multi_line: bool = False) -> DataFrame:
     """CSV files with headers; columns are matched by name across files.
 
     A file that is not valid UTF-8 is read as Latin-1. When headers or encodings
@@ -80,21 +87,21 @@ def scan_csv(spark: SparkSession, path: str | list[str], infer_types: bool = Fal
             encoding="UTF-8" if utf8 else "ISO-8859-1",
             recursiveFileLookup="true", pathGlobFilter=CSV_FILES)
         rows = reader.csv(path if len(groups) == 1 else files)
-        frames.append(_with_file(rows, with_file))
+        frames.append(with_columns_of_file(rows).transform(with_file) if source else rows)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def scan_xml(spark: SparkSession, path: str | list[str], row_tag: str = "record",
-             schema: T.StructType | None = None, with_file: bool = False) -> DataFrame:
+             schema: T.StructType | None = None, source: bool = False) -> DataFrame:
     """One row per record element, one text column per child unless a schema says otherwise."""
     reader = spark.read.format("xml").option("rowTag", row_tag) \
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[xX][mM][lL]")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", "false")
-    return _with_file(reader.load(path), with_file)
+    return with_file(reader.load(path), source)
 
 
 def scan_json(spark: SparkSession, path: str | list[str], record: T.StructType | None = None,
-              with_file: bool = False, one_per_line: bool = False,
+              source: bool = False, one_per_line: bool = False,
               as_text: bool = False) -> DataFrame:
     """The rows of {metadata, records: [...]} documents.
 
@@ -109,8 +116,8 @@ def scan_json(spark: SparkSession, path: str | list[str], record: T.StructType |
         reader = reader.option("pathGlobFilter", "*.[jJ][sS][oO][nN]")
     if record:
         reader = reader.schema(T.StructType([T.StructField("records", T.ArrayType(record))]))
-    documents = _with_file(reader.json(path), with_file)
-    kept = ["original_file"] if with_file else []
+    documents = with_file(reader.json(path), source)
+    kept = ["original_file"] if source else []
     return documents.select(*kept, F.explode("records").alias("__r")).select(*kept, "__r.*")
 
 

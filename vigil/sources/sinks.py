@@ -88,24 +88,45 @@ def validated_rows(df: DataFrame, validated_at: datetime,
     return df.withColumn("validation_timestamp", F.lit(validated_at).cast("timestamp"))
 
 
+def run_name(run_time: datetime, batch: str = "") -> str:
+    return f"{run_time:%Y%m%d_%H%M%S}" + (f"-{batch}" if batch else "")
+
+
 def write_validated(df: DataFrame, root: str, dataset_type: str, validated_at: datetime,
-                    file_column: str = "original_file") -> str:
-    """Passed rows under validated/<type>."""
+                    batch: str = "", file_column: str = "original_file") -> str:
+    """Passed rows under validated/<type>, by run; a repeated run replaces its rows."""
     path = f"{root}/validated/{dataset_type.lower()}"
-    validated_rows(df, validated_at, file_column).write.mode("append") \
-        .option("compression", "snappy").option("maxRecordsPerFile", RECORDS_PER_FILE) \
+    rows = validated_rows(df, validated_at, file_column) \
+        .withColumn("run", F.lit(run_name(validated_at, batch)))
+    _overwrite(rows, "run").parquet(path)
+    return path
+
+
+def write_held(df: DataFrame, root: str, dataset_type: str, run_time: datetime,
+               batch: str = "") -> str:
+    """Rows that did not pass, by dataset type, route (a column) and run."""
+    path = f"{root}/held"
+    rows = df.withColumns({
+        "dataset_type": F.lit(dataset_type), "run": F.lit(run_name(run_time, batch))})
+    _overwrite(rows, "dataset_type", "route", "run").parquet(path)
+    return path
+
+
+def write_quarantine(rejected: DataFrame, root: str, run_time: datetime) -> str:
+    """Rejected files by the day they were set aside, and run."""
+    path = f"{root}/quarantine"
+    _overwrite(rejected.withColumn("run", F.lit(run_name(run_time))), "quarantine_date", "run") \
         .parquet(path)
     return path
 
 
 def write_validation_log(entries: DataFrame, root: str, run_time: datetime) -> DataFrame:
     """One JSON line per validated file, by day and run; returns the run's entries."""
-    path, run = f"{root}/logs", f"{run_time:%Y%m%d_%H%M%S}"
+    path, run = f"{root}/logs", run_name(run_time)
     entries.withColumns({"log_date": F.lit(run_time.date()), "run": F.lit(run)}) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("log_date", "run").json(path)
-    log = _log_schema(entries)
-    return entries.sparkSession.read.schema(log).json(path) \
+    return entries.sparkSession.read.schema(_log_schema(entries)).json(path) \
         .where((F.col("log_date") == F.lit(run_time.date())) & (F.col("run") == run))
 
 
@@ -113,10 +134,3 @@ def _log_schema(entries: DataFrame) -> T.StructType:
     """The schema of log entries together with their partition columns."""
     return T.StructType([*entries.schema.fields, T.StructField("log_date", T.DateType()),
                          T.StructField("run", T.StringType())])
-
-
-def write_quarantine(rejected: DataFrame, root: str) -> str:
-    """Rejected files or rows by the day they were set aside."""
-    path = f"{root}/quarantine"
-    rejected.write.mode("append").partitionBy("quarantine_date").parquet(path)
-    return path

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from vigil import constants as C
 from vigil.functions.text import dataset_type_of
 from vigil.plans import scratch, validation
-from vigil.sources.files import file_path
+from vigil.sources.files import file_path, with_columns_of_file
 
 
 def new_files(spark: SparkSession, source: str, schema: T.StructType,
@@ -62,7 +62,7 @@ def _per_batch(target: str, rules: dict[str, list[dict]], as_of: date) -> Callab
             write(_judged(rows, rules, as_of), "log", "dataset_type")
             outcomes = spark.read.parquet(f"{target}/log/batch={batch_id}") \
                 .select("original_file", "route")
-            write(rows.drop("__size").join(outcomes, "original_file"), "routed",
+            write(rows.drop("__size", "file_columns").join(outcomes, "original_file"), "routed",
                   "route", "dataset_type")
         finally:
             scratch.remove(spark, copy)
@@ -77,9 +77,8 @@ def validate_and_route(spark: SparkSession, source: str, schema: T.StructType, t
 
     A file arrives in one batch, whose files are judged together.
     """
-    rows = new_files(spark, source, schema, file_format, **options).select(
-        "*", file_path().alias("original_file"),
-        F.col("_metadata.file_size").alias("__size"))
+    rows = with_columns_of_file(new_files(spark, source, schema, file_format, **options)).select(
+        "*", file_path().alias("original_file"), F.col("_metadata.file_size").alias("__size"))
     rows = rows.withColumn("dataset_type", dataset_type_of(F.col("original_file")))
     query = (
         rows.writeStream.foreachBatch(_per_batch(target, rules, as_of))

@@ -185,7 +185,7 @@ def sink_report(spark, sf):
 @query("K07_sink_validated", f"""
 SELECT {ROW}, case_count, 'uploads/' || region || '.csv' AS original_file,
        COUNT(*) OVER (PARTITION BY region) AS record_count,
-       '2025-01-31 12:00:00' AS validation_timestamp FROM cd""", ("cd",))
+       '2025-01-31 12:00:00' AS validation_timestamp, '20250131_120000' AS run FROM cd""", ("cd",))
 def sink_validated(spark, sf):
     rows = communicable(spark, sf).select(
         *TIES, "case_count",
