@@ -6,7 +6,7 @@ from vigil import constants as C
 from vigil.operators import quality as Q, rules as V
 from workload.cleaning import SQL_DATE, sql_fences
 from workload.registry import query
-from workload.views import communicable, reports, uploads
+from workload.views import reports, uploads
 
 from pyspark.sql import functions as F
 

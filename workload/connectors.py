@@ -7,8 +7,8 @@ shared scratch folder.
 import json
 from datetime import date, datetime
 
-from vigil.operators import admission as R, aggregates as A, cleaning as P, governance as G
-from vigil.operators import quality as Q, rules as V, windows as W
+from vigil.operators import admission as R, aggregates as A, governance as G
+from vigil.operators import quality as Q, rules as V
 from vigil.plans import jobs, validation
 from vigil.plans.scratch import scratch_path
 from vigil.sources import files as S, sinks as K

@@ -5,8 +5,6 @@ over the registered tables. NAMED_SQL holds the texts; `with_views` puts the
 ones a query needs in front of it.
 """
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
