@@ -1,6 +1,6 @@
 """Every query of this subpackage; importing the modules registers them."""
 
 from vigil.llm import (  # noqa: F401
-    op1_token_counts, op2_bpe,
+    op1_token_counts, op2_bpe, op3_token_files, op4_quality, op7_packing,
 )
 from vigil.llm.registry import ORACLE, QUERIES  # noqa: F401
