@@ -24,14 +24,17 @@ SYMBOLS = (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">")
 SPAN = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: Labelled good rows that the trees may draw from, trees, and rows of each tree.
-FIT_ROWS, TREES, TREE_ROWS = 20_000, 100, 256
+FIT_ROWS, TREES, TREE_ROWS = 20_000, 200, 1024
 #: Part of the labelled good documents that the threshold must keep.
-KEEP_GOOD = 0.998
+KEEP_GOOD = 0.997
 BUCKETS = 2000
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FEATURES = ("mean_word", "symbol_share", "dup_line_share", "repeat_share", "distinct_share",
-            "upper_share", "mark_share", "digit_share", "words_per_line")
+FEATURES = ("symbol_share", "repetition", "upper_share", "mark_share")
+#: Characters added below each share, so that a few marks in a short text stay ordinary.
+STEADY = 20
+#: Different words over words ** 0.85 from which a text counts as varied.
+VARIED = 1.25
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,15 +70,13 @@ def _measure(data: list[bytes]) -> dict:
         symbols = sum(map(d.count, SYMBOLS))
         lines = [line for line in d.split(b"\n") if line.strip()]
         dup = len(lines) - len(set(lines))
-        head = np.frombuffer(d, np.uint8)
-        kinds = np.bincount(head, minlength=256) if len(head) else np.zeros(256, np.int64)
-        upper, digit = int(kinds[65:91].sum()), int(kinds[48:58].sum())
+        kinds = np.bincount(np.frombuffer(d, np.uint8), minlength=256)
+        upper = int(kinds[65:91].sum())
         letters = upper + int(kinds[97:123].sum())
         marks = int(kinds[33:48].sum() + kinds[58:65].sum() + kinds[91:97].sum() + kinds[123:127].sum())
-        values = (n, chars, symbols, dup, repeated, chars / max(1, n), symbols / max(1, n),
-                  dup / max(1, len(lines)), repeated / max(1, n), len(set(words)) / max(1.0, n ** 0.85),
-                  upper / max(1, letters), marks / max(1, chars), digit / max(1, chars),
-                  math.log2(1 + n / max(1, len(lines))))
+        values = (n, chars, symbols, dup, repeated, symbols / (chars + STEADY),
+                  max(0.0, VARIED - len(set(words)) / max(1.0, n ** 0.85)), upper / (letters + STEADY),
+                  marks / (chars + STEADY))
         for name, value in zip(out, values):
             out[name].append(value)
     return out
