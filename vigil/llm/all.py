@@ -1,7 +1,7 @@
 """Every query of this subpackage; importing the modules registers them."""
 
 from vigil.llm import (  # noqa: F401
-    op1_token_counts, op2_bpe, op3_token_files, op4_quality, op6_lattice_lm,
+    op1_token_counts, op2_bpe, op3_token_files, op4_quality, op5_forest_search, op6_lattice_lm,
     op7_packing,
 )
 from vigil.llm.registry import ORACLE, QUERIES  # noqa: F401
