@@ -146,6 +146,51 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
                        ).withColumnRenamed("id", id_col)
 
 
+def shorten(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
+            text_col: str = "text", chars_col: str | None = None, hot: int = passages.HOT) -> DataFrame:
+    """docs with all columns and rows, the texts without their repeated passages.
+
+    A character goes only if all its bytes do, so texts stay valid. chars_col, if
+    given, is set to the new number of characters (0 for null).
+    """
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn(
+        "text", F.col(f"row.`{text_col}`"))
+    keyed = passages.keyed(docs, id_col, text_col)
+    spans = passages.repeated_spans(keyed, Spec("byte", window, gram), least_by_suffixes, hot)
+    own = F.xxhash64(F.col(f"row.`{id_col}`").cast("long"), F.coalesce("text", F.lit("")))
+    joined = rows.withColumn("print", own).join(spans, "print", "left").select("row", "text", "spans")
+    kind = joined.schema["row"].dataType.simpleString()
+
+    def task():
+        def work(batch: pa.RecordBatch) -> dict:
+            given, kept = batch.column("text"), []
+            for null, data, packed in zip(given.is_null().to_pylist(), texts(batch, "text"),
+                                          batch.column("spans").to_pylist()):
+                kept.append(None if null else _without(data, passages.removed_spans(packed)).decode())
+            return {"row": batch.column("row"), "kept": kept}
+
+        return work
+
+    found = map_batches(joined, task, f"row {kind}, kept string")
+    new = {text_col: F.col("kept")}
+    if chars_col:
+        new[chars_col] = F.coalesce(F.length("kept"), F.lit(0)).cast(dict(docs.dtypes)[chars_col])
+    return found.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
+
+
+def _without(data: bytes, spans: np.ndarray) -> bytes:
+    """The data without the characters that lie in spans whole."""
+    kept, at = [], 0
+    for a, b in spans.tolist():
+        while a < b and data[a] & 0xC0 == 0x80:  # begins inside a character
+            a += 1
+        while b > a and b < len(data) and data[b] & 0xC0 == 0x80:  # ends inside one
+            b -= 1
+        kept.append(data[at:a])
+        at = b
+    return b"".join([*kept, data[at:]])
+
+
 @register("op10_suffix_dedup")
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_passages(table(spark, sf_dir, "documents"))

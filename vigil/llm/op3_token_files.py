@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from vigil.llm import vocabulary
+from vigil.llm.passages import portions
 from vigil.llm.registry import register, table
 from vigil.llm.seekable import IdReader, IdWriter, filesystem
 from vigil.llm.workers import record_batch, texts
@@ -48,12 +49,12 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID
         writer = stream = None
         for batch in batches:
             ids, data = batch.column("id").to_pylist(), texts(batch, "text")
-            for some in _portions(data):
+            for begin, stop in portions(data, BATCH_BYTES):
                 if writer is None:
                     store.create_dir(place.rpartition("/")[0], recursive=True)
                     stream = store.open_output_stream(place, compression=None)
                     writer = IdWriter(stream, batch.column("id").type, width, frame_ids)
-                for i, packed in zip(ids[some], encoder.encode_batch(data[some])):
+                for i, packed in zip(ids[begin:stop], encoder.encode_batch(data[begin:stop])):
                     writer.add(i, packed + end)
         if writer is not None:
             writer.close()
@@ -66,17 +67,6 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def _portions(data: list[bytes]):
-    """Slices of at most BATCH_BYTES, or one text."""
-    begin, size = 0, 0
-    for i, d in enumerate(data):
-        if size and size + len(d) > BATCH_BYTES:
-            yield slice(begin, i)
-            begin, size = i, 0
-        size += len(d)
-    yield slice(begin, len(data))
-
-
 def read_ids(manifest: DataFrame, id_type: str = "bigint", wanted: list | None = None) -> DataFrame:
     """id, start, n_tokens and ids (array<int>) of each document, or of the wanted ids only."""
 

@@ -14,7 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from vigil.llm.passages import portions
 from vigil.llm.registry import register, table
 from vigil.llm.workers import map_batches, texts
 from vigil.plans.scratch import materialize
@@ -25,9 +27,12 @@ SPAN = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 #: Labelled good rows that the trees may draw from, trees, and rows of each tree.
 FIT_ROWS, TREES, TREE_ROWS = 20_000, 200, 1024
-#: Part of the labelled good documents that the threshold must keep.
-KEEP_GOOD = 0.997
+#: Part of the labelled good documents that the threshold must keep, and how much
+#: a lost share of them weighs against a caught share of the bad ones.
+KEEP_GOOD, WEIGHT_OF_GOOD = 0.99, 20
 BUCKETS = 2000
+#: Bytes of texts measured at once.
+PORTION_BYTES = 4 << 20
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("symbol_share", "repetition", "upper_share", "mark_share")
@@ -37,19 +42,29 @@ STEADY = 20
 VARIED = 1.25
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               carry: bool = False) -> DataFrame:
     """Base counts, base_failed and features of every whole text, one row per row of docs.
 
     Words are runs of characters other than ASCII white space. Null and empty
-    texts have no words: all counts are 0 and base_failed is true.
+    texts have no words: all counts are 0 and base_failed is true. With carry the
+    whole row of docs comes along as the struct "row".
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    columns = ", ".join([f"{c} bigint" for c in BASE] + [f"{c} double" for c in FEATURES])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []))
+    columns = ", ".join([f"{c} bigint" for c in BASE] + [f"{c} double" for c in FEATURES]
+                        + ([f"row {rows.schema['row'].dataType.simpleString()}"] if carry else []))
 
     def task():
         def work(batch: pa.RecordBatch) -> dict:
-            return {"id": batch.column("id"), **_measure(texts(batch, "text"))}
+            extra = {"row": batch.column("row")} if carry else {}
+            data = texts(batch, "text")
+            out = {c: [] for c in (*BASE, *FEATURES)}
+            for a, b in portions(data, PORTION_BYTES):
+                for name, values in _measure(data[a:b]).items():
+                    out[name] += values
+            return {"id": batch.column("id"), **out, **extra}
 
         return work
 
@@ -208,17 +223,18 @@ def judge(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows:
     if not len(x):
         return stats.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
     forest = stats.sparkSession.sparkContext.broadcast(grow(x))
-    scored = _score(known, forest, "quality int")
+    scored = _score(known, forest, "quality int", id_col)
     buckets = (scored.groupBy(F.floor(F.col("anomaly") * BUCKETS).cast("int").alias("b"))
                .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")).collect())
     limit = threshold({r["b"]: (r["good"], r["bad"]) for r in buckets}, keep_good)
-    return (_score(stats, forest, ", ".join(f"{c} bigint" for c in BASE) + ", base_failed boolean", id_col)
+    others = ", ".join(f"{c} {t}" for c, t in stats.dtypes if c in (*BASE, "base_failed", "row"))
+    return (_score(stats, forest, others, id_col)
             .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < limit)))
 
 
-def _score(rows: DataFrame, forest, others: str, id_col: str | None = None) -> DataFrame:
-    id_col = id_col or rows.columns[0]
-    names = [c.split()[0] for c in others.split(", ")]
+def _score(rows: DataFrame, forest, others: str, id_col: str) -> DataFrame:
+    """Anomaly of each row, beside the id and the other columns (name and type each)."""
+    names = StructType.fromDDL(others).names
     kind = rows.schema[id_col].dataType.simpleString()
 
     def task():
@@ -234,16 +250,16 @@ def _score(rows: DataFrame, forest, others: str, id_col: str | None = None) -> D
 
 
 def threshold(buckets: dict[int, tuple[int, int]], keep_good: float) -> float:
-    """The score that best separates the classes and keeps keep_good of the good ones."""
+    """The score with the best weighed shares that keeps keep_good of the good ones."""
     good, bad = (sum(v[k] for v in buckets.values()) for k in (0, 1))
-    best, chosen, kept, held = -1.0, max(buckets) + 1, good, 0
+    best, chosen, lost, held = 0.0, max(buckets) + 1, 0, 0
     for b in sorted(buckets, reverse=True):
-        kept -= buckets[b][0]
+        lost += buckets[b][0]
         held += buckets[b][1]
-        if kept < keep_good * good:
+        if lost > (1 - keep_good) * good:
             break
-        gain = kept / max(1, good) + held / max(1, bad)
-        if bad and gain > max(best, 1.0):
+        gain = held / max(1, bad) - WEIGHT_OF_GOOD * lost / max(1, good)
+        if gain > best:
             best, chosen = gain, b
     return chosen / BUCKETS
 
@@ -254,6 +270,13 @@ def decisions(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     return judge(stats, labels, id_col)
 
 
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that pass, with all their columns."""
+    stats, _ = materialize(statistics(docs, id_col, text_col, carry=True), "quality")
+    judged = judge(stats, labels, id_col)
+    return judged.where("kept").select("row.*")
+
+
 @register("op4_quality_forest")
 def op4_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decisions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

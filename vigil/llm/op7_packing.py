@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm import vocabulary
-from vigil.llm.op3_token_files import _portions
+from vigil.llm.passages import portions
 from vigil.llm.registry import register, table
 from vigil.llm.workers import map_batches, texts
 from vigil.plans.scratch import materialize
@@ -55,8 +55,8 @@ def _cut(rows: DataFrame, path: str, window: int, end_id: int) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> dict:
             data, tokens, crcs = texts(batch, "text"), [], []
-            for some in _portions(data):
-                for ids in encoder.encode_batch(data[some]):
+            for begin, stop in portions(data):
+                for ids in encoder.encode_batch(data[begin:stop]):
                     ids += end
                     tokens.append(len(ids) // 4)
                     crcs.append([zlib.crc32(ids[at:at + width]) for at in range(0, len(ids), width)])

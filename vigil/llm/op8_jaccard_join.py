@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -52,15 +52,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: st
     component_id is the own id. Ids may repeat; null ids take part and are
     never smallest. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    rows = keyed(docs, id_col, text_col)
-    sets, classes, renamed = _classes(rows, words)
-    sizes = {r["n"]: r["count"] for r in classes.where(F.col("n") <= SMALL).groupBy("n").count().collect()}
-    keys = Keys(percent, boundary_by_cost(sizes, percent, SMALL))
-    entries = _entries(rows, classes, keys, words, renamed)
-    labels = _settle(rows, classes, entries, words, percent)
-    release(spark)
-
+    sets, classes, labels = _linked_classes(docs, words, percent, id_col, text_col)
     same = classes.join(labels, F.col("set") == F.col("node"), "left").select(
         "set", "least_id", F.coalesce("label", "set").alias("label"))
     least = same.groupBy("label").agg(F.min("least_id").alias("component_id"))
@@ -72,6 +64,43 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: st
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row of each component, with all columns: the one of smallest id.
+
+    Null ids come after all others; of rows with equal id and text one stays.
+    Rows without words link with nothing and all stay.
+    """
+    _, classes, labels = _linked_classes(docs, words, percent, id_col, text_col)
+    best = F.struct(F.col("least_id").isNull().alias("last"), "least_id", "print")
+    chosen = (
+        classes.join(labels, F.col("set") == F.col("node"), "left")
+        .groupBy(F.coalesce("label", "set").alias("label")).agg(F.min(best).alias("best"))
+        .select(F.col("best.print").alias("of")))
+    text = F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    worded = text.rlike(r"[^\x20\x09-\x0D]")
+    own = Window.partitionBy("print").orderBy(F.xxhash64("row"))
+    kept = (
+        rows.where(worded).withColumn("print", F.xxhash64(F.col(f"row.`{id_col}`").cast("long"), text))
+        .join(chosen, F.col("print") == F.col("of"), "left_semi")
+        .withColumn("nth", F.row_number().over(own)).where("nth = 1").select("row"))
+    return kept.unionByName(rows.where(~worded)).select("row.*")
+
+
+def _linked_classes(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str):
+    """Sets of the rows, classes of equal sets, and the labels of classes with links."""
+    spark = docs.sparkSession
+    rows = keyed(docs, id_col, text_col)
+    sets, classes, renamed = _classes(rows, words)
+    sizes = {r["n"]: r["count"] for r in classes.where(F.col("n") <= SMALL).groupBy("n").count().collect()}
+    keys = Keys(percent, boundary_by_cost(sizes, percent, SMALL))
+    entries = _entries(rows, classes, keys, words, renamed)
+    labels = _settle(rows, classes, entries, words, percent)
+    release(spark)
+    return sets, classes, labels
+
+
 def _classes(rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame, dict]:
     """Sets of all rows, their classes, and sets that had to be named anew."""
     schema = "id bigint, print bigint, n bigint, set bigint, whole binary"
@@ -98,7 +127,8 @@ def _classes(rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame, dict]:
         sets, path = materialize(measure(renamed), "sets")
         classes, class_path = materialize(
             sets.where("n > 0").groupBy("set").agg(
-                F.min("id").alias("least_id"), F.max("n").alias("n"), F.min("print").alias("print"),
+                F.min("id").alias("least_id"), F.max("n").alias("n"),
+                F.min(F.struct(F.col("id").isNull().alias("last"), "id", "print"))["print"].alias("print"),
                 F.min("whole").alias("low"), F.max("whole").alias("high")), "classes")
         twice = classes.where("low <> high").select("set")
         # Different sets under one 64-bit name: a handful even among 10**10 sets.
