@@ -137,9 +137,11 @@ class Keys:
         own = self.class_of(sets.sizes)
         # Wanted where the larger set of a pair can be beyond the boundary.
         wanted = (sets.sizes > 0) & (100 * sets.sizes >= self.percent * (self.boundary + 1))
-        reaches = 100 * sets.sizes >= self.percent * (self.class_top(own) + 1)
-        for c, chosen in ((own, wanted), (own + 1, wanted & reaches)):
-            some = np.flatnonzero(chosen & (self.class_top(c) > self.boundary))
+        for shift in range(2 + int(math.log(100 / self.percent) / math.log(CLASS_RATIO))):
+            c = own + shift
+            # A set meets larger partners in the classes whose smallest size it reaches.
+            reaches = 100 * sets.sizes >= self.percent * (self.class_top(c - 1) + 1) if shift else wanted
+            some = np.flatnonzero(wanted & reaches & (self.class_top(c) > self.boundary))
             if len(some):
                 yield from self._in_class(sets, some, c[some])
 
