@@ -93,10 +93,34 @@ def test_order_must_be_a_date(spark):
         chunks.cut(frame(spark, 7), ["key"], "value", ["rank"])
 
 
-def test_large_days_need_a_number_to_split_by(spark):
-    df = frame(spark, 8, one_day=1.0).withColumn("name", F.col("id").cast("string"))
-    with pytest.raises(ValueError, match="must be numeric"):
-        chunks.cut(df, ["key"], "day", ["name"], chunk_rows=5)
+@pytest.mark.parametrize("chunk_rows", [1, 100, 10**9])
+@pytest.mark.parametrize("ties", [["name"], ["two", "name"], ["two", "rank", "id"]])
+def test_any_total_order_splits_large_days(spark, ties, chunk_rows):
+    df = frame(spark, 8, one_day=1.0, rows=600) \
+        .withColumn("name", F.format_string("n%05d", F.col("id"))).withColumn("two", F.col("id") % 2)
+    rolled = windows.rolling_average(df, ["key"], ties, "day", "value", 7, "x", chunk_rows)
+    order = Window.partitionBy("key").orderBy("day", *ties).rowsBetween(-6, 0)
+    expected = df.select("id", F.avg("value").over(order).alias("x"))
+    assert {r.id: r.x for r in rolled.collect()} == {r.id: r.x for r in expected.collect()}
+    filled = cleaning.fill_null_forward(df, "seen", ["key"], "day", ties, chunk_rows)
+    order = Window.partitionBy("key").orderBy("day", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.select("id", F.last("seen", True).over(order).alias("x"))
+    assert {r.id: r.seen for r in filled.collect()} == {r.id: r.x for r in expected.collect()}
+
+
+def test_two_values_as_first_tie_break_split_evenly(spark):
+    df = frame(spark, 8, one_day=1.0, rows=1000).withColumn("two", F.col("id") % 2)
+    cut = chunks.cut(df, ["key"], "day", ["two", "id"], chunk_rows=100)
+    assert cut.df.groupBy("key", "__day", "__sub").count().agg(F.max("count")).first()[0] <= 200
+
+
+@pytest.mark.parametrize("rows", [3, 500])
+def test_an_order_without_tie_breaks_is_refused_at_any_size(spark, rows):
+    df = frame(spark, 8, rows=rows)
+    with pytest.raises(ValueError, match="total"):
+        windows.rolling_average(df, ["key"], [], "day", "value", chunk_rows=10)
+    with pytest.raises(ValueError, match="total"):
+        cleaning.handle_missing_values(df, "day", ["key"])
 
 
 def test_a_column_is_not_filled_along_itself(spark):

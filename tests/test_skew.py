@@ -27,3 +27,16 @@ def test_copies_of_one_row(spark):
 def test_duplicate_flag(reports, hot_rows):
     flagged = flags.flag_duplicate(reports, hot_rows).where("is_duplicate").collect()
     assert sorted(r.case_count for r in flagged) == [100, 150]
+
+
+def test_scope_removes_the_copies_made_inside(spark):
+    from pathlib import Path
+
+    from vigil.plans import scratch
+
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "id int, a int")
+    before = set(Path(scratch.scratch_root(spark).removeprefix("file:")).iterdir())
+    with scratch.scope(spark):
+        got = skew.with_group_value(df, ["a"], "n", F.count(F.lit(1)), few_groups=0)
+        assert got.count() == 30
+    assert set(Path(scratch.scratch_root(spark).removeprefix("file:")).iterdir()) <= before

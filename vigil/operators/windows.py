@@ -12,7 +12,7 @@ def rolling_average(df: DataFrame, partition_by: list[str], tie_break: list[str]
                     chunk_rows: int | None = None) -> DataFrame:
     """Mean of the last `rows` rows per partition (rows, not days).
 
-    tie_break makes the order total; its first column splits crowded days.
+    tie_break makes the order total.
     """
     chunked = chunks.cut(df, partition_by, order_by, tie_break, chunk_rows)
     return chunks.rolling(chunked, value, name, rows)

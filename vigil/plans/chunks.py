@@ -15,9 +15,10 @@ from vigil.schemas import quoted
 
 # Chunk widths in order of size: how a date is cut, coarsest first.
 GRAINS = ["all", "year", "month", "day"]
-MIN_CHUNK_ROWS = 500
-CHUNKS_PER_PARTITION = 8
-STEPS = 8  # steps per chunk in which a large day is counted
+# A task sorts a chunk in memory. Keys of fewer rows take the plain window.
+CHUNK_ROWS = 1_000_000
+PARTS = 2  # parts per chunk limit into which crowded days are cut
+FEW_CELLS = 200_000
 
 
 @dataclass
@@ -30,6 +31,7 @@ class Chunked:
     order: str
     ties: list[str]
     single: bool
+    few: bool  # there are at most FEW_CELLS cells
     chunk: list[str] = field(default_factory=lambda: ["__day", "__sub"])
 
     @property
@@ -47,93 +49,72 @@ def _grain_start(date: Column, grain: str) -> Column:
     return F.trunc(date, grain) if grain != "day" else date
 
 
-def chunk_rows_for(df: DataFrame, rows: int) -> int:
-    """An eighth of a shuffle partition's fair share of the rows."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_CHUNK_ROWS, -(-rows // (CHUNKS_PER_PARTITION * partitions)))
-
-
 def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
         chunk_rows: int | None = None) -> Chunked:
     """Cut every key along (order, ties) into chunks of about chunk_rows rows.
 
-    `order` is a date column and ties[0] a number that tells rows of one day
-    apart. The chunk is the coarsest calendar period that is small enough for
-    every key; days that are still too large are cut along ties[0].
+    `order` is a date column; ties, of any type, must make the order total. The
+    chunk is the coarsest calendar period that is small enough for every key;
+    days that are still too large are cut along all ties.
     """
     if not isinstance(df.schema[order].dataType, T.DateType):
         raise ValueError(f"{order} must be a date to cut windows along it")
-    # One row per key and day: small, and read again for the sizes and the carry.
-    cells, _ = materialize(
-        df.groupBy(*[quoted(k) for k in keys], quoted(order).alias("__order"))
-        .agg(F.count(F.lit(1)).alias("__n")), "cells")
+    if not ties:
+        raise ValueError("rows of one day need tie-breaks that make their order total")
+    # One row per key and day.
+    cells = df.groupBy(*[quoted(k) for k in keys], quoted(order).alias("__order")) \
+        .agg(F.count(F.lit(1)).alias("__n"))
     sizes = _largest_per_grain(cells, keys)
-    total = sizes["rows"] or 0
-    limit = chunk_rows or chunk_rows_for(df, total)
+    limit = chunk_rows or CHUNK_ROWS
     grain = next((g for g in GRAINS if (sizes[g] or 0) <= limit), "day")
     chunked = df.withColumn("__day", _grain_start(quoted(order), grain))
     biggest = sizes[grain] or 0
     if biggest <= limit:
         chunked = chunked.withColumn("__sub", F.lit(0))
     else:
-        chunked = _split_days(chunked, cells, keys, order, ties[0], limit)
+        chunked = _split_days(chunked, cells, keys, order, ties, limit)
     cells = cells.withColumn("__day", _grain_start(F.col("__order"), grain))
-    return Chunked(chunked, cells, keys, order, ties, single=grain == "all" and biggest <= limit)
+    return Chunked(chunked, cells, keys, order, ties, single=grain == "all" and biggest <= limit,
+                   few=(sizes["cells"] or 0) <= FEW_CELLS)
 
 
 def _largest_per_grain(cells: DataFrame, keys: list[str]) -> dict[str, int]:
-    """Rows of the largest key x period, for every period length, and all rows."""
+    """Rows of the largest key x period, for every period length, and the number of cells."""
     by = [quoted(k) for k in keys]
-    sizes = cells.withColumn("day", F.col("__n"))
+    sizes = cells.withColumns({"day": F.col("__n"), "cells": F.lit(1)})
     for grain in ["month", "year", "all"]:
         period = _grain_start(F.col("__order"), grain)
         kept = [F.max(g).alias(g) for g in GRAINS[::-1] if g in sizes.columns]
         sizes = sizes.groupBy(*by, period.alias("__order")).agg(
-            F.sum("__n").alias("__n"), *kept).withColumn(grain, F.col("__n"))
-    return sizes.agg(*[F.max(g).alias(g) for g in GRAINS], F.sum("__n").alias("rows")) \
+            F.sum("__n").alias("__n"), F.sum("cells").alias("cells"), *kept) \
+            .withColumn(grain, F.col("__n"))
+    return sizes.agg(*[F.max(g).alias(g) for g in GRAINS], F.sum("cells").alias("cells")) \
         .first().asDict()
 
 
 def _split_days(df: DataFrame, cells: DataFrame, keys: list[str], order: str,
-                tie: str, limit: int) -> DataFrame:
-    """Number the parts of days above the limit along the tie-break.
+                ties: list[str], limit: int) -> DataFrame:
+    """Number the parts of days above the limit along the tie-breaks.
 
-    A large day is counted in equal steps of its tie-break, several per chunk,
-    and neighbouring steps are joined until they hold `limit` rows. There are at
-    most rows / limit large days, with STEPS steps per `limit` rows: that bounds
-    both broadcasts. Uneven tie-breaks make uneven chunks, never wrong ones.
+    There are at most rows / limit such days: that bounds the broadcast. Their
+    rows are dealt by range of (key, day, ties) to partitions of about limit /
+    PARTS rows, whose numbers rise along the window order. The dealt rows are
+    written once, for ranges are drawn anew whenever a plan runs.
     """
-    if not isinstance(df.schema[tie].dataType, T.NumericType):
-        raise ValueError(f"{tie} must be numeric to split days of more than {limit} rows")
     cell = [f"__c{i}" for i in range(len(keys) + 1)]
     same = F.lit(True)
     for k, c in zip([*keys, order], cell):
         same = same & quoted(k).eqNullSafe(F.col(c))
     large = cells.where(F.col("__n") > limit).select(
-        *[quoted(k).alias(c) for k, c in zip([*keys, "__order"], cell)])
-    value = quoted(tie).cast("double")
-    steps = F.ceil(F.count(F.lit(1)) * STEPS / limit)
-    ranges = df.join(F.broadcast(large), same).groupBy(*cell).agg(
-        F.min(value).alias("__lo"), F.max(value).alias("__hi"), steps.alias("__steps"))
-    position = F.try_divide(value - F.col("__lo"), F.col("__hi") - F.col("__lo"))
-    step = F.coalesce(F.least(F.floor(position * F.col("__steps")), F.col("__steps") - 1), F.lit(0))
-    stepped = df.join(F.broadcast(ranges), same, "left") \
-        .withColumn("__step", F.when(F.col("__steps").isNotNull(), step))
-    running = Window.partitionBy(*cell).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = (
-        stepped.where(F.col("__step").isNotNull()).groupBy(*cell, "__step")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__sub", F.floor(F.coalesce(F.sum("__n").over(running), F.lit(0)) / limit))
-        .select(*[F.col(c).alias(f"{c}n") for c in cell], F.col("__step").alias("__stepn"), "__sub")
-    )
-    matched = F.col("__step") == F.col("__stepn")
-    for c in cell:
-        matched = matched & F.col(c).eqNullSafe(F.col(f"{c}n"))
-    return (
-        stepped.join(F.broadcast(numbered), matched, "left")
-        .withColumn("__sub", F.coalesce("__sub", F.lit(0)))
-        .drop(*cell, *[f"{c}n" for c in cell], "__stepn", "__step", "__lo", "__hi", "__steps")
-    )
+        *[quoted(k).alias(c) for k, c in zip([*keys, "__order"], cell)], F.col("__n"))
+    parts = -(-PARTS * large.agg(F.sum("__n")).first()[0] // limit)
+    large = F.broadcast(large.drop("__n"))
+    dealt = (
+        df.join(large, same)
+        .repartitionByRange(parts, *[F.col(c) for c in cell], *[quoted(t) for t in ties])
+        .withColumn("__sub", F.spark_partition_id()).drop(*cell))
+    crowded, _ = materialize(dealt, "crowded-days")
+    return df.join(large, same, "left_anti").withColumn("__sub", F.lit(0)).unionByName(crowded)
 
 
 def _run(chunked: Chunked, carry: DataFrame, name: str, expression, frame) -> DataFrame:
@@ -165,6 +146,8 @@ def _last_days(chunked: Chunked, rows: int) -> DataFrame:
     same = F.lit(True)
     for c, a in zip(period, copies):
         same = same & c.eqNullSafe(F.col(a))
+    # Without the broadcast, a split day is one key of the join; Spark splits it there.
+    starts = F.broadcast(starts) if chunked.few else starts
     # Rows without a date are a period of their own.
     return chunked.df.join(starts, same).drop(*copies) \
         .where(F.col("__from").isNull() | (quoted(chunked.order) >= F.col("__from")))

@@ -2,9 +2,13 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[tuple[str, str]] = []  # application and path of copies that still stand
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
@@ -33,11 +37,37 @@ def materialize(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _written.append((spark.sparkContext.applicationId, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table once nothing reads it any more."""
+    entry = (spark.sparkContext.applicationId, path)
+    if entry in _written:
+        _written.remove(entry)
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove every copy that is made inside, when the work inside is done.
+
+    For jobs that write their results. Copies behind a frame that is returned to
+    the caller are read later; clear() removes them.
+    """
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for _, path in _written[before:]:
+            remove(spark, path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all copies this application made and did not remove."""
+    for application, path in list(_written):
+        if application == spark.sparkContext.applicationId:
+            remove(spark, path)

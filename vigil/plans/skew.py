@@ -7,7 +7,6 @@ from vigil.schemas import quoted
 
 FEW_GROUPS = 100_000
 HOT_GROUP_ROWS = 10_000_000
-SALTS = 1024
 
 
 def with_group_value(df: DataFrame, keys: list[str], name: str, value: Column,
@@ -15,10 +14,9 @@ def with_group_value(df: DataFrame, keys: list[str], name: str, value: Column,
     """Add the aggregate `value` of the row's group (null keys form a group).
 
     The groups are aggregated first, and counted. Few groups are broadcast: no
-    row moves. Otherwise a window computes the value, except for groups of at
-    least hot_rows rows, of which there can be no more than rows / hot_rows:
-    those are broadcast, and their rows spread over salted partitions, so that
-    the window never sees a group above hot_rows.
+    row moves. Otherwise groups of at least hot_rows rows, of which there can be
+    no more than rows / hot_rows, are broadcast to their rows, and a window sees
+    the rows of the other groups only.
     """
     copies = [f"__k{i}" for i in range(len(keys))]
     groups, _ = materialize(
@@ -27,16 +25,14 @@ def with_group_value(df: DataFrame, keys: list[str], name: str, value: Column,
     same = F.lit(True)
     for k, c in zip(keys, copies):
         same = same & quoted(k).eqNullSafe(F.col(c))
-    if groups.count() <= few_groups:
-        return df.join(F.broadcast(groups.drop("__rows")), same) \
+
+    def by_broadcast(some: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(some.drop("__rows")), same) \
             .withColumn(name, F.col("__value")).drop(*copies, "__value")
-    hot = groups.where(F.col("__rows") >= hot_rows).drop("__rows").withColumn("__hot", F.lit(True))
-    marked = df.join(F.broadcast(hot), same, "left").drop(*copies)
-    # The input partition is stable when a task is retried, so rows keep their salt.
-    salt = F.when(F.col("__hot"), F.pmod(F.hash(F.spark_partition_id()), F.lit(SALTS)))
-    marked = marked.withColumn("__salt", F.coalesce(salt, F.lit(0)))
-    window = Window.partitionBy(*[quoted(k) for k in keys], "__salt")
-    return (
-        marked.withColumn(name, F.when(F.col("__hot"), F.col("__value")).otherwise(value.over(window)))
-        .drop("__hot", "__value", "__salt")
-    )
+
+    if groups.count() <= few_groups:
+        return by_broadcast(groups)
+    hot = groups.where(F.col("__rows") >= hot_rows)
+    cold = df.join(F.broadcast(hot), same, "left_anti")
+    window = Window.partitionBy(*[quoted(k) for k in keys])
+    return cold.withColumn(name, value.over(window)).unionByName(by_broadcast(hot))
