@@ -136,15 +136,104 @@ def test_files_are_judged_by_their_own_columns(spark, tmp_path):
         "a.json": ("PASSED", 0, 1.0), "b.json": ("FAILED", 1, 1.0)}
 
 
-def test_unreadable_batch_is_logged(spark, tmp_path):
+def by_name(log):
+    return {r.original_file.rsplit("/", 1)[1]: r for r in log.collect()}
+
+
+def test_one_bad_file_spoils_no_other(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "bad.json").write_text('{"no_records": 1}')
+    good = '{"records": [{"report_date": "2025-01-01", "region": "Wales"}]}'
+    (folder / "no_records.json").write_text('{"other": 1}')
+    (folder / "none.json").write_text('{"records": []}')
+    (folder / "cut.json").write_text('{"records": [{"report_date"')
+    (folder / "good.json").write_text(good)
+    (folder / "good.xml").write_text("<s><record><report_date>2025-01-03</report_date>"
+                                     "<region>Wales</region></record></s>")
+    (folder / "cut.xml").write_text("<s><record><report_date>2025-01-03</report_date></record><rec")
+    (folder / "route.csv").write_text(
+        "report_date,region,route,record_count,run\n2025-01-01,London,north,7,x\n")
     (folder / "good.csv").write_text("report_date,region\n2025-01-01,London\n")
+    (folder / "bare.csv").write_text("")
+    (folder / "_hidden.csv").write_text("report_date,region\n2025-01-01,London\n")
+    (folder / ".dot.json").write_text(good)
+    two = [{"id": f"q{f}", "type": "quality", "checks": {"outlier_columns": ["case_count"], "outlier_factor": f}}
+           for f in (1.5, 3.0)]
     log = jobs.validation_job(spark, str(folder), str(tmp_path / "out"), RUN,
-                              {"communicable_disease": RULES})
-    assert {r.original_file.rsplit("/", 1)[1]: r.status for r in log.collect()} == {
-        "bad.json": "ERROR", "good.csv": "PASSED"}
+                              {"communicable_disease": RULES + two})
+    got = by_name(log)
+    assert {n: (r.status, r.route) for n, r in got.items()} == {
+        "no_records.json": ("ERROR", "quarantine"), "none.json": ("WARNING", "review"),
+        "cut.json": ("ERROR", "quarantine"), "good.json": ("PASSED", "validated"),
+        "good.xml": ("PASSED", "validated"), "cut.xml": ("ERROR", "quarantine"),
+        "route.csv": ("PASSED", "validated"), "good.csv": ("PASSED", "validated"),
+        "bare.csv": ("WARNING", "review"), "_hidden.csv": ("FAILED", "quarantine"),
+        ".dot.json": ("FAILED", "quarantine")}
+    assert got["cut.json"].errors == ["Validation failed with error: not a JSON document"]
+    assert got["good.csv"].size == 37 and got["good.csv"].source_organization == "unknown"
+    valid = spark.read.option("mergeSchema", "true") \
+        .parquet(f"{tmp_path}/out/validated/communicable_disease").collect()
+    assert len(valid) == 4
+    row = next(r for r in valid if r.source_route)
+    assert (row.source_route, row.source_record_count, row.source_run, row.record_count) == (
+        "north", "7", "x", 1)
+    keys = {r.quarantine_key for r in spark.read.parquet(f"{tmp_path}/out/quarantine").collect()}
+    assert keys == {"quarantine/2025/01/31/_hidden.csv", "quarantine/2025/01/31/.dot.json"}
+
+
+def test_errors_and_details_are_logged(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "person.csv").write_text("report_date,region,remark\n2025-01-01,London,a@b.org\n")
+    (folder / "short.csv").write_text("report_date,note\n2025-01-01,\n")
+    quality = {"id": "q", "type": "quality", "checks": {"null_threshold": 0.1}}
+    got = by_name(jobs.validation_job(spark, str(folder), str(tmp_path / "out"), RUN,
+                                      {"communicable_disease": RULES + [quality]}))
+    assert got["person.csv"].errors and "remark" in got["person.csv"].errors[0]
+    assert got["short.csv"].errors and got["short.csv"].warnings
+    assert got["short.csv"].details["q.note_null_ratio"] == 1.0
+
+
+def test_nothing_is_left_in_scratch(spark, tmp_path):
+    write_uploads(tmp_path / "in")
+    root = scratch.scratch_root(spark).removeprefix("file:")
+    import os
+
+    before = set(os.listdir(root))
+    jobs.validation_job(spark, str(tmp_path / "in"), str(tmp_path / "out"), RUN, {})
+    assert set(os.listdir(root)) <= before
+
+
+def test_pages_give_the_same_result(spark, tmp_path, monkeypatch):
+    write_uploads(tmp_path / "in")
+    rules = {"communicable_disease": RULES}
+
+    def run(name):
+        log = jobs.validation_job(spark, str(tmp_path / "in"), str(tmp_path / name), RUN, rules)
+        return sorted((r.original_file, r.status, r.route, r.record_count) for r in log.collect())
+
+    whole = run("a")
+    monkeypatch.setattr(files, "PAGE_FILES", 2)
+    monkeypatch.setattr(files, "FEW_HEADERS", 1)
+    assert run("b") == whole
+
+
+def test_a_repeated_run_adds_no_rows_to_the_table(spark, reports):
+    from vigil.sources import sinks
+
+    days = [reports.withColumn("etl_date", F.lit(d).cast("date")) for d in ("2025-01-30", "2025-01-31")]
+    spark.sql("DROP TABLE IF EXISTS etl_days")
+    for df in (days[0], days[0], days[1], days[1]):
+        sinks.write_table(df, "etl_days", append=True, day="etl_date")
+    assert spark.table("etl_days").count() == 20
+    spark.sql("DROP TABLE etl_days")
+
+
+def test_etl_without_optional_measures(spark, reports, tmp_path):
+    raw = reports.drop("death_count", "hospitalization_count").withColumn("nr", F.monotonically_increasing_id())
+    paths = jobs.etl_job(raw, "communicable_disease", str(tmp_path), RUN, "job", "system", ["nr"])
+    weekly = spark.read.parquet(paths["weekly"])
+    assert "total_cases" in weekly.columns and "total_deaths" not in weekly.columns
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
@@ -177,22 +266,33 @@ def test_incremental_ingest(spark, reports, tmp_path):
     assert run() == 2 and spark.read.parquet(f"{tmp_path}/out").count() == 12
 
 
+def test_rows_are_counted_over_all_batches(spark, tmp_path):
+    for i in range(110):
+        spark.createDataFrame([(i,)], "n int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    got = ingest.incremental_ingest(spark, f"{tmp_path}/in", "n int", f"{tmp_path}/out",
+                                    f"{tmp_path}/state", maxFilesPerTrigger="1")
+    assert got == 110
+
+
 def test_routing_stream(spark, tmp_path):
     write_uploads(tmp_path / "in")
+    (tmp_path / "in" / "no_region.csv").write_text("report_date,n\n2025-01-01,5\n")
+    rules = {"communicable_disease": RULES}
+
+    def outcomes(frame):
+        return {r.original_file: (r.status, r.route, r.record_count, r.errors) for r in frame.collect()}
 
     def run():
-        ingest.validate_and_route(
-            spark, f"{tmp_path}/in/*.csv", "report_date string, region string, case_count int, remark string",
-            f"{tmp_path}/out", f"{tmp_path}/state", {"communicable_disease": RULES}, RUN.date(),
-            header="true", enforceSchema="true")
-        return spark.read.parquet(f"{tmp_path}/out/routed")
+        ingest.validate_and_route(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state", rules, RUN)
+        return spark.read.json(f"{tmp_path}/out/logs")
 
     first = run()
-    assert first.count() == 4
-    (tmp_path / "in" / "late.csv").write_text("report_date,region,case_count,remark\n2025-01-01,Wales,5,\n")
+    batch = jobs.validation_job(spark, str(tmp_path / "in"), str(tmp_path / "other"), RUN, rules)
+    assert outcomes(first) == outcomes(batch)
+    assert by_name(first)["no_region.csv"].status == "FAILED"
+    (tmp_path / "in" / "late.csv").write_text("region,report_date\nWales,2025-01-01\n")
     later = run()
-    assert later.count() == 5 and later.select("batch").distinct().count() == 2
-    assert later.where("batch = 1").first().route == "validated"
+    assert later.count() == first.count() + 1 and by_name(later)["late.csv"].route == "validated"
 
 
 def test_closed_windows(spark, tmp_path):

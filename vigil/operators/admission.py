@@ -3,6 +3,7 @@
 All operators work on a manifest: one row per file with `path` and `size`.
 """
 
+import re
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -53,11 +54,20 @@ def processing_summary(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("processed"))
 
 
-def quarantine(rejected: DataFrame, day: date) -> DataFrame:
-    """Give rejected files their key under quarantine/yyyy/MM/dd/."""
+def relative_key(path: Column, root: str) -> Column:
+    """The path below root; scheme, authority and leading slashes do not count."""
+    bare = F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "")
+    start = "/" + re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", root).strip("/") + "/"
+    below = F.when(F.startswith(bare, F.lit(start)), F.substr(bare, F.lit(len(start) + 1)))
+    return F.coalesce(below, F.ltrim(bare, F.lit("/")))
+
+
+def quarantine(rejected: DataFrame, day: date, root: str | None = None) -> DataFrame:
+    """Give rejected files their key under quarantine/yyyy/MM/dd/, relative to root."""
+    key = F.col("path") if root is None else relative_key(F.col("path"), root)
     return rejected.withColumns({
         "quarantine_date": F.lit(day),
-        "quarantine_key": F.concat(F.lit(f"quarantine/{day:%Y/%m/%d}/"), "path"),
+        "quarantine_key": F.concat(F.lit(f"quarantine/{day:%Y/%m/%d}/"), key),
     })
 
 

@@ -12,16 +12,20 @@ def etl_weekly(df: DataFrame, year_mode: str = "calendar") -> DataFrame:
     return df.groupBy(
         F.weekofyear("report_date").alias("week"),
         dates.week_year(F.col("report_date"), year_mode).alias("year"), "disease_name",
-    ).agg(
-        F.sum("case_count").alias("total_cases"),
-        F.sum("death_count").alias("total_deaths"),
-        F.avg("incidence_rate").alias("avg_incidence_rate"))
+    ).agg(*_present(df, {
+        "total_cases": (F.sum, "case_count"), "total_deaths": (F.sum, "death_count"),
+        "avg_incidence_rate": (F.avg, "incidence_rate")}))
+
+
+def _present(df: DataFrame, measures: dict) -> list[Column]:
+    """Measures whose column the frame has; the first is always wanted."""
+    return [f(c).alias(name) for i, (name, (f, c)) in enumerate(measures.items())
+            if i == 0 or c in df.columns]
 
 
 def etl_regional(df: DataFrame) -> DataFrame:
-    return df.groupBy("region", "disease_name").agg(
-        F.sum("case_count").alias("total_cases"),
-        F.avg("incidence_rate").alias("avg_incidence_rate"))
+    return df.groupBy("region", "disease_name").agg(*_present(df, {
+        "total_cases": (F.sum, "case_count"), "avg_incidence_rate": (F.avg, "incidence_rate")}))
 
 
 def etl_aggregates(df: DataFrame, dataset_type: str) -> dict[str, DataFrame]:

@@ -32,7 +32,11 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
         return rows_of(measured, [
             {"column_name": text_sql(c), "distinct_count": f"bigint(d{i})"}
             for i, (c, _) in enumerate(names)])
-    pairs = rows_of(df, [{"column_name": text_sql(c), "v": f"string({n})"} for c, n in names])
+    fractions = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    # Adding 0 turns -0.0 into 0.0, which is the same value.
+    pairs = rows_of(df, [{"column_name": text_sql(c),
+                          "v": f"string({n} + 0.0D)" if c in fractions else f"string({n})"}
+                         for c, n in names])
     return pairs.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
 
 

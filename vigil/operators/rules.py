@@ -344,16 +344,19 @@ def _result(position: int, rule: dict, o: _Outcome) -> dict[str, str]:
         "errors": errors, "warnings": warnings}
 
 
-def _unit_fences(df: DataFrame, by: list[str], columns: list[str], factor: float):
-    """Quartile fences per unit as SQL, and the frame whose columns they name."""
+def _unit_fences(df: DataFrame, by: list[str], factors: dict[float, set]):
+    """Quartile fences per unit as SQL, by factor, and the frame whose columns they name."""
+    columns = sorted(set().union(*factors.values()))
     quartiles = df.groupBy(*[quoted(k) for k in by]).agg(*[
         F.expr(f"percentile({_number_sql(df, c)}, array(0.25, 0.75)) AS __q{i}")
         for i, c in enumerate(columns)])
     fences = {}
-    for i, c in enumerate(columns):
-        low, high = f"__q{i}[0]", f"__q{i}[1]"
-        spread = f"{factor}D * ({high} - {low})"
-        fences[c] = (f"({low} - {spread})", f"({high} + {spread})")
+    for factor, own in factors.items():
+        fences[factor] = {}
+        for c in own:
+            low, high = (f"__q{columns.index(c)}[{side}]" for side in (0, 1))
+            spread = f"{factor}D * ({high} - {low})"
+            fences[factor][c] = (f"({low} - {spread})", f"({high} + {spread})")
     return quartiles, fences
 
 
@@ -385,13 +388,11 @@ def evaluate(df: DataFrame, rules: list[dict], as_of: date | None = None,
     for r in quality:
         factors.setdefault(r.get("outlier_factor", 1.5), set()).update(_outlier_columns(r, data))
     fences: dict[float, dict] = {}
-    for factor, columns in factors.items():
-        if by and columns:
-            quartiles, fences[factor] = _unit_fences(df, by, sorted(columns), factor)
-            if len(fences) > 1:
-                raise ValueError("rules per unit must share one outlier factor")
-            source = source.join(quartiles, by)
-        elif columns:
+    if by and any(factors.values()):
+        quartiles, fences = _unit_fences(df, by, factors)
+        source = source.join(quartiles, by)
+    for factor, columns in factors.items() if not by else ():
+        if columns:
             found = quantiles.iqr_fences(df, sorted(columns), factor, interpolated=True)
             fences[factor] = {c: (literal_sql(float(low)), literal_sql(float(high)))
                               for c, (low, high) in found.items()}

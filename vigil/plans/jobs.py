@@ -54,14 +54,19 @@ def etl_job(raw: DataFrame, dataset_type: str, target: str, run_time: datetime,
     checks and aggregates read the processed table itself. Row counts of the
     stages are observed during those writes. Failed checks do not stop the job.
     """
+    with scratch.scope(raw.sparkSession):
+        return _etl(raw, dataset_type, target, run_time, job_name, source_system, tie_break,
+                    identifiers, order_by, partition_by, table)
+
+
+def _etl(raw, dataset_type, target, run_time, job_name, source_system, tie_break, identifiers,
+         order_by, partition_by, table) -> dict[str, str]:
     spark = raw.sparkSession
-    copies = []
     try:
         stages = [Q.stage_metrics(raw, "RAW_DATA")]
         observed, seen = _counted(clean(raw, dataset_type, order_by, partition_by, tie_break),
                                   "cleaned")
-        cleaned, copy = scratch.materialize(observed, "cleaned")
-        copies.append(copy)
+        cleaned, _ = scratch.materialize(observed, "cleaned")
         stages.append(_stage(spark, "CLEANED_DATA", cleaned, seen))
         shaped = P.add_metadata(transform(cleaned, dataset_type, tie_break,
                                           tie_break if identifiers is None else identifiers),
@@ -78,7 +83,7 @@ def etl_job(raw: DataFrame, dataset_type: str, target: str, run_time: datetime,
         for name, report in A.etl_aggregates(processed, dataset_type).items():
             paths[name] = sinks.write_aggregate(report, target, f"{dataset_type}/{name}")
         if table:
-            sinks.write_table(processed, table, append=True)
+            sinks.write_table(processed, table, append=True, day="etl_date")
         run = f"{target}/run"
         metrics = {
             "stages": stages[0].unionByName(stages[1]).unionByName(stages[2]),
@@ -91,9 +96,6 @@ def etl_job(raw: DataFrame, dataset_type: str, target: str, run_time: datetime,
     except Exception as e:
         sinks.write_error(spark, target, dataset_type, run_time, str(e), traceback.format_exc())
         raise
-    finally:
-        for copy in copies:
-            scratch.remove(spark, copy)
 
 
 def quality_report_job(df: DataFrame, table: str, target: str, day: date) -> str:
@@ -143,16 +145,20 @@ READERS = {
     ".json": partial(files.scan_json, as_text=True),
     ".xml": files.scan_xml,
 }
+BROKEN = {".json": files.broken_json, ".xml": files.broken_xml}
 
-LOG_COLUMNS = ["original_file", "dataset_type", "status", "message", "record_count",
-               "pii_findings", "completeness", "route"]
+LOG_COLUMNS = ["original_file", "dataset_type", "source_organization", "size", "status", "message",
+               "errors", "warnings", "details", "record_count", "pii_findings", "completeness",
+               "route"]
+#: Columns the outputs add; uploaded columns of these names are kept as source_<name>.
+RESERVED = ["route", "record_count", "run", "dataset_type", "validation_timestamp"]
 
 
 def route_rows(rows: DataFrame, outcomes: DataFrame, target: str, dataset_type: str,
                run_time: datetime, batch: str) -> None:
     """Write each file's rows to the place its outcome names."""
-    known = outcomes.select("original_file", "route", "record_count")
-    routed = rows.drop("file_columns").join(known, "original_file")
+    rows = rows.drop("file_columns").withColumnsRenamed({c: f"source_{c}" for c in RESERVED})
+    routed = rows.join(outcomes.select("original_file", "route", "record_count"), "original_file")
     passed = routed.where(F.col("route") == "validated").drop("route")
     sinks.write_validated(passed, target, dataset_type, run_time, batch)
     held = routed.where(F.col("route") != "validated").drop("record_count")
@@ -162,9 +168,15 @@ def route_rows(rows: DataFrame, outcomes: DataFrame, target: str, dataset_type:
 def _unread(entries: DataFrame, status: str, message: Column,
             route: str = "quarantine") -> DataFrame:
     """Log entries of files without rows."""
+    texts = "array<string>"
     return entries.select(
-        F.col("path").alias("original_file"), "dataset_type", F.lit(status).alias("status"),
-        message.alias("message"), F.lit(0).cast("bigint").alias("record_count"),
+        F.col("path").alias("original_file"), "dataset_type", "source_organization",
+        F.col("size").cast("bigint").alias("size"), F.lit(status).alias("status"),
+        message.alias("message"),
+        (F.array(message) if status in ("ERROR", "FAILED") else F.array()).cast(texts).alias("errors"),
+        (F.array(message) if status == "WARNING" else F.array()).cast(texts).alias("warnings"),
+        F.lit(None).cast("map<string,double>").alias("details"),
+        F.lit(0).cast("bigint").alias("record_count"),
         F.lit(0).cast("bigint").alias("pii_findings"),
         F.lit(None).cast("double").alias("completeness"), F.lit(route).alias("route"))
 
@@ -173,48 +185,87 @@ def validation_job(spark: SparkSession, source: str, target: str, run_time: date
                    rules: dict[str, list[dict]]) -> DataFrame:
     """Admit, read, validate and route all files under source; return the log.
 
-    Files are handled per format and dataset type, never one by one. `rules`
-    maps a dataset type to its rules. The log has one row per file. When a
-    batch cannot be read, its files are logged as ERROR and the others go on.
+    `rules` maps a dataset type to its rules. The log has one row per file, with
+    errors, warnings and measured details. A file that cannot be read or judged
+    is logged as ERROR, the others go on.
     """
-    day = run_time.date()
-    manifest = admission.with_dataset_type(files.file_manifest(spark, source))
-    admitted = admission.admit_files(manifest)
-    readable = F.col("valid") & F.col("extension").isin(*READERS)
-    reason = F.coalesce("reason", F.concat(F.lit("No reader for "), "extension"))
+    with scratch.scope(spark):
+        return validate_manifest(spark, files.file_manifest(spark, source), source, target,
+                                 run_time, rules)
+
+
+def validate_manifest(spark: SparkSession, manifest: DataFrame, source: str, target: str,
+                      run_time: datetime, rules: dict[str, list[dict]], batch: str = "") -> DataFrame:
+    """validation_job for the files of a manifest (path, size, event_time).
+
+    Files are handled in pages of one format and dataset type, never one by one;
+    the driver holds the paths of a page. `batch` names the outputs of one of
+    several calls with the same run time.
+    """
+    tagged = admission.with_dataset_type(manifest)
+    admitted, _ = scratch.materialize(
+        admission.admit_files(admission.default_tags(tagged)), "admitted")
+    hidden = files.hidden_name(F.col("path"))
+    readable = F.col("valid") & F.col("extension").isin(*READERS) & ~hidden
+    reason = F.coalesce("reason", F.when(hidden, "No reader for names that begin with _ or ."),
+                        F.concat(F.lit("No reader for "), "extension"))
     rejected = admitted.where(~readable).withColumn("reason", reason)
-    sinks.write_quarantine(admission.quarantine(rejected, day), target, run_time)
-    log = _unread(rejected, "FAILED", F.col("reason"))
-    # One row per file, like the listing the driver makes of any source.
-    listed = admitted.where(readable).select("extension", "dataset_type", "path").collect()
-    batches: dict[tuple[str, str], list[str]] = {}
-    for f in listed:
-        batches.setdefault((f.extension, f.dataset_type), []).append(files.literal_path(f.path))
-    copies = []
-    try:
-        for (extension, dataset_type), paths in sorted(batches.items()):
-            batch = admitted.where(readable).where(
-                (F.col("extension") == extension) & (F.col("dataset_type") == dataset_type))
-            try:
+    sinks.write_quarantine(admission.quarantine(rejected, run_time.date(), source), target,
+                           run_time, batch)
+    log = scratch.Appended(spark, "log")
+    log.add(_unread(rejected, "FAILED", F.col("reason")).select(*LOG_COLUMNS))
+    listed = admitted.where(readable).select("extension", "dataset_type", "path") \
+        .orderBy("extension", "dataset_type", "path").toLocalIterator()
+    pages = files.pages_of(listed, lambda f: (f.extension, f.dataset_type))
+    for number, ((extension, dataset_type), page) in enumerate(pages):
+        own = f"{batch}-" * bool(batch) + f"{extension[1:]}{number}"
+        _validate_page(spark, admitted, extension, dataset_type, [f.path for f in page], target,
+                       run_time, rules.get(dataset_type, []), own, log)
+    return sinks.write_validation_log(log.read(), target, run_time, batch)
+
+
+def _validate_page(spark: SparkSession, admitted: DataFrame, extension: str, dataset_type: str,
+                   paths: list[str], target: str, run_time: datetime, rules: list[dict],
+                   batch: str, log: "scratch.Appended") -> None:
+    """Read, judge and route some files; when that fails, each half on its own."""
+    wanted = F.broadcast(spark.createDataFrame([(p,) for p in paths], "path string"))  # a page
+    entries = admitted.join(wanted, "path", "left_semi")
+    with scratch.scope(spark):
+        try:
+            broken = []
+            if extension in BROKEN:
+                broken = BROKEN[extension](spark, [files.literal_path(p) for p in paths]).collect()
+            if broken:
+                why = F.broadcast(spark.createDataFrame(broken, "path string, why string"))
+                bad = _unread(entries.join(why, "path"), "ERROR",
+                              F.concat(F.lit("Validation failed with error: "), "why"))
+                entries = entries.join(why, "path", "left_anti")
+                known = {b.path for b in broken}
+                paths = [p for p in paths if p not in known]
+            if paths:
                 # Text is parsed once; the checks and writes below read columns of the copy.
-                rows, copy = scratch.materialize(
-                    READERS[extension](spark, paths, source=True), "rows")
-                copies.append(copy)
-                outcomes, copy = scratch.materialize(validation.validate_files(
-                    rows, rules.get(dataset_type, []), day), "outcomes")
-                copies.append(copy)
-                route_rows(rows, outcomes, target, dataset_type, run_time, extension[1:])
-                silent = batch.join(outcomes, F.col("path") == F.col("original_file"), "left_anti")
-                entries = outcomes.withColumn("dataset_type", F.lit(dataset_type)) \
-                    .select(*LOG_COLUMNS).unionByName(
-                        _unread(silent, "WARNING", F.lit("File has no records"), "review"))
-            except (PySparkException, Py4JJavaError) as e:
-                entries = _unread(batch, "ERROR", F.lit(f"Validation failed with error: {e}"))
-            log = log.unionByName(entries)
-        return sinks.write_validation_log(log, target, run_time)
-    finally:
-        for copy in copies:
-            scratch.remove(spark, copy)
+                rows, _ = scratch.materialize(READERS[extension](
+                    spark, [files.literal_path(p) for p in paths], source=True), "rows")
+                outcomes, _ = scratch.materialize(
+                    validation.validate_files(rows, rules, run_time.date()), "outcomes")
+                route_rows(rows, outcomes, target, dataset_type, run_time, batch)
+                tags = entries.select("path", "dataset_type", "source_organization",
+                                      F.col("size").cast("bigint").alias("size"))
+                judged = outcomes.join(tags, F.col("path") == F.col("original_file"))
+                silent = entries.join(outcomes, F.col("path") == F.col("original_file"), "left_anti")
+                log.add(judged.select(*LOG_COLUMNS).unionByName(
+                    _unread(silent, "WARNING", F.lit("File has no records"), "review")))
+            if broken:
+                log.add(bad.select(*LOG_COLUMNS))
+            return
+        except (PySparkException, Py4JJavaError) as e:
+            if len(paths) <= 1:
+                failed = F.lit(f"Validation failed with error: {e}")
+                log.add(_unread(entries, "ERROR", failed).select(*LOG_COLUMNS))
+                return
+    for side, half in enumerate((paths[:len(paths) // 2], paths[len(paths) // 2:])):
+        _validate_page(spark, admitted, extension, dataset_type, half, target, run_time, rules,
+                       f"{batch}.{side}", log)
 
 
 def validation_rates(log: DataFrame) -> DataFrame:

@@ -51,6 +51,20 @@ def remove(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+class Appended:
+    """A scratch table that grows frame by frame; columns may differ."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, scratch_path(spark, name)
+        _written.append((spark.sparkContext.applicationId, self.path))
+
+    def add(self, df: DataFrame) -> None:
+        df.write.mode("append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Remove every copy that is made inside, when the work inside is done.

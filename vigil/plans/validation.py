@@ -56,19 +56,26 @@ def validate_files(df: DataFrame, rules: list[dict], as_of: date | None = None,
     rows = data.groupBy(quoted(file)).agg(
         F.expr("count(1) AS record_count"), F.expr(f"sum({filled}) AS filled"))
     found = pii.scan(data, patterns, by=(file,), present=present).groupBy(quoted(file)).agg(
-        F.expr("count(1) AS pii_findings"))
-    judged = V.aggregate_results(V.evaluate(data, rules, as_of, [file], present), [file])
+        F.expr("count(1) AS pii_findings"),
+        F.sort_array(F.collect_list(F.concat_ws(": ", "column_name", "finding"))).alias("personal"))
+    results = V.evaluate(data, rules, as_of, [file], present)
+    judged = V.aggregate_results(results, [file])
+    measured = results.select(quoted(file), "rule_id", F.explode("details").alias("k", "v")) \
+        .groupBy(quoted(file), "rule_id", "k").agg(F.max("v").alias("v")) \
+        .groupBy(quoted(file)).agg(F.map_from_entries(F.sort_array(F.collect_list(
+            F.struct(F.concat_ws(".", "rule_id", "k").alias("k"), "v")))).alias("details"))
     personal = F.col("pii_findings") > 0
     empty = F.array().cast("array<string>")
     return (
         rows.join(present, file).join(found, file, "left").join(judged, file, "left")
+        .join(measured, file, "left")
         .withColumns({
             "pii_findings": F.coalesce("pii_findings", F.lit(0)),
             "completeness": share(F.col("filled"), F.col("record_count") * F.size("columns")),
             "status": F.when(personal, "FAILED").otherwise(F.coalesce("status", F.lit("PASSED"))),
             "message": F.when(personal, PII_MESSAGE).otherwise(
                 F.coalesce("message", F.lit("No validation rules applied"))),
-            "errors": F.when(personal, empty).otherwise(F.coalesce("errors", empty)),
+            "errors": F.when(personal, F.col("personal")).otherwise(F.coalesce("errors", empty)),
             "warnings": F.when(personal, empty).otherwise(F.coalesce("warnings", empty))})
-        .withColumn("route", route(F.col("status"))).drop("filled", "columns")
+        .withColumn("route", route(F.col("status"))).drop("filled", "columns", "personal")
     )

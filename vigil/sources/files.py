@@ -1,13 +1,19 @@
 """Readers for uploaded files, tables, rules and file manifests."""
 
+import itertools
 import json
 import re
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vigil.operators.rules import rules_from_document
+from vigil.plans import scratch
 
+#: Files whose paths the driver holds at once, and headers it joins in one plan.
+PAGE_FILES = 5_000
+FEW_HEADERS = 8
 
 SOURCE_COLUMNS = ["original_file", "validation_timestamp", "record_count", "run"]
 CSV_FILES = "*.[cC][sS][vV]"
@@ -70,25 +76,48 @@ def scan_csv(spark: SparkSession, path: str | list[str], infer_types: bool = Fal
     """CSV files with headers; columns are matched by name across files.
 
     A file that is not valid UTF-8 is read as Latin-1. When headers or encodings
-    differ, files are read together per header and encoding; the driver then
-    holds their paths, as it does for any file listing. multi_line allows line
-    breaks in quotes, and then reads each file in one task.
+    differ, files are read together per header and encoding. A few of them make
+    one plan; of many, page by page, the rows are added to one scratch table,
+    whose columns are those of all files (as text, also with infer_types). The
+    driver holds the paths of one page. multi_line allows line breaks in quotes,
+    and then reads each file in one task.
     """
-    inspected = inspect_text(spark, path).collect()  # one row per file
-    if not inspected:
-        raise ValueError(f"no CSV files under {path}")
-    groups: dict[tuple, list[str]] = {}
-    for f in inspected:
-        groups.setdefault((f.header, f.utf8), []).append(literal_path(f.file))
-    frames = []
-    for (_, utf8), files in sorted(groups.items()):
+    inspected, copy = scratch.materialize(inspect_text(spark, path), "headers")
+
+    def read(utf8: bool, files: str | list[str], typed: bool) -> DataFrame:
         reader = spark.read.options(
-            header="true", inferSchema=str(infer_types), multiLine=str(multi_line),
+            header="true", inferSchema=str(typed), multiLine=str(multi_line),
             encoding="UTF-8" if utf8 else "ISO-8859-1",
             recursiveFileLookup="true", pathGlobFilter=CSV_FILES)
-        rows = reader.csv(path if len(groups) == 1 else files)
-        frames.append(with_columns_of_file(rows).transform(with_file) if source else rows)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        rows = reader.csv(files)
+        return with_columns_of_file(rows).transform(with_file) if source else rows
+
+    try:
+        kinds = inspected.groupBy("header", "utf8").agg(F.count(F.lit(1)).alias("files"))
+        some = kinds.orderBy("header", "utf8").limit(FEW_HEADERS + 1).collect()
+        if not some:
+            raise ValueError(f"no CSV files under {path}")
+        if len(some) == 1:
+            return read(some[0].utf8, path, infer_types)
+        listed = inspected.orderBy("header", "utf8", "file").toLocalIterator()
+        pages = pages_of(listed, lambda f: (f.header, f.utf8))
+        if len(some) <= FEW_HEADERS and sum(k.files for k in some) <= PAGE_FILES:
+            frames = [read(utf8, [literal_path(f.file) for f in page], infer_types)
+                      for (_, utf8), page in pages]
+            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        table = scratch.Appended(spark, "csv")
+        for (_, utf8), page in pages:
+            table.add(read(utf8, [literal_path(f.file) for f in page], False))
+        return table.read()
+    finally:
+        scratch.remove(spark, copy)
+
+
+def pages_of(items, key, size: int | None = None) -> Iterator[tuple]:
+    """(key, items) of runs of equal keys, in lists of at most `size` items."""
+    for k, run in itertools.groupby(items, key):
+        while page := list(itertools.islice(run, size or PAGE_FILES)):
+            yield k, page
 
 
 def scan_xml(spark: SparkSession, path: str | list[str], row_tag: str = "record",
@@ -139,20 +168,72 @@ def load_rules(spark: SparkSession, path: str, dataset_type: str | None = None,
             and rule_type in (None, r["rule_type"])]
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+def _listed(spark: SparkSession, path: str) -> Iterator[tuple[str, int, int]]:
+    """path, size and modification time of every file below path (or a pattern)."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for root in system.globStatus(pattern) or ():
+        found = system.listFiles(root.getPath(), True)
+        while found.hasNext():
+            f = found.next()
+            yield f.getPath().toString(), f.getLen(), f.getModificationTime()
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """path, size and event_time of every file; contents are not read."""
-    return _files(spark, path).select(
-        "path", F.col("length").alias("size"), F.col("modificationTime").alias("event_time"))
+    """path, size and event_time of every file; contents are not read.
+
+    Empty files and names that Spark's readers skip (they begin with _ or .)
+    are listed too. The listing goes to scratch page by page.
+    """
+    schema = "path string, size long, event_time long"
+    table = scratch.Appended(spark, "manifest")
+    table.add(spark.createDataFrame([], schema))
+    for _, page in pages_of(_listed(spark, path), lambda f: None):
+        table.add(spark.createDataFrame(page, schema))
+    return table.read().withColumn("event_time", F.timestamp_millis("event_time"))
+
+
+def hidden_name(path: Column) -> Column:
+    """Whether Spark's readers skip the file: its name begins with _ or a dot."""
+    return path.rlike(r"(^|/)[_.][^/]*$")
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest with the SHA-256 of each file's content."""
-    return with_digest(_files(spark, path).select(
-        "path", F.col("length").alias("size"), "content"), "content").drop("content")
+    """path, size and SHA-256 of the content of every file that readers see.
+
+    Empty files have no row in Spark's binary reader; they get the digest of
+    no bytes from the manifest.
+    """
+    contents = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    read = with_digest(contents.select("path", F.col("length").alias("size"), "content"), "content")
+    empty = file_manifest(spark, path).where((F.col("size") == 0) & ~hidden_name(F.col("path")))
+    return read.drop("content").unionByName(
+        empty.select("path", "size", F.sha2(F.lit("").cast("binary"), 256).alias("digest")))
+
+
+# --- files that cannot be read -------------------------------------------------------
+
+def broken_json(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, message) of files that are no JSON, or documents without records."""
+    found = spark.read.schema("records string, __corrupt string").options(
+        multiLine="true", columnNameOfCorruptRecord="__corrupt").json(paths)
+    return found.select(
+        file_path().alias("path"),
+        F.when(F.col("__corrupt").isNotNull(), "not a JSON document")
+        .when(F.col("records").isNull(), "no records in the document").alias("message"),
+    ).where(F.col("message").isNotNull()).distinct()
+
+
+def broken_xml(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, message) of files whose root element is missing or not closed."""
+    text = F.regexp_replace("value", r"\s+", "")
+    whole = spark.read.text(paths, wholetext=True).select(
+        file_path().alias("path"), text.alias("text"),
+        F.regexp_extract("value", r"<([A-Za-z_][^\s/>]*)", 1).alias("root"))
+    closed = F.endswith("text", F.concat(F.lit("</"), "root", F.lit(">"))) | F.col("text").rlike(
+        r"^[^<]*(<[?!][^>]*>)*<[A-Za-z_][^<>]*/>$")
+    return whole.where((F.col("root") == "") | ~closed).select(
+        "path", F.lit("not a whole XML document").alias("message"))
 
 
 def with_digest(df: DataFrame, content: str) -> DataFrame:

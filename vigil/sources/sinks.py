@@ -45,12 +45,30 @@ def write_clustered(df: DataFrame, root: str, name: str, by: list[str], sort: st
     return path
 
 
-def write_table(df: DataFrame, table: str, path: str | None = None, append: bool = False) -> None:
-    """Create, replace or extend a catalog table."""
-    if append and df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+def write_table(df: DataFrame, table: str, path: str | None = None, append: bool = False,
+                day: str | None = None) -> None:
+    """Create, replace or extend a catalog table.
+
+    With `day`, a date column, the table is partitioned by it and extending
+    replaces the days the frame holds, so that a repeated run adds nothing.
+    """
+    spark = df.sparkSession
+    if append and spark.catalog.tableExists(table):
+        rows = df.select(*spark.table(table).columns)
+        if day is None:
+            rows.write.insertInto(table)
+        else:
+            # insertInto takes the mode from the session only.
+            mode = "spark.sql.sources.partitionOverwriteMode"
+            before = spark.conf.get(mode)
+            spark.conf.set(mode, "dynamic")
+            try:
+                rows.write.insertInto(table, overwrite=True)
+            finally:
+                spark.conf.set(mode, before)
         return
     writer = df.write.format("parquet").mode("overwrite")
+    writer = writer.partitionBy(day) if day else writer
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
@@ -112,17 +130,18 @@ def write_held(df: DataFrame, root: str, dataset_type: str, run_time: datetime,
     return path
 
 
-def write_quarantine(rejected: DataFrame, root: str, run_time: datetime) -> str:
+def write_quarantine(rejected: DataFrame, root: str, run_time: datetime, batch: str = "") -> str:
     """Rejected files by the day they were set aside, and run."""
     path = f"{root}/quarantine"
-    _overwrite(rejected.withColumn("run", F.lit(run_name(run_time))), "quarantine_date", "run") \
-        .parquet(path)
+    _overwrite(rejected.withColumn("run", F.lit(run_name(run_time, batch))),
+               "quarantine_date", "run").parquet(path)
     return path
 
 
-def write_validation_log(entries: DataFrame, root: str, run_time: datetime) -> DataFrame:
+def write_validation_log(entries: DataFrame, root: str, run_time: datetime,
+                         batch: str = "") -> DataFrame:
     """One JSON line per validated file, by day and run; returns the run's entries."""
-    path, run = f"{root}/logs", run_name(run_time)
+    path, run = f"{root}/logs", run_name(run_time, batch)
     entries.withColumns({"log_date": F.lit(run_time.date()), "run": F.lit(run)}) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("log_date", "run").json(path)

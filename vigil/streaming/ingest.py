@@ -1,14 +1,14 @@
 """Incremental reading of new files, and validation of them as they arrive."""
 
-from collections.abc import Callable
-from datetime import date
+import threading
+from collections import Counter
+from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from vigil import constants as C
-from vigil.functions.text import dataset_type_of
-from vigil.plans import scratch, validation
-from vigil.sources.files import file_path, with_columns_of_file
+from vigil.plans import jobs, scratch
 
 
 def new_files(spark: SparkSession, source: str, schema: T.StructType,
@@ -23,66 +23,77 @@ def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, s
 
     The checkpoint remembers the files, so a second run reads none of them.
     """
-    query = (
-        new_files(spark, source, schema, file_format, **options).writeStream
-        .format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
-
-
-def _judged(rows: DataFrame, rules: dict[str, list[dict]], as_of: date) -> DataFrame:
-    """The outcome of every file of a batch."""
-    too_large = F.col("__size") > C.MAX_FILE_BYTES
-    log = rows.where(too_large).groupBy("original_file", "dataset_type") \
-        .agg(F.count(F.lit(1)).alias("record_count")) \
-        .withColumns({"status": F.lit("FAILED"), "route": F.lit("quarantine"),
-                      "message": F.lit("File exceeds maximum size")})
-    present = rows.where(~too_large).select("dataset_type").distinct().collect()
-    for (dataset_type,) in sorted(present):  # at most one per dataset type
-        typed = rows.where(~too_large & (F.col("dataset_type") == dataset_type)) \
-            .drop("__size", "dataset_type")
-        outcome = validation.validate_files(typed, rules.get(dataset_type, []), as_of)
-        log = log.unionByName(outcome.withColumn("dataset_type", F.lit(dataset_type)),
-                              allowMissingColumns=True)
-    return log
-
-
-def _per_batch(target: str, rules: dict[str, list[dict]], as_of: date) -> Callable:
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # A repeated batch replaces its own folders, so a restart repeats nothing.
-        def write(df: DataFrame, name: str, *partitions: str) -> None:
-            df.write.mode("overwrite").partitionBy(*partitions) \
-                .parquet(f"{target}/{name}/batch={batch_id}")
-
-        spark = batch.sparkSession
-        rows, copy = scratch.materialize(batch, "batch")  # the text is parsed once
-        try:
-            write(_judged(rows, rules, as_of), "log", "dataset_type")
-            outcomes = spark.read.parquet(f"{target}/log/batch={batch_id}") \
-                .select("original_file", "route")
-            write(rows.drop("__size", "file_columns").join(outcomes, "original_file"), "routed",
-                  "route", "dataset_type")
-        finally:
-            scratch.remove(spark, copy)
-
-    return handle
-
-
-def validate_and_route(spark: SparkSession, source: str, schema: T.StructType, target: str,
-                       checkpoint: str, rules: dict[str, list[dict]], as_of: date,
-                       file_format: str = "csv", **options):
-    """Validate every new file once and write its rows under routed/batch=/route=.
-
-    A file arrives in one batch, whose files are judged together.
+    with counted_rows(spark) as rows:
+        query = (
+            new_files(spark, source, schema, file_format, **options).writeStream
+            .format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    return rows(query)
+
+
+@contextmanager
+def counted_rows(spark: SparkSession):
+    """Count the input rows of queries started inside, over all their batches.
+
+    (A query itself remembers its last hundred batches only.)
     """
-    rows = with_columns_of_file(new_files(spark, source, schema, file_format, **options)).select(
-        "*", file_path().alias("original_file"), F.col("_metadata.file_size").alias("__size"))
-    rows = rows.withColumn("dataset_type", dataset_type_of(F.col("original_file")))
+    rows, ended = Counter(), {}
+
+    class Listener(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            ended.setdefault(str(event.id), threading.Event())
+
+        def onQueryProgress(self, event):
+            rows[str(event.progress.id)] += event.progress.numInputRows
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            ended.setdefault(str(event.id), threading.Event()).set()
+
+    listener = Listener()
+    spark.streams.addListener(listener)
+
+    def total(query) -> int:
+        return rows[str(query.id)]
+
+    try:
+        yield total
+        # Events arrive in order, a moment after the query itself has ended.
+        for event in list(ended.values()):
+            event.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def validate_and_route(spark: SparkSession, source: str, target: str, checkpoint: str,
+                       rules: dict[str, list[dict]], run_time: datetime, **options):
+    """Validate every new file once, by the same readers, rules and log as the batch job.
+
+    The stream carries names and sizes of files only; a batch is read by
+    column names, judged and routed like the files of jobs.validation_job, and
+    its outputs bear its number, so a repeated batch replaces them. (Spark's file
+    stream does not report empty files and names that begin with _ or a dot.)
+    """
+    new = spark.readStream.schema(FILE_SCHEMA).format("binaryFile") \
+        .options(recursiveFileLookup="true", **options).load(source) \
+        .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("event_time"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        with scratch.scope(session):
+            manifest, _ = scratch.materialize(batch, "arrived")
+            jobs.validate_manifest(session, manifest, source, target, run_time, rules, f"b{batch_id}")
+
     query = (
-        rows.writeStream.foreachBatch(_per_batch(target, rules, as_of))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        new.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
     query.awaitTermination()
     return query

@@ -195,13 +195,18 @@ def sink_validated(spark, sf):
 
 
 @query("K08_sink_validation_log", """
-SELECT path AS original_file, CASE WHEN size > 104857600 THEN 'failed' ELSE 'success' END AS status,
+SELECT path AS original_file,
+       CASE WHEN path NOT LIKE '%.csv' AND path NOT LIKE '%.json' AND path NOT LIKE '%.XML'
+              OR size > 104857600 THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN path NOT LIKE '%.csv' AND path NOT LIKE '%.json' AND path NOT LIKE '%.XML'
+              THEN 'Unsupported file format: .txt'
+            WHEN size > 104857600
+              THEN 'File size ' || size || ' exceeds maximum 104857600' END AS reason,
        '2025-01-31' AS log_date, '20250131_120000' AS run
-FROM files WHERE path LIKE '%.csv' OR path LIKE '%.json' OR path LIKE '%.XML'""", ("files",))
+FROM files""", ("files",))
 def sink_log(spark, sf):
     admitted = R.admit_files(files(spark, sf).select("path", "size"))
-    entries = R.processing_results(admitted.where(F.col("extension") != ".txt")) \
-        .select(F.col("path").alias("original_file"), "status")
+    entries = R.processing_results(admitted).withColumnRenamed("path", "original_file")
     return K.write_validation_log(entries, scratch_path(spark, "log"), RUN)
 
 
@@ -247,6 +252,14 @@ def _routed(rows):
         F.sum(F.col("case_count").cast("bigint")).alias("cases"))
 
 
+def _routed_rows(spark, target):
+    valid = S.scan_dataset(spark, f"{target}/validated", "communicable_disease") \
+        .withColumn("route", F.lit("validated"))
+    held = spark.read.parquet(f"{target}/held")
+    kept = ["region", "route", "case_count"]
+    return _routed(valid.select(*kept).unionByName(held.select(*kept)))
+
+
 @query("L05_validation_run", ROUTED, ("cd",))
 def validation_run(spark, sf):
     source, target = scratch_path(spark, "uploads"), scratch_path(spark, "target")
@@ -257,11 +270,7 @@ def validation_run(spark, sf):
     by_region.where(~csv).write.partitionBy("area").format("xml") \
         .option("rootTag", "records").option("rowTag", "record").save(f"{source}/more")
     jobs.validation_job(spark, source, target, RUN, {"communicable_disease": FILE_RULES})
-    valid = S.scan_dataset(spark, f"{target}/validated", "communicable_disease") \
-        .withColumn("route", F.lit("validated"))
-    held = spark.read.parquet(f"{target}/held")
-    kept = ["region", "route", "case_count"]
-    return _routed(valid.select(*kept).unionByName(held.select(*kept)))
+    return _routed_rows(spark, target)
 
 
 # --- streams ------------------------------------------------------------------------
@@ -284,12 +293,14 @@ def incremental(spark, sf):
 def routed_stream(spark, sf):
     root = scratch_path(spark, "route")
     rows = communicable(spark, sf).select(*TIES, *RECORD)
-    rows.withColumn("area", F.col("region")).write.partitionBy("area") \
-        .option("header", "true").csv(f"{root}/in")
-    ingest.validate_and_route(
-        spark, f"{root}/in/*", rows.schema, f"{root}/out", f"{root}/state",
-        {"communicable_disease": FILE_RULES}, RUN.date(), header="true")
-    return _routed(spark.read.parquet(f"{root}/out/routed"))
+    # One half has its columns in another order.
+    turned = F.col("l_linenumber") % 2 == 0
+    for name, part in (("a", rows.where(~turned)), ("b", rows.where(turned).select(*rows.columns[::-1]))):
+        part.withColumn("area", F.col("region")).write.partitionBy("area") \
+            .option("header", "true").csv(f"{root}/in/{name}")
+    ingest.validate_and_route(spark, f"{root}/in", f"{root}/out", f"{root}/state",
+                              {"communicable_disease": FILE_RULES}, RUN)
+    return _routed_rows(spark, f"{root}/out")
 
 
 @query("T03_windowed_alarm_stream", """
