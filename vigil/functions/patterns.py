@@ -1,6 +1,6 @@
 """Personal-data patterns and column-name indicators (fixed values)."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -9,10 +9,21 @@ class Pattern:
     regex: str
     severity: str = "medium"
     action: str = "redact"
+    # A simple expression that every text with a match also matches: most texts
+    # are passed over by it alone.
+    needs: str | None = None
+
+
+DIGIT, AT = "[0-9]", "@"
+
+
+def _with_needs(patterns: list[Pattern]) -> list[Pattern]:
+    """The built-in patterns all hold an ASCII digit, except e-mail addresses, which hold an @."""
+    return [replace(p, needs=AT if p.name == "email" else DIGIT) for p in patterns]
 
 
 # The patterns of the file validator.
-INLINE = [
+INLINE = _with_needs([
     Pattern("nhs_number", r"\b[0-9]{3}[\s-]?[0-9]{3}[\s-]?[0-9]{4}\b"),
     Pattern("ni_number", r"\b[A-Z]{2}[0-9]{6}[A-Z]\b"),
     Pattern("phone", r"\b(?:0[1-9]\d{8,9}|07\d{9}|\+44\s?7\d{3}\s?\d{6})\b"),
@@ -20,10 +31,10 @@ INLINE = [
     Pattern("postcode", r"\b[A-Z]{1,2}[0-9]{1,2}[A-Z]?\s?[0-9][A-Z]{2}\b"),
     Pattern("dob", r"\b(?:0[1-9]|[12][0-9]|3[01])[-/](?:0[1-9]|1[012])[-/](?:19|20)\d\d\b"),
     Pattern("credit_card", r"\b(?:\d{4}[\s-]?){3}\d{4}\b"),
-]
+])
 
 # The patterns of the configuration, with severity and action.
-UK_CONFIG = [
+UK_CONFIG = _with_needs([
     Pattern("nhs_number", r"\b[0-9]{3}[\s-]?[0-9]{3}[\s-]?[0-9]{4}\b", "high"),
     Pattern("ni_number",
             r"\b[A-CEGHJ-PR-TW-Z]{1}[A-CEGHJ-NPR-TW-Z]{1}[0-9]{6}[A-DFM]{0,1}\b", "high"),
@@ -37,17 +48,17 @@ UK_CONFIG = [
             r"\b(?:0[1-9]|[12][0-9]|3[01])[-/.](?:0[1-9]|1[012])[-/.](?:19|20)\d\d\b"),
     Pattern("bank_account", r"\b[0-9]{8}\b", "high"),
     Pattern("sort_code", r"\b[0-9]{2}[-\s]?[0-9]{2}[-\s]?[0-9]{2}\b", "high"),
-]
+])
 
 # INLINE with a phone that may start with +44 and an e-mail domain without a bar.
 _CORRECTED = {
     "phone": r"(?:\b0[1-9]\d{8,9}|\b07\d{9}|\+44\s?7\d{3}\s?\d{6})\b",
     "email": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b",
 }
-UK_FIXED = [Pattern(p.name, _CORRECTED.get(p.name, p.regex), p.severity, p.action) for p in INLINE]
+UK_FIXED = [replace(p, regex=_CORRECTED.get(p.name, p.regex)) for p in INLINE]
 
 # Fixed value: the managed scanner's identifier, without word boundaries or dashes.
-NHS_LOOSE = [Pattern("nhs_number", r"[0-9]{3}\s?[0-9]{3}\s?[0-9]{4}", "high")]
+NHS_LOOSE = _with_needs([Pattern("nhs_number", r"[0-9]{3}\s?[0-9]{3}\s?[0-9]{4}", "high")])
 
 PATTERN_SETS = {"inline": INLINE, "uk_config": UK_CONFIG, "uk_fixed": UK_FIXED,
                 "nhs_loose": NHS_LOOSE}

@@ -25,6 +25,9 @@ _FINDING = ["column_name", "source", "pii_type", "severity", "finding"]
 
 def _findings(df: DataFrame, entries: list[tuple], by: tuple = ()) -> DataFrame:
     """One scan over all (column, source, type, severity, text, condition) entries."""
+    needed = {e[6]: f"__needs{i}" for i, e in enumerate(entries) if len(e) > 6}
+    df = df.withColumns({name: F.expr(test) for test, name in needed.items()})
+    entries = [(*e[:5], f"{needed[e[6]]} AND {e[5]}") if len(e) > 6 else e for e in entries]
     measured = df.groupBy(*[quoted(k) for k in by]).agg(
         F.expr("count(1) AS __rows"),
         *[F.expr(f"count_if({e[5]}) AS f{i}") for i, e in enumerate(entries)])
@@ -44,7 +47,8 @@ def _name_entries(df, indicators, allowed):
 
 def _content_entries(df, patterns, columns=None):
     return [(c, "content", p.name, p.severity, f"Potential {p.name} detected",
-             f"{name_sql(c)} RLIKE {text_sql(p.regex)}")
+             f"{name_sql(c)} RLIKE {text_sql(p.regex)}",
+             *([f"{name_sql(c)} RLIKE {text_sql(p.needs)}"] if p.needs else []))
             for c in (string_columns(df) if columns is None else columns) for p in patterns]
 
 
@@ -137,13 +141,18 @@ def anonymize(df: DataFrame, match: str = "token") -> DataFrame:
 
 
 def redact_text(text: Column, patterns: list[Pattern] = UK_CONFIG) -> Column:
-    """Replace every match inside a text; postcodes keep their outward part."""
+    """Replace every match inside a text; postcodes keep their outward part.
+
+    Texts without what any of the patterns needs are passed over.
+    """
+    needs = sorted({p.needs for p in patterns if p.needs})
+    given, needed = text, len(needs) > 0 and all(p.needs for p in patterns)
     for p in patterns:
         if p.action == "partial_redact":
             text = F.regexp_replace(text, POSTCODE_PARTS, "$1 ***")
         else:
             text = F.regexp_replace(text, p.regex, REDACTED)
-    return text
+    return F.when(given.rlike("|".join(needs)), text).otherwise(given) if needed else text
 
 
 def apply_pii_actions(df: DataFrame, columns: list[str] | None = None,
