@@ -54,3 +54,17 @@ def test_columns_without_values(spark):
     assert Q.quantiles(df.limit(0), {"b": [0.5]}) == {"b": [None]}
     assert Q.iqr_fences(df, ["a", "b"]) == {"b": (1.0, 1.0)}
     assert Q.quantiles(df, {}) == {}
+
+
+def test_whole_numbers_beyond_doubles(spark):
+    r = random.Random(3)
+    values = [2**60 + 1] * 3
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert Q.quantiles(df, {"v": [0.5]}) == {"v": [2**60 + 1]}
+    values = [r.choice([2**60 + r.randrange(50), -2**62 + r.randrange(9), r.randrange(10**18), -2**63, 2**63 - 1])
+              for _ in range(30_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v long").repartition(4)
+    values.sort()
+    wanted = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    expected = [values[max(1, -(-int(p * 1000) * len(values) // 1000)) - 1] for p in wanted]
+    assert Q.quantiles(df, {"v": wanted}) == {"v": expected}

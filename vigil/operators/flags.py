@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vigil.functions import measures
 from vigil.operators.cleaning import validate_regions
-from vigil.plans import quantiles, skew
+from vigil.plans import quantiles, scratch, skew
 
 CRITICAL = ["report_date", "region", "case_count"]
 DUPLICATE_KEY = ["report_date", "region", "disease_name"]
@@ -17,18 +17,26 @@ def flag_missing_critical(df: DataFrame) -> DataFrame:
     return df.withColumn("has_missing_critical", missing)
 
 
-def flag_outlier(df: DataFrame) -> DataFrame:
-    """Cases outside the quartile fences; false when there are no fences."""
+def flag_outlier(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Cases outside the quartile fences; false when there are no fences.
+
+    source: a frame with the same cases that is cheap to read again.
+    """
     if "case_count" not in df.columns:
         return df
-    fences = quantiles.iqr_fences(df, ["case_count"]).get("case_count")
+    fences = quantiles.iqr_fences(df if source is None else source, ["case_count"]).get("case_count")
     flag = measures.outside(F.col("case_count"), *fences) if fences else F.lit(False)
     return df.withColumn("is_outlier", flag)
 
 
-def flag_duplicate(df: DataFrame, hot_rows: int = skew.HOT_GROUP_ROWS) -> DataFrame:
-    """True for every row whose date, region and disease occur more than once."""
-    counted = skew.with_group_value(df, DUPLICATE_KEY, "__copies", F.count(F.lit(1)), hot_rows)
+def flag_duplicate(df: DataFrame, hot_rows: int = skew.HOT_GROUP_ROWS,
+                   source: DataFrame | None = None) -> DataFrame:
+    """True for every row whose date, region and disease occur more than once.
+
+    source: a frame with the same keys that is cheap to read again.
+    """
+    counted = skew.with_group_value(df, DUPLICATE_KEY, "__copies", F.count(F.lit(1)), hot_rows,
+                                    source=source)
     return counted.withColumn("is_duplicate", F.col("__copies") > 1).drop("__copies")
 
 
@@ -41,8 +49,17 @@ def quality_score(df: DataFrame) -> DataFrame:
 
 
 def apply_quality_flags(df: DataFrame) -> DataFrame:
-    """All flags and the score; regions are validated first if they were not."""
+    """All flags and the score; regions are validated first if they were not.
+
+    The columns that fences and copies depend on are written once to scratch, so
+    that df itself is computed twice, however many passes the fences take.
+    """
     if "valid_region" not in df.columns:
         df = validate_regions(df)
-    return df.transform(flag_missing_critical).transform(flag_outlier) \
-        .transform(flag_duplicate).transform(quality_score)
+    passes = [c for c in dict.fromkeys([*DUPLICATE_KEY, "case_count"]) if c in df.columns]
+    source, path = scratch.materialize(df.select(*passes), "flags")
+    try:
+        return df.transform(flag_missing_critical).transform(flag_outlier, source) \
+            .transform(flag_duplicate, source=source).transform(quality_score)
+    finally:
+        scratch.remove(df.sparkSession, path)

@@ -45,6 +45,8 @@ def _value(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
     if isinstance(kind, T.StringType):
         return numbers.number(quoted(column))
+    if isinstance(kind, T.IntegralType):
+        return quoted(column).cast("bigint")  # exact beyond 2**53
     value = quoted(column).cast("double")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         value = F.when(~F.isnan(value), value)
@@ -62,10 +64,14 @@ def _ranks(n: int, p: float, interpolated: bool) -> tuple[int, int, float]:
 
 
 def _bucket(value: Column, r: _Range) -> Column:
+    if isinstance(r.lo, int) and r.hi - r.lo < 2**63:
+        step = F.lit((r.hi - r.lo) // BUCKETS + 1).cast("bigint")
+        return F.call_function("div", value - F.lit(r.lo).cast("bigint"), step).cast("int")
     if r.uneven:
         return _edge_bucket(value, r)
     # Halved operands keep hi - lo finite over the whole double range.
     width = r.hi / 2 - r.lo / 2
+    value = value.cast("double")
     position = F.floor((value / 2 - F.lit(r.lo / 2)) / F.lit(width) * BUCKETS)
     return F.least(position, F.lit(BUCKETS - 1)).cast("int")
 
@@ -99,7 +105,7 @@ def _narrow(df: DataFrame, ranges: list[_Range]) -> dict[tuple, list]:
             value.between(r.lo, r.hi),
             F.struct(F.lit(i).alias("i"), _bucket(value, r).alias("b"), value.alias("v"))))
     counted = (
-        df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
         .groupBy("e.i", "e.b")
         .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("lo"), F.max("e.v").alias("hi"))
     )
@@ -117,7 +123,7 @@ def _values_inside(df: DataFrame, ranges: list[_Range]) -> dict[tuple, list]:
         entries.append(F.when(value.between(r.lo, r.hi),
                               F.struct(F.lit(i).alias("i"), value.alias("v"))))
     counted = (
-        df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
         .groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n"))
     )
     found: dict[tuple, list] = {r.key: [] for r in ranges}
@@ -180,7 +186,8 @@ def _search(df: DataFrame, wanted: dict[str, list[float]], columns: list[str], r
             below = r.below
             for _, n, lo, hi in buckets[r.key]:
                 if below + n >= rank:
-                    targets[c, rank] = _Range(c, lo, hi, below, n, uneven=n > r.inside / 8)
+                    targets[c, rank] = _Range(c, lo, hi, below, n, 
+                                                uneven=n > r.inside / 8 and not isinstance(lo, int))
                     break
                 below += n
 

@@ -10,17 +10,19 @@ HOT_GROUP_ROWS = 10_000_000
 
 
 def with_group_value(df: DataFrame, keys: list[str], name: str, value: Column,
-                     hot_rows: int = HOT_GROUP_ROWS, few_groups: int = FEW_GROUPS) -> DataFrame:
+                     hot_rows: int = HOT_GROUP_ROWS, few_groups: int = FEW_GROUPS,
+                     source: DataFrame | None = None) -> DataFrame:
     """Add the aggregate `value` of the row's group (null keys form a group).
 
     The groups are aggregated first, and counted. Few groups are broadcast: no
     row moves. Otherwise groups of at least hot_rows rows, of which there can be
     no more than rows / hot_rows, are broadcast to their rows, and a window sees
-    the rows of the other groups only.
+    the rows of the other groups only. source: a frame with the same rows, of the
+    columns that matter, from which the groups are aggregated.
     """
     copies = [f"__k{i}" for i in range(len(keys))]
     groups, _ = materialize(
-        df.groupBy(*[quoted(k).alias(c) for k, c in zip(keys, copies)])
+        (df if source is None else source).groupBy(*[quoted(k).alias(c) for k, c in zip(keys, copies)])
         .agg(F.count(F.lit(1)).alias("__rows"), value.alias("__value")), "groups")
     same = F.lit(True)
     for k, c in zip(keys, copies):

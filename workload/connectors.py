@@ -114,21 +114,33 @@ def load_rules(spark, sf):
 
 
 @query("S07_file_manifest", """
-SELECT DISTINCT lang, true AS has_bytes, true AS has_time FROM documents""")
+SELECT lang, CAST(SUM(strlen(source) + 1) AS BIGINT) AS bytes, true AS has_time
+FROM documents GROUP BY lang""")
 def manifest(spark, sf):
+    """Files with a line of one source per document; the listing knows their sizes."""
     path = scratch_path(spark, "manifest")
-    table(spark, sf, "documents").select("lang", "text").write.partitionBy("lang").json(path)
-    listed = S.file_manifest(spark, path).where(F.col("path").endswith(".json"))
+    table(spark, sf, "documents").select("lang", "source").write.partitionBy("lang").text(path)
+    listed = S.file_manifest(spark, path).where(F.col("path").endswith(".txt"))
     return listed.groupBy(F.regexp_extract("path", "lang=([a-z]+)", 1).alias("lang")).agg(
-        F.bool_and(F.col("size") > 0).alias("has_bytes"),
-        F.bool_and(F.col("event_time").isNotNull()).alias("has_time"))
+        F.sum("size").alias("bytes"), F.bool_and(F.col("event_time").isNotNull()).alias("has_time"))
 
 
 @query("S08_file_digest", """
-SELECT sha256(text) AS digest, COUNT(*) AS copies, MIN(path) AS first_path
-FROM files GROUP BY 1 HAVING COUNT(*) > 1""", ("files",))
+SELECT sha256(name || chr(10)) AS digest, COUNT(*) AS copies
+FROM (SELECT n_name AS name FROM nation UNION ALL
+      SELECT n_name FROM nation WHERE n_regionkey > 0 UNION ALL SELECT r_name FROM region)
+GROUP BY 1 HAVING COUNT(*) > 1""")
 def digest(spark, sf):
-    return S.duplicate_uploads(S.with_digest(files(spark, sf).select("path", "text"), "text"))
+    """Real files, one per name; some names are uploaded twice."""
+    root = scratch_path(spark, "digests")
+    nation = table(spark, sf, "nation").select("n_name", "n_regionkey")
+    uploads = (
+        nation.selectExpr("n_name AS name", "concat('a', n_name) AS folder")
+        .unionByName(nation.where("n_regionkey > 0").selectExpr(
+            "n_name AS name", "concat('b', n_name) AS folder"))
+        .unionByName(table(spark, sf, "region").selectExpr("r_name AS name", "concat('r', r_name) AS folder")))
+    uploads.repartition("folder").write.partitionBy("folder").text(root)
+    return S.duplicate_uploads(S.file_digests(spark, root).where(F.col("size") > 0)).drop("first_path")
 
 
 # --- sinks --------------------------------------------------------------------------
