@@ -8,9 +8,11 @@ are checked on whole texts.
 
 Copies of one text in many versions share many lists. A list whose members are
 known to be connected needs no more checks, so lists are settled in rounds: each
-component is checked against the one center with which it shares most lists,
-what links is joined, and only between members of one list that no round joined
-all pairs are checked in the end.
+component is checked against a center with which it shares many lists, then each
+set against some neighbours in the lists; what links is joined. What is left is
+looked at pair by pair, list by list, on sketches: sums of the elements in many
+small blocks. Blocks that differ are fewer than the elements in one set alone, so
+a pair with too many of them cannot link; the others are checked like the rest.
 """
 
 import numpy as np
@@ -32,7 +34,10 @@ from vigil.plans.scratch import materialize, remove
 WORDS, PERCENT = 3, 90
 #: Sizes of sets for which subsets are weighed against blocks.
 SMALL = 64
-ROUNDS = 6
+#: Rounds against centers, rounds against neighbours, and neighbours of a set in each.
+CENTER_ROUNDS, NEIGHBOUR_ROUNDS, NEIGHBOURS = 2, 4, 8
+#: Members of a list that meet in one task.
+CHUNK = 4_000
 
 
 def shingle_sets(data: list[bytes], words: int) -> Sets:
@@ -225,28 +230,35 @@ def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int,
     wanted = entries.select("set").distinct()
     prints = classes.join(wanted, "set").select("set", F.col("print").alias("of"))
     found = rows.join(prints, F.col("print") == F.col("of")).select("set", "text")
-    whole, _ = materialize(_packed(found), "candidates")
+    whole, _ = materialize(_packed(found, words, percent), "candidates")
     release(spark)
-    nothing = spark.createDataFrame([], "x bigint, y bigint")
     labels = spark.createDataFrame([], "node bigint, label bigint")
-    links, tested = nothing, nothing
-    for turn in range(ROUNDS + 1):
-        last = turn == ROUNDS
-        open_ = _open(entries, labels)
-        pairs = _all_pairs(open_, percent) if last else _centers(open_, percent)
-        pairs, _ = materialize(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if last:
-                break
-            continue
+    links = tested = spark.createDataFrame([], "x bigint, y bigint")
+    turn, last = 0, CENTER_ROUNDS + NEIGHBOUR_ROUNDS
+    while True:
+        open_, path = materialize(_open(entries, labels), "open")
+        if open_.isEmpty():
+            remove(spark, path)
+            return labels
+        if turn < CENTER_ROUNDS:
+            pairs = _centers(open_, tested, percent)
+        elif turn < last:
+            pairs = _neighbours(open_, percent, turn)
+        else:
+            pairs = _possible(open_, whole, percent).join(tested, ["x", "y"], "left_anti")
+        pairs, _ = materialize(pairs, "pairs")
         fresh, _ = materialize(_linked(pairs, whole, words, percent), "links")
-        tested = tested.unionByName(pairs)
+        remove(spark, path)
         release(spark)
-        if fresh.isEmpty():
-            continue
-        links = links.unionByName(fresh)
-        labels, _ = components(links)
-    return labels
+        tested = tested.unionByName(pairs)
+        joined = not fresh.isEmpty()
+        if joined:
+            links = links.unionByName(fresh)
+            labels, _ = components(links)
+        if turn == last:
+            return labels
+        # Where neighbours no longer link, the last round has the rest.
+        turn = turn + 1 if joined or turn < CENTER_ROUNDS else last
 
 
 def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -254,44 +266,157 @@ def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
     named = entries.join(labels, F.col("set") == F.col("node"), "left").select(
         "list", "set", "n", F.coalesce("label", "set").alias("label"))
     spans = named.groupBy("list").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"),
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"),
         F.min(F.struct("label", "set", "n")).alias("center")).where("low < high")
-    return named.join(spans.select("list", "center"), "list")
+    return named.join(spans.select("list", "center", "members"), "list")
 
 
 def _near(a, b, percent: int):
     return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
 
-def _ordered(a, b):
-    return F.least(a, b).alias("x"), F.greatest(a, b).alias("y")
-
-
-def _centers(open_: DataFrame, percent: int) -> DataFrame:
-    """Per component outside the centers' ones a pair with its most frequent center."""
+def _centers(open_: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Per component outside the centers' ones a new pair with its most frequent center."""
     met = (open_.where(F.col("label") != F.col("center.label"))
            .where(_near(F.col("n"), F.col("center.n"), percent))
            .groupBy("label", F.col("center.set").alias("c"))
-           .agg(F.count(F.lit(1)).alias("votes"), F.min("set").alias("s")))
-    best = met.groupBy("label").agg(F.max(F.struct("votes", "c", "s")).alias("b"))
-    return best.select(*_ordered(F.col("b.c"), F.col("b.s"))).distinct()
-
+           .agg(F.count(F.lit(1)).alias("votes"), F.min("set").alias("s"))
+           .select("label", "votes", F.least("c", "s").alias("x"), F.greatest("c", "s").alias("y"))
+           .join(tested, ["x", "y"], "left_anti"))
+    best = met.groupBy("label").agg(F.max(F.struct("votes", "x", "y")).alias("b"))
+    return best.select("b.x", "b.y").distinct()
+
+
+def _neighbours(open_: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Per set the pairs with the sets next to it in most lists, in an order drawn anew."""
+    order = F.xxhash64("set", F.lit(turn))
+    dealt = (open_.select("list", "set", "n", "label", order.alias("place"))
+             .repartitionByRange("list", "place").sortWithinPartitions("list", "place"))
+    schema = StructType.fromDDL("x bigint, y bigint, votes bigint")
+    arrow = to_arrow_schema(schema)
 
-def _all_pairs(open_: DataFrame, percent: int) -> DataFrame:
-    a, b = (open_.select("list", *(F.col(c).alias(f"{c}_{s}") for c in ("set", "n", "label"))) for s in "ab")
-    return (a.join(b, "list")
-            .where((F.col("set_a") < F.col("set_b")) & (F.col("label_a") != F.col("label_b"))
-                   & _near(F.col("n_a"), F.col("n_b"), percent))
-            .select(F.col("set_a").alias("x"), F.col("set_b").alias("y")).distinct())
+    def meet(batches):
+        # Lists that run over into another partition lose neighbours there, not members.
+        for batch in batches:
+            lists, sets, sizes, labels = (batch.column(c).to_numpy() for c in ("list", "set", "n", "label"))
+            found = [np.empty((0, 2), np.int64)]
+            for s in range(1, NEIGHBOURS + 1):
+                small = np.minimum(sizes[s:], sizes[:-s])
+                ok = ((lists[s:] == lists[:-s]) & (labels[s:] != labels[:-s])
+                      & (100 * small >= percent * np.maximum(sizes[s:], sizes[:-s])))
+                found.append(np.sort(np.stack([sets[:-s][ok], sets[s:][ok]], axis=1), axis=1))
+            pairs = np.concatenate(found)
+            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+            pairs = pairs[order]
+            first = np.flatnonzero(np.concatenate(
+                [[True], (pairs[1:] != pairs[:-1]).any(axis=1)])) if len(pairs) else order
+            yield record_batch({"x": pairs[first, 0], "y": pairs[first, 1],
+                                "votes": np.diff(np.append(first, len(pairs)))}, arrow)
+
+    met = dealt.mapInArrow(meet, schema).groupBy("x", "y").agg(F.sum("votes").alias("votes"))
+    best = Window.partitionBy("x").orderBy(F.desc("votes"), "y")
+    return (met.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= NEIGHBOURS)
+            .select("x", "y"))
+
+
+def _possible(open_: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """All pairs between components of one list whose sketches leave a link possible.
+
+    Lists of more than CHUNK members meet chunk by chunk.
+    """
+    spark = open_.sparkSession
+    buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
+    own = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
+    sent = (
+        open_.select("list", "set", "n", "label", chunks.alias("chunks"))
+        .join(whole.select("set", "sketch"), "set")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+        .withColumn("bucket", F.pmod(F.xxhash64("list", "i", "j"), F.lit(buckets)).cast("int"))
+        .select("bucket", "list", "i", "j", "own", "set", "n", "label", "sketch"))
+    schema = StructType.fromDDL("x bigint, y bigint")
+    arrow = to_arrow_schema(schema)
 
+    def meet(group: pa.Table) -> pa.Table:
+        lists, i, j, side, sets, n, labels = (
+            group.column(c).to_numpy() for c in ("list", "i", "j", "own", "set", "n", "label"))
+        sketches = group.column("sketch").to_pylist()
+        order = np.lexsort((j, i, lists))
+        change = np.ones(len(order), bool)
+        keys = np.stack([lists[order], i[order], j[order]], axis=1)
+        change[1:] = (keys[1:] != keys[:-1]).any(axis=1)
+        begin = np.flatnonzero(change)
+        found = set()
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
+            found |= _pairs_of(order[a:b], i[order[a]] == j[order[a]], side, sets, n, labels, sketches, percent)
+        out = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pa.Table.from_batches([record_batch({"x": out[:, 0], "y": out[:, 1]}, arrow)])
+
+    return sent.groupBy("bucket").applyInArrow(meet, schema).distinct()
+
+
+def _pairs_of(own, within: bool, side, sets, n, labels, sketches, percent: int) -> set:
+    """Pairs of some members, of one chunk or between two, that may link."""
+    found: set[tuple[int, int]] = set()
+    by_blocks: dict[int, list[int]] = {}
+    for m in own.tolist():
+        by_blocks.setdefault(len(sketches[m]) // 2, []).append(m)
+    kinds = sorted(by_blocks)
+    for p, few in enumerate(kinds):
+        for many in kinds[p:]:
+            # Sums of small blocks add up to those of larger ones.
+            left, right = np.array(by_blocks[few]), np.array(by_blocks[many])
+            x = np.stack([np.frombuffer(sketches[m], np.uint16) for m in left])
+            y = np.stack([np.frombuffer(sketches[m], np.uint16) for m in right])
+            y = y.reshape(len(y), -1, few).sum(axis=1, dtype=np.uint16)
+            step, most = max(1, (1 << 21) // len(right)), max(1, (1 << 23) // few)
+            for at in range(0, len(left), step):
+                some = left[at:at + step]
+                small, large = (f(n[some][:, None], n[right][None, :]) for f in (np.minimum, np.maximum))
+                ok = (labels[some][:, None] != labels[right][None, :]) & (100 * small >= percent * large)
+                if not within:
+                    ok &= side[some][:, None] != side[right][None, :]
+                single = (small + large) * (100 - percent) // (100 + percent)
+                rows, columns = np.nonzero(ok)
+                for cut in range(0, len(rows), most):
+                    r, c = rows[cut:cut + most], columns[cut:cut + most]
+                    differ = (x[at + r] != y[c]).sum(axis=1)
+                    may = differ <= single[r, c]
+                    u, v = sets[some[r[may]]], sets[right[c[may]]]
+                    found.update(zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist()))
+    return found
+
+
+def sketch(values: np.ndarray, percent: int) -> bytes:
+    """Sums of a set's elements in blocks, modulo 2**16; about four blocks for each
+    element that may be in one set alone, a power of two of them."""
+    single = 2 * len(values) * (100 - percent) // (100 + percent) + 1
+    blocks = 1 << max(4, (4 * single - 1).bit_length())
+    mixed = mix(values)
+    sums = np.bincount((mixed >> np.uint64(40)).astype(np.int64) & (blocks - 1),
+                       (mixed & np.uint64(0xFFFF)).astype(float), blocks)
+    return (sums.astype(np.int64) & 0xFFFF).astype(np.uint16).tobytes()
+
+
+def _packed(found: DataFrame, words: int, percent: int) -> DataFrame:
+    """(set, packed, sketch) of one text of each class."""
 
-def _packed(found: DataFrame) -> DataFrame:
     def task():
         packer = zstandard.ZstdCompressor(level=3)
-        return lambda batch: {"set": batch.column("set"),
-                              "packed": [packer.compress(d) for d in texts(batch, "text")]}
 
-    return map_batches(found, task, "set bigint, packed binary").dropDuplicates(["set"])
+        def work(batch: pa.RecordBatch) -> dict:
+            data, sketches = texts(batch, "text"), []
+            for a, b in portions(data):
+                part = shingle_sets(data[a:b], words)
+                sketches += [sketch(v, percent) for v in np.split(part.values, part.first[1:-1])]
+            return {"set": batch.column("set"), "packed": [packer.compress(d) for d in data],
+                    "sketch": sketches}
+
+        return work
+
+    return map_batches(found, task, "set bigint, packed binary, sketch binary").dropDuplicates(["set"])
 
 
 def _linked(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> DataFrame:
@@ -326,6 +451,28 @@ def _linked(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> Dat
     return map_batches(pairs.join(x, "x").join(y, "y"), task, "x bigint, y bigint")
 
 
-@register("op8_jaccard_join")
+SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM d),
+shingles AS (SELECT r, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (
+  SELECT a.r AS a, b.r AS b FROM shingles AS a JOIN shingles AS b ON a.x = b.x AND a.r < b.r
+    AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT r AS a, r AS b FROM sets
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, CAST(any_value(len(s.s)) AS BIGINT) AS n_shingles, min(t.doc_id) AS component_id
+FROM reach JOIN sets AS s ON reach.a = s.r JOIN sets AS t ON reach.b = t.r GROUP BY s.r, s.doc_id"""
+
+
+@register("op8_jaccard_join", SQL)
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
