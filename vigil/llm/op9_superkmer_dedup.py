@@ -81,12 +81,35 @@ def remove_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
 
         return work
 
-    return map_batches(rows.join(spans, "print", "left").select("id", "text", "spans"), task,
+    return map_batches(rows.join(spans.hint("merge"), "print", "left").select("id", "text", "spans"), task,
                        "id bigint, n_words bigint, n_removed bigint, kept binary"
                        ).withColumnRenamed("id", id_col)
 
 
-@register("op9_superkmer_dedup")
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+words AS (SELECT r, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+windows AS (
+  SELECT r, doc_id, p, array_to_string(w[p:p + 49], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - 48)) AS p FROM d)),
+repeated AS (
+  SELECT r, p FROM (SELECT r, p, doc_id, min(doc_id) OVER (PARTITION BY s) AS first FROM windows)
+  WHERE first < doc_id),
+marked AS (
+  SELECT r, word, w.p, max(x.p) OVER (PARTITION BY r ORDER BY w.p) AS latest
+  FROM words AS w LEFT JOIN repeated AS x USING (r, p)),
+kept AS (
+  SELECT r, count(*) FILTER (WHERE latest > p - 50) AS n_removed,
+         string_agg(word, ' ' ORDER BY p) FILTER (WHERE latest IS NULL OR latest <= p - 50) AS k
+  FROM marked GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
+@register("op9_superkmer_dedup", SQL)
 def op9_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_windows(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
