@@ -141,7 +141,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
 
         return work
 
-    return map_batches(rows.join(spans, "print", "left").select("id", "text", "spans"), task,
+    return map_batches(rows.join(spans.hint("merge"), "print", "left").select("id", "text", "spans"), task,
                        "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
                        ).withColumnRenamed("id", id_col)
 
@@ -158,7 +158,7 @@ def shorten(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str
     keyed = passages.keyed(docs, id_col, text_col)
     spans = passages.repeated_spans(keyed, Spec("byte", window, gram), least_by_suffixes, hot)
     own = F.xxhash64(F.col(f"row.`{id_col}`").cast("long"), F.coalesce("text", F.lit("")))
-    joined = rows.withColumn("print", own).join(spans, "print", "left").select("row", "text", "spans")
+    joined = rows.withColumn("print", own).join(spans.hint("merge"), "print", "left").select("row", "text", "spans")
     kind = joined.schema["row"].dataType.simpleString()
 
     def task():
@@ -191,7 +191,33 @@ def _without(data: bytes, spans: np.ndarray) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
-@register("op10_suffix_dedup")
+SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (
+  SELECT r, doc_id, unnest(range(0, strlen(h) // 2)) AS p,
+         unnest(list_transform(range(0, strlen(h) // 2), lambda p: substr(h, 2 * p + 1, 100))) AS s
+  FROM d),
+judged AS (
+  SELECT r, p, s[1:2] AS byte, CASE WHEN strlen(s) = 100
+           AND min(doc_id) OVER (PARTITION BY s) < doc_id THEN p END AS x
+  FROM bytes),
+marked AS (
+  SELECT r, p, byte, coalesce(max(x) OVER (PARTITION BY r ORDER BY p) > p - 50, false) AS gone
+  FROM judged),
+edges AS (
+  SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY r ORDER BY p) AS begins FROM marked),
+kept AS (
+  SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+         string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT gone) AS k
+  FROM edges GROUP BY r)
+SELECT doc_id, CAST(strlen(h) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
+@register("op10_suffix_dedup", SQL)
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans",

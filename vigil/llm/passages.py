@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from vigil.llm.workers import record_batch, texts
 from vigil.plans.scratch import materialize, remove
 
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 3 << 20
 HOT = 50_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
@@ -192,7 +192,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, spec: Spec, exact: Callable, hot: int = HOT) -> DataFrame:
     """(print, spans): units of each keyed row covered by windows that also start in
-    a row of smaller id. spans: int64 pairs begin, end; one or more packed arrays.
+    a row of smaller id. spans: the maximal ones as packed int64 pairs begin, end.
 
     exact(strings, grams, least, spec): per string and window, in one array, the
     smallest of least over all strings with that window; strings come by gram, and
@@ -228,14 +228,22 @@ def _shared(rows: DataFrame, spec: Spec, buckets: int, hot: int) -> DataFrame:
             for begin, end in portions(data):
                 yield record_batch(_entries(spec, data[begin:end], prints[begin:end], buckets), arrow)
 
-    met = StructType.fromDDL("print bigint, shared binary, hot binary")
+    met = StructType.fromDDL("home int, prints binary, counts binary, grams binary, often binary")
     met_arrow = to_arrow_schema(met)
 
     def meet(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_met(group, hot), met_arrow)])
+        return pa.Table.from_batches([record_batch(_met(group, hot, buckets), met_arrow)])
+
+    out = StructType.fromDDL("print bigint, shared binary, hot binary")
+    out_arrow = to_arrow_schema(out)
+
+    def gather(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_per_row(group), out_arrow)])
 
     sent = rows.select("print", "text").mapInArrow(send, schema)
-    return sent.groupBy("bucket").applyInArrow(meet, met)
+    # Answers go home packed: a row per pair of buckets, not per document and bucket.
+    return (sent.groupBy("bucket").applyInArrow(meet, met)
+            .groupBy("home").applyInArrow(gather, out))
 
 
 def _entries(spec: Spec, data: list[bytes], prints: np.ndarray, buckets: int) -> dict:
@@ -253,7 +261,7 @@ def _entries(spec: Spec, data: list[bytes], prints: np.ndarray, buckets: int) ->
     out = {c: [] for c in ("bucket", "known", "prints", "counts", "grams")}
     for known, g, p, key in (
             (False, gram[first], mine[first], (gram[first] % np.uint64(buckets)).astype(np.int64)),
-            (True, gram[many], mine[many], (mine[many].view(np.uint64) % np.uint64(buckets)).astype(np.int64))):
+            (True, gram[many], mine[many], homes(mine[many], buckets))):
         order = np.lexsort((p, key))
         g, p, key = g[order], p[order], key[order]
         cut = np.flatnonzero(np.diff(key, prepend=-1))
@@ -267,7 +275,7 @@ def _entries(spec: Spec, data: list[bytes], prints: np.ndarray, buckets: int) ->
     return out
 
 
-def _met(group: pa.Table, hot: int) -> dict:
+def _met(group: pa.Table, hot: int, buckets: int) -> dict:
     parts = {False: ([], []), True: ([], [])}
     for known, prints, counts, g in zip(*(group.column(c).to_pylist()
                                           for c in ("known", "prints", "counts", "grams"))):
@@ -285,17 +293,57 @@ def _met(group: pa.Table, hot: int) -> dict:
     gram = np.concatenate([gram[shared], known_gram])
     mine = np.concatenate([mine[shared], known_mine])
     often = np.concatenate([often[shared], np.zeros(len(known_gram), bool)])
+    home = homes(mine, buckets)
+    order = np.lexsort((mine, home))
+    gram, mine, often, home = gram[order], mine[order], often[order], home[order]
+    out = {c: [] for c in ("home", "prints", "counts", "grams", "often")}
+    for a, b in stretches(home):
+        prints, counts = counted(mine[a:b])
+        for c, value in (("home", int(home[a])), ("prints", prints), ("counts", counts),
+                         ("grams", gram[a:b].tobytes()), ("often", often[a:b].tobytes())):
+            out[c].append(value)
+    return out
+
+
+def homes(prints: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket in which what belongs to a row is gathered."""
+    return (prints.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+
+
+def stretches(sorted_: np.ndarray):
+    """(begin, end) of each run of equal values."""
+    if not len(sorted_):
+        return []
+    begin = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    return zip(begin.tolist(), [*begin[1:].tolist(), len(sorted_)])
+
+
+def counted(sorted_: np.ndarray) -> tuple[bytes, bytes]:
+    """Different values, and how often each comes, packed."""
+    begin = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    return (sorted_[begin].tobytes(),
+            np.diff(np.append(begin, len(sorted_))).astype(np.uint32).tobytes())
+
+
+def uncounted(prints: list[bytes], counts: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *(
+        np.repeat(np.frombuffer(p, np.int64), np.frombuffer(c, np.uint32))
+        for p, c in zip(prints, counts))])
+
+
+def _per_row(group: pa.Table) -> dict:
+    columns = {c: group.column(c).to_pylist() for c in group.column_names}
+    mine = uncounted(columns["prints"], columns["counts"])
+    gram = np.frombuffer(b"".join(columns["grams"]), np.uint64)
+    often = np.frombuffer(b"".join(columns["often"]), bool)
     order = np.argsort(mine, kind="stable")
     gram, mine, often = gram[order], mine[order], often[order]
-    cut = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]])) if len(mine) else np.empty(0, int)
-    ends = np.append(cut[1:], len(mine))
-    return {"print": mine[cut], "shared": [gram[a:b].tobytes() for a, b in zip(cut, ends)],
-            "hot": [gram[a:b][often[a:b]].tobytes() for a, b in zip(cut, ends)]}
+    cuts = list(stretches(mine))
+    return {"print": [int(mine[a]) for a, _ in cuts], "shared": [gram[a:b].tobytes() for a, b in cuts],
+            "hot": [gram[a:b][often[a:b]].tobytes() for a, b in cuts]}
 
 
 def _spans(rows: DataFrame, shared: DataFrame, spec: Spec, exact: Callable, buckets: int) -> DataFrame:
-    parts = shared.groupBy("print").agg(F.collect_list("shared").alias("shared"),
-                                        F.collect_list("hot").alias("hot"))
     schema = StructType.fromDDL(
         "bucket int, strings binary, lengths binary, grams binary, "
         "uses binary, ids binary, prints binary, starts binary, known_prints binary, known_spans binary")
@@ -307,21 +355,28 @@ def _spans(rows: DataFrame, shared: DataFrame, spec: Spec, exact: Callable, buck
             ids, prints = batch.column("id").to_numpy(), batch.column("print").to_numpy()
             marks = [batch.column(c).to_pylist() for c in ("shared", "hot")]
             for begin, end in portions(data):
-                shared_, hot_ = (np.unique(np.frombuffer(b"".join(
-                    b for parts in m[begin:end] for b in parts), np.uint64)) for m in marks)
+                shared_, hot_ = (np.unique(np.frombuffer(b"".join(m[begin:end]), np.uint64))
+                                 for m in marks)
                 yield record_batch(_strings(spec, data[begin:end], ids[begin:end], prints[begin:end],
                                             shared_, hot_, buckets), arrow)
 
+    found = StructType.fromDDL("home int, prints binary, counts binary, spans binary")
+    found_arrow = to_arrow_schema(found)
+
+    def answer(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_answers(group, spec, exact, buckets), found_arrow)])
+
     out = StructType.fromDDL("print bigint, spans binary")
     out_arrow = to_arrow_schema(out)
 
-    def answer(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_answers(group, spec, exact), out_arrow)])
+    def gather(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_spans_of_rows(group), out_arrow)])
 
-    sent = (rows.join(parts, "print").select("print", "id", "text", "shared", "hot")
+    # The plan is the same at any size: few answers would else be broadcast.
+    sent = (rows.join(shared.hint("merge"), "print").select("print", "id", "text", "shared", "hot")
             .mapInArrow(send, schema))
-    found = sent.groupBy("bucket").applyInArrow(answer, out)
-    return found.groupBy("print").agg(F.collect_list("spans").alias("spans"))
+    return (sent.groupBy("bucket").applyInArrow(answer, found)
+            .groupBy("home").applyInArrow(gather, out))
 
 
 def _strings(spec: Spec, data: list[bytes], ids: np.ndarray, prints: np.ndarray,
@@ -360,7 +415,7 @@ def _strings(spec: Spec, data: list[bytes], ids: np.ndarray, prints: np.ndarray,
     use_to = to[string[asks]]
     known_print = prints[owner[~asks]]
     known = np.stack([place[~asks], place[~asks] + length[~asks] + spec.window - 1], axis=1)
-    known_to = (known_print.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    known_to = homes(known_print, buckets)
     number = np.empty(len(strings), np.int64)
     by_string, by_use, by_known = (np.argsort(x, kind="stable") for x in (to, use_to, known_to))
     for b in np.unique(np.concatenate([to, known_to])).tolist():
@@ -381,7 +436,7 @@ def _strings(spec: Spec, data: list[bytes], ids: np.ndarray, prints: np.ndarray,
     return out
 
 
-def _answers(group: pa.Table, spec: Spec, exact: Callable) -> dict:
+def _answers(group: pa.Table, spec: Spec, exact: Callable, buckets: int) -> dict:
     columns = {c: group.column(c).to_pylist() for c in group.column_names}
     seen: dict[bytes, int] = {}
     gram_of: list[np.ndarray] = []
@@ -432,9 +487,24 @@ def _answers(group: pa.Table, spec: Spec, exact: Callable) -> dict:
     whose = np.concatenate([whose, known_print])
     spans = np.concatenate([np.stack([at, at + spec.window], axis=1), known])
     whose, spans = merged(whose, spans)
-    cut = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]])) if len(whose) else np.empty(0, int)
-    ends = np.append(cut[1:], len(whose))
-    return {"print": whose[cut], "spans": [spans[a:b].tobytes() for a, b in zip(cut, ends)]}
+    home = homes(whose, buckets)
+    order = np.lexsort((whose, home))  # stable: a row's spans stay in order
+    whose, spans, home = whose[order], spans[order], home[order]
+    out = {c: [] for c in ("home", "prints", "counts", "spans")}
+    for a, b in stretches(home):
+        prints, counts = counted(whose[a:b])
+        for c, value in (("home", int(home[a])), ("prints", prints), ("counts", counts),
+                         ("spans", spans[a:b].tobytes())):
+            out[c].append(value)
+    return out
+
+
+def _spans_of_rows(group: pa.Table) -> dict:
+    columns = {c: group.column(c).to_pylist() for c in group.column_names}
+    whose, spans = merged(uncounted(columns["prints"], columns["counts"]),
+                          np.frombuffer(b"".join(columns["spans"]), np.int64).reshape(-1, 2))
+    cuts = list(stretches(whose))
+    return {"print": [int(whose[a]) for a, _ in cuts], "spans": [spans[a:b].tobytes() for a, b in cuts]}
 
 
 def merged(whose: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -455,9 +525,6 @@ def merged(whose: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return whose[at], np.stack([spans[at, 0], reach[last] - shift[last]], axis=1)
 
 
-def removed_spans(packed: list[bytes] | None) -> np.ndarray:
-    """The maximal spans of one row, from its packed arrays."""
-    if not packed:
-        return np.empty((0, 2), np.int64)
-    spans = np.frombuffer(b"".join(packed), np.int64).reshape(-1, 2)
-    return merged(np.zeros(len(spans), np.int64), spans)[1]
+def removed_spans(packed: bytes | None) -> np.ndarray:
+    """The maximal spans of one row."""
+    return np.frombuffer(packed or b"", np.int64).reshape(-1, 2)
