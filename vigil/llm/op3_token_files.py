@@ -3,7 +3,6 @@
 import zlib
 
 import numpy as np
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
