@@ -35,7 +35,7 @@ from pyspark.sql.types import StructType
 from vigil.llm.workers import record_batch, texts
 from vigil.plans.scratch import materialize, remove
 
-PORTION_BYTES = 3 << 20
+PORTION_BYTES = 8 << 20
 HOT = 50_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
@@ -91,16 +91,15 @@ def units(spec: Spec, data: list[bytes]) -> Units:
     return Units(joined, codes, begin, end, first)
 
 
-_power_cache: list[np.ndarray] = []
-
-
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _power_cache or len(_power_cache[0]) < n:
-        size = max(n, 1 << 20)
-        step, back = np.full(size, MIX), np.full(size, np.uint64(pow(int(MIX), -1, 1 << 64)))
-        step[0] = back[0] = 1
-        _power_cache[:] = [np.cumprod(step), np.cumprod(back)]
-    return _power_cache[0][:n], _power_cache[1][:n]
+    """Powers of MIX and of its inverse, made anew: kept, they would hold memory for ever."""
+    out = []
+    for step in (int(MIX), pow(int(MIX), -1, 1 << 64)):
+        near = np.full(1 << 12, np.uint64(step))
+        far = np.full(n // len(near) + 1, np.uint64(pow(step, len(near), 1 << 64)))
+        near[0] = far[0] = 1
+        out.append(np.outer(np.cumprod(far), np.cumprod(near)).ravel()[:n])
+    return out[0], out[1]
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
