@@ -96,6 +96,29 @@ def test_word_windows(frame, rows, window, gram, hot):
     assert sum(e[2] for e in expected) > 1000
 
 
+@pytest.mark.parametrize("remove, split, join, window", [
+    (remove_passages, lambda t: t.encode(), bytes, 50), (remove_windows, lambda t: tuple(t.encode().split()), b" ".join, 50)])
+def test_hot_minimisers_are_hot_in_every_portion(spark, remove, split, join, window):
+    """Portions of a few rows, dealt anew between the two steps; each sees passages twice."""
+    rows = texts_with_passages(6)
+    first, expected = first_windows(rows, split, window), []
+    for i, t in rows:
+        own = split(t)
+        gone = flags(own, i, first, window)
+        expected.append((i, int(gone.sum()), sha(join(u for u, g in zip(own, gone) if not g))))
+    given = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16",
+             "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}
+    before = {k: spark.conf.get(k) for k in given}
+    for k, v in given.items():
+        spark.conf.set(k, v)
+    try:
+        found = remove(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), hot=1).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.doc_id, r.n_removed, sha(bytes(r.kept))) for r in found) == sorted(expected)
+
+
 def test_shortened_texts_lose_whole_characters_only(frame, rows):
     docs = frame(rows).withColumn("n_chars", F.length("text").cast("long"))
     found = shorten(docs, chars_col="n_chars")

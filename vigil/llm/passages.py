@@ -16,8 +16,9 @@ answered where their minimisers meet:
 What a portion can tell by itself does not travel: of documents with an equal
 string only the smallest sends it, the others' windows are known to repeat. So
 a passage in a third of all documents costs its bucket one string per portion.
-Minimisers with more than HOT entries are known from step 1; their windows are
-dealt one by one, by a hash of the whole window.
+Minimisers with more than HOT entries are known from step 1, as one set that all
+portions of step 2 see; their windows are dealt one by one, by a hash of the whole
+window.
 """
 
 import gc
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -37,6 +39,7 @@ from vigil.plans.scratch import materialize, remove
 
 PORTION_BYTES = 8 << 20
 HOT = 50_000
+EVERYWHERE = -1  # the home of what all rows need
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -203,7 +206,11 @@ def repeated_spans(docs: DataFrame, spec: Spec, exact: Callable, hot: int = HOT)
     rows = docs.where(F.col("id").isNotNull())
     shared, shared_path = materialize(_shared(rows, spec, buckets, hot), "shared")
     release(spark)
-    spans, _ = materialize(_spans(rows, shared, spec, exact, buckets), "spans")
+    # At most entries / HOT minimisers, the same for every row whatever portion it is in.
+    often = [r.hot for r in shared.where(F.col("print").isNull()).select("hot").collect()]
+    often = spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(often), np.uint64)))
+    spans, _ = materialize(_spans(rows, shared.drop("hot"), often, spec, exact, buckets), "spans")
+    often.destroy()
     remove(spark, shared_path)
     release(spark)
     return spans
@@ -216,7 +223,8 @@ def release(spark: SparkSession) -> None:
 
 
 def _shared(rows: DataFrame, spec: Spec, buckets: int, hot: int) -> DataFrame:
-    """(print, shared, hot): per row its minimisers that other rows have too."""
+    """(print, shared, hot): per row its minimisers that other rows have too. Rows of a
+    null print hold the minimisers of more than `hot` entries."""
     schema = StructType.fromDDL("bucket int, known boolean, prints binary, counts binary, grams binary")
     arrow = to_arrow_schema(schema)
 
@@ -227,7 +235,7 @@ def _shared(rows: DataFrame, spec: Spec, buckets: int, hot: int) -> DataFrame:
             for begin, end in portions(data):
                 yield record_batch(_entries(spec, data[begin:end], prints[begin:end], buckets), arrow)
 
-    met = StructType.fromDDL("home int, prints binary, counts binary, grams binary, often binary")
+    met = StructType.fromDDL("home int, prints binary, counts binary, grams binary")
     met_arrow = to_arrow_schema(met)
 
     def meet(group: pa.Table) -> pa.Table:
@@ -287,19 +295,21 @@ def _met(group: pa.Table, hot: int, buckets: int) -> dict:
     first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]) != 0)
     size = np.diff(np.append(first, len(gram)))
     shared = np.repeat(mine[first] != mine[first + size - 1], size) if len(first) else np.empty(0, bool)
-    often = np.repeat(size > hot, size) if len(first) else np.empty(0, bool)
+    often = gram[first[size > hot]]
     known_gram, known_mine = (np.concatenate(n + p) for n, p in zip(none, parts[True]))
     gram = np.concatenate([gram[shared], known_gram])
     mine = np.concatenate([mine[shared], known_mine])
-    often = np.concatenate([often[shared], np.zeros(len(known_gram), bool)])
     home = homes(mine, buckets)
     order = np.lexsort((mine, home))
-    gram, mine, often, home = gram[order], mine[order], often[order], home[order]
-    out = {c: [] for c in ("home", "prints", "counts", "grams", "often")}
+    gram, mine, home = gram[order], mine[order], home[order]
+    out = {c: [] for c in ("home", "prints", "counts", "grams")}
     for a, b in stretches(home):
         prints, counts = counted(mine[a:b])
         for c, value in (("home", int(home[a])), ("prints", prints), ("counts", counts),
-                         ("grams", gram[a:b].tobytes()), ("often", often[a:b].tobytes())):
+                         ("grams", gram[a:b].tobytes())):
+            out[c].append(value)
+    if len(often):
+        for c, value in (("home", EVERYWHERE), ("prints", b""), ("counts", b""), ("grams", often.tobytes())):
             out[c].append(value)
     return out
 
@@ -332,17 +342,19 @@ def uncounted(prints: list[bytes], counts: list[bytes]) -> np.ndarray:
 
 def _per_row(group: pa.Table) -> dict:
     columns = {c: group.column(c).to_pylist() for c in group.column_names}
+    if columns["home"][0] == EVERYWHERE:
+        return {"print": [None], "shared": [b""], "hot": [b"".join(columns["grams"])]}
     mine = uncounted(columns["prints"], columns["counts"])
     gram = np.frombuffer(b"".join(columns["grams"]), np.uint64)
-    often = np.frombuffer(b"".join(columns["often"]), bool)
     order = np.argsort(mine, kind="stable")
-    gram, mine, often = gram[order], mine[order], often[order]
+    gram, mine = gram[order], mine[order]
     cuts = list(stretches(mine))
     return {"print": [int(mine[a]) for a, _ in cuts], "shared": [gram[a:b].tobytes() for a, b in cuts],
-            "hot": [gram[a:b][often[a:b]].tobytes() for a, b in cuts]}
+            "hot": [None] * len(cuts)}
 
 
-def _spans(rows: DataFrame, shared: DataFrame, spec: Spec, exact: Callable, buckets: int) -> DataFrame:
+def _spans(rows: DataFrame, shared: DataFrame, often: Broadcast, spec: Spec, exact: Callable,
+           buckets: int) -> DataFrame:
     schema = StructType.fromDDL(
         "bucket int, strings binary, lengths binary, grams binary, "
         "uses binary, ids binary, prints binary, starts binary, known_prints binary, known_spans binary")
@@ -352,12 +364,11 @@ def _spans(rows: DataFrame, shared: DataFrame, spec: Spec, exact: Callable, buck
         for batch in batches:
             data = [spec.text(d) for d in texts(batch, "text")]
             ids, prints = batch.column("id").to_numpy(), batch.column("print").to_numpy()
-            marks = [batch.column(c).to_pylist() for c in ("shared", "hot")]
+            marks = batch.column("shared").to_pylist()
             for begin, end in portions(data):
-                shared_, hot_ = (np.unique(np.frombuffer(b"".join(m[begin:end]), np.uint64))
-                                 for m in marks)
+                shared_ = np.unique(np.frombuffer(b"".join(marks[begin:end]), np.uint64))
                 yield record_batch(_strings(spec, data[begin:end], ids[begin:end], prints[begin:end],
-                                            shared_, hot_, buckets), arrow)
+                                            shared_, often.value, buckets), arrow)
 
     found = StructType.fromDDL("home int, prints binary, counts binary, spans binary")
     found_arrow = to_arrow_schema(found)
@@ -372,7 +383,7 @@ def _spans(rows: DataFrame, shared: DataFrame, spec: Spec, exact: Callable, buck
         return pa.Table.from_batches([record_batch(_spans_of_rows(group), out_arrow)])
 
     # The plan is the same at any size: few answers would else be broadcast.
-    sent = (rows.join(shared.hint("merge"), "print").select("print", "id", "text", "shared", "hot")
+    sent = (rows.join(shared.hint("merge"), "print").select("print", "id", "text", "shared")
             .mapInArrow(send, schema))
     return (sent.groupBy("bucket").applyInArrow(answer, found)
             .groupBy("home").applyInArrow(gather, out))
