@@ -26,3 +26,13 @@ def test_query(spark, db, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["S08_upload_digest", "S08_document_digest"])
+def test_digests_cover_the_documents(spark, name):
+    """Copies are found among the documents, with the path of the first."""
+    found = QUERIES[name](spark, SF)
+    documents = spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert found.columns == ["digest", "copies", "first_path"]
+    assert found.count() >= documents // 40 and found.where("first_path = ''").count() == 0

@@ -143,6 +143,37 @@ def digest(spark, sf):
     return S.duplicate_uploads(S.file_digests(spark, root).where(F.col("size") > 0)).drop("first_path")
 
 
+GROUP_OF_FILE = 10  # documents a file holds
+
+
+@query("S08_upload_digest", f"""
+WITH uploads AS (
+  SELECT doc_id // {GROUP_OF_FILE} AS part, string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS content
+  FROM documents GROUP BY 1),
+named AS (SELECT 'a' || part AS folder, content FROM uploads UNION ALL
+          SELECT 'b' || part, content FROM uploads WHERE part % 3 = 0)
+SELECT sha256(content) AS digest, COUNT(*) AS copies, MIN(folder) AS first_path
+FROM named GROUP BY 1 HAVING COUNT(*) > 1""")
+def upload_digest(spark, sf):
+    """Real files, each with the texts of some documents; every third is uploaded twice."""
+    root = scratch_path(spark, "uploads")
+    parts = table(spark, sf, "documents").selectExpr(
+        "doc_id", "text", f"doc_id div {GROUP_OF_FILE} AS part")
+    uploads = parts.withColumn("folder", F.expr("concat('a', part)")).unionByName(
+        parts.where("part % 3 = 0").withColumn("folder", F.expr("concat('b', part)")))
+    uploads.repartition("folder").sortWithinPartitions("folder", "doc_id") \
+        .select("text", "folder").write.partitionBy("folder").text(root)
+    found = S.duplicate_uploads(S.file_digests(spark, root).where(F.col("size") > 0))
+    return found.withColumn("first_path", F.regexp_extract("first_path", "folder=([^/]+)", 1))
+
+
+@query("S08_document_digest", """
+SELECT sha256(text) AS digest, COUNT(*) AS copies, MIN(path) AS first_path
+FROM files GROUP BY 1 HAVING COUNT(*) > 1""", ("files",))
+def document_digest(spark, sf):
+    return S.duplicate_uploads(S.with_digest(files(spark, sf).select("path", "text"), "text"))
+
+
 # --- sinks --------------------------------------------------------------------------
 
 @query("K01_sink_processed", f"""
