@@ -30,6 +30,23 @@ def test_csv_types_and_missing_columns(spark, tmp_path):
     assert rows(df.fillna(0), "x", "y") == [(1, 2), (5, 0)]
 
 
+@pytest.mark.parametrize("page_files, few_headers", [(5_000, 8), (5_000, 1), (1, 8), (1, 1)])
+def test_csv_types_do_not_depend_on_pages(spark, tmp_path, monkeypatch, page_files, few_headers):
+    """Types come from all files: of one header in several pages, and of several headers."""
+    (tmp_path / "a.csv").write_text("x,y,day,note,none\n1,2,2024-01-01,5,\n")
+    (tmp_path / "b.csv").write_text("x,y,day,note,none\n3000000000,2.5,2024-01-02,abc,\n")
+    (tmp_path / "c.csv").write_text("y,x,flag\n4,5,true\n")
+    (tmp_path / "d.csv").write_bytes("y,x,note\n,6,é \n".encode("latin-1"))
+    monkeypatch.setattr(files, "PAGE_FILES", page_files)
+    monkeypatch.setattr(files, "FEW_HEADERS", few_headers)
+    df = files.scan_csv(spark, str(tmp_path), infer_types=True, source=True)
+    assert {c: t for c, t in df.dtypes if c not in ("original_file", "file_columns")} == {
+        "x": "bigint", "y": "double", "day": "date", "note": "string", "none": "string", "flag": "boolean"}
+    assert sorted(tuple(r) for r in df.select("x", "y", "day", "note", "flag").collect()) == [
+        (1, 2.0, date(2024, 1, 1), "5", None), (5, 4.0, None, None, True), (6, None, None, "é ", None),
+        (3000000000, 2.5, date(2024, 1, 2), "abc", None)]
+
+
 def test_csv_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,y\n1,"two\nlines"\n')
     df = files.scan_csv(spark, str(tmp_path), multi_line=True)

@@ -78,9 +78,10 @@ def scan_csv(spark: SparkSession, path: str | list[str], infer_types: bool = Fal
     A file that is not valid UTF-8 is read as Latin-1. When headers or encodings
     differ, files are read together per header and encoding. A few of them make
     one plan; of many, page by page, the rows are added to one scratch table,
-    whose columns are those of all files (as text, also with infer_types). The
-    driver holds the paths of one page. multi_line allows line breaks in quotes,
-    and then reads each file in one task.
+    whose columns are those of all files. With infer_types the types come from
+    the values of all files, however many they are. The driver holds the paths
+    of one page. multi_line allows line breaks in quotes, and then reads each
+    file in one task.
     """
     inspected, copy = scratch.materialize(inspect_text(spark, path), "headers")
 
@@ -102,17 +103,35 @@ def scan_csv(spark: SparkSession, path: str | list[str], infer_types: bool = Fal
         listed = inspected.orderBy("header", "utf8", "file").toLocalIterator()
         pages = pages_of(listed, lambda f: (f.header, f.utf8))
         if len(some) <= FEW_HEADERS and sum(k.files for k in some) <= PAGE_FILES:
-            frames = [read(utf8, [literal_path(f.file) for f in page], infer_types)
+            frames = [read(utf8, [literal_path(f.file) for f in page], False)
                       for (_, utf8), page in pages]
-            return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+            return with_inferred_types(rows, source) if infer_types else rows
         table = scratch.Appended(spark, "csv")
         for (_, utf8), page in pages:
             table.add(read(utf8, [literal_path(f.file) for f in page], False))
-        return table.read()
+        return with_inferred_types(table.read(), source) if infer_types else table.read()
     finally:
         scratch.remove(spark, copy)
 
 
+def with_inferred_types(rows: DataFrame, source: bool) -> DataFrame:
+    """Text columns as the CSV reader types them over all their values."""
+    spark = rows.sparkSession
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c, t in rows.dtypes
+              if t == "string" and not (source and c == "original_file")}
+    if not quoted:
+        return rows
+    as_is = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines = rows.select(F.to_csv(F.struct(*quoted.values()), as_is).alias("value"))
+    encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    inferred = spark.read.option("inferSchema", "true")._jreader.csv(getattr(lines._jdf, "as")(encoder))
+    kinds = DataFrame(inferred, spark).schema.fields  # none without rows
+    typed = {c: F.from_csv(quoted[c], f"v {f.dataType.simpleString()}")["v"].alias(c)
+             for c, f in zip(quoted, kinds) if f.dataType != T.StringType()}
+    return rows.select(*(typed.get(c, quoted.get(c, c)) for c in rows.columns))
+
+
 def pages_of(items, key, size: int | None = None) -> Iterator[tuple]:
     """(key, items) of runs of equal keys, in lists of at most `size` items."""
     for k, run in itertools.groupby(items, key):
