@@ -255,6 +255,36 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     assert scratch.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_ingest_raises_when_its_count_is_not_whole(spark, tmp_path, monkeypatch):
+    import time
+
+    from pyspark.sql.streaming.listener import StreamingQueryListener
+
+    class Slow(StreamingQueryListener):
+        def onQueryStarted(self, event):
+            pass
+
+        def onQueryProgress(self, event):
+            time.sleep(3)
+
+        def onQueryIdle(self, event):
+            pass
+
+        def onQueryTerminated(self, event):
+            pass
+
+    spark.range(5).write.parquet(f"{tmp_path}/in")
+    monkeypatch.setattr(ingest, "EVENT_SECONDS", 0.1, raising=False)
+    slow = Slow()
+    spark.streams.addListener(slow)
+    try:
+        with pytest.raises(TimeoutError, match="count is not known"):
+            ingest.incremental_ingest(spark, f"{tmp_path}/in", "id long", f"{tmp_path}/out", f"{tmp_path}/state")
+    finally:
+        spark.streams.removeListener(slow)
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+
+
 def test_incremental_ingest(spark, reports, tmp_path):
     def run():
         return ingest.incremental_ingest(spark, f"{tmp_path}/in", reports.schema,

@@ -10,6 +10,9 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from vigil.plans import jobs, scratch
 
+#: How long the count of rows waits for the listener's events once a query has ended.
+EVENT_SECONDS = 60
+
 
 def new_files(spark: SparkSession, source: str, schema: T.StructType,
               file_format: str = "parquet", **options) -> DataFrame:
@@ -37,7 +40,8 @@ def incremental_ingest(spark: SparkSession, source: str, schema: T.StructType, s
 def counted_rows(spark: SparkSession):
     """Count the input rows of queries started inside, over all their batches.
 
-    (A query itself remembers its last hundred batches only.)
+    (A query itself remembers its last hundred batches only.) Raises if the events
+    do not come in time, as the count would be too small.
     """
     rows, ended = Counter(), {}
 
@@ -63,8 +67,9 @@ def counted_rows(spark: SparkSession):
     try:
         yield total
         # Events arrive in order, a moment after the query itself has ended.
-        for event in list(ended.values()):
-            event.wait(60)
+        if not all([event.wait(EVENT_SECONDS) for event in list(ended.values())]):
+            raise TimeoutError(f"no end event of a query in {EVENT_SECONDS} s: its rows are written, "
+                               "but their count is not known")
     finally:
         spark.streams.removeListener(listener)
 
