@@ -11,18 +11,21 @@ SF = "/root/testdata/sf0.001"
 OPERATORS = [n for n in QUERIES if n.startswith("op")]
 
 
-def test_eleven_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in OPERATORS) == list(range(1, 11))
+def test_fourteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in OPERATORS) == list(range(1, 14))
     assert "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(OPERATORS))
 def test_query_returns_every_document(spark, name):
     found = QUERIES[name](spark, SF)
-    key = "query_id" if name.startswith("op5") else "doc_id"
+    key = {"op5": "query_id", "op12": "conv_id"}.get(name.split("_")[0], "doc_id")
     ids = {r[0] for r in found.select(key).collect()}
     if key == "doc_id":
         wanted = {r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+    elif key == "conv_id":
+        # Nodes are named by the smallest of their conversations.
+        wanted = ids & {r[0] for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").collect()}
     else:
         wanted = {r[0] for r in spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id % 20 = 0")
                   .select("vec_id").collect()}
