@@ -137,17 +137,93 @@ def test_packing(frame, odd_rows, window):
     assert len(by_sequence) <= -(-full // window) + 2
 
 
-def test_plan_uses_every_length_and_fills_windows():
+def windows_of(plan):
+    return sum(times for _, times in plan)
+
+
+def least_windows(totals, window):
+    """No plan needs fewer: tokens fill windows, and no two lengths above half share one."""
+    tokens = sum(n * c for n, c in totals.items())
+    return max(-(-tokens // window), sum(c for n, c in totals.items() if 2 * n > window))
+
+
+def first_fit_decreasing(totals, window):
+    """Windows that first-fit decreasing opens; groups of windows with equal room go together."""
+    groups = []
+    for n, c in sorted(totals.items(), reverse=True):
+        after = []
+        for room, count in groups:
+            most = room // n
+            filled = min(count, c // most) if most else 0
+            c -= filled * most
+            rest = count - filled
+            part = c if rest and most > c else 0
+            c -= part
+            after += [(room - most * n, filled), (room - part * n, 1 if part else 0), (room, rest - bool(part))]
+        if c:
+            most = window // n
+            after += [(window - most * n, c // most), (window - c % most * n, 1 if c % most else 0)]
+        groups = [(room, count) for room, count in after if count]
+    return sum(count for _, count in groups)
+
+
+def fewest(items, window):
+    """The optimum, by trying every way."""
+    best, items = len(items), sorted(items, reverse=True)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(items):
+            best = len(rooms)
+            return
+        for r in sorted({r for r in rooms if r >= items[k]}):
+            left = list(rooms)
+            left.remove(r)
+            place(k + 1, [*left, r - items[k]])
+        place(k + 1, [*rooms, window - items[k]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("lengths, counts", [
+    ((1, 2047), (1, 10**9)),  # as many long ones as there may be: many windows cannot be filled
+    ((1, 1024), (1, 10**9)), ((1, 2047), (1, 3)), ((1000, 2047), (1, 50)), ((600, 700), (1, 50)),
+])
+def test_plan_uses_every_length_and_fills_windows(lengths, counts):
+    """Whatever the lengths and counts, within 0.5 % of first-fit decreasing."""
     random.seed(6)
-    totals = {n: random.randint(1, 10**9) for n in random.sample(range(1, 2048), 300)}
+    kinds = range(lengths[0], lengths[1] + 1)
+    totals = {n: random.randint(*counts) for n in random.sample(kinds, min(300, len(kinds)))}
     used, plan = defaultdict(int), fill(totals, 2048)
     for pattern, times in plan:
         assert sum(n * c for n, c in pattern.items()) <= 2048
         for n, c in pattern.items():
             used[n] += c * times
     assert used == totals
-    tokens = sum(n * c for n, c in totals.items())
-    assert tokens / (2048 * sum(t for _, t in plan)) > 0.99
+    least, first_fit = least_windows(totals, 2048), first_fit_decreasing(totals, 2048)
+    assert least <= first_fit and least <= windows_of(plan) <= 1.005 * first_fit + 1
+
+
+def test_plan_is_at_the_bound_where_short_lengths_can_fill_gaps():
+    totals = {n: 10**9 // n for n in range(1, 2048)}
+    assert windows_of(fill(totals, 2048)) <= 1.0001 * least_windows(totals, 2048) + 1
+
+
+def test_plan_against_every_way():
+    random.seed(9)
+    at_best = 0
+    for _ in range(300):
+        window = random.randint(10, 40)
+        items = [random.randint(1, window - 1) for _ in range(random.randint(1, 9))]
+        totals = {n: items.count(n) for n in items}
+        needed, best = windows_of(fill(totals, window)), fewest(items, window)
+        assert least_windows(totals, window) <= best <= needed <= best + 1
+        assert first_fit_decreasing(totals, window) >= best
+        at_best += needed == best
+    assert at_best >= 290
 
 
 def test_closest_is_the_best_multiset():
