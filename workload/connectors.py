@@ -362,9 +362,8 @@ def alarm_stream(spark, sf):
     events.write.parquet(f"{root}/in")
     stream = ingest.new_files(spark, f"{root}/in", events.schema)
     errors = F.when(F.col("event_type") == "error", 1).otherwise(0)
-    windows = alarms.closed_windows(stream, "ts", ["event_type"], errors, f"{root}/out",
-                                    f"{root}/state", period="1 hour")
-    return G.alarms(windows, ["event_type"], 3, period_seconds=3600)
+    return alarms.windowed_alarms(stream, "ts", ["event_type"], errors, 3, f"{root}/out", f"{root}/state",
+                                  period_seconds=3600)
 
 
 # --- jobs ---------------------------------------------------------------------------
