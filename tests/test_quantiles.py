@@ -42,6 +42,40 @@ def test_against_numpy(spark, monkeypatch, kind):
             pytest.approx(linear.tolist())
 
 
+@pytest.mark.parametrize("kind", ["uniform", "skewed", "mostly one value", "few values"])
+def test_ranks_outside_their_bracket(spark, monkeypatch, kind):
+    """A sketch too small for its margin: exact counts tell, and the whole column is searched."""
+    monkeypatch.setattr(Q, "SMALL_RANGE", 20)
+    monkeypatch.setattr(Q, "SKETCH_K", 8)
+    monkeypatch.setattr(Q, "MARGIN", 0.0)
+    searched, search = [], Q._search
+    monkeypatch.setattr(Q, "_search", lambda df, targets: searched.append((df.columns, len(targets))) or search(df, targets))
+    values = data(kind)
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    ordered = np.sort(values)
+    discrete = [ordered[max(0, math.ceil(p * len(values)) - 1)] for p in PROBABILITIES]
+    assert Q.quantiles(df, {"x": PROBABILITIES})["x"] == discrete
+    if kind == "uniform":
+        assert searched[-1][0] == ["x"] and searched[-1][1] > 0
+
+
+def test_only_values_inside_brackets_are_kept(spark, monkeypatch):
+    kept = []
+    materialize = Q.scratch.materialize
+    def watch(df, name):
+        copy, path = materialize(df, name)
+        kept.append(copy.count())
+        return copy, path
+    monkeypatch.setattr(Q.scratch, "materialize", watch)
+    n = 200_000
+    df = spark.range(n).selectExpr("id * 7 % 200003 AS a", "if(id % 10 < 4, 5, id) AS b", "id % 3 AS c", "rand(1) AS d")
+    found = Q.quantiles(df, {c: [0.25, 0.5] for c in "abcd"})
+    assert len(kept) == 1 and kept[0] < 0.05 * n
+    a = sorted(k * 7 % 200003 for k in range(n))
+    b = sorted(5 if k % 10 < 4 else k for k in range(n))
+    assert (found["a"], found["b"], found["c"]) == ([a[n // 4 - 1], a[n // 2 - 1]], [5, b[n // 2 - 1]], [0, 1])
+
+
 def test_integers_stay_integers(spark):
     df = spark.createDataFrame([(i, i * 10**9) for i in range(1, 11)], "a int, b long")
     assert Q.quantiles(df, {"a": [0.5], "b": [0.25, 0.75]}) == \

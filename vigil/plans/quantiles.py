@@ -1,24 +1,29 @@
-"""Exact quantiles of many columns without sketches or a global sort.
-
-Every pass is one aggregate over all columns whose partial results are a few
-thousand counters, so nothing grows with the data on the reduce side or on the
-driver. A pass narrows the value range that holds each wanted rank; when few
-enough rows are left in a range, their distinct values decide.
+"""Exact quantiles of many columns in two scans, without a global sort.
+
+The first scan counts the values and sketches them; the sketch's error bound gives
+a bracket of values for each wanted rank. The second counts exactly what is below
+and at the bounds of the brackets, and writes the values strictly inside: a share
+of the rows set by the error bound, whatever the data, since a value that fills
+more than its bracket is one of the bounds. Those few values are then narrowed by
+counting them per bucket, until the distinct ones decide. A rank that is not in its
+bracket after all, which the exact counts tell, is searched in the whole column.
 """
 
 import math
 import struct
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from vigil.functions import numbers
+from vigil.plans import scratch
 from vigil.schemas import quoted
 
+SKETCH_K = 4096
+MARGIN = 0.0021  # of ranks, each way: three times the sketch's error at 99 % confidence
 BUCKETS = 4096  # equal steps of a range
 EDGES = 16  # squared: steps between neighbouring doubles, for uneven values
 SMALL_RANGE = 20_000
-KEPT_VALUES = 500_000_000
 
 
 @dataclass
@@ -105,7 +110,7 @@ def _narrow(df: DataFrame, ranges: list[_Range]) -> dict[tuple, list]:
             value.between(r.lo, r.hi),
             F.struct(F.lit(i).alias("i"), _bucket(value, r).alias("b"), value.alias("v"))))
     counted = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
         .groupBy("e.i", "e.b")
         .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("lo"), F.max("e.v").alias("hi"))
     )
@@ -123,7 +128,7 @@ def _values_inside(df: DataFrame, ranges: list[_Range]) -> dict[tuple, list]:
         entries.append(F.when(value.between(r.lo, r.hi),
                               F.struct(F.lit(i).alias("i"), value.alias("v"))))
     counted = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        df.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL")
         .groupBy("e.i", "e.v").agg(F.count(F.lit(1)).alias("n"))
     )
     found: dict[tuple, list] = {r.key: [] for r in ranges}
@@ -148,36 +153,94 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
     if not columns:
         return {c: [] for c in wanted}
     narrow = df.select(*[quoted(c) for c in columns])
-    row = narrow.agg(*[
-        e for i, c in enumerate(columns) for e in (
-            F.count(_value(df, c)).alias(f"n{i}"),
-            F.min(_value(df, c)).alias(f"lo{i}"),
-            F.max(_value(df, c)).alias(f"hi{i}"))
-    ]).first()
-    # Few values are kept for the next passes; many are read again, column by column.
-    keep = sum(row[f"n{i}"] for i in range(len(columns))) <= KEPT_VALUES
-    if keep:
-        narrow.persist()
-    try:
-        return _search(narrow, wanted, columns, row, interpolated)
-    finally:
-        if keep:
-            narrow.unpersist()
-
-
-def _search(df: DataFrame, wanted: dict[str, list[float]], columns: list[str], row,
-            interpolated: bool) -> dict[str, list]:
-    """The quantiles, given count, min and max of every column."""
+    row = _first_look(narrow, columns, wanted)
     counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
-    whole = {c: _Range(c, row[f"lo{i}"], row[f"hi{i}"], 0, counts[c])
-             for i, c in enumerate(columns)}
-
     targets: dict[tuple[str, int], _Range] = {}
-    for c in columns:
-        for p in wanted[c] if counts[c] else []:
-            low, high, _ = _ranks(counts[c], p, interpolated)
-            targets[c, low] = targets[c, high] = whole[c]
+    brackets: dict[tuple[str, int], tuple] = {}
+    for i, c in enumerate(columns):
+        whole = _Range(c, row[f"lo{i}"], row[f"hi{i}"], 0, counts[c])
+        for k, p in enumerate(wanted[c] if counts[c] else []):
+            for rank in _ranks(counts[c], p, interpolated)[:2]:
+                targets[c, rank] = whole
+                brackets[c, rank] = (c, row[f"low{i}"][k], row[f"high{i}"][k])
+    answer = {}
+    open_ranks = {t: brackets[t] for t, r in targets.items() if not r.settled}
+    if open_ranks:
+        answer = _inside_brackets(narrow, open_ranks)
+    answer |= _search(narrow, {t: r for t, r in targets.items() if t not in answer})
+
+    result: dict[str, list] = {}
+    for c in wanted:
+        if c not in columns:
+            result[c] = []
+            continue
+        whole_numbers = isinstance(df.schema[c].dataType, T.IntegralType)
+        values = []
+        for p in wanted[c]:
+            if not counts[c]:
+                values.append(None)
+                continue
+            low, high, weight = _ranks(counts[c], p, interpolated)
+            v = answer[c, low]
+            if weight:
+                v = v + (answer[c, high] - v) * weight
+            values.append(int(v) if whole_numbers and not interpolated else v)
+        result[c] = values
+    return result
 
+
+def _first_look(df: DataFrame, columns: list[str], wanted: dict[str, list[float]]):
+    """n, lo and hi of each column, and per quantile values a little below and above it."""
+    measures, looked = [], []
+    for i, c in enumerate(columns):
+        value = _value(df, c)
+        if isinstance(df.schema[c].dataType, T.IntegralType):
+            sketch, quantile = F.kll_sketch_agg_bigint, F.kll_sketch_get_quantile_bigint
+        else:
+            sketch, quantile = F.kll_sketch_agg_double, F.kll_sketch_get_quantile_double
+        measures += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"),
+                     sketch(value, F.lit(SKETCH_K)).alias(f"sketch{i}")]
+        looked += [f"n{i}", f"lo{i}", f"hi{i}"]
+        for name, shift, end in (("low", -MARGIN, "lo"), ("high", MARGIN, "hi")):
+            places = [quantile(f"sketch{i}", F.lit(p + shift)) if 0 <= p + shift <= 1 else F.col(f"{end}{i}")
+                      for p in wanted[c]]
+            looked.append(F.when(F.col(f"n{i}") > 0, F.array(*places)).alias(f"{name}{i}"))
+    return df.agg(*measures).select(*looked).first()
+
+
+def _inside_brackets(df: DataFrame, ranks: dict[tuple[str, int], tuple]) -> dict[tuple[str, int], float]:
+    """Values at those ranks that lie in their bracket (column, low, high)."""
+    brackets = list(dict.fromkeys(ranks.values()))
+    measures, kept = [], []
+    for i, (c, low, high) in enumerate(brackets):
+        value = _value(df, c)
+        inside = (value > low) & (value < high)
+        measures += [F.count_if(value < low).alias(f"below{i}"), F.count_if(value == low).alias(f"low{i}"),
+                     F.count_if(inside).alias(f"inside{i}"), F.count_if(value == high).alias(f"high{i}")]
+        kept.append(F.when(inside, value).alias(f"v{i}"))
+    seen = Observation()
+    values = df.observe(seen, *measures).select(*kept)
+    with scratch.scope(df.sparkSession):
+        values, _ = scratch.materialize(
+            values.where(" OR ".join(f"v{i} IS NOT NULL" for i in range(len(brackets)))), "bracketed-values")
+        counted = seen.get
+        answer, targets = {}, {}
+        for (c, rank), bracket in ranks.items():
+            i = brackets.index(bracket)
+            below, at_low, inside, at_high = (counted[f"{k}{i}"] for k in ("below", "low", "inside", "high"))
+            past = rank - below
+            if 0 < past <= at_low:
+                answer[c, rank] = bracket[1]
+            elif 0 < past - at_low <= inside:
+                targets[c, rank] = _Range(f"v{i}", bracket[1], bracket[2], below + at_low, inside)
+            elif bracket[1] != bracket[2] and 0 < past - at_low - inside <= at_high:
+                answer[c, rank] = bracket[2]
+        return answer | _search(values, targets)
+
+
+def _search(df: DataFrame, targets: dict[tuple[str, int], _Range]) -> dict[tuple[str, int], float]:
+    """The values at ranks that lie in the given ranges of df."""
+    targets = dict(targets)
     while open_ranges := _unique(r for r in targets.values() if not r.settled):
         buckets = _narrow(df, open_ranges)
         for (c, rank), r in targets.items():
@@ -186,8 +249,8 @@ def _search(df: DataFrame, wanted: dict[str, list[float]], columns: list[str], r
             below = r.below
             for _, n, lo, hi in buckets[r.key]:
                 if below + n >= rank:
-                    targets[c, rank] = _Range(c, lo, hi, below, n, 
-                                                uneven=n > r.inside / 8 and not isinstance(lo, int))
+                    targets[c, rank] = _Range(r.column, lo, hi, below, n,
+                                              uneven=n > r.inside / 8 and not isinstance(lo, int))
                     break
                 below += n
 
@@ -202,25 +265,7 @@ def _search(df: DataFrame, wanted: dict[str, list[float]], columns: list[str], r
             if below >= rank:
                 answer[c, rank] = v
                 break
-
-    result: dict[str, list] = {}
-    for c in wanted:
-        if c not in columns:
-            result[c] = []
-            continue
-        whole_numbers = isinstance(df.schema[c].dataType, T.IntegralType)
-        values = []
-        for p in wanted[c]:
-            if not counts[c]:
-                values.append(None)
-                continue
-            low, high, weight = _ranks(counts[c], p, interpolated)
-            v = answer[c, low]
-            if weight:
-                v = v + (answer[c, high] - v) * weight
-            values.append(int(v) if whole_numbers and not interpolated else v)
-        result[c] = values
-    return result
+    return answer
 
 
 def iqr_fences(df: DataFrame, columns: list[str], factor: float = 1.5,
