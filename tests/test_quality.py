@@ -23,6 +23,25 @@ def test_profile(spark):
     assert near == {"i": 3, "s": 2, "d": 3, "empty": 1}
 
 
+def test_distinct_counts_of_dense_and_sparse_columns(spark):
+    """Against COUNT(DISTINCT): bitmaps, values next to their ends, wide numbers, texts, dates."""
+    df = spark.range(40_000).selectExpr(
+        "id AS dense", "if(id % 9 = 0, NULL, id * 1000003) AS sparse", "int(id % 40) - 20 AS few",
+        "-32767 + id AS `low end`", "-32768 + id AS below", "id + 91074 AS beyond", "id % 131073 AS `high end`",
+        "date_add(DATE'1880-04-15', int(id)) AS days", "date_add(DATE'1800-01-01', int(id % 90)) AS `old days`",
+        "if(id % 5 = 0, NULL, id % 2 = 0) AS flag", "string(id % 700) AS text", "if(id % 2 = 0, -0.0D, 0.0D) AS zero",
+        "if(id % 3 = 0, double('NaN'), id / 7) AS fraction", "array(id % 11, 1) AS list", "map(id % 3, 1) AS mapped",
+        "decimal(id) / 3 AS part", "int(NULL) AS nothing").repartition(5)
+    found = {r.column_name: r.distinct_count for r in quality.distinct_counts(df).collect()}
+    for c in df.columns:
+        assert found.pop(c) == df.selectExpr(f"string(`{c}`) AS v" if c == "mapped" else f"`{c}` AS v") \
+            .distinct().count(), c
+    assert not found
+    assert quality._in_bitmaps(df).keys() == {
+        "dense", "few", "low end", "high end", "days", "flag", "nothing"}
+    assert {r[1] for r in quality.distinct_counts(df.limit(0)).collect()} <= {0}
+
+
 def test_profile_of_an_empty_frame(spark):
     df = spark.createDataFrame([], "i int, s string")
     rows = {r.column_name: r for r in quality.profile(df).collect()}

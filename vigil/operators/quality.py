@@ -9,6 +9,9 @@ from vigil.functions.measures import count_if
 from vigil.plans import quantiles
 from vigil.schemas import literal_sql, name_sql, numeric_columns, quoted, rows_of, text_sql
 
+#: Numbers of the bitmaps, of 32,768 bits each: from -32,767 to 131,072; days from 1880 on.
+BITMAPS = range(5)
+
 
 def stage_metrics(df: DataFrame, stage: str) -> DataFrame:
     """Row count, column count and schema of a frame as one row."""
@@ -21,8 +24,11 @@ def stage_metrics(df: DataFrame, stage: str) -> DataFrame:
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values per column, null counted as a value.
 
-    The exact form shuffles every distinct (column, value) pair once; copies of
-    a value collapse before the shuffle, so a frequent value costs nothing.
+    The exact form counts whole numbers and dates of a small range in bitmaps. Of
+    other columns it shuffles 16 bytes for every distinct value of a task: copies
+    collapse before the shuffle, so a frequent value costs nothing. Two values of
+    those are taken for one if both their 64-bit hashes are equal: among 10^12 distinct
+    values a chance of about 1 in 10^15.
     """
     names = [(c, name_sql(c)) for c in df.columns]
     if approximate:
@@ -32,12 +38,55 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
         return rows_of(measured, [
             {"column_name": text_sql(c), "distinct_count": f"bigint(d{i})"}
             for i, (c, _) in enumerate(names)])
-    fractions = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    # Adding 0 turns -0.0 into 0.0, which is the same value.
-    pairs = rows_of(df, [{"column_name": text_sql(c),
-                          "v": f"string({n} + 0.0D)" if c in fractions else f"string({n})"}
-                         for c, n in names])
-    return pairs.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
+    few = _in_bitmaps(df)
+    rest = [c for c in df.columns if c not in few]
+    known = rows_of(df.sparkSession.range(1), [
+        {"column_name": text_sql(c), "distinct_count": f"bigint({n})"} for c, n in few.items()]) if few else None
+    if not rest:
+        return known
+    pairs = rows_of(df, [{"i": str(i), **_identity(df.schema[c])} for i, c in enumerate(rest)])
+    names = F.array(*[F.lit(c) for c in rest])
+    counted = pairs.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("distinct_count")) \
+        .select(F.element_at(names, F.col("i") + 1).alias("column_name"), "distinct_count")
+    return counted.unionByName(known) if few else counted
+
+
+def _in_bitmaps(df: DataFrame) -> dict[str, int]:
+    """Distinct values of whole-number, date and flag columns all of whose values have a bit
+    in BITMAPS: one aggregate whose partial results are a few kilobytes per column."""
+    values = {}
+    for f in df.schema:
+        if isinstance(f.dataType, T.IntegralType):
+            values[f.name] = f"bigint({name_sql(f.name)})"
+        elif isinstance(f.dataType, T.DateType):
+            values[f.name] = f"bigint(unix_date({name_sql(f.name)}))"
+        elif isinstance(f.dataType, T.BooleanType):
+            values[f.name] = f"bigint({name_sql(f.name)})"
+    if not values:
+        return {}
+    measures = []
+    for i, v in enumerate(values.values()):
+        bucket = f"bitmap_bucket_number({v})"
+        bits = " + ".join(
+            f"coalesce(bitmap_count(bitmap_construct_agg(bitmap_bit_position({v})) FILTER (WHERE {bucket} = {k})), 0)"
+            for k in BITMAPS)
+        measures += [f"{bits} + coalesce(max(int({v} IS NULL)), 0) AS d{i}",
+                     f"count_if({bucket} NOT BETWEEN {BITMAPS[0]} AND {BITMAPS[-1]}) AS beyond{i}"]
+    row = df.agg(*map(F.expr, measures)).first()
+    return {c: row[f"d{i}"] for i, c in enumerate(values) if not row[f"beyond{i}"]}
+
+
+def _identity(field: T.StructField) -> dict[str, str]:
+    """Two numbers that tell a value from all others of its column, as SQL: a whole number
+    itself, else two 64-bit hashes with seeds of their own. Null is a value."""
+    name = name_sql(field.name)
+    if isinstance(field.dataType, T.IntegralType):
+        return {"a": f"coalesce(bigint({name}), 0L)", "b": f"bigint({name} IS NULL)"}
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        name = f"({name} + 0.0D)"  # turns -0.0 into 0.0, which is the same value
+    elif isinstance(field.dataType, T.MapType):
+        name = f"string({name})"
+    return {"a": f"xxhash64({name})", "b": f"xxhash64('second', {name})"}
 
 
 def profile(df: DataFrame, approximate_distinct: bool = False) -> DataFrame:
