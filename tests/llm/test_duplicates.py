@@ -277,3 +277,19 @@ def test_empty_tables(frame):
     assert remove_windows(none).count() == 0
     assert join(none).count() == 0
     assert representatives(none).count() == 0
+
+
+def test_word_codes_do_not_depend_on_blocks(monkeypatch):
+    """Texts of many blocks, and words longer than one: equal words have equal codes anywhere."""
+    from vigil.llm import passages
+
+    random.seed(2)
+    words = [bytes(random.choices(range(97, 123), k=random.choice([1, 3, 9, 200, 5000]))) for _ in range(60)]
+    text = [random.choice(words) for _ in range(4000)]
+    spec = passages.Spec("word", 5, 5)
+    whole = passages.units(spec, [b" ".join(text)]).codes
+    monkeypatch.setattr(passages, "WORD_BLOCK", 1000)
+    parts = passages.units(spec, [b" ".join(text[:7]), b"", b" ".join(text[7:])])
+    assert whole.tolist() == parts.codes.tolist() and parts.first.tolist() == [0, 7, 7, 4000]
+    assert len(set(zip(text, whole.tolist()))) == len(set(text)) == len(set(whole.tolist()))
+    assert passages.units(spec, [b""]).codes.tolist() == []

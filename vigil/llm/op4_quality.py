@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from vigil.llm.passages import portions
 from vigil.llm.registry import register, table
-from vigil.llm.workers import map_batches, texts
+from vigil.llm.workers import map_batches, texts_of
 from vigil.plans.scratch import materialize
 
 SPACES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
@@ -51,15 +51,17 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole row of docs comes along as the struct "row".
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                       *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []))
+    # With the row its text comes along, once.
+    rows = docs.select(F.col(id_col).alias("id"), (
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row") if carry else F.col(text_col).alias("text")))
+    at = docs.columns.index(text_col)
     columns = ", ".join([f"{c} bigint" for c in BASE] + [f"{c} double" for c in FEATURES]
                         + ([f"row {rows.schema['row'].dataType.simpleString()}"] if carry else []))
 
     def task():
         def work(batch: pa.RecordBatch) -> dict:
             extra = {"row": batch.column("row")} if carry else {}
-            data = texts(batch, "text")
+            data = texts_of(batch.column("row").field(at) if carry else batch.column("text"))
             out = {c: [] for c in (*BASE, *FEATURES)}
             for a, b in portions(data, PORTION_BYTES):
                 for name, values in _measure(data[a:b]).items():

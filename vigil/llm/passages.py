@@ -38,6 +38,7 @@ from vigil.llm.workers import record_batch, texts
 from vigil.plans.scratch import materialize, remove
 
 PORTION_BYTES = 8 << 20
+WORD_BLOCK = 256 << 10
 HOT = 50_000
 EVERYWHERE = -1  # the home of what all rows need
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -86,14 +87,28 @@ def units(spec: Spec, data: list[bytes]) -> Units:
     space = SPACE[raw]
     begin = np.flatnonzero(~space & np.concatenate([[True], space[:-1]]))
     end = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1
-    # Hash of each word from sums over the bytes, scaled back by its place.
-    powers, inverse = _powers(len(raw))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(byte_codes()[raw] * powers)])
-    codes = _mixed((sums[end] - sums[begin]) * inverse[begin])
+    codes = _word_codes(raw, begin, end)
     first = np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes + 1)]))
     return Units(joined, codes, begin, end, first)
 
 
+def _word_codes(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word from sums over the bytes, scaled back by its place. Whole words of
+    WORD_BLOCK bytes at a time: tables of eight bytes and more per byte stay small."""
+    out, code_of, powers = np.empty(len(begin), np.uint64), byte_codes(), None
+    i = 0
+    while i < len(begin):
+        a = begin[i]
+        j = max(i + 1, int(np.searchsorted(end, a + WORD_BLOCK, "right")))
+        n = int(end[j - 1] - a)
+        if powers is None or len(powers) < n:
+            powers, inverse = _powers(max(n, min(WORD_BLOCK, int(end[-1] - a))))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code_of[raw[a:a + n]] * powers[:n])])
+        out[i:j] = _mixed((sums[end[i:j] - a] - sums[begin[i:j] - a]) * inverse[begin[i:j] - a])
+        i = j
+    return out
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of MIX and of its inverse, made anew: kept, they would hold memory for ever."""
     out = []

@@ -81,6 +81,9 @@ def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
 
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The texts of a batch as UTF-8; null is the empty text."""
-    array = batch.column(column)
+    return texts_of(batch.column(column))
+
+
+def texts_of(array: pa.Array) -> list[bytes]:
     kind = pa.large_binary() if pa.types.is_large_string(array.type) else pa.binary()
     return [b or b"" for b in array.cast(kind).to_pylist()]
