@@ -74,3 +74,20 @@ def test_threshold_keeps_good_documents():
     buckets = {10: (1000, 0), 15: (3, 90), 19: (60, 10)}
     assert quality.threshold(buckets, 0.99) > 19 / quality.BUCKETS
     assert quality.threshold({10: (1000, 0), 15: (3, 90)}, 0.99) == 15 / quality.BUCKETS
+
+
+def test_keep_is_what_decisions_keep(spark, frame, odd_rows):
+    """Whole rows, repeated ones too, with and without labels."""
+    from collections import Counter
+
+    from vigil.llm.op4_quality import decisions, keep
+
+    rows = odd_rows + [(100 + k, " ".join(f"word{(k * 7 + j) % 83}" for j in range(60 + k))) for k in range(60)]
+    docs = frame(rows)
+    marks = spark.createDataFrame([(100 + k, int(k % 9 > 0)) for k in range(60)], "doc_id long, quality int")
+    for labels in (marks, marks.limit(0)):
+        kept = keep(docs, labels)
+        assert kept.columns == docs.columns
+        expected = Counter(r["doc_id"] for r in decisions(docs, labels).where("kept").collect())
+        assert Counter(r["doc_id"] for r in kept.collect()) == expected and len(expected) > 40
+    assert keep(frame([]), marks).count() == 0

@@ -42,31 +42,24 @@ STEADY = 20
 VARIED = 1.25
 
 
-def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               carry: bool = False) -> DataFrame:
+def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base counts, base_failed and features of every whole text, one row per row of docs.
 
     Words are runs of characters other than ASCII white space. Null and empty
-    texts have no words: all counts are 0 and base_failed is true. With carry the
-    whole row of docs comes along as the struct "row".
+    texts have no words: all counts are 0 and base_failed is true.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    # With the row its text comes along, once.
-    rows = docs.select(F.col(id_col).alias("id"), (
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row") if carry else F.col(text_col).alias("text")))
-    at = docs.columns.index(text_col)
-    columns = ", ".join([f"{c} bigint" for c in BASE] + [f"{c} double" for c in FEATURES]
-                        + ([f"row {rows.schema['row'].dataType.simpleString()}"] if carry else []))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    columns = ", ".join([f"{c} bigint" for c in BASE] + [f"{c} double" for c in FEATURES])
 
     def task():
         def work(batch: pa.RecordBatch) -> dict:
-            extra = {"row": batch.column("row")} if carry else {}
-            data = texts_of(batch.column("row").field(at) if carry else batch.column("text"))
+            data = texts_of(batch.column("text"))
             out = {c: [] for c in (*BASE, *FEATURES)}
             for a, b in portions(data, PORTION_BYTES):
                 for name, values in _measure(data[a:b]).items():
                     out[name] += values
-            return {"id": batch.column("id"), **out, **extra}
+            return {"id": batch.column("id"), **out}
 
         return work
 
@@ -206,9 +199,10 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS, seed: int = 7
     return Forest(feature, value, left, depth, rows)
 
 
-def judge(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows: int = FIT_ROWS,
-          keep_good: float = KEEP_GOOD) -> DataFrame:
-    """Add anomaly (double) and kept to a table of statistics that is cheap to read again.
+def fitted(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows: int = FIT_ROWS,
+           keep_good: float = KEEP_GOOD):
+    """The forest (broadcast) and the anomaly from which on a document goes, or None; from
+    a table of statistics that is cheap to read again.
 
     labels: (id, quality), quality 1 good and 0 bad; other values and null are
     not used, a document with labels of both kinds counts as bad. The trees draw
@@ -223,13 +217,22 @@ def judge(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows:
     sample = known.where("quality = 1").orderBy(F.xxhash64(id_col), *FEATURES).limit(fit_rows)
     x = np.array([list(r) for r in sample.select(*FEATURES).collect()], float)
     if not len(x):
-        return stats.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
+        return None
     forest = stats.sparkSession.sparkContext.broadcast(grow(x))
     scored = _score(known, forest, "quality int", id_col)
     buckets = (scored.groupBy(F.floor(F.col("anomaly") * BUCKETS).cast("int").alias("b"))
                .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")).collect())
-    limit = threshold({r["b"]: (r["good"], r["bad"]) for r in buckets}, keep_good)
-    others = ", ".join(f"{c} {t}" for c, t in stats.dtypes if c in (*BASE, "base_failed", "row"))
+    return forest, threshold({r["b"]: (r["good"], r["bad"]) for r in buckets}, keep_good)
+
+
+def judge(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", fit_rows: int = FIT_ROWS,
+          keep_good: float = KEEP_GOOD) -> DataFrame:
+    """Add anomaly (double) and kept to a table of statistics; see fitted()."""
+    model = fitted(stats, labels, id_col, fit_rows, keep_good)
+    if model is None:
+        return stats.withColumn("anomaly", F.lit(0.0)).withColumn("kept", ~F.col("base_failed"))
+    forest, limit = model
+    others = ", ".join(f"{c} {t}" for c, t in stats.dtypes if c in (*BASE, "base_failed"))
     return (_score(stats, forest, others, id_col)
             .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < limit)))
 
@@ -273,10 +276,35 @@ def decisions(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
 
 def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that pass, with all their columns."""
-    stats, _ = materialize(statistics(docs, id_col, text_col, carry=True), "quality")
-    judged = judge(stats, labels, id_col)
-    return judged.where("kept").select("row.*")
+    """The rows of docs that pass, with all their columns; the same as decisions() keeps.
+
+    The texts are measured twice, for the threshold and for the decision: writing
+    them in between would take the disk that the whole table takes.
+    """
+    stats, _ = materialize(statistics(docs, id_col, text_col), "quality")
+    model = fitted(stats, labels, id_col)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    at = docs.columns.index(text_col)
+
+    def task():
+        def passes(data: list[bytes]) -> np.ndarray:
+            found = _measure(data)
+            n, repeated = (np.array(found[c], np.int64) for c in ("n_words", "n_repeat_words"))
+            good = (n >= MIN_WORDS) & (100 * repeated <= MAX_REPEAT_PERCENT * n)
+            if model is not None:
+                forest, limit = model
+                good &= forest.value.scores(np.array([found[c] for c in FEATURES], float).T) < limit
+            return good
+
+        def work(batch: pa.RecordBatch) -> dict:
+            row = batch.column("row")
+            data = texts_of(row.field(at))
+            good = [passes(data[a:b]) for a, b in portions(data, PORTION_BYTES)]
+            return {"row": row.filter(pa.array(np.concatenate([np.zeros(0, bool), *good])))}
+
+        return work
+
+    return map_batches(rows, task, f"row {rows.schema['row'].dataType.simpleString()}").select("row.*")
 
 
 @register("op4_quality_forest")

@@ -36,6 +36,8 @@ WORDS, PERCENT = 3, 90
 SMALL = 64
 #: Rounds against centers, rounds against neighbours, and neighbours of a set in each.
 CENTER_ROUNDS, NEIGHBOUR_ROUNDS, NEIGHBOURS = 2, 4, 8
+#: Bytes of texts whose sets a task holds at once, and pairs it checks at once.
+SET_BYTES, PAIR_ROWS = 2 << 20, 1_000
 #: Members of a list that meet in one task.
 CHUNK = 4_000
 
@@ -114,7 +116,7 @@ def _classes(rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame, dict]:
         def task():
             def work(batch: pa.RecordBatch) -> dict:
                 data, n, names, whole = texts(batch, "text"), [], [], []
-                for a, b in portions(data):
+                for a, b in portions(data, SET_BYTES):
                     sets = shingle_sets(data[a:b], words)
                     own = sets.keys()
                     n.append(sets.sizes)
@@ -408,7 +410,7 @@ def _packed(found: DataFrame, words: int, percent: int) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> dict:
             data, sketches = texts(batch, "text"), []
-            for a, b in portions(data):
+            for a, b in portions(data, SET_BYTES):
                 part = shingle_sets(data[a:b], words)
                 sketches += [sketch(v, percent) for v in np.split(part.values, part.first[1:-1])]
             return {"set": batch.column("set"), "packed": [packer.compress(d) for d in data],
@@ -427,23 +429,26 @@ def _linked(pairs: DataFrame, whole: DataFrame, words: int, percent: int) -> Dat
     def task():
         unpack = zstandard.ZstdDecompressor().decompress
 
-        def work(batch: pa.RecordBatch) -> dict | None:
+        def linked(batch: pa.RecordBatch) -> list[bool]:
             left, right = (batch.column(c).to_pylist() for c in ("text_x", "text_y"))
             both = list(dict.fromkeys(left + right))
             number = {d: i for i, d in enumerate(both)}
             data = [unpack(d) for d in both]
             sets = []
-            for a, b in portions(data):
+            for a, b in portions(data, SET_BYTES):
                 part = shingle_sets(data[a:b], words)
                 sets += np.split(part.values, part.first[1:-1])
             keep = []
-            for i, (a, b) in enumerate(zip(left, right)):
+            for a, b in zip(left, right):
                 p, q = sets[number[a]], sets[number[b]]
                 merged = np.sort(np.concatenate([p, q]), kind="stable")
                 shared = int((merged[1:] == merged[:-1]).sum())
-                if 100 * shared >= percent * (len(p) + len(q) - shared):
-                    keep.append(i)
-            kept = pa.array(keep, pa.int64())
+                keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
+            return keep
+
+        def work(batch: pa.RecordBatch) -> dict:
+            keep = [k for at in range(0, batch.num_rows, PAIR_ROWS) for k in linked(batch.slice(at, PAIR_ROWS))]
+            kept = pa.array(np.flatnonzero(keep))
             return {"x": batch.column("x").take(kept), "y": batch.column("y").take(kept)}
 
         return work
