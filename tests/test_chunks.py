@@ -88,9 +88,28 @@ def test_empty_frame(spark):
     assert windows.rolling_average(df, ["key"], ["rank"], "day", "value").count() == 0
 
 
-def test_order_must_be_a_date(spark):
-    with pytest.raises(ValueError, match="must be a date"):
-        chunks.cut(frame(spark, 7), ["key"], "value", ["rank"])
+@pytest.mark.parametrize("chunk_rows", [3, 50, None])
+@pytest.mark.parametrize("along", [
+    "timestamp(day) + make_dt_interval(0, 0, 0, rank)", "CAST(day AS TIMESTAMP_NTZ)", "rank - 200", "string(value)"])
+def test_orders_of_other_types(spark, along, chunk_rows):
+    """Times, numbers and texts with nulls and ties; one hot key over many ranges."""
+    df = frame(spark, 7).withColumn("at", F.expr(along))
+    order = Window.partitionBy("key").orderBy("at", "rank", "id")
+    rolled = windows.rolling_average(df, ["key"], ["rank", "id"], "at", "value", 7, "x", chunk_rows)
+    expected = df.select("id", F.avg("value").over(order.rowsBetween(-6, 0)).alias("x"))
+    assert rolled.columns == df.columns + ["x"]
+    assert {r.id: r.x for r in rolled.collect()} == {r.id: r.x for r in expected.collect()}
+    filled = cleaning.fill_null_forward(df, "seen", ["key"], "at", ["rank", "id"], chunk_rows)
+    expected = df.select("id", F.last("seen", True).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("x"))
+    assert {r.id: r.seen for r in filled.collect()} == {r.id: r.x for r in expected.collect()}
+
+
+def test_ranges_split_a_hot_key(spark):
+    df = frame(spark, 7, one_day=1.0, rows=1000)
+    cut = chunks.cut(df, ["key"], "rank", ["id"], chunk_rows=100)
+    assert cut.df.count() == 1000
+    assert cut.df.groupBy("key", "__range").count().agg(F.max("count")).first()[0] <= 300
+    assert chunks.rolling(chunks.cut(df.limit(0), ["key"], "rank", ["id"], 10), "value", "x", 3).count() == 0
 
 
 @pytest.mark.parametrize("chunk_rows", [1, 100, 10**9])

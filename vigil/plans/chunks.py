@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from vigil.plans import order as ranges
 from vigil.plans.scratch import materialize
 from vigil.schemas import quoted
 
@@ -26,7 +27,7 @@ class Chunked:
     """A frame whose rows carry `__chunk`, increasing along the window order."""
 
     df: DataFrame
-    cells: DataFrame  # rows per key and day, with the day's period
+    cells: DataFrame | None  # rows per key and day, with the day's period; of a date order
     keys: list[str]
     order: str
     ties: list[str]
@@ -53,14 +54,15 @@ def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
         chunk_rows: int | None = None) -> Chunked:
     """Cut every key along (order, ties) into chunks of about chunk_rows rows.
 
-    `order` is a date column; ties, of any type, must make the order total. The
-    chunk is the coarsest calendar period that is small enough for every key;
-    days that are still too large are cut along all ties.
+    Ties must make the order total. Along a date the chunk is the coarsest calendar
+    period that is small enough for every key; days that are still too large are cut
+    along all ties. Along any other order (times, numbers, text) rows are dealt by
+    range of (key, order, ties), and a chunk is what a key has in a range.
     """
-    if not isinstance(df.schema[order].dataType, T.DateType):
-        raise ValueError(f"{order} must be a date to cut windows along it")
     if not ties:
         raise ValueError("rows of one day need tie-breaks that make their order total")
+    if not isinstance(df.schema[order].dataType, T.DateType):
+        return _ranged(df, keys, order, ties, chunk_rows)
     # One row per key and day.
     cells = df.groupBy(*[quoted(k) for k in keys], quoted(order).alias("__order")) \
         .agg(F.count(F.lit(1)).alias("__n"))
@@ -78,6 +80,15 @@ def cut(df: DataFrame, keys: list[str], order: str, ties: list[str],
                    few=(sizes["cells"] or 0) <= FEW_CELLS)
 
 
+def _ranged(df: DataFrame, keys: list[str], order: str, ties: list[str],
+            chunk_rows: int | None) -> Chunked:
+    """Ranges of about chunk_rows rows, or as many as a shuffle has partitions."""
+    parts = -(-df.count() // chunk_rows) or None if chunk_rows else None
+    rows = ranges.dealt(df, [quoted(c) for c in [*keys, order, *ties]], "__number", parts)
+    rows = rows.withColumn("__range", F.shiftright("__number", ranges.PARTITION_BITS)).drop("__number")
+    return Chunked(rows, None, keys, order, ties, single=False, few=False, chunk=["__range"])
+
+
 def _largest_per_grain(cells: DataFrame, keys: list[str]) -> dict[str, int]:
     """Rows of the largest key x period, for every period length, and the number of cells."""
     by = [quoted(k) for k in keys]
@@ -132,7 +143,10 @@ def _last_days(chunked: Chunked, rows: int) -> DataFrame:
     """Rows of the days at the end of each period that hold its last `rows` rows.
 
     Counting days tells where they start, so that no period is sorted as a whole.
+    Chunks of another order are ranges, sorted by one task each anyway.
     """
+    if chunked.cells is None:
+        return chunked.df
     period = [quoted(k) for k in chunked.keys] + [F.col("__day")]
     later = Window.partitionBy(*period).orderBy(F.col("__order").desc()) \
         .rowsBetween(Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ from datetime import date
 
 from vigil.operators import aggregates as A, cleaning as P, windows as W
 from workload.registry import query
-from workload.views import TIES, communicable, doses
+from workload.views import TIES, communicable, doses, table
 
 from pyspark.sql import functions as F
 
@@ -240,6 +240,18 @@ def rolling_by_region(spark, sf):
     return rolled.select(*TIES, "case_count", "region", "seven_day_avg")
 
 
+@query("W01_rolling7_by_time", """
+SELECT event_id, event_type, ROUND(AVG(CAST(user_id % 2 = 0 AS INT)) OVER (
+         PARTITION BY event_type ORDER BY ts NULLS FIRST, event_id
+         ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS even_share
+FROM events""")
+def rolling_by_time(spark, sf):
+    """Along timestamps: chunks are ranges of (event_type, ts, event_id)."""
+    events = table(spark, sf, "events").withColumn("even", (F.col("user_id") % 2 == 0).cast("int"))
+    rolled = W.rolling_average(events, ["event_type"], ["event_id"], "ts", "even", name="even_share")
+    return rolled.select("event_id", "event_type", "even_share")
+
+
 @query("W02_cumulative_doses", """
 SELECT *, CAST(SUM(dose_count) OVER (PARTITION BY age_group, vaccine_type) AS BIGINT)
             AS cumulative_doses

@@ -152,6 +152,18 @@ def fill_forward(spark, sf):
     return P.fill_null_forward(seen, "seen_date", ["region"], "report_date", TIES)
 
 
+@query("P10_fill_forward_by_time", """
+SELECT event_id, event_type, LAST_VALUE(CASE WHEN user_id % 50 = 0 THEN event_id END IGNORE NULLS) OVER (
+         PARTITION BY event_type ORDER BY ts NULLS FIRST, event_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_seen
+FROM events""")
+def fill_forward_by_time(spark, sf):
+    seen = table(spark, sf, "events").select(
+        "event_id", "event_type", "ts", F.when(F.col("user_id") % 50 == 0, F.col("event_id")).alias("last_seen"))
+    filled = P.fill_null_forward(seen, "last_seen", ["event_type"], "ts", ["event_id"])
+    return filled.select("event_id", "event_type", "last_seen")
+
+
 @query("P11_remove_duplicates", """
 SELECT DISTINCT * REPLACE (CAST(report_date AS VARCHAR) AS report_date) FROM reports""",
        ("reports",))
