@@ -6,13 +6,15 @@ large ones in the inverted lists of their blocks; the boundary between the two
 is chosen by cost from the sizes of all sets. What meets is a candidate: links
 are checked on whole texts.
 
-Copies of one text in many versions share many lists. A list whose members are
-known to be connected needs no more checks, so lists are settled in rounds: each
-component is checked against a center with which it shares many lists, then each
-set against some neighbours in the lists; what links is joined. What is left is
-looked at pair by pair, list by list, on sketches: sums of the elements in many
-small blocks. Blocks that differ are fewer than the elements in one set alone, so
-a pair with too many of them cannot link; the others are checked like the rest.
+Copies of one text in many versions share many lists. Each list is named by its
+leader, the member of least hash; lists of one leader are looked at as one. There,
+members are compared on sketches: sums of the elements in many small blocks. Blocks
+that differ are fewer than the elements in one set alone, so a pair with too many of
+them cannot link. Of the pairs that may, a member's first and nearest partners are
+checked on whole texts: where all link, the first ones tie them together. Lists in
+which a member had more partners come again, without what is connected by then and
+with sixteen times as many partners, until none had more. In lists of many members all
+are checked against the leader first.
 """
 
 import numpy as np
@@ -25,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from vigil.llm.components import components
-from vigil.llm.passages import Spec, keyed, portions, release, units
+from vigil.llm.passages import Spec, keyed, portions, release, spread, units
 from vigil.llm.registry import register, table
 from vigil.llm.shingle_sets import Keys, Sets, boundary_by_cost, mix
 from vigil.llm.workers import map_batches, record_batch, texts
@@ -34,12 +36,14 @@ from vigil.plans.scratch import materialize, remove
 WORDS, PERCENT = 3, 90
 #: Sizes of sets for which subsets are weighed against blocks.
 SMALL = 64
-#: Rounds against centers, rounds against neighbours, and neighbours of a set in each.
-CENTER_ROUNDS, NEIGHBOUR_ROUNDS, NEIGHBOURS = 2, 4, 8
 #: Bytes of texts whose sets a task holds at once, and pairs it checks at once.
 SET_BYTES, PAIR_ROWS = 2 << 20, 1_000
-#: Members of a list that meet in one task.
-CHUNK = 4_000
+#: Members of a list that meet at once; keys that a list is dealt to where it is joined.
+CHUNK, SPLIT = 1_000, 8
+#: Bytes of sketches and of keys that meet in one task; cells of a comparison.
+MET_BYTES, MATRIX = 16 << 20, 1 << 19
+#: Partners of a member that are checked in the first round, sixteenfold in each further one.
+PICKED = 4
 
 
 def shingle_sets(data: list[bytes], words: int) -> Sets:
@@ -154,9 +158,10 @@ def _name(whole: bytes, renamed: dict) -> int:
 
 
 def _entries(rows: DataFrame, classes: DataFrame, keys: Keys, words: int, renamed: dict) -> DataFrame:
-    """(list, set, n): different lists of at least two classes that share a key."""
+    """(list, set, n): classes that share a key with others, under the leaders of their lists."""
     spark = rows.sparkSession
-    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shingles = classes.agg(F.sum("n").alias("n")).first()["n"] or 0
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * shingles // MET_BYTES)
     schema = StructType.fromDDL("bucket int, sets binary, counts binary, keys binary")
     arrow = to_arrow_schema(schema)
 
@@ -209,7 +214,7 @@ def _lists(group: pa.Table) -> dict:
         keys.append(np.frombuffer(k, np.uint64))
         names.append(np.repeat(np.frombuffer(s, np.int64), np.frombuffer(c, np.uint32)))
     key, name = np.concatenate(keys), np.concatenate(names)
-    order = np.lexsort((name, key))
+    order = np.lexsort((mix(name.view(np.uint64)), key))
     key, name = key[order], name[order]
     once = np.ones(len(key), bool)
     once[1:] = (key[1:] != key[:-1]) | (name[1:] != name[:-1])
@@ -218,12 +223,15 @@ def _lists(group: pa.Table) -> dict:
         return {"list": [], "set": []}
     begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.append(begin, len(key)))
-    # Keys that list the same classes are one list, named by its members.
-    named = mix(np.add.reduceat(mix(name.view(np.uint64)), begin) + size.astype(np.uint64)).view(np.int64)
-    some = np.flatnonzero(size > 1)
-    some = some[np.unique(named[some], return_index=True)[1]]
-    at = np.concatenate([np.empty(0, np.int64), *(np.arange(begin[i], begin[i] + size[i]) for i in some)])
-    return {"list": np.repeat(named[some], size[some]), "set": name[at]}
+    some = size > 1
+    if not some.any():
+        return {"list": [], "set": []}
+    # Lists of one leader, the member of least hash, are one.
+    at = spread(begin[some], size[some])
+    met = np.stack([np.repeat(name[begin[some]], size[some]), name[at]], axis=1)
+    met = met[np.lexsort((met[:, 1], met[:, 0]))]
+    met = met[np.concatenate([[True], (met[1:] != met[:-1]).any(axis=1)])]
+    return {"list": met[:, 0], "set": met[:, 1]}
 
 
 def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int, percent: int) -> DataFrame:
@@ -235,160 +243,182 @@ def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int,
     whole, _ = materialize(_packed(found, words, percent), "candidates")
     release(spark)
     labels = spark.createDataFrame([], "node bigint, label bigint")
-    links = tested = spark.createDataFrame([], "x bigint, y bigint")
-    turn, last = 0, CENTER_ROUNDS + NEIGHBOUR_ROUNDS
+    tested = spark.createDataFrame([], "x bigint, y bigint")
+    pairs, picked = _to_leaders(entries, classes, percent), PICKED
     while True:
-        open_, path = materialize(_open(entries, labels), "open")
-        if open_.isEmpty():
-            remove(spark, path)
-            return labels
-        if turn < CENTER_ROUNDS:
-            pairs = _centers(open_, tested, percent)
-        elif turn < last:
-            pairs = _neighbours(open_, percent, turn)
-        else:
-            pairs = _possible(open_, whole, percent).join(tested, ["x", "y"], "left_anti")
+        more = None
+        if pairs is None:
+            met, path = materialize(_possible(_open(entries, labels), whole, percent, picked), "pairs")
+            pairs = met.where("x is not null").select("x", "y").distinct().join(tested, ["x", "y"], "left_anti")
+            more, picked = met.where("x is null").select("list").distinct(), 16 * picked
         pairs, _ = materialize(pairs, "pairs")
         fresh, _ = materialize(_linked(pairs, whole, words, percent), "links")
-        remove(spark, path)
         release(spark)
-        tested = tested.unionByName(pairs)
-        joined = not fresh.isEmpty()
-        if joined:
-            links = links.unionByName(fresh)
-            labels, _ = components(links)
-        if turn == last:
+        tested, pairs = tested.unionByName(pairs), None
+        if not fresh.isEmpty():
+            # Labels stand for the links they came from.
+            labels, _ = components(fresh.unionByName(labels.select(F.col("node").alias("x"), F.col("label").alias("y"))))
+        if more is None:
+            continue
+        done = more.isEmpty()
+        if not done:
+            # Only lists in which some member had more partners than were picked.
+            entries, _ = materialize(entries.join(more, "list", "left_semi"), "entries")
+        remove(spark, path)
+        if done:
             return labels
-        # Where neighbours no longer link, the last round has the rest.
-        turn = turn + 1 if joined or turn < CENTER_ROUNDS else last
-
-
-def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries, with their labels, of lists that are not within one component."""
-    named = entries.join(labels, F.col("set") == F.col("node"), "left").select(
-        "list", "set", "n", F.coalesce("label", "set").alias("label"))
-    spans = named.groupBy("list").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.min(F.struct("label", "set", "n")).alias("center")).where("low < high")
-    return named.join(spans.select("list", "center", "members"), "list")
 
 
 def _near(a, b, percent: int):
     return F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b)
 
 
-def _centers(open_: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Per component outside the centers' ones a new pair with its most frequent center."""
-    met = (open_.where(F.col("label") != F.col("center.label"))
-           .where(_near(F.col("n"), F.col("center.n"), percent))
-           .groupBy("label", F.col("center.set").alias("c"))
-           .agg(F.count(F.lit(1)).alias("votes"), F.min("set").alias("s"))
-           .select("label", "votes", F.least("c", "s").alias("x"), F.greatest("c", "s").alias("y"))
-           .join(tested, ["x", "y"], "left_anti"))
-    best = met.groupBy("label").agg(F.max(F.struct("votes", "x", "y")).alias("b"))
-    return best.select("b.x", "b.y").distinct()
-
-
-def _neighbours(open_: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Per set the pairs with the sets next to it in most lists, in an order drawn anew."""
-    order = F.xxhash64("set", F.lit(turn))
-    dealt = (open_.select("list", "set", "n", "label", order.alias("place"))
-             .repartitionByRange("list", "place").sortWithinPartitions("list", "place"))
-    schema = StructType.fromDDL("x bigint, y bigint, votes bigint")
-    arrow = to_arrow_schema(schema)
+def _to_leaders(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame | None:
+    """Pairs of each member and the leader of its list, in lists of more than CHUNK; None without such."""
+    large = entries.groupBy("list").count().where(F.col("count") > CHUNK).select("list")
+    if large.isEmpty():
+        return None
+    led = large.join(classes.select(F.col("set").alias("list"), F.col("n").alias("m")), "list")
+    return (_beside(entries.where("list <> set"), led).where(_near(F.col("n"), F.col("m"), percent))
+            .select(F.least("list", "set").alias("x"), F.greatest("list", "set").alias("y")).distinct())
 
-    def meet(batches):
-        # Lists that run over into another partition lose neighbours there, not members.
-        for batch in batches:
-            lists, sets, sizes, labels = (batch.column(c).to_numpy() for c in ("list", "set", "n", "label"))
-            found = [np.empty((0, 2), np.int64)]
-            for s in range(1, NEIGHBOURS + 1):
-                small = np.minimum(sizes[s:], sizes[:-s])
-                ok = ((lists[s:] == lists[:-s]) & (labels[s:] != labels[:-s])
-                      & (100 * small >= percent * np.maximum(sizes[s:], sizes[:-s])))
-                found.append(np.sort(np.stack([sets[:-s][ok], sets[s:][ok]], axis=1), axis=1))
-            pairs = np.concatenate(found)
-            order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-            pairs = pairs[order]
-            first = np.flatnonzero(np.concatenate(
-                [[True], (pairs[1:] != pairs[:-1]).any(axis=1)])) if len(pairs) else order
-            yield record_batch({"x": pairs[first, 0], "y": pairs[first, 1],
-                                "votes": np.diff(np.append(first, len(pairs)))}, arrow)
-
-    met = dealt.mapInArrow(meet, schema).groupBy("x", "y").agg(F.sum("votes").alias("votes"))
-    best = Window.partitionBy("x").orderBy(F.desc("votes"), "y")
-    return (met.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= NEIGHBOURS)
-            .select("x", "y"))
-
-
-def _possible(open_: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """All pairs between components of one list whose sketches leave a link possible.
-
-    Lists of more than CHUNK members meet chunk by chunk.
+
+def _beside(entries: DataFrame, of_list: DataFrame) -> DataFrame:
+    """Entries joined by list, each list's members dealt to SPLIT keys."""
+    return (entries.withColumn("part", F.pmod(F.xxhash64("set"), F.lit(SPLIT)).cast("int"))
+            .join(of_list.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPLIT - 1)))), ["list", "part"])
+            .drop("part"))
+
+
+def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of lists that are not within one component, with the chunks they meet in.
+
+    A list of up to CHUNK members is one chunk. In a larger one, the leader's
+    component and the other members are chunks apart; the component's chunks meet
+    those of the others only, so a member of it is sent once per chunk of others.
+    """
+    named = entries.join(labels, F.col("set") == F.col("node"), "left").select(
+        "list", "set", "n", F.coalesce("label", "set").alias("label"))
+    lists = named.groupBy("list").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.max(F.when(F.col("list") == F.col("set"), F.col("label"))).alias("main")).where("low < high")
+    own = _beside(named, lists.select("list", "main", "members"))
+    inside = F.col("label") == F.col("main")
+    # Lists of more than one chunk: how many members are inside and outside.
+    wide = own.where(F.col("members") > CHUNK)
+    sides = wide.groupBy("list").agg(
+        F.ceil(F.count_if(inside) / CHUNK).cast("int").alias("mains"),
+        F.ceil(F.count_if(~inside) / CHUNK).cast("int").alias("others"))
+    wide = _beside(wide, sides)
+    place = F.xxhash64(F.lit(7), "set")
+    wide = wide.withColumn("own", F.when(inside, -1 - F.pmod(place, "mains")).otherwise(F.pmod(place, "others")).cast("int"))
+    to_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: F.struct(
+        F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
+    to_mains = F.transform(F.sequence(F.lit(1), F.col("mains")), lambda m: F.struct(
+        (-m).alias("i"), F.col("own").alias("j")))
+    wide = wide.withColumn("at", F.explode(F.when(inside, to_others).otherwise(F.concat(to_others, to_mains))))
+    columns = ["list", "set", "n", "label", "own"]
+    zero = F.lit(0)
+    return (own.where(F.col("members") <= CHUNK).select(*columns[:4], zero.alias("own"), zero.alias("i"), zero.alias("j"))
+            .unionByName(wide.select(*columns, "at.i", "at.j")))
+
+
+def _possible(open_: DataFrame, whole: DataFrame, percent: int, picked: int) -> DataFrame:
+    """(list, x, y): pairs between components of one list whose sketches leave a link possible.
+
+    Of a member's partners before it in the list's order the first ones and the
+    nearest ones, `picked` of each. Null x and y tell that a member had more.
     """
     spark = open_.sparkSession
-    buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    own = F.pmod(F.xxhash64("set"), F.col("chunks")).cast("int")
+    open_, _ = materialize(open_, "open")
+    size = whole.agg(F.avg(F.length("sketch")).alias("mean")).first()["mean"] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  64, int(open_.count() * (size + 48)) // MET_BYTES)
     sent = (
-        open_.select("list", "set", "n", "label", chunks.alias("chunks"))
-        .join(whole.select("set", "sketch"), "set")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+        open_.join(whole.select("set", "sketch"), "set")
         .withColumn("bucket", F.pmod(F.xxhash64("list", "i", "j"), F.lit(buckets)).cast("int"))
         .select("bucket", "list", "i", "j", "own", "set", "n", "label", "sketch"))
-    schema = StructType.fromDDL("x bigint, y bigint")
+    schema = StructType.fromDDL("list bigint, x bigint, y bigint")
     arrow = to_arrow_schema(schema)
 
     def meet(group: pa.Table) -> pa.Table:
         lists, i, j, side, sets, n, labels = (
             group.column(c).to_numpy() for c in ("list", "i", "j", "own", "set", "n", "label"))
         sketches = group.column("sketch").to_pylist()
-        order = np.lexsort((j, i, lists))
+        order = np.lexsort((mix(sets.view(np.uint64)), j, i, lists))
         change = np.ones(len(order), bool)
         keys = np.stack([lists[order], i[order], j[order]], axis=1)
         change[1:] = (keys[1:] != keys[:-1]).any(axis=1)
         begin = np.flatnonzero(change)
-        found = set()
+        found, more = [np.empty((0, 3), np.int64)], []
         for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
-            found |= _pairs_of(order[a:b], i[order[a]] == j[order[a]], side, sets, n, labels, sketches, percent)
-        out = np.array(sorted(found), np.int64).reshape(-1, 2)
-        return pa.Table.from_batches([record_batch({"x": out[:, 0], "y": out[:, 1]}, arrow)])
-
-    return sent.groupBy("bucket").applyInArrow(meet, schema).distinct()
-
-
-def _pairs_of(own, within: bool, side, sets, n, labels, sketches, percent: int) -> set:
-    """Pairs of some members, of one chunk or between two, that may link."""
-    found: set[tuple[int, int]] = set()
-    by_blocks: dict[int, list[int]] = {}
-    for m in own.tolist():
-        by_blocks.setdefault(len(sketches[m]) // 2, []).append(m)
-    kinds = sorted(by_blocks)
-    for p, few in enumerate(kinds):
-        for many in kinds[p:]:
+            own = order[a:b]
+            within = i[own[0]] == j[own[0]]
+            left = right = own
+            if not within:
+                left, right = own[side[own] == j[own[0]]], own[side[own] == i[own[0]]]
+            pairs, rest = _pairs_of(left, right, within, n, labels, sketches, percent, picked)
+            u, v = sets[pairs[:, 0]], sets[pairs[:, 1]]
+            found.append(np.stack([np.full(len(u), lists[own[0]]), np.minimum(u, v), np.maximum(u, v)], axis=1))
+            if rest:
+                more.append(int(lists[own[0]]))
+        out = np.concatenate(found)
+        return pa.Table.from_batches([record_batch({
+            "list": pa.array([*out[:, 0].tolist(), *more], pa.int64()),
+            "x": pa.array([*out[:, 1].tolist(), *[None] * len(more)], pa.int64()),
+            "y": pa.array([*out[:, 2].tolist(), *[None] * len(more)], pa.int64())}, arrow)])
+
+    return sent.groupBy("bucket").applyInArrow(meet, schema)
+
+
+def _pairs_of(left, right, within: bool, n, labels, sketches, percent: int, picked: int):
+    """Pairs of rows that may link, some per row of left, and whether there are more."""
+    found, more = [np.empty((0, 2), np.int64)], False
+    for few, rows in _by_blocks(left, sketches):
+        for many, columns in _by_blocks(right, sketches):
+            if within and many < few:
+                continue
             # Sums of small blocks add up to those of larger ones.
-            left, right = np.array(by_blocks[few]), np.array(by_blocks[many])
-            x = np.stack([np.frombuffer(sketches[m], np.uint16) for m in left])
-            y = np.stack([np.frombuffer(sketches[m], np.uint16) for m in right])
-            y = y.reshape(len(y), -1, few).sum(axis=1, dtype=np.uint16)
-            step, most = max(1, (1 << 21) // len(right)), max(1, (1 << 23) // few)
-            for at in range(0, len(left), step):
-                some = left[at:at + step]
-                small, large = (f(n[some][:, None], n[right][None, :]) for f in (np.minimum, np.maximum))
-                ok = (labels[some][:, None] != labels[right][None, :]) & (100 * small >= percent * large)
-                if not within:
-                    ok &= side[some][:, None] != side[right][None, :]
+            blocks = min(few, many)
+            x, y = (_sums(own, sketches, blocks) for own in (rows, columns))
+            step = max(1, MATRIX // len(columns))
+            for at in range(0, len(rows), step):
+                some = rows[at:at + step]
+                small, large = (f(n[some][:, None], n[columns][None, :]) for f in (np.minimum, np.maximum))
+                ok = (labels[some][:, None] != labels[columns][None, :]) & (100 * small >= percent * large)
+                if within and few == many:
+                    ok &= np.arange(len(columns))[None, :] < np.arange(at, at + len(some))[:, None]
                 single = (small + large) * (100 - percent) // (100 + percent)
-                rows, columns = np.nonzero(ok)
-                for cut in range(0, len(rows), most):
-                    r, c = rows[cut:cut + most], columns[cut:cut + most]
-                    differ = (x[at + r] != y[c]).sum(axis=1)
-                    may = differ <= single[r, c]
-                    u, v = sets[some[r[may]]], sets[right[c[may]]]
-                    found.update(zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist()))
-    return found
+                differ = np.full(ok.shape, np.iinfo(np.int32).max, np.int32)
+                r, c = np.nonzero(ok)
+                most = max(1, (1 << 22) // blocks)
+                for cut in range(0, len(r), most):
+                    p, q = r[cut:cut + most], c[cut:cut + most]
+                    differ[p, q] = (x[at + p] != y[q]).sum(axis=1)
+                may = ok & (differ <= single)
+                if not may.any():
+                    continue
+                take = may & (np.cumsum(may, axis=1) <= picked)
+                if len(columns) > picked:
+                    nearest = np.argpartition(np.where(may, differ, np.iinfo(np.int32).max), picked - 1, axis=1)
+                    put = np.zeros_like(may)
+                    np.put_along_axis(put, nearest[:, :picked], True, axis=1)
+                    take |= may & put
+                more |= bool((may & ~take).any())
+                r, c = np.nonzero(take)
+                found.append(np.stack([some[r], columns[c]], axis=1))
+    return np.concatenate(found), more
+
+
+def _by_blocks(own, sketches) -> list:
+    """Rows by the length of their sketches."""
+    length = np.array([len(sketches[m]) // 2 for m in own.tolist()])
+    return [(int(k), own[length == k]) for k in np.unique(length)]
+
+
+def _sums(own, sketches, blocks: int):
+    x = np.stack([np.frombuffer(sketches[m], np.uint16) for m in own.tolist()])
+    return x.reshape(len(x), -1, blocks).sum(axis=1, dtype=np.uint16)
 
 
 def sketch(values: np.ndarray, percent: int) -> bytes:
