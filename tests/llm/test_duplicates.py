@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.llm import op8_jaccard_join
 from vigil.llm.components import components
 from vigil.llm.op8_jaccard_join import join, representatives
 from vigil.llm.op9_superkmer_dedup import remove_windows
@@ -215,6 +216,25 @@ def test_jaccard_components(frame, odd_rows, words, percent):
     assert sum(i != c for i, _, c in expected) > 100
 
 
+def test_groups_of_many_chunks_and_rounds(frame, monkeypatch):
+    """Copies of two texts with so many edits that some pairs link and others just do not."""
+    random.seed(9)
+    rows = []
+    for b in range(2):
+        base = [f"b{b}w{i}" for i in range(60 + 40 * b)]
+        for i in range(150):
+            own = list(base)
+            for at in random.sample(range(len(own)), random.randint(1, 4)):
+                own[at] = f"edit{random.randrange(12)}"
+            rows.append((1000 * b + i, " ".join(own)))
+    monkeypatch.setattr(op8_jaccard_join, "CHUNK", 20)
+    monkeypatch.setattr(op8_jaccard_join, "PICKED", 1)
+    found = [tuple(r) for r in join(frame(rows), 3, 90).collect()]
+    expected = [e[:3] for e in linked(rows, 3, 90)]
+    assert sorted(found) == sorted(expected)
+    assert 20 < len({c for _, _, c in expected}) < 280
+
+
 def test_one_row_of_each_component_stays(frame, odd_rows):
     rows = similar_texts(3) + [(1000 + i if i is not None else i, t) for i, t in odd_rows]
     docs = frame(rows)
