@@ -16,13 +16,25 @@ from vigil.plans.scratch import materialize, remove
 def components(edges: DataFrame) -> tuple[DataFrame, str]:
     """(node, label): label the smallest node of its component, for nodes with edges.
 
-    edges: columns x, y of one comparable type; direction, repeats and loops do
-    not matter. Also returns the scratch path of the table.
+    edges: as in ties(). Also returns the scratch path of the table.
+    """
+    tied, path = ties(edges)
+    labels, label_path = materialize(
+        tied.unionByName(tied.select(F.col("label").alias("node"), "label").distinct()), "labels")
+    remove(edges.sparkSession, path)
+    return labels, label_path
+
+
+def ties(edges: DataFrame) -> tuple[DataFrame, str]:
+    """(node, label): label the smallest node of its component, for all its other nodes.
+
+    edges: a written table with columns x, y of one comparable type; direction,
+    repeats and loops do not matter. It is read as it is, several times. Also
+    returns the scratch path of the result.
     """
     spark = edges.sparkSession
-    now, path = materialize(edges.where("x <> y").select(
-        F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct(), "edges")
-    while not _stars(now):
+    now, path = edges.where("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")), None
+    while path is None or not _stars(now):
         both = now.unionByName(now.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m")).select(
             "x", F.least("x", "m").alias("m"))
@@ -35,14 +47,11 @@ def components(edges: DataFrame) -> tuple[DataFrame, str]:
                  .unionByName(floor.select(F.col("x").alias("a"), F.col("m").alias("b")))
                  .select(F.col("a").alias("x"), F.col("b").alias("y")).distinct())
         fresh, fresh_path = materialize(small, "small-star")
-        remove(spark, path)
         remove(spark, large_path)
+        if path:
+            remove(spark, path)
         now, path = fresh, fresh_path
-    labels, label_path = materialize(
-        now.select(F.col("x").alias("node"), F.col("y").alias("label"))
-        .unionByName(now.select(F.col("y").alias("node"), F.col("y").alias("label")).distinct()), "labels")
-    remove(spark, path)
-    return labels, label_path
+    return now.select(F.col("x").alias("node"), F.col("y").alias("label")), path
 
 
 def _stars(edges: DataFrame) -> bool:

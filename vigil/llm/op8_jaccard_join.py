@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from vigil.llm.components import components
+from vigil.llm.components import ties
 from vigil.llm.passages import Spec, keyed, portions, release, spread, units
 from vigil.llm.registry import register, table
 from vigil.llm.shingle_sets import Keys, Sets, boundary_by_cost, mix
@@ -179,10 +179,9 @@ def _entries(rows: DataFrame, classes: DataFrame, keys: Keys, words: int, rename
 
     lists = (rows.select("text").mapInArrow(send, schema).groupBy("bucket").applyInArrow(meet, met)
              .distinct())
-    entries, _ = materialize(lists, "lists")
+    entries, _ = materialize(lists.join(classes.select("set", "n"), "set"), "entries")
     release(spark)
-    sized, _ = materialize(entries.join(classes.select("set", "n"), "set"), "entries")
-    return sized
+    return entries
 
 
 def _dealt(sets: Sets, keys: Keys, renamed: dict, buckets: int) -> dict:
@@ -235,7 +234,7 @@ def _lists(group: pa.Table) -> dict:
 
 
 def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, label) of the components of linked classes."""
+    """(node, label) of the components of linked classes; the least of each has no row."""
     spark = rows.sparkSession
     wanted = entries.select("set").distinct()
     prints = classes.join(wanted, "set").select("set", F.col("print").alias("of"))
@@ -248,25 +247,25 @@ def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int,
     while True:
         more = None
         if pairs is None:
-            met, path = materialize(_possible(_open(entries, labels), whole, percent, picked), "pairs")
-            pairs = met.where("x is not null").select("x", "y").distinct().join(tested, ["x", "y"], "left_anti")
+            met, _ = materialize(_possible(_open(entries, labels), whole, percent, picked), "pairs")
+            found = met.where("x is not null").select("x", "y")
+            pairs = found.distinct().join(tested, ["x", "y"], "left_anti")
             more, picked = met.where("x is null").select("list").distinct(), 16 * picked
-        pairs, _ = materialize(pairs, "pairs")
+        else:
+            found, _ = materialize(pairs, "pairs")
+            pairs = found
         fresh, _ = materialize(_linked(pairs, whole, words, percent), "links")
         release(spark)
-        tested, pairs = tested.unionByName(pairs), None
+        tested, pairs = tested.unionByName(found), None
         if not fresh.isEmpty():
             # Labels stand for the links they came from.
-            labels, _ = components(fresh.unionByName(labels.select(F.col("node").alias("x"), F.col("label").alias("y"))))
+            labels, _ = ties(fresh.unionByName(labels.select(F.col("node").alias("x"), F.col("label").alias("y"))))
         if more is None:
             continue
-        done = more.isEmpty()
-        if not done:
-            # Only lists in which some member had more partners than were picked.
-            entries, _ = materialize(entries.join(more, "list", "left_semi"), "entries")
-        remove(spark, path)
-        if done:
+        if more.isEmpty():
             return labels
+        # Only lists in which some member had more partners than were picked.
+        entries, _ = materialize(entries.join(more, "list", "left_semi"), "entries")
 
 
 def _near(a, b, percent: int):
