@@ -1,3 +1,4 @@
+import hashlib
 import json
 from datetime import date
 
@@ -141,3 +142,58 @@ def test_table_append_matches_columns_by_name(spark, tmp_path):
     sinks.write_table(spark.range(1).selectExpr("'y' AS b", "id AS a"), "appended", append=True)
     assert rows(files.scan_table(spark, "appended"), "a", "b") == [(0, "x"), (0, "y"), (1, "x")]
     spark.sql("DROP TABLE appended")
+
+
+def _write(root, files_):
+    for name, content in files_.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+
+
+def test_manifest_of_deep_trees_and_odd_names(spark, tmp_path):
+    _write(tmp_path, {"a b.csv": b"1", "x/y/z/deep.csv": b"22", "x/%20+é.json": b"333", "x/empty.csv": b"",
+                      "_held/in.csv": b"4444", "x/.dot/in.csv": b"55555", "x/_part=1/in.csv": b"6", "x/_late.csv": b"7",
+                      ".a b.csv.crc": b"sum"})
+    (tmp_path / "nothing").mkdir()
+    listed = files.file_manifest(spark, str(tmp_path))
+    assert listed.columns == ["path", "size", "event_time"]
+    base = f"file:{tmp_path}/"
+    got = {r.path.removeprefix(base): (r.size, r.event_time.timestamp()) for r in listed.collect()}
+    assert {k: v[0] for k, v in got.items()} == {
+        "a b.csv": 1, "x/y/z/deep.csv": 2, "x/%20+é.json": 3, "x/empty.csv": 0, "_held/in.csv": 4,
+        "x/.dot/in.csv": 5, "x/_part=1/in.csv": 1, "x/_late.csv": 1}
+    assert all(abs(t - (tmp_path / name).stat().st_mtime) < 0.002 for name, (_, t) in got.items())
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path))
+    want = {r.path: (r.size, r.digest) for r in read.selectExpr(
+        "path", "length AS size", "sha2(content, 256) AS digest").collect()}
+    want[base + "x/empty.csv"] = (0, hashlib.sha256(b"").hexdigest())
+    assert {r.path: (r.size, r.digest) for r in files.file_digests(spark, str(tmp_path)).collect()} == want
+
+
+def test_manifest_of_patterns_single_files_and_nothing(spark, tmp_path):
+    _write(tmp_path, {"a/1.csv": b"1", "b/2.csv": b"2", "c.csv": b"3"})
+    paths = lambda p: sorted(r.path.rsplit("/", 1)[1] for r in files.file_manifest(spark, str(p)).collect())
+    assert paths(tmp_path / "[ab]") == ["1.csv", "2.csv"]
+    assert paths(tmp_path / "*") == ["1.csv", "2.csv", "c.csv"]
+    assert paths(tmp_path / "c.csv") == ["c.csv"]
+    assert paths(tmp_path / "absent*") == []
+    assert files.file_digests(spark, str(tmp_path / "absent*")).count() == 0
+
+
+def test_listing_on_the_driver_has_the_same_rows(spark, tmp_path, monkeypatch):
+    _write(tmp_path, {"a.csv": b"1", "x/y/b.csv": b"22", "x/empty.csv": b"", "x/_late.csv": b"7", "z.csv.gz": b"not gzip"})
+    def tables():
+        return [sorted(map(tuple, f(spark, str(tmp_path)).collect())) for f in (files.file_manifest, files.file_digests)]
+    by_tasks = tables()
+    monkeypatch.setattr(files.handles, "SCHEMES", ("none",))
+    assert tables() == by_tasks and len(by_tasks[1]) == 4
+
+
+def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
+    size = (2 << 30) + 12_345
+    with open(tmp_path / "large.csv", "wb") as f:
+        f.truncate(size)
+    want, zeros = hashlib.sha256(), bytes(1 << 20)
+    for at in range(0, size, len(zeros)):
+        want.update(zeros[:size - at])
+    assert [(r.size, r.digest) for r in files.file_digests(spark, str(tmp_path)).collect()] == [(size, want.hexdigest())]

@@ -7,9 +7,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vigil.operators.rules import rules_from_document
 from vigil.plans import scratch
+from vigil.sources import handles
 
 #: Files whose paths the driver holds at once, and headers it joins in one plan.
 PAGE_FILES = 5_000
@@ -187,29 +189,58 @@ def load_rules(spark: SparkSession, path: str, dataset_type: str | None = None,
             and rule_type in (None, r["rule_type"])]
 
 
-def _listed(spark: SparkSession, path: str) -> Iterator[tuple[str, int, int]]:
-    """path, size and modification time of every file below path (or a pattern)."""
+def _below(system, path) -> Iterator:
+    """Status of every file below a path, one after another on the driver."""
+    found = system.listFiles(path, True)
+    while found.hasNext():
+        yield found.next()
+
+
+def _named(spark: SparkSession, path: str) -> Iterator[tuple[str, int, int, bool, bool]]:
+    """What a path or pattern names, as rows of handles.LISTED.
+
+    In storage that tasks cannot open, files below take the place of folders.
+    """
     pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for root in system.globStatus(pattern) or ():
-        found = system.listFiles(root.getPath(), True)
-        while found.hasNext():
-            f = found.next()
-            yield f.getPath().toString(), f.getLen(), f.getModificationTime()
+        known = root.getPath().toString().split(":", 1)[0] in handles.SCHEMES
+        if root.isDirectory() and known:
+            yield root.getPath().toString(), 0, root.getModificationTime(), True, False
+            continue
+        for f in _below(system, root.getPath()):
+            name = f.getPath().getName()
+            yield f.getPath().toString(), f.getLen(), f.getModificationTime(), False, name[:1] in ("_", ".")
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """path, size, event_time and hidden of every file below path (or a pattern).
+
+    Folders are listed by tasks, one level of the tree after another, into scratch:
+    as many jobs as the tree is deep, and the driver holds what the pattern names.
+    A folder is listed by one task.
+    """
+    named = scratch.Appended(spark, "manifest")
+    named.add(spark.createDataFrame([], handles.LISTED))
+    for _, page in pages_of(_named(spark, path), lambda f: None):
+        named.add(spark.createDataFrame(page, handles.LISTED))
+    level = named.read()
+    found, task = level, handles.lister(to_arrow_schema(level.schema))
+    while not (folders := level.where("folder")).isEmpty():
+        # A number of tasks, so that folders with their few bytes are not dealt to one.
+        dealt = folders.select("path", "hidden").repartition(4 * spark.sparkContext.defaultParallelism, "path")
+        level, _ = scratch.materialize(dealt.mapInArrow(task, handles.LISTED), "manifest")
+        found = found.unionByName(level)
+    return found.where("NOT folder").drop("folder")
 
 
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     """path, size and event_time of every file; contents are not read.
 
     Empty files and names that Spark's readers skip (they begin with _ or .)
-    are listed too. The listing goes to scratch page by page.
+    are listed too. Listed by tasks where they can open the storage.
     """
-    schema = "path string, size long, event_time long"
-    table = scratch.Appended(spark, "manifest")
-    table.add(spark.createDataFrame([], schema))
-    for _, page in pages_of(_listed(spark, path), lambda f: None):
-        table.add(spark.createDataFrame(page, schema))
-    return table.read().withColumn("event_time", F.timestamp_millis("event_time"))
+    return _listed(spark, path).drop("hidden").withColumn("event_time", F.timestamp_millis("event_time"))
 
 
 def hidden_name(path: Column) -> Column:
@@ -220,13 +251,22 @@ def hidden_name(path: Column) -> Column:
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """path, size and SHA-256 of the content of every file that readers see.
 
-    Empty files have no row in Spark's binary reader; they get the digest of
-    no bytes from the manifest.
+    Tasks read the files in small pieces, so files may be of any size. In storage
+    that tasks cannot open, Spark's binary reader brings whole files (below 2 GB);
+    it has no row for empty ones, which get the digest of no bytes.
     """
+    seen = _listed(spark, path).where("NOT hidden")
+    schema = T.StructType.fromDDL(handles.DIGESTS)
+    by_task = F.substring_index("path", ":", 1).isin(*handles.SCHEMES)
+    dealt = seen.where(by_task).select("path").repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    read = dealt.mapInArrow(handles.digester(to_arrow_schema(schema)), schema)
+    others = seen.where(~by_task)
+    if others.isEmpty():
+        return read
     contents = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    read = with_digest(contents.select("path", F.col("length").alias("size"), "content"), "content")
-    empty = file_manifest(spark, path).where((F.col("size") == 0) & ~hidden_name(F.col("path")))
-    return read.drop("content").unionByName(
+    cells = with_digest(contents.select("path", F.col("length").alias("size"), "content"), "content")
+    empty = others.where("size = 0")
+    return read.unionByName(cells.drop("content").join(others.select("path"), "path", "left_semi")).unionByName(
         empty.select("path", "size", F.sha2(F.lit("").cast("binary"), 256).alias("digest")))
 
 

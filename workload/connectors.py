@@ -126,20 +126,20 @@ def manifest(spark, sf):
 
 
 @query("S08_file_digest", """
-SELECT sha256(name || chr(10)) AS digest, COUNT(*) AS copies
-FROM (SELECT n_name AS name FROM nation UNION ALL
-      SELECT n_name FROM nation WHERE n_regionkey > 0 UNION ALL SELECT r_name FROM region)
-GROUP BY 1 HAVING COUNT(*) > 1""")
+WITH uploads AS (
+  SELECT o_custkey // 100 AS part, string_agg(o_orderkey || ' ' || o_orderpriority || chr(10), '' ORDER BY o_orderkey) AS content
+  FROM orders GROUP BY 1),
+named AS (SELECT content FROM uploads UNION ALL SELECT content FROM uploads WHERE part % 2 = 0)
+SELECT sha256(content) AS digest, COUNT(*) AS copies FROM named GROUP BY 1 HAVING COUNT(*) > 1""")
 def digest(spark, sf):
-    """Real files, one per name; some names are uploaded twice."""
+    """Real files, each with the orders of some customers; every second one is uploaded twice."""
     root = scratch_path(spark, "digests")
-    nation = table(spark, sf, "nation").select("n_name", "n_regionkey")
-    uploads = (
-        nation.selectExpr("n_name AS name", "concat('a', n_name) AS folder")
-        .unionByName(nation.where("n_regionkey > 0").selectExpr(
-            "n_name AS name", "concat('b', n_name) AS folder"))
-        .unionByName(table(spark, sf, "region").selectExpr("r_name AS name", "concat('r', r_name) AS folder")))
-    uploads.repartition("folder").write.partitionBy("folder").text(root)
+    parts = table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "concat(o_orderkey, ' ', o_orderpriority) AS line", "o_custkey div 100 AS part")
+    uploads = parts.withColumn("folder", F.expr("concat('a', part)")).unionByName(
+        parts.where("part % 2 = 0").withColumn("folder", F.expr("concat('b', part)")))
+    uploads.repartition("folder").sortWithinPartitions("folder", "o_orderkey") \
+        .select("line", "folder").write.partitionBy("folder").text(root)
     return S.duplicate_uploads(S.file_digests(spark, root).where(F.col("size") > 0)).drop("first_path")
 
 
