@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.llm import op8_jaccard_join
+from vigil.llm import op8_jaccard_join, passages
 from vigil.llm.components import components
 from vigil.llm.op8_jaccard_join import join, representatives
 from vigil.llm.op9_superkmer_dedup import remove_windows
@@ -164,6 +165,33 @@ def test_large_texts_are_cut_by_longer_minimisers():
     assert got.tolist() == [best[s[p:p + 50]] for s in strings for p in range(len(s) - 49)]
 
 
+def test_portions_are_looked_at_in_blocks(monkeypatch):
+    spec, rng = Spec("byte", 50, 16), np.random.default_rng(5)
+    data = [rng.integers(97, 123, 8192, dtype=np.uint8).tobytes() for _ in range(500)]
+    data += [d[100:4000] for d in data[:100]] + [b"", b"short"]
+    ids = np.arange(len(data))
+    tracemalloc.start()
+    passages._entries(spec, data, ids, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * sum(map(len, data))
+
+    shared = passages.runs(passages.units(spec, data[-102:]), 50, 16)[2]
+    shared = np.unique(shared)
+
+    def sent():
+        entries = passages._entries(spec, data, ids, 16)
+        return entries, passages._strings(spec, data, ids, ids, shared, shared[::7], 1)
+
+    (entries, strings), _ = sent(), monkeypatch.setattr(passages, "BLOCK_BYTES", 1 << 30)
+    whole, whole_strings = sent()
+    assert entries == whole
+    for column in ("ids", "prints", "starts", "lengths", "grams"):
+        a, b = (np.frombuffer(s[column][0], np.uint32 if column == "lengths" else np.int64)
+                for s in (strings, whole_strings))
+        assert sorted(a.tolist()) == sorted(b.tolist())
+
+
 def similar_texts(seed):
     random.seed(seed)
     words = [f"w{i}" for i in range(400)] + ["Ab", "aB"]

@@ -38,6 +38,9 @@ from vigil.llm.workers import record_batch, texts
 from vigil.plans.scratch import materialize, remove
 
 PORTION_BYTES = 8 << 20
+#: Texts of a portion whose windows are looked at together: some ten tables of
+#: eight bytes per byte stand at once.
+BLOCK_BYTES = 1 << 20
 WORD_BLOCK = 256 << 10
 HOT = 50_000
 EVERYWHERE = -1  # the home of what all rows need
@@ -220,9 +223,10 @@ def repeated_spans(docs: DataFrame, spec: Spec, exact: Callable, hot: int = HOT)
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.where(F.col("id").isNotNull())
     shared, shared_path = materialize(_shared(rows, spec, buckets, hot), "shared")
-    release(spark)
     # At most entries / HOT minimisers, the same for every row whatever portion it is in.
     often = [r.hot for r in shared.where(F.col("print").isNull()).select("hot").collect()]
+    # After that query: Spark's listeners hold on to the plan of the last one that ended.
+    release(spark)
     often = spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(often), np.uint64)))
     spans, _ = materialize(_spans(rows, shared.drop("hot"), often, spec, exact, buckets), "spans")
     often.destroy()
@@ -269,8 +273,11 @@ def _shared(rows: DataFrame, spec: Spec, buckets: int, hot: int) -> DataFrame:
 
 
 def _entries(spec: Spec, data: list[bytes], prints: np.ndarray, buckets: int) -> dict:
-    _, _, gram, owner = runs(units(spec, data), spec.window, spec.k)
-    mine = prints[owner]
+    found = []
+    for a, b in portions(data, BLOCK_BYTES):
+        _, _, gram, owner = runs(units(spec, data[a:b]), spec.window, spec.k)
+        found.append((gram, prints[a:b][owner]))
+    gram, mine = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((mine, gram))
     gram, mine = gram[order], mine[order]
     once = np.ones(len(gram), bool)
@@ -404,29 +411,39 @@ def _spans(rows: DataFrame, shared: DataFrame, often: Broadcast, spec: Spec, exa
             .groupBy("home").applyInArrow(gather, out))
 
 
+def _among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """Which of the values stand in a sorted list."""
+    if not len(sorted_):
+        return np.zeros(len(values), bool)
+    return sorted_[np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)] == values
+
+
 def _strings(spec: Spec, data: list[bytes], ids: np.ndarray, prints: np.ndarray,
              shared: np.ndarray, hot: np.ndarray, buckets: int) -> dict:
-    u = units(spec, data)
-    start, length, gram, owner = runs(u, spec.window, spec.k)
-    keep = np.isin(gram, shared)
-    start, length, gram, owner = start[keep], length[keep], gram[keep], owner[keep]
-    often = np.isin(gram, hot)
-    if often.any():
-        n = length[often]
-        single = spread(start[often], n)
-        gram = np.concatenate([gram[~often], grams(u.codes, spec.window)[single]])
-        owner = np.concatenate([owner[~often], np.repeat(owner[often], n)])
-        start = np.concatenate([start[~often], single])
-        length = np.concatenate([length[~often], np.ones(len(single), np.int64)])
-    begin, end = u.begin[start], u.end[start + length + spec.window - 2]
-    text = u.data
     seen: dict[bytes, int] = {}
-    string = np.fromiter((seen.setdefault(text[a:b], len(seen)) for a, b in zip(begin.tolist(), end.tolist())),
-                         np.int64, len(begin))
+    found = []
+    for at, to in portions(data, BLOCK_BYTES):
+        u = units(spec, data[at:to])
+        start, length, gram, owner = runs(u, spec.window, spec.k)
+        keep = _among(gram, shared)
+        start, length, gram, owner = start[keep], length[keep], gram[keep], owner[keep]
+        often = _among(gram, hot)
+        if often.any():
+            n = length[often]
+            single = spread(start[often], n)
+            gram = np.concatenate([gram[~often], grams(u.codes, spec.window)[single]])
+            owner = np.concatenate([owner[~often], np.repeat(owner[often], n)])
+            start = np.concatenate([start[~often], single])
+            length = np.concatenate([length[~often], np.ones(len(single), np.int64)])
+        begin, end = u.begin[start], u.end[start + length + spec.window - 2]
+        text = u.data
+        string = np.fromiter((seen.setdefault(text[a:b], len(seen)) for a, b in zip(begin.tolist(), end.tolist())),
+                             np.int64, len(begin))
+        found.append((start - u.first[owner], length, gram, owner + at, string))
+    place, length, gram, owner, string = (np.concatenate(x) for x in zip(*found))
     own_id = ids[owner]
     least = np.full(len(seen), np.iinfo(np.int64).max)
     np.minimum.at(least, string, own_id)
-    place = start - u.first[owner]
     asks = own_id == least[string]
     strings = list(seen)
     key = np.empty(len(seen), np.uint64)
