@@ -74,6 +74,16 @@ def test_xml(spark, tmp_path):
     assert {tuple(r) for r in df.collect()} == {("100", "London"), (None, "Wales"), ("7", "Scotland")}
 
 
+def test_line_files(spark, tmp_path):
+    df = spark.createDataFrame([(3, "c", "x"), (1, "é", "x"), (2, None, "x"), (4, "d", "y"), (5, "e", None)],
+                               "n int, line string, folder string")
+    sinks.write_line_files(df, str(tmp_path / "out"), "folder", "line", "n")
+    found = {p.parent.name: p.read_text() for p in (tmp_path / "out").rglob("*.*")}
+    assert found == {"folder=x": "é\n\nc\n", "folder=y": "d\n", "folder=__HIVE_DEFAULT_PARTITION__": "e\n"}
+    sinks.write_line_files(df.limit(0), str(tmp_path / "none"), "folder", "line", "n")
+    assert files.file_digests(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_json(spark, tmp_path):
     document = {"metadata": {"source": "s"}, "records": [
         {"region": "London", "case_count": 1}, {"region": "Wales", "case_count": 2}]}

@@ -9,6 +9,7 @@ SCHEMES = ("file", "hdfs", "gs")
 
 LISTED = "path string, size bigint, event_time bigint, folder boolean, hidden boolean"
 DIGESTS = "path string, size bigint, digest string"
+WRITTEN = "path string, size bigint"
 #: Rows of a batch that goes back to Spark, and bytes of a file that are held at once.
 BATCH_ROWS, READ_BYTES = 10_000, 1 << 20
 
@@ -98,3 +99,30 @@ def digester(schema):
             yield from batches_of(map(digest, batch.column("path").to_pylist()), schema, size)
 
     return digested
+
+
+def line_filer(root: str, schema):
+    """Task function: (folder, line), sorted by folder, to the text files root/folder, by the
+    schema WRITTEN. A null line is empty; a repeated task writes the same files again."""
+    opened, batches_of, size = _opener(), _batcher(), BATCH_ROWS
+
+    def written(batches):
+        import itertools
+
+        system, base = opened(root)
+        pairs = (p for b in batches for p in zip(b.column("folder").to_pylist(), b.column("line").to_pylist()))
+
+        def files():
+            for folder, run in itertools.groupby(pairs, lambda p: p[0]):
+                system.create_dir(f"{base}/{folder}")
+                length = 0
+                with system.open_output_stream(f"{base}/{folder}/part-00000.txt") as stream:
+                    for _, line in run:
+                        data = ((line or "") + "\n").encode()
+                        stream.write(data)
+                        length += len(data)
+                yield f"{root}/{folder}/part-00000.txt", length
+
+        yield from batches_of(files(), schema, size)
+
+    return written

@@ -7,9 +7,11 @@ No writer fixes the number of files of raw-size data: Spark sizes the tasks and
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vigil.plans import skew
 from vigil.schemas import quoted
+from vigil.sources import handles
 
 RECORDS_PER_FILE = 20_000_000
 
@@ -72,6 +74,28 @@ def write_table(df: DataFrame, table: str, path: str | None = None, append: bool
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
+def write_line_files(df: DataFrame, root: str, by: str, line: str, order: str) -> None:
+    """One text file per value of `by`, under root/by=value, its lines in order.
+
+    For many small files: tasks write them where they belong, where they can open the
+    storage; Spark's writer makes each in a folder of its own that the driver moves.
+    """
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    sorted_ = df.repartition(quoted(by)).sortWithinPartitions(quoted(by), quoted(order))
+    place = system.makeQualified(path).toString()
+    if place.split(":", 1)[0] not in handles.SCHEMES:
+        sorted_.select(line, by).write.partitionBy(by).text(root)
+        return
+    system.mkdirs(path)
+    schema = T.StructType.fromDDL(handles.WRITTEN)
+    folder = F.concat(F.lit(f"{by}="), F.coalesce(quoted(by), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    sorted_.select(folder.alias("folder"), quoted(line).alias("line")) \
+        .mapInArrow(handles.line_filer(place, to_arrow_schema(schema)), schema) \
+        .agg(F.sum("size")).collect()
+
+
 def write_metrics(metrics: DataFrame, root: str, dataset_type: str, run_time: datetime) -> str:
     """Metrics of a run as JSON lines under the run's own folder."""
     path = f"{root}/metrics/{dataset_type}/{run_time:%Y%m%d_%H%M%S}"

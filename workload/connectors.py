@@ -138,8 +138,7 @@ def digest(spark, sf):
         "o_orderkey", "concat(o_orderkey, ' ', o_orderpriority) AS line", "o_custkey div 100 AS part")
     uploads = parts.withColumn("folder", F.expr("concat('a', part)")).unionByName(
         parts.where("part % 2 = 0").withColumn("folder", F.expr("concat('b', part)")))
-    uploads.repartition("folder").sortWithinPartitions("folder", "o_orderkey") \
-        .select("line", "folder").write.partitionBy("folder").text(root)
+    K.write_line_files(uploads, root, "folder", "line", "o_orderkey")
     return S.duplicate_uploads(S.file_digests(spark, root).where(F.col("size") > 0)).drop("first_path")
 
 
@@ -161,8 +160,7 @@ def upload_digest(spark, sf):
         "doc_id", "text", f"doc_id div {GROUP_OF_FILE} AS part")
     uploads = parts.withColumn("folder", F.expr("concat('a', part)")).unionByName(
         parts.where("part % 3 = 0").withColumn("folder", F.expr("concat('b', part)")))
-    uploads.repartition("folder").sortWithinPartitions("folder", "doc_id") \
-        .select("text", "folder").write.partitionBy("folder").text(root)
+    K.write_line_files(uploads, root, "folder", "text", "doc_id")
     found = S.duplicate_uploads(S.file_digests(spark, root).where(F.col("size") > 0))
     return found.withColumn("first_path", F.regexp_extract("first_path", "folder=([^/]+)", 1))
 
