@@ -3,7 +3,7 @@ import json
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from vigil.sources import files, sinks
 
@@ -74,6 +74,47 @@ def test_xml(spark, tmp_path):
     assert {tuple(r) for r in df.collect()} == {("100", "London"), (None, "Wales"), ("7", "Scotland")}
 
 
+PLAIN = "\n".join(f"  <record><a>{i if i % 5 else 'x'}</a>\n<b> é &lt;{i}</b></record>" for i in range(400)) + \
+    "<record></record><record><c>1</c><a/></record>"
+
+
+@pytest.mark.parametrize("name,content,plain", [
+    ("plain", f"<?xml version='1.0'?>\n<records>\n{PLAIN}\n</records>\n", True),
+    ("comment", f"<records><!-- <record><a>1</a></record> -->{PLAIN}</records>", False),
+    ("cdata", f"<records>{PLAIN}<record><b><![CDATA[</record>]]></b></record></records>", False),
+    ("attribute", f"<records>{PLAIN}<record n='1'><a>3</a></record ></records>", False),
+    ("nested", "<records><record><a>3</a><record><a>4</a></record></record></records>", False),
+    ("cut", "<records><record><a>3</a></record><record><a>4</a>", False),
+    ("closed", "<records><record/><record><a>3</a></record></records>", False),
+    ("none", "<records></records>", True)])
+def test_xml_is_split_at_the_ends_of_plain_records(spark, tmp_path, monkeypatch, name, content, plain):
+    (tmp_path / f"{name}.xml").write_text(content, encoding="utf-8")
+    (tmp_path / "other.XML").write_text("<records><record><a>5</a></record></records>")
+    schema = T.StructType.fromDDL("a int NOT NULL, b string")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(files, "WHOLE_BYTES", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = files.scan_xml(spark, str(tmp_path), schema=schema, source=True)
+        parts = got.withColumn("p", F.spark_partition_id())
+        tasks = parts.where(F.col("original_file").endswith(f"{name}.xml")).select("p").distinct().count()
+        found = sorted(map(repr, got.collect()))
+        monkeypatch.setattr(files, "_plain_xml", lambda *_: False)
+        whole = files.scan_xml(spark, str(tmp_path), schema=schema, source=True)
+        assert found == sorted(map(repr, whole.collect())) and got.schema == whole.schema
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks > 3 if name == "plain" else tasks <= 1
+
+
+def test_xml_after_a_malformed_record_is_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "WHOLE_BYTES", 0)
+    (tmp_path / "a.xml").write_text(
+        "<records><record><a>1</a></record><record><a>2</a><b></record><record><a>3</a></record></records>")
+    df = files.scan_xml(spark, str(tmp_path), schema=T.StructType.fromDDL("a int, b string"))
+    assert df.count() == 3 and {1, 3} <= {r.a for r in df.collect()}
+
+
 def test_line_files(spark, tmp_path):
     df = spark.createDataFrame([(3, "c", "x"), (1, "é", "x"), (2, None, "x"), (4, "d", "y"), (5, "e", None)],
                                "n int, line string, folder string")

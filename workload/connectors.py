@@ -90,7 +90,9 @@ RECORD_SQL = f"""SELECT {ROW}, CAST(report_date AS VARCHAR) AS report_date, regi
 def scan_xml(spark, sf):
     path = scratch_path(spark, "xml")
     rows = communicable(spark, sf).select(*TIES, *RECORD)
-    rows.write.format("xml").option("rootTag", "records").option("rowTag", "record").save(path)
+    # Files of some 180 MB.
+    rows.write.format("xml").option("rootTag", "records").option("rowTag", "record") \
+        .option("maxRecordsPerFile", 500_000).save(path)
     return S.scan_xml(spark, path, schema=rows.schema)
 
 
