@@ -32,6 +32,19 @@ def test_etl(spark, reports, tmp_path):
     spark.sql("DROP TABLE etl_out")
 
 
+def test_etl_reads_its_source_once(spark, reports, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    raw = reports.mapInArrow(counted, reports.schema)
+    jobs.etl_job(raw, "communicable_disease", str(tmp_path), RUN, "job", "system", ["hospitalization_count"])
+    assert read.value == reports.count()
+
+
 def test_etl_error_is_recorded(spark, reports, tmp_path):
     with pytest.raises(Exception):
         jobs.etl_job(reports.drop("disease_name"), "communicable_disease", str(tmp_path), RUN,

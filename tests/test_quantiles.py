@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vigil.plans import quantiles as Q
 
@@ -102,3 +103,13 @@ def test_whole_numbers_beyond_doubles(spark):
     wanted = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     expected = [values[max(1, -(-int(p * 1000) * len(values) // 1000)) - 1] for p in wanted]
     assert Q.quantiles(df, {"v": wanted}) == {"v": expected}
+
+
+def test_look_taken_with_another_action(spark):
+    df = spark.range(50_000).select((F.col("id") * 7919 % 50_021).alias("a"),
+                                    F.when(F.col("id") % 3 > 0, F.col("id") / 7).alias("b"),
+                                    F.lit(None).cast("int").alias("c"))
+    look = Q.Look(df, ["c", "a", "b"])
+    look.df.count()
+    wanted = {"a": [0.25, 0.5], "b": [0.5], "c": [0.5]}
+    assert Q.quantiles(df, wanted, look=look) == Q.quantiles(df, wanted)

@@ -126,10 +126,11 @@ def handle_null_values(df: DataFrame, strategy: str = "fill") -> DataFrame:
     return df
 
 
-def fill_null_median(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def fill_null_median(df: DataFrame, columns: list[str] | None = None,
+                     look: quantiles.Look | None = None) -> DataFrame:
     """The column's median for missing numbers."""
     columns = numeric_columns(df) if columns is None else columns
-    medians = quantiles.quantiles(df, {c: [0.5] for c in columns})
+    medians = quantiles.quantiles(df, {c: [0.5] for c in columns}, look=look)
     return df.withColumns({
         c: F.coalesce(quoted(c), F.lit(m).cast(df.schema[c].dataType))
         for c, (m,) in medians.items() if m is not None
@@ -154,12 +155,13 @@ def fill_null_forward(df: DataFrame, column: str, partition_by: list[str], order
 
 def handle_missing_values(df: DataFrame, order_by: str | None = None,
                           partition_by: list[str] | None = None,
-                          tie_break: list[str] | None = None) -> DataFrame:
+                          tie_break: list[str] | None = None,
+                          look: quantiles.Look | None = None) -> DataFrame:
     """Median for numbers, 'Unknown' for text, last known value for dates.
 
     Dates are only filled along another date column given as order_by.
     """
-    df = fill_null_unknown(fill_null_median(df))
+    df = fill_null_unknown(fill_null_median(df, look=look))
     for c in date_columns(df) if order_by else []:
         if c != order_by:
             df = fill_null_forward(df, c, partition_by or [], order_by, tie_break or [])
@@ -174,11 +176,11 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
 
 
 def cap_outliers_iqr(df: DataFrame, columns: list[str] | None = None,
-                     keep_type: bool = False) -> DataFrame:
+                     keep_type: bool = False, look: quantiles.Look | None = None) -> DataFrame:
     """Clamp numbers to the quartile fences; the result is double unless keep_type."""
     columns = numeric_columns(df) if columns is None else columns
     capped = {}
-    for c, (low, high) in quantiles.iqr_fences(df, columns).items():
+    for c, (low, high) in quantiles.iqr_fences(df, columns, look=look).items():
         value = measures.clamp(quoted(c), float(low), float(high))
         capped[c] = value.cast(df.schema[c].dataType if keep_type else "double")
     return df.withColumns(capped)

@@ -10,23 +10,32 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from vigil.operators import admission, aggregates as A, cleaning as P, governance
 from vigil.operators import quality as Q, windows as W
-from vigil.plans import scratch, validation
+from vigil.plans import quantiles, scratch, validation
 from vigil.schemas import numeric_columns
 from vigil.sources import files, sinks
 
 
-def clean(raw: DataFrame, dataset_type: str, order_by: str | None = None,
-          partition_by: list[str] | None = None, tie_break: list[str] | None = None) -> DataFrame:
-    """Names, types, missing values and repeated rows."""
-    typed = P.apply_data_types(P.clean_column_names(raw), dataset_type)
-    return P.remove_duplicates(P.handle_missing_values(typed, order_by, partition_by, tie_break))
+def typed(raw: DataFrame, dataset_type: str) -> DataFrame:
+    """Names and types."""
+    return P.apply_data_types(P.clean_column_names(raw), dataset_type)
+
+
+def clean(typed: DataFrame, order_by: str | None = None, partition_by: list[str] | None = None,
+          tie_break: list[str] | None = None, look: quantiles.Look | None = None) -> DataFrame:
+    """Missing values and repeated rows."""
+    return P.remove_duplicates(P.handle_missing_values(typed, order_by, partition_by, tie_break, look))
+
+
+def _capped(df: DataFrame, identifiers: list[str]) -> list[str]:
+    """Numbers that identify are not capped."""
+    return [c for c in numeric_columns(df) if c not in identifiers]
 
 
 def transform(cleaned: DataFrame, dataset_type: str, tie_break: list[str],
-              identifiers: list[str]) -> DataFrame:
-    """Outliers and business rules; numbers that identify are not capped."""
-    capped = [c for c in numeric_columns(cleaned) if c not in identifiers]
-    return P.apply_business_rules(P.cap_outliers_iqr(cleaned, capped), dataset_type, tie_break)
+              identifiers: list[str], look: quantiles.Look | None = None) -> DataFrame:
+    """Outliers and business rules."""
+    capped = P.cap_outliers_iqr(cleaned, _capped(cleaned, identifiers), look=look)
+    return P.apply_business_rules(capped, dataset_type, tie_break)
 
 
 def _counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
@@ -49,10 +58,11 @@ def etl_job(raw: DataFrame, dataset_type: str, target: str, run_time: datetime,
     tie_break orders the reports of a day; identifiers, by default the same
     columns, are numbers that are not measurements.
 
-    The cleaned rows are written once to shared scratch space, because the
-    outlier fences and the business rules read them several times; profile,
-    checks and aggregates read the processed table itself. Row counts of the
-    stages are observed during those writes. Failed checks do not stop the job.
+    The typed rows, and then the cleaned ones, are written once to shared scratch
+    space, because medians, outlier fences and business rules read them several
+    times, and the source may be costly to read; profile, checks and aggregates
+    read the processed table itself. Row counts of the stages and the first look
+    of the quantiles are observed during those writes. Failed checks do not stop the job.
     """
     with scratch.scope(raw.sparkSession):
         return _etl(raw, dataset_type, target, run_time, job_name, source_system, tie_break,
@@ -63,13 +73,19 @@ def _etl(raw, dataset_type, target, run_time, job_name, source_system, tie_break
          order_by, partition_by, table) -> dict[str, str]:
     spark = raw.sparkSession
     try:
-        stages = [Q.stage_metrics(raw, "RAW_DATA")]
-        observed, seen = _counted(clean(raw, dataset_type, order_by, partition_by, tie_break),
-                                  "cleaned")
+        identifiers = tie_break if identifiers is None else identifiers
+        as_typed = typed(raw, dataset_type)
+        look = quantiles.Look(as_typed, numeric_columns(as_typed))
+        observed, seen = _counted(look.df, "typed")
+        as_typed, copy = scratch.materialize(observed, "typed")
+        stages = [_stage(spark, "RAW_DATA", raw, seen)]
+        whole = clean(as_typed, order_by, partition_by, tie_break, look)
+        look = quantiles.Look(whole, _capped(whole, identifiers))
+        observed, seen = _counted(look.df, "cleaned")
         cleaned, _ = scratch.materialize(observed, "cleaned")
+        scratch.remove(spark, copy)
         stages.append(_stage(spark, "CLEANED_DATA", cleaned, seen))
-        shaped = P.add_metadata(transform(cleaned, dataset_type, tie_break,
-                                          tie_break if identifiers is None else identifiers),
+        shaped = P.add_metadata(transform(cleaned, dataset_type, tie_break, identifiers, look),
                                 job_name, source_system, run_time)
         observed, seen = _counted(shaped, "transformed")
         paths = {"processed": sinks.write_processed(

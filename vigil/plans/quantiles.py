@@ -13,7 +13,7 @@ import math
 import struct
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from vigil.functions import numbers
 from vigil.plans import scratch
@@ -141,10 +141,40 @@ def _unique(ranges) -> list[_Range]:
     return list({r.key: r for r in ranges}.values())
 
 
+def _measures(df: DataFrame, columns: list[str]) -> list[Column]:
+    """n, lo, hi and sketch of each column."""
+    measures = []
+    for i, c in enumerate(columns):
+        value = _value(df, c)
+        whole = isinstance(df.schema[c].dataType, T.IntegralType)
+        sketch = F.kll_sketch_agg_bigint if whole else F.kll_sketch_agg_double
+        measures += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"),
+                     sketch(value, F.lit(SKETCH_K)).alias(f"sketch{i}")]
+    return measures
+
+
+class Look:
+    """The first of the two scans, taken by an action over the rows that runs anyway."""
+
+    def __init__(self, df: DataFrame, columns: list[str]):
+        self.columns, self.seen = columns, Observation()
+        self.df = df.observe(self.seen, *_measures(df, columns)) if columns else df
+
+    def measured(self, spark: SparkSession, columns: list[str]) -> DataFrame:
+        """What _measures gives for some of the columns, as one row; after the action."""
+        found = self.seen.get
+        return spark.range(1).select(*[
+            F.lit(bytes(v) if isinstance(v, bytearray) else v).alias(f"{name}{i}")
+            for i, c in enumerate(columns) for name in ("n", "lo", "hi", "sketch")
+            for v in (found[f"{name}{self.columns.index(c)}"],)])
+
+
 def quantiles(df: DataFrame, wanted: dict[str, list[float]],
-              interpolated: bool = False) -> dict[str, list]:
+              interpolated: bool = False, look: Look | None = None) -> dict[str, list]:
     """Exact quantiles per column; None for a column without values.
 
+    A look taken over the same rows saves the first scan.
+
     Discrete quantiles return a value of the column (rank ceil(p * n));
     interpolated ones weigh the two neighbours of position p * (n - 1).
     Nulls, NaN and text that is not a number are ignored.
@@ -153,7 +183,7 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
     if not columns:
         return {c: [] for c in wanted}
     narrow = df.select(*[quoted(c) for c in columns])
-    row = _first_look(narrow, columns, wanted)
+    row = _first_look(narrow, columns, wanted, look)
     counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     targets: dict[tuple[str, int], _Range] = {}
     brackets: dict[tuple[str, int], tuple] = {}
@@ -189,23 +219,19 @@ def quantiles(df: DataFrame, wanted: dict[str, list[float]],
     return result
 
 
-def _first_look(df: DataFrame, columns: list[str], wanted: dict[str, list[float]]):
+def _first_look(df: DataFrame, columns: list[str], wanted: dict[str, list[float]], look: Look | None):
     """n, lo and hi of each column, and per quantile values a little below and above it."""
-    measures, looked = [], []
+    looked = []
     for i, c in enumerate(columns):
-        value = _value(df, c)
-        if isinstance(df.schema[c].dataType, T.IntegralType):
-            sketch, quantile = F.kll_sketch_agg_bigint, F.kll_sketch_get_quantile_bigint
-        else:
-            sketch, quantile = F.kll_sketch_agg_double, F.kll_sketch_get_quantile_double
-        measures += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}"),
-                     sketch(value, F.lit(SKETCH_K)).alias(f"sketch{i}")]
+        whole = isinstance(df.schema[c].dataType, T.IntegralType)
+        quantile = F.kll_sketch_get_quantile_bigint if whole else F.kll_sketch_get_quantile_double
         looked += [f"n{i}", f"lo{i}", f"hi{i}"]
         for name, shift, end in (("low", -MARGIN, "lo"), ("high", MARGIN, "hi")):
             places = [quantile(f"sketch{i}", F.lit(p + shift)) if 0 <= p + shift <= 1 else F.col(f"{end}{i}")
                       for p in wanted[c]]
             looked.append(F.when(F.col(f"n{i}") > 0, F.array(*places)).alias(f"{name}{i}"))
-    return df.agg(*measures).select(*looked).first()
+    measured = look.measured(df.sparkSession, columns) if look else df.agg(*_measures(df, columns))
+    return measured.select(*looked).first()
 
 
 def _inside_brackets(df: DataFrame, ranks: dict[tuple[str, int], tuple]) -> dict[tuple[str, int], float]:
@@ -269,10 +295,10 @@ def _search(df: DataFrame, targets: dict[tuple[str, int], _Range]) -> dict[tuple
 
 
 def iqr_fences(df: DataFrame, columns: list[str], factor: float = 1.5,
-               interpolated: bool = False) -> dict[str, tuple[float, float]]:
+               interpolated: bool = False, look: Look | None = None) -> dict[str, tuple[float, float]]:
     """Outlier fences q1 - factor*iqr and q3 + factor*iqr of each non-empty column."""
     fences = {}
-    for c, (q1, q3) in quantiles(df, {c: [0.25, 0.75] for c in columns}, interpolated).items():
+    for c, (q1, q3) in quantiles(df, {c: [0.25, 0.75] for c in columns}, interpolated, look).items():
         if q1 is not None and q3 is not None:
             spread = q3 - q1
             fences[c] = (q1 - factor * spread, q3 + factor * spread)
