@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,6 +41,25 @@ def test_findings_after_many_clean_rows(spark):
     assert found(pii.pii_content_scan(df)) == {("t", "email"): 1}
 
 
+def test_only_rows_with_a_match_are_counted_in_detail(spark):
+    long = "no match here, 12 " * 10
+    df = spark.createDataFrame([
+        (1, "12", None), (2, None, None), (3, long, "2024-01-01"), (4, long + "AB123456C", ""),
+        (5, "a@b.cc", "x"), (6, "\u00e9" * 20 + "7", "4111 1111 1111 1111"), (7, "x", "A11AA")],
+        "n int, t string, u string")
+    kept = pii._suspects(df, X.INLINE, ["t", "u"])
+    assert sorted(r.n for r in kept.collect()) == [4, 5, 6, 7]
+    assert found(pii.pii_content_scan(df)) == {
+        ("t", "ni_number"): 1, ("t", "email"): 1, ("u", "credit_card"): 1, ("u", "postcode"): 1}
+
+
+def test_least_is_the_length_of_the_shortest_match():
+    shortest = {"nhs_number": "1234567890", "ni_number": "AB123456C", "phone": "0123456789", "email": "a@b.cc",
+                "postcode": "A11AA", "dob": "31-12-1999", "credit_card": "4111111111111111"}
+    for p in X.INLINE:
+        assert re.search(p.regex, shortest[p.name]) and p.least == len(shortest[p.name])
+
+
 def test_no_text_columns(spark):
     assert pii.scan(spark.range(3)).count() == 0
     assert pii.scan(spark.range(3)).columns == [

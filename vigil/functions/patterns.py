@@ -12,6 +12,8 @@ class Pattern:
     # A simple expression that every text with a match also matches: most texts
     # are passed over by it alone.
     needs: str | None = None
+    # Fewest characters of a match: shorter texts are passed over without any expression.
+    least: int = 0
 
 
 DIGIT, AT = "[0-9]", "@"
@@ -24,13 +26,13 @@ def _with_needs(patterns: list[Pattern]) -> list[Pattern]:
 
 # The patterns of the file validator.
 INLINE = _with_needs([
-    Pattern("nhs_number", r"\b[0-9]{3}[\s-]?[0-9]{3}[\s-]?[0-9]{4}\b"),
-    Pattern("ni_number", r"\b[A-Z]{2}[0-9]{6}[A-Z]\b"),
-    Pattern("phone", r"\b(?:0[1-9]\d{8,9}|07\d{9}|\+44\s?7\d{3}\s?\d{6})\b"),
-    Pattern("email", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"),
-    Pattern("postcode", r"\b[A-Z]{1,2}[0-9]{1,2}[A-Z]?\s?[0-9][A-Z]{2}\b"),
-    Pattern("dob", r"\b(?:0[1-9]|[12][0-9]|3[01])[-/](?:0[1-9]|1[012])[-/](?:19|20)\d\d\b"),
-    Pattern("credit_card", r"\b(?:\d{4}[\s-]?){3}\d{4}\b"),
+    Pattern("nhs_number", r"\b[0-9]{3}[\s-]?[0-9]{3}[\s-]?[0-9]{4}\b", least=10),
+    Pattern("ni_number", r"\b[A-Z]{2}[0-9]{6}[A-Z]\b", least=9),
+    Pattern("phone", r"\b(?:0[1-9]\d{8,9}|07\d{9}|\+44\s?7\d{3}\s?\d{6})\b", least=10),
+    Pattern("email", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", least=6),
+    Pattern("postcode", r"\b[A-Z]{1,2}[0-9]{1,2}[A-Z]?\s?[0-9][A-Z]{2}\b", least=5),
+    Pattern("dob", r"\b(?:0[1-9]|[12][0-9]|3[01])[-/](?:0[1-9]|1[012])[-/](?:19|20)\d\d\b", least=10),
+    Pattern("credit_card", r"\b(?:\d{4}[\s-]?){3}\d{4}\b", least=16),
 ])
 
 # The patterns of the configuration, with severity and action.

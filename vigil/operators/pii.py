@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vigil.constants import REDACTED
 from vigil.functions.patterns import INLINE, NAME_INDICATORS, POSTCODE_PARTS, UK_CONFIG, Pattern
@@ -20,6 +20,8 @@ def flagged_names(columns: list[str], indicators: list[str] = NAME_INDICATORS,
             if c not in allowed and any(word in c.lower() for word in indicators)]
 
 
+#: Texts below this size are matched without looking for what a pattern needs.
+SHORT_BYTES = 64
 _FINDING = ["column_name", "source", "pii_type", "severity", "finding"]
 
 
@@ -52,6 +54,25 @@ def _content_entries(df, patterns, columns=None):
             for c in (string_columns(df) if columns is None else columns) for p in patterns]
 
 
+def _suspects(df: DataFrame, patterns: list[Pattern], columns: list[str]) -> DataFrame:
+    """The rows with a match of any pattern in any of the columns.
+
+    Rows without a match are most, and counting every pair of column and pattern costs
+    far more than one look at a row's texts: lengths in bytes, never below those in
+    characters, pass over most of them.
+    """
+    if not patterns or any(df.schema[c].dataType != T.StringType() for c in columns):
+        return df
+    tests = []
+    for needs in dict.fromkeys(p.needs for p in patterns):
+        own = [p for p in patterns if p.needs == needs]
+        matched = " OR ".join(f"octet_length(x) >= {p.least} AND x RLIKE {text_sql(p.regex)}" for p in own)
+        needed = f"(octet_length(x) < {SHORT_BYTES} OR x RLIKE {text_sql(needs)}) AND " if needs else ""
+        tests.append(f"octet_length(x) >= {min(p.least for p in own)} AND {needed}({matched})")
+    texts = f"CAST(array({', '.join(map(name_sql, columns))}) AS ARRAY<STRING>)"
+    return df.where(f"exists({texts}, x -> {' OR '.join(f'({t})' for t in tests)})")
+
+
 def pii_column_names(df: DataFrame, indicators: list[str] = NAME_INDICATORS,
                      allowed: tuple = NOT_PERSONAL) -> DataFrame:
     """Columns whose name suggests personal data, with their non-null values."""
@@ -61,7 +82,14 @@ def pii_column_names(df: DataFrame, indicators: list[str] = NAME_INDICATORS,
 def pii_content_scan(df: DataFrame, patterns: list[Pattern] = INLINE,
                      columns: list[str] | None = None) -> DataFrame:
     """Rows matching each pattern in each text column; all rows, one scan."""
-    return _findings(df, _content_entries(df, patterns, columns)).where(F.col("records") > 0)
+    return _content_findings(df, patterns, columns)
+
+
+def _content_findings(df: DataFrame, patterns: list[Pattern], columns: list[str] | None = None,
+                      by: tuple = ()) -> DataFrame:
+    columns = string_columns(df.drop(*by)) if columns is None else columns
+    suspects = _suspects(df, patterns, columns)
+    return _findings(suspects, _content_entries(df, patterns, columns), by).where(F.col("records") > 0)
 
 
 def scan(df: DataFrame, patterns: list[Pattern] = INLINE,
@@ -73,8 +101,8 @@ def scan(df: DataFrame, patterns: list[Pattern] = INLINE,
     for units that have the column.
     """
     data = df.drop(*by)
-    entries = _name_entries(data, indicators, allowed) + _content_entries(data, patterns)
-    found = _findings(df, entries, by)
+    found = _findings(df, _name_entries(data, indicators, allowed), by) \
+        .unionByName(_content_findings(df, patterns, by=by))
     named = F.col("source") == "name"
     if present is not None:
         found = found.join(present, list(by))

@@ -36,7 +36,10 @@ def validate_dataset(df: DataFrame, rules: list[dict], as_of: date | None = None
 def columns_per_file(df: DataFrame, file: str) -> DataFrame:
     """The columns each file has: as noted by the reader, else those with any value."""
     if "file_columns" in df.columns:
-        return df.groupBy(quoted(file)).agg(F.first("file_columns").alias("columns"))
+        # distinct() hashes and leaves few; first() of a list would sort all rows, and Spark
+        # takes distinct() out from below it.
+        noted = df.select(quoted(file), "file_columns").distinct()
+        return noted.groupBy(quoted(file)).agg(F.get(F.collect_list("file_columns"), F.lit(0)).alias("columns"))
     filled = ", ".join(f"if(count({name_sql(c)}) > 0, {text_sql(c)}, NULL)"
                        for c in df.columns if c != file)
     return df.groupBy(quoted(file)).agg(F.expr(f"array_compact(array({filled})) AS columns"))

@@ -27,7 +27,9 @@ CSV_FILES = "*.[cC][sS][vV]"
 def file_path() -> Column:
     """Path of the row's file as storage names it (the metadata column is URL-encoded)."""
     encoded = F.col("_metadata.file_path")
-    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    # Decoding is slow, and done for every row; most paths have nothing to decode.
+    return F.when(encoded.contains("%"), F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))) \
+        .otherwise(encoded)
 
 
 def literal_path(path: str) -> str:
