@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.llm import op8_jaccard_join, passages
+from vigil.llm import op8_jaccard_join, op10_suffix_dedup, passages
 from vigil.llm.components import components
 from vigil.llm.op8_jaccard_join import join, representatives
 from vigil.llm.op9_superkmer_dedup import remove_windows
@@ -17,6 +17,7 @@ from vigil.llm.op10_suffix_dedup import least_by_suffixes, remove_passages, shor
 from vigil.llm.passages import Spec
 from vigil.llm.shingle_sets import Keys, boundary_by_cost, least_overlap
 from vigil.llm.suffix_groups import suffix_orders
+from vigil.llm.workers import map_batches
 
 
 def sha(data):
@@ -121,6 +122,17 @@ def test_hot_minimisers_are_hot_in_every_portion(spark, remove, split, join, win
     assert sorted((r.doc_id, r.n_removed, sha(bytes(r.kept))) for r in found) == sorted(expected)
 
 
+def test_shortened_texts_travel_once(frame, monkeypatch):
+    sent = []
+    monkeypatch.setattr(op10_suffix_dedup, "map_batches", lambda df, task, schema: sent.append(df) or map_batches(
+        df, task, schema))
+    docs = frame([(1, "a" * 60), (2, "b" + "a" * 60), (3, None)])
+    found = shorten(docs)
+    assert "text" not in sent[-1].schema["row"].dataType.names
+    assert found.columns == docs.columns
+    assert {r.doc_id: r.text for r in found.collect()} == {1: "a" * 60, 2: "b", 3: None}
+
+
 def test_shortened_texts_lose_whole_characters_only(frame, rows):
     docs = frame(rows).withColumn("n_chars", F.length("text").cast("long"))
     found = shorten(docs, chars_col="n_chars")

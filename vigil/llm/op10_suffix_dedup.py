@@ -153,8 +153,9 @@ def shorten(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str
     A character goes only if all its bytes do, so texts stay valid. chars_col, if
     given, is set to the new number of characters (0 for null).
     """
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).withColumn(
-        "text", F.col(f"row.`{text_col}`"))
+    # The text travels once, beside the row.
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"), F.col(f"`{text_col}`").alias("text"))
     keyed = passages.keyed(docs, id_col, text_col)
     spans = passages.repeated_spans(keyed, Spec("byte", window, gram), least_by_suffixes, hot)
     own = F.xxhash64(F.col(f"row.`{id_col}`").cast("long"), F.coalesce("text", F.lit("")))
