@@ -53,6 +53,22 @@ def test_encoders_equal_the_library_on_random_text():
         assert got == ids_of(word_library, text)
 
 
+def test_the_encoder_keeps_a_bounded_number_of_words():
+    encoder = vocabulary.WordEncoder(WORDS)
+    numbers = np.random.default_rng(5).permutation(26 ** 4)[:230_000]
+    words = ["".join(chr(97 + n // 26 ** k % 26) for k in range(4)) + "q" for n in numbers.tolist()]
+    lots = [" ".join(words[at:at + 50_000]).encode() for at in range(0, len(words), 50_000)]
+    first = encoder.encode_batch(lots)
+    assert max(len(encoder.words), len(encoder.parts)) <= 200_000
+    assert len(encoder.words) == 200_000
+    # What was not kept is encoded anew, with the same ids.
+    assert encoder.encode_batch(lots) == first
+    library = Tokenizer.from_file(WORDS)
+    for n in (0, 4):
+        ids = np.frombuffer(first[n], "<u4").tolist()
+        assert ids == library.encode(lots[n].decode(), add_special_tokens=False).ids
+
+
 def test_decode_replaces_bytes_that_are_no_text():
     bpe = prefix_bpe(BYTES)
     for ids in ([94], [94, 95, 200], [188, 1, 223]):

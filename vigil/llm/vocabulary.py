@@ -12,6 +12,7 @@ import json
 import os
 import re
 import struct
+from itertools import islice
 
 import numpy as np
 
@@ -19,9 +20,13 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 from tokenizers import Tokenizer  # noqa: E402
 
-from vigil.llm.workers import MEMO_ENTRIES, Memo  # noqa: E402
+from vigil.llm.passages import portions  # noqa: E402
+from vigil.llm.workers import Memo  # noqa: E402
 
 NONE = np.iinfo(np.int32).max
+#: Words, and parts of words, that a worker's encoder keeps: it lives on in workers that
+#: go on with other work. Bytes of texts whose words are split and looked up at once.
+KEPT_WORDS, LOT_BYTES = 200_000, 2 << 20
 
 SEGMENT = re.compile(rb"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
@@ -206,6 +211,11 @@ class WordEncoder:
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def _remember(self, kept: dict, fresh: dict) -> None:
+        """Add as many of the fresh entries as KEPT_WORDS leaves room for; no very long ones."""
+        short = ((k, v) for k, v in fresh.items() if len(k) <= self.LONGEST)
+        kept.update(islice(short, max(0, KEPT_WORDS - len(kept))))
+
     def _library(self, data: bytes) -> bytes:
         return pack(self.tokenizer.encode(data.decode(), add_special_tokens=False).ids)
 
@@ -222,17 +232,17 @@ class WordEncoder:
         parts = WORD_PARTS.findall(" ".join(plain).lower())
         runs = [r for r in set(parts) if r not in self.parts and r != " "]
         here = dict(zip(runs, self.merges.encode([r.encode() for r in runs])))
-        if len(self.parts) + len(here) <= MEMO_ENTRIES:
-            self.parts.update(here)
-            look = self.parts
-        else:
-            look = here | {r: self.parts[r] for r in set(parts) if r in self.parts}
+        look = here | {r: self.parts[r] for r in set(parts) if r in self.parts}
+        self._remember(self.parts, here)
         ids = [BETWEEN if r == " " else look[r] for r in parts]
         found = dict(zip([t.encode() for t in plain], b"".join(ids).split(BETWEEN)))
         found.update((w, self._library(w)) for w in words if w not in found)
         return found
 
     def encode_batch(self, batch: list[bytes]) -> list[bytes]:
+        return [ids for a, b in portions(batch, LOT_BYTES) for ids in self._encode_lot(batch[a:b])]
+
+    def _encode_lot(self, batch: list[bytes]) -> list[bytes]:
         split = [self._split(data) for data in batch]
         ids = [words and list(map(self.words.get, words)) for words in split]
         gaps = [i for i, found in enumerate(ids) if found and None in found]
@@ -241,8 +251,7 @@ class WordEncoder:
             fresh = self._encode_words(list(new))
             for i in gaps:
                 ids[i] = [fresh[w] if v is None else v for w, v in zip(split[i], ids[i])]
-            if len(self.words) + len(fresh) <= MEMO_ENTRIES:
-                self.words.update(fresh)
+            self._remember(self.words, fresh)
         return [self._library(data) if words is None else b"".join(found or ())
                 for data, words, found in zip(batch, split, ids)]
 

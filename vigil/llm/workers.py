@@ -62,6 +62,9 @@ def map_batches(df: DataFrame, task: Callable[[], Callable[[pa.RecordBatch], dic
             columns = work(batch)
             if columns is not None:
                 yield record_batch(columns, arrow)
+        # Workers wait for other work; what Arrow keeps for itself is an executor's memory.
+        batch = columns = None
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, struct)
 
