@@ -15,9 +15,10 @@ from vigil.llm.op8_jaccard_join import join, representatives
 from vigil.llm.op9_superkmer_dedup import remove_windows
 from vigil.llm.op10_suffix_dedup import least_by_suffixes, remove_passages, shorten
 from vigil.llm.passages import Spec
-from vigil.llm.shingle_sets import Keys, boundary_by_cost, least_overlap
+from vigil.llm.shingle_sets import Keys, boundary_by_cost, first_of_order, least_overlap
 from vigil.llm.suffix_groups import suffix_orders
 from vigil.llm.workers import map_batches
+from vigil.plans.scratch import materialize
 
 
 def sha(data):
@@ -275,6 +276,88 @@ def test_groups_of_many_chunks_and_rounds(frame, monkeypatch):
     assert 20 < len({c for _, _, c in expected}) < 280
 
 
+def edited_copies(n, edits, length=60, vocabulary=None):
+    """Copies of one text, each with edits of its own or from a small vocabulary."""
+    rows = []
+    for i in range(n):
+        own = [f"base{j}" for j in range(length)]
+        for at in random.sample(range(length), random.choice(edits)):
+            own[at] = f"edit{i}x{at}" if vocabulary is None else f"edit{random.randrange(vocabulary)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_rows_sent_grow_with_a_group_of_copies_that_do_not_link(frame, monkeypatch):
+    """Copies too far apart for links meet in few lists; what is looked at is not their square."""
+    random.seed(11)
+    made = Counter()
+
+    def counted(df, name):
+        found, path = materialize(df, name)
+        made[name] += found.count()
+        return found, path
+
+    monkeypatch.setattr(op8_jaccard_join, "CHUNK", 20)
+    monkeypatch.setattr(op8_jaccard_join, "materialize", counted)
+    sent = []
+    for n in (300, 600):
+        rows = edited_copies(n, [6, 7, 8])
+        made.clear()
+        found = [tuple(r) for r in join(frame(rows), 3, 90).collect()]
+        assert sorted(found) == sorted(e[:3] for e in linked(rows, 3, 90))
+        sent.append(made["open"])
+    assert made["candidates"] > 500
+    assert sent[1] <= 2.5 * max(sent[0], 100)
+
+
+def test_labels_join_entries_once_a_round(frame, monkeypatch):
+    random.seed(12)
+    plans = []
+
+    def seen(df, name):
+        if name == "open":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return materialize(df, name)
+
+    monkeypatch.setattr(op8_jaccard_join, "CHUNK", 20)
+    monkeypatch.setattr(op8_jaccard_join, "materialize", seen)
+    rows = edited_copies(120, [1, 2, 3], vocabulary=12)
+    found = [tuple(r) for r in join(frame(rows), 3, 90).collect()]
+    assert sorted(found) == sorted(e[:3] for e in linked(rows, 3, 90))
+    assert plans and not any("LeftOuter" in p for p in plans)
+
+
+@pytest.mark.parametrize("words, percent, vocabulary", [(3, 90, 12), (5, 80, None), (5, 80, 5), (1, 60, 30)])
+def test_large_lists_dealt_anew_lose_no_link(frame, monkeypatch, words, percent, vocabulary):
+    random.seed(13)
+    rows = edited_copies(250, range(8), 70, vocabulary)
+    rows += [(1000 + i, t) for i, t in edited_copies(60, [0, 1, 2], 30, vocabulary)]
+    monkeypatch.setattr(op8_jaccard_join, "CHUNK", 10)
+    monkeypatch.setattr(op8_jaccard_join, "SAMPLE", 3)
+    monkeypatch.setattr(op8_jaccard_join, "ELEMENTS", 2000)
+    dealt = []
+    finer = op8_jaccard_join._finer
+    monkeypatch.setattr(op8_jaccard_join, "_finer", lambda *a: dealt.append(1) or finer(*a))
+    found = [tuple(r) for r in join(frame(rows), words, percent).collect()]
+    assert sorted(found) == sorted(e[:3] for e in linked(rows, words, percent))
+    assert dealt
+
+
+def test_linked_sets_share_a_first_element():
+    rng = np.random.default_rng(14)
+    for percent in (60, 80, 90):
+        for _ in range(300):
+            b = int(rng.integers(1, 200))
+            a = int(rng.integers(-(-percent * b // 100), b + 1))
+            both = least_overlap(a, b, percent)
+            if both > a:
+                continue
+            pool = rng.permutation(a + b - both)
+            x, y = np.sort(pool[:a]), np.sort(pool[a - both:])
+            first = first_of_order(np.array([a, b]), percent)
+            assert set(x[:first[0]]) & set(y[:first[1]]), (percent, a, b)
+
+
 def test_one_row_of_each_component_stays(frame, odd_rows):
     rows = similar_texts(3) + [(1000 + i if i is not None else i, t) for i, t in odd_rows]
     docs = frame(rows)

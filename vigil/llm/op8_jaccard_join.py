@@ -14,7 +14,9 @@ them cannot link. Of the pairs that may, a member's first and nearest partners a
 checked on whole texts: where all link, the first ones tie them together. Lists in
 which a member had more partners come again, without what is connected by then and
 with sixteen times as many partners, until none had more. In lists of many members all
-are checked against the leader first.
+are checked against the leader first. Those that this does not make one component are
+dealt anew, each member under its elements that are rarest in the list: linked sets
+share one of the first (size - least overlap + 1) in any order that all have in common.
 """
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql.types import StructType
 from vigil.llm.components import ties
 from vigil.llm.passages import Spec, keyed, portions, release, spread, units
 from vigil.llm.registry import register, table
-from vigil.llm.shingle_sets import Keys, Sets, boundary_by_cost, mix
+from vigil.llm.shingle_sets import Keys, Sets, boundary_by_cost, first_of_order, mix
 from vigil.llm.workers import map_batches, record_batch, texts
 from vigil.plans.scratch import materialize, remove
 
@@ -44,6 +46,10 @@ CHUNK, SPLIT = 1_000, 8
 MET_BYTES, MATRIX = 16 << 20, 1 << 19
 #: Partners of a member that are checked in the first round, sixteenfold in each further one.
 PICKED = 4
+#: Columns of sets and their keys on the way to where equal keys meet.
+DEALT = "bucket int, sets binary, counts binary, keys binary"
+#: Members, about, by whose elements a large list is ordered, and elements that are ordered at once.
+SAMPLE, ELEMENTS = 32, 1 << 19
 
 
 def shingle_sets(data: list[bytes], words: int) -> Sets:
@@ -162,7 +168,7 @@ def _entries(rows: DataFrame, classes: DataFrame, keys: Keys, words: int, rename
     spark = rows.sparkSession
     shingles = classes.agg(F.sum("n").alias("n")).first()["n"] or 0
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * shingles // MET_BYTES)
-    schema = StructType.fromDDL("bucket int, sets binary, counts binary, keys binary")
+    schema = StructType.fromDDL(DEALT)
     arrow = to_arrow_schema(schema)
 
     def send(batches):
@@ -171,19 +177,23 @@ def _entries(rows: DataFrame, classes: DataFrame, keys: Keys, words: int, rename
             for a, b in portions(data):
                 yield record_batch(_dealt(shingle_sets(data[a:b], words), keys, renamed, buckets), arrow)
 
-    met = StructType.fromDDL("list bigint, set bigint")
-    met_arrow = to_arrow_schema(met)
-
-    def meet(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_lists(group), met_arrow)])
-
-    lists = (rows.select("text").mapInArrow(send, schema).groupBy("bucket").applyInArrow(meet, met)
-             .distinct())
+    lists = _met(rows.select("text").mapInArrow(send, schema))
     entries, _ = materialize(lists.join(classes.select("set", "n"), "set"), "entries")
     release(spark)
     return entries
 
 
+def _met(dealt: DataFrame) -> DataFrame:
+    """(list, set) of the sets that share a key with others; dealt as in DEALT."""
+    schema = StructType.fromDDL("list bigint, set bigint")
+    arrow = to_arrow_schema(schema)
+
+    def meet(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_lists(group), arrow)])
+
+    return dealt.groupBy("bucket").applyInArrow(meet, schema).distinct()
+
+
 def _dealt(sets: Sets, keys: Keys, renamed: dict, buckets: int) -> dict:
     """Keys of the different sets of a portion, by bucket."""
     owner, key = keys.of(sets)
@@ -192,7 +202,10 @@ def _dealt(sets: Sets, keys: Keys, renamed: dict, buckets: int) -> dict:
     first = np.zeros(len(names), bool)
     first[np.unique(names, return_index=True)[1]] = True
     keep = first[owner]
-    key, name = key[keep], names[owner[keep]]
+    return _by_bucket(names[owner[keep]], key[keep], buckets)
+
+
+def _by_bucket(name: np.ndarray, key: np.ndarray, buckets: int) -> dict:
     to = (key % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((name, to))
     key, name, to = key[order], name[order], to[order]
@@ -244,10 +257,11 @@ def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int,
     labels = spark.createDataFrame([], "node bigint, label bigint")
     tested = spark.createDataFrame([], "x bigint, y bigint")
     pairs, picked = _to_leaders(entries, classes, percent), PICKED
+    entries = entries.withColumn("label", F.col("set"))
     while True:
         more = None
         if pairs is None:
-            met, _ = materialize(_possible(_open(entries, labels), whole, percent, picked), "pairs")
+            met, _ = materialize(_possible(_open(entries), whole, percent, picked), "pairs")
             found = met.where("x is not null").select("x", "y")
             pairs = found.distinct().join(tested, ["x", "y"], "left_anti")
             more, picked = met.where("x is null").select("list").distinct(), 16 * picked
@@ -261,11 +275,20 @@ def _settle(rows: DataFrame, classes: DataFrame, entries: DataFrame, words: int,
             # Labels stand for the links they came from.
             labels, _ = ties(fresh.unionByName(labels.select(F.col("node").alias("x"), F.col("label").alias("y"))))
         if more is None:
+            named, _ = materialize(_named(entries, labels), "entries")
+            entries, _ = materialize(_finer(named, whole, words, percent), "entries")
+            release(spark)
             continue
         if more.isEmpty():
             return labels
         # Only lists in which some member had more partners than were picked.
-        entries, _ = materialize(entries.join(more, "list", "left_semi"), "entries")
+        entries, _ = materialize(_named(entries.join(more, "list", "left_semi"), labels), "entries")
+
+
+def _named(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries with the labels of their sets, to be written: all that follows reads them several times."""
+    return entries.drop("label").join(labels, F.col("set") == F.col("node"), "left").select(
+        "list", "set", "n", F.coalesce("label", "set").alias("label"))
 
 
 def _near(a, b, percent: int):
@@ -289,37 +312,96 @@ def _beside(entries: DataFrame, of_list: DataFrame) -> DataFrame:
             .drop("part"))
 
 
-def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
+def _finer(named: DataFrame, whole: DataFrame, words: int, percent: int) -> DataFrame:
+    """Entries with lists of up to CHUNK members as they are, the members of larger ones
+    in lists of their rarest elements, and no larger ones that are within one component.
+
+    The order of elements, by their number in a sample of the list's members, only
+    decides how many meet: linked sets meet in any order.
+    """
+    spark = named.sparkSession
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    large = named.groupBy("list").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.sum("n").alias("elements")).where(F.col("members") > CHUNK)
+    parts = F.greatest(F.ceil(F.col("members") / CHUNK), F.ceil(F.col("elements") / ELEMENTS)).cast("int")
+    wide = _beside(named, large.where("low < high").select("list", "members", parts.alias("parts")))
+    own = F.pmod(F.xxhash64(F.lit(5), "set"), "parts").cast("int")
+    sent = (
+        wide.join(whole.select("set", "packed"), "set")
+        .withColumn("own", own)
+        .withColumn("sampled", F.pmod(F.xxhash64(F.lit(3), "set"), "members") < SAMPLE)
+        .withColumn("part", F.explode(F.when(F.col("sampled"), F.sequence(F.lit(0), F.col("parts") - 1))
+                                      .otherwise(F.array("own"))))
+        .select("list", "part", "set", (F.col("own") == F.col("part")).alias("inside"), "sampled", "packed"))
+    schema = StructType.fromDDL(DEALT)
+    arrow = to_arrow_schema(schema)
+
+    def deal(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_rarest(group, words, percent, buckets), arrow)])
+
+    lists = _met(sent.groupBy("list", "part").applyInArrow(deal, schema))
+    sets = wide.select("set", "n", "label").distinct()
+    return (named.join(large.select("list"), "list", "left_anti")
+            .unionByName(lists.join(sets, "set").select("list", "set", "n", "label")))
+
+
+def _rarest(group: pa.Table, words: int, percent: int, buckets: int) -> dict:
+    """Keys of a part of a list: the elements of each set that are rarest in the sample."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    names, inside, sampled = (group.column(c).to_numpy() for c in ("set", "inside", "sampled"))
+    packed = group.column("packed").to_pylist()
+    order = np.argsort(names)
+    known = np.concatenate([np.empty(0, np.uint64), *(
+        shingle_sets([unpack(packed[m])], words).values for m in order[sampled[order]].tolist())])
+    known, times = np.unique(known, return_counts=True)
+    list_salt = mix(group.column("list").to_numpy()[:1].view(np.uint64))
+    own, found = np.flatnonzero(inside), []
+    data = [unpack(packed[m]) for m in own.tolist()]
+    for a, b in portions(data, SET_BYTES):
+        sets = shingle_sets(data[a:b], words)
+        often = np.zeros(len(sets.values), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, sets.values), len(known) - 1)
+            often = np.where(known[at] == sets.values, times[at], 0)
+        ranked = np.lexsort((mix(sets.values + list_salt), often, sets.owner))
+        nth = spread(np.zeros(len(sets.sizes), np.int64), sets.sizes)
+        keep = nth < first_of_order(sets.sizes, percent)[sets.owner]
+        found.append((names[own[a:b]][sets.owner[keep]], mix(sets.values[ranked[keep]] + list_salt)))
+    name, key = (np.concatenate(x) for x in zip(*found)) if found else (
+        np.empty(0, np.int64), np.empty(0, np.uint64))
+    return _by_bucket(name, key, buckets)
+
+
+def _open(named: DataFrame) -> DataFrame:
     """Entries of lists that are not within one component, with the chunks they meet in.
 
     A list of up to CHUNK members is one chunk. In a larger one, the leader's
     component and the other members are chunks apart; the component's chunks meet
     those of the others only, so a member of it is sent once per chunk of others.
     """
-    named = entries.join(labels, F.col("set") == F.col("node"), "left").select(
-        "list", "set", "n", F.coalesce("label", "set").alias("label"))
-    lists = named.groupBy("list").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.max(F.when(F.col("list") == F.col("set"), F.col("label"))).alias("main")).where("low < high")
-    own = _beside(named, lists.select("list", "main", "members"))
-    inside = F.col("label") == F.col("main")
-    # Lists of more than one chunk: how many members are inside and outside.
-    wide = own.where(F.col("members") > CHUNK)
-    sides = wide.groupBy("list").agg(
-        F.ceil(F.count_if(inside) / CHUNK).cast("int").alias("mains"),
-        F.ceil(F.count_if(~inside) / CHUNK).cast("int").alias("others"))
-    wide = _beside(wide, sides)
+    labelled = named.groupBy("list", "label").agg(
+        F.count(F.lit(1)).alias("members"), F.max(F.col("list") == F.col("set")).alias("leads"))
+    lists = labelled.groupBy("list").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.sum("members").alias("members"),
+        F.max(F.when(F.col("leads"), F.col("label"))).alias("main"),
+        F.sum(F.when(F.col("leads"), F.col("members")).otherwise(0)).alias("led")).where("low < high")
+    # How many chunks members are in inside the leader's component and outside of it.
+    lists = lists.select(
+        "list", "main", "members", F.ceil(F.col("led") / CHUNK).cast("int").alias("mains"),
+        F.ceil((F.col("members") - F.col("led")) / CHUNK).cast("int").alias("others"))
+    own = _beside(named, lists)
+    inside, one = F.col("label") == F.col("main"), F.col("members") <= CHUNK
     place = F.xxhash64(F.lit(7), "set")
-    wide = wide.withColumn("own", F.when(inside, -1 - F.pmod(place, "mains")).otherwise(F.pmod(place, "others")).cast("int"))
+    own = own.withColumn("own", F.when(one, 0).when(inside, -1 - F.pmod(place, "mains"))
+                         .otherwise(F.pmod(place, "others")).cast("int"))
     to_others = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda o: F.struct(
         F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
     to_mains = F.transform(F.sequence(F.lit(1), F.col("mains")), lambda m: F.struct(
         (-m).alias("i"), F.col("own").alias("j")))
-    wide = wide.withColumn("at", F.explode(F.when(inside, to_others).otherwise(F.concat(to_others, to_mains))))
-    columns = ["list", "set", "n", "label", "own"]
-    zero = F.lit(0)
-    return (own.where(F.col("members") <= CHUNK).select(*columns[:4], zero.alias("own"), zero.alias("i"), zero.alias("j"))
-            .unionByName(wide.select(*columns, "at.i", "at.j")))
+    alone = F.array(F.struct(F.col("own").alias("i"), F.col("own").alias("j")))
+    at = F.when(one, alone).when(inside, to_others).otherwise(F.concat(to_others, to_mains))
+    return own.withColumn("at", F.explode(at)).select("list", "set", "n", "label", "own", "at.i", "at.j")
 
 
 def _possible(open_: DataFrame, whole: DataFrame, percent: int, picked: int) -> DataFrame:

@@ -43,6 +43,12 @@ def smallest_partner(b: int, percent: int) -> int:
     return -(-percent * b // 100)
 
 
+def first_of_order(a: np.ndarray, percent: int) -> np.ndarray:
+    """How many first elements of sets of sizes a, in any one order of all elements, hold one
+    that each linked set has among its own: the first shared one has the rest of the overlap behind it."""
+    return a - least_overlap(a, smallest_partner(a, percent), percent) + 1
+
+
 class Sets:
     """Distinct shingles of many texts: hashes in order within each text."""
 
