@@ -202,11 +202,11 @@ def _dealt(sets: Sets, keys: Keys, renamed: dict, buckets: int) -> dict:
     first = np.zeros(len(names), bool)
     first[np.unique(names, return_index=True)[1]] = True
     keep = first[owner]
-    return _by_bucket(names[owner[keep]], key[keep], buckets)
+    key = key[keep]
+    return _by_bucket(names[owner[keep]], key, (key % np.uint64(buckets)).astype(np.int64))
 
 
-def _by_bucket(name: np.ndarray, key: np.ndarray, buckets: int) -> dict:
-    to = (key % np.uint64(buckets)).astype(np.int64)
+def _by_bucket(name: np.ndarray, key: np.ndarray, to: np.ndarray) -> dict:
     order = np.lexsort((name, to))
     key, name, to = key[order], name[order], to[order]
     cut = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else []
@@ -333,7 +333,7 @@ def _finer(named: DataFrame, whole: DataFrame, words: int, percent: int) -> Data
         .withColumn("sampled", F.pmod(F.xxhash64(F.lit(3), "set"), "members") < SAMPLE)
         .withColumn("part", F.explode(F.when(F.col("sampled"), F.sequence(F.lit(0), F.col("parts") - 1))
                                       .otherwise(F.array("own"))))
-        .select("list", "part", "set", (F.col("own") == F.col("part")).alias("inside"), "sampled", "packed"))
+        .select("list", "part", "parts", "set", (F.col("own") == F.col("part")).alias("inside"), "sampled", "packed"))
     schema = StructType.fromDDL(DEALT)
     arrow = to_arrow_schema(schema)
 
@@ -370,7 +370,9 @@ def _rarest(group: pa.Table, words: int, percent: int, buckets: int) -> dict:
         found.append((names[own[a:b]][sets.owner[keep]], mix(sets.values[ranked[keep]] + list_salt)))
     name, key = (np.concatenate(x) for x in zip(*found)) if found else (
         np.empty(0, np.int64), np.empty(0, np.uint64))
-    return _by_bucket(name, key, buckets)
+    # To as many buckets as the list has parts: in each, two sets meet once however many keys they share.
+    parts = np.uint64(group.column("parts")[0].as_py())
+    return _by_bucket(name, key, (mix(list_salt + key % parts) % np.uint64(buckets)).astype(np.int64))
 
 
 def _open(named: DataFrame) -> DataFrame:
