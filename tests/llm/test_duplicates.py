@@ -205,6 +205,41 @@ def test_portions_are_looked_at_in_blocks(monkeypatch):
         assert sorted(a.tolist()) == sorted(b.tolist())
 
 
+def test_entries_take_few_bytes_of_disk():
+    """Texts without anything in common, dealt to many buckets: what travels per minimiser."""
+    spec, rng = Spec("byte", 50, 16), np.random.default_rng(6)
+    data = [rng.integers(97, 123, 3000, dtype=np.uint8).tobytes() for _ in range(300)]
+    entries = passages._entries(spec, data, rng.integers(-1 << 62, 1 << 62, len(data)), 200)
+    sent = sum(len(x) for column in entries.values() for x in column if isinstance(x, bytes))
+    minimisers = len(np.unique(passages.runs(passages.units(spec, data), 50, 16)[2]))
+    assert sent < 8 * minimisers
+
+
+def test_whole_numbers_squeezed():
+    rng = np.random.default_rng(7)
+    for x in ([], [0], [-1], [5, 5, 5], [-1 << 63, (1 << 63) - 1, 0], rng.integers(-1 << 62, 1 << 62, 1000), np.arange(300)):
+        x = np.array(x, np.int64)
+        for steps in (True, False):
+            assert passages.unsqueezed(passages.squeezed(x, steps)).tolist() == x.tolist()
+    assert len(passages.squeezed(np.arange(10_000))) < 100
+
+
+def test_texts_that_repeat_are_sent_in_rounds(frame, monkeypatch):
+    """The strings of texts that all repeat are a multiple of the texts: no round sends them all."""
+    rows = texts_with_passages(8)
+    rows += [(1000 + i, t) for i, t in rows]
+    sent = []
+    answered = passages._answered
+    monkeypatch.setattr(passages, "_answered", lambda *a: sent.append(a[-2:]) or answered(*a))
+    found = {r.doc_id: r for r in remove_passages(frame(rows)).collect()}
+    assert sent == [(0, len(sent)), (1, len(sent))] + [(n, len(sent)) for n in range(2, len(sent))]
+    first = first_windows(rows, lambda t: t.encode(), 50)
+    for i, t in rows:
+        gone = flags(t.encode(), i, first, 50)
+        assert bytes(found[i].kept) == bytes(b for b, g in zip(t.encode(), gone) if not g)
+    assert passages._rounds(Spec("byte", 50, 16), 100, 100) == 3 and passages._rounds(Spec("word", 50, 8), 0, 0) == 1
+
+
 def similar_texts(seed):
     random.seed(seed)
     words = [f"w{i}" for i in range(400)] + ["Ab", "aB"]

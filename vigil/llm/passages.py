@@ -5,24 +5,31 @@ consecutive units of one document, its minimiser the k units in it of least
 hash. Equal windows have equal minimisers, so what is asked of windows can be
 answered where their minimisers meet:
 
-1. Each document's minimisers go to hash buckets, one entry per portion of the
-   input; a minimiser of one document only settles all its windows.
+0. Texts are written once, packed in portions of 8 MB.
+1. The minimisers of each portion, 40 bits of them, go to hash buckets, one entry per
+   portion; a minimiser of one document only settles all its windows. The answer is one
+   bit per entry, which is kept beside the portion.
 2. Consecutive windows under one shared minimiser travel as one packed string
    to the bucket of the minimiser. There the windows of the different strings
    are compared exactly (by a function of the caller), which gives each window
-   the smallest document it stands in.
-3. Windows that stand in a smaller document give spans, which return to it.
+   the smallest document it stands in. Strings overlap: those of texts that all
+   repeat would be four times the texts. So this is done in as many rounds, each for
+   some of the minimisers, as keep the strings of one near the size of the texts.
+3. Windows that stand in a smaller document give spans, which return to their portion.
 
 What a portion can tell by itself does not travel: of documents with an equal
 string only the smallest sends it, the others' windows are known to repeat. So
 a passage in a third of all documents costs its bucket one string per portion.
 Minimisers with more than HOT entries are known from step 1, as one set that all
 portions of step 2 see; their windows are dealt one by one, by a hash of the whole
-window.
+window. Two minimisers that agree in 40 bits are sent for nothing: equal windows
+are told by their bytes.
 """
 
 import gc
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,15 +42,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from vigil.llm.workers import record_batch, texts
-from vigil.plans.scratch import materialize, remove
+from vigil.plans.scratch import Appended, materialize, remove
 
 PORTION_BYTES = 8 << 20
 #: Texts of a portion whose windows are looked at together: some ten tables of
-#: eight bytes per byte stand at once.
-BLOCK_BYTES = 1 << 20
+#: eight bytes per byte stand at once, best in a processor's cache.
+BLOCK_BYTES = 128 << 10
 WORD_BLOCK = 256 << 10
 HOT = 50_000
-EVERYWHERE = -1  # the home of what all rows need
+#: Strings that a round sends, as a multiple of the texts.
+ROUND_TEXTS = 1.5
+#: Bytes of packed portions that a task takes at once.
+BATCH = "8m"
+SHORT = np.uint64(24)  # bits of a minimiser's hash that the first step leaves out
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -222,123 +233,224 @@ def repeated_spans(docs: DataFrame, spec: Spec, exact: Callable, hot: int = HOT)
     spark = docs.sparkSession
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.where(F.col("id").isNotNull())
-    shared, shared_path = materialize(_shared(rows, spec, buckets, hot), "shared")
-    # At most entries / HOT minimisers, the same for every row whatever portion it is in.
-    often = [r.hot for r in shared.where(F.col("print").isNull()).select("hot").collect()]
-    # After that query: Spark's listeners hold on to the plan of the last one that ended.
-    release(spark)
-    often = spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(often), np.uint64)))
-    spans, _ = materialize(_spans(rows, shared.drop("hot"), often, spec, exact, buckets), "spans")
-    often.destroy()
-    remove(spark, shared_path)
-    release(spark)
+    with _small_batches(spark):
+        packed, packed_path = materialize(_packed(rows, spec), "portions")
+        marks, marks_path = materialize(_marks(packed, spec, buckets, hot), "marks")
+        # At most entries / HOT minimisers, the same for every row whatever portion it is in.
+        often = [r.hot for r in marks.where(F.col("portion").isNull()).select("hot").collect()]
+        seen = marks.agg(F.sum("entries").alias("entries"), F.sum("shared").alias("shared")).first()
+        release(spark)
+        marked, marked_path = materialize(_marked(packed, marks), "marked")
+        for path in (packed_path, marks_path):
+            remove(spark, path)
+        release(spark)
+        often = spark.sparkContext.broadcast(np.unique(np.frombuffer(b"".join(often), np.uint64)))
+        rounds = _rounds(spec, seen.entries or 0, seen.shared or 0)
+        answers = Appended(spark, "answers")
+        for nth in range(rounds):
+            answers.add(_answered(marked, often, spec, exact, buckets, nth, rounds))
+            release(spark)
+        often.destroy()
+        spans, _ = materialize(_spans(spark.read.schema(ANSWERS).parquet(answers.path), marked), "spans")
+        for path in (marked_path, answers.path):
+            remove(spark, path)
+        release(spark)
     return spans
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """A portion is a row of megabytes: tasks take a few at once, by size."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _rounds(spec: Spec, entries: int, shared: int) -> int:
+    """In how many parts the strings go: each has window - 1 units besides its own ones."""
+    own = (spec.window - spec.k + 2) / 2  # units from one minimiser to the next, on average
+    return max(1, math.ceil(shared / max(1, entries) * (1 + (spec.window - 1) / own) / ROUND_TEXTS))
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are no longer referenced."""
+    """Let Spark delete the shuffle files of plans that are no longer referenced.
+
+    Its listeners hold on to the plan of the last query that ended, so one is run.
+    """
+    spark.range(1).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-def _shared(rows: DataFrame, spec: Spec, buckets: int, hot: int) -> DataFrame:
-    """(print, shared, hot): per row its minimisers that other rows have too. Rows of a
-    null print hold the minimisers of more than `hot` entries."""
-    schema = StructType.fromDDL("bucket int, known boolean, prints binary, counts binary, grams binary")
-    arrow = to_arrow_schema(schema)
+PORTIONS = "ids binary, prints binary, sizes binary, data binary"
+ENTRIES = "bucket int, portion bigint, known binary, grams binary"
+MARKS = "portion bigint, bucket int, marks binary, entries bigint, shared bigint, hot binary"
+STRINGS = ("bucket int, portion bigint, strings binary, lengths binary, grams binary, "
+           "uses binary, ids binary, rows binary, starts binary, "
+           "known_rows binary, known_begins binary, known_sizes binary")
+ANSWERS = "portion bigint, rows binary, begins binary, sizes binary"
 
-    def send(batches):
+
+def arrow_of(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def squeezed(values: np.ndarray, steps: bool = True) -> bytes:
+    """Whole numbers in little room: (the steps between) them, by place of the byte, compressed."""
+    if not len(values):
+        return b""
+    x = values.astype(np.int64, copy=False)
+    if steps:
+        x = np.diff(x, prepend=np.int64(0))
+    x = ((x << 1) ^ (x >> 63)).view(np.uint64)  # small if near zero
+    width = max(1, (int(x.max()).bit_length() + 7) // 8)
+    places = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width | steps << 4]) + zstandard.ZstdCompressor(level=1).compress(places.tobytes())
+
+
+def unsqueezed(packed: bytes) -> np.ndarray:
+    if not packed:
+        return np.empty(0, np.int64)
+    width, steps = packed[0] & 15, packed[0] >> 4
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8).reshape(width, -1)
+    x = np.zeros((places.shape[1], 8), np.uint8)
+    x[:, :width] = places.T
+    x = x.view(np.uint64).ravel()
+    x = (x >> np.uint64(1)).view(np.int64) ^ -(x & np.uint64(1)).view(np.int64)
+    return np.cumsum(x) if steps else x
+
+
+def _packed(rows: DataFrame, spec: Spec) -> DataFrame:
+    """(portion, ids, prints, sizes, data): the texts that spans count in, in portions, by id."""
+    arrow = arrow_of(PORTIONS)
+
+    def pack(batches):
         for batch in batches:
             data = [spec.text(d) for d in texts(batch, "text")]
-            prints = batch.column("print").to_numpy()
+            ids, prints = batch.column("id").to_numpy(), batch.column("print").to_numpy()
             for begin, end in portions(data):
-                yield record_batch(_entries(spec, data[begin:end], prints[begin:end], buckets), arrow)
+                order = begin + np.argsort(ids[begin:end], kind="stable")
+                own = [data[i] for i in order.tolist()]
+                yield record_batch({
+                    "ids": [squeezed(ids[order])], "prints": [prints[order].tobytes()],
+                    "sizes": [squeezed(np.fromiter(map(len, own), np.int64, len(own)))],
+                    "data": [zstandard.ZstdCompressor(level=3).compress(b"".join(own))]}, arrow)
 
-    met = StructType.fromDDL("home int, prints binary, counts binary, grams binary")
-    met_arrow = to_arrow_schema(met)
+    return rows.select("print", "id", "text").mapInArrow(pack, PORTIONS) \
+        .withColumn("portion", F.monotonically_increasing_id())
 
-    def meet(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_met(group, hot, buckets), met_arrow)])
 
-    out = StructType.fromDDL("print bigint, shared binary, hot binary")
-    out_arrow = to_arrow_schema(out)
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[int, list[bytes]]]:
+    """Number of the row, and texts, of each portion."""
+    for i in range(batch.num_rows):
+        data = zstandard.ZstdDecompressor().decompress(batch.column("data")[i].as_buffer())
+        ends = np.cumsum(unsqueezed(batch.column("sizes")[i].as_py())).tolist()
+        yield i, [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
-    def gather(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_per_row(group), out_arrow)])
 
-    sent = rows.select("print", "text").mapInArrow(send, schema)
-    # Answers go home packed: a row per pair of buckets, not per document and bucket.
-    return (sent.groupBy("bucket").applyInArrow(meet, met)
-            .groupBy("home").applyInArrow(gather, out))
+def _marks(packed: DataFrame, spec: Spec, buckets: int, hot: int) -> DataFrame:
+    """(portion, bucket, marks, entries, shared, hot): which of a portion's minimisers of a
+    bucket other rows have too, in the order of _entries, and how many. Rows of a null
+    portion hold the minimisers of more than `hot` entries."""
+    arrow, met_arrow = arrow_of(ENTRIES), arrow_of(MARKS)
+
+    def send(batches):
+        for batch in batches:
+            for i, data in _unpacked(batch):
+                prints = np.frombuffer(batch.column("prints")[i].as_py(), np.int64)
+                found = _entries(spec, data, prints, buckets)
+                yield record_batch(found | {"portion": [batch.column("portion")[i].as_py()] * len(found["bucket"])},
+                                   arrow)
+
+    def meet(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_met(group, hot), met_arrow)])
+
+    sent = packed.select("portion", "prints", "sizes", "data").mapInArrow(send, ENTRIES)
+    return sent.groupBy("bucket").applyInArrow(meet, MARKS)
 
 
 def _entries(spec: Spec, data: list[bytes], prints: np.ndarray, buckets: int) -> dict:
-    found = []
+    """Per bucket the different minimisers of a portion, and which different rows of it share."""
+    grams_, mine = [], []
     for a, b in portions(data, BLOCK_BYTES):
         _, _, gram, owner = runs(units(spec, data[a:b]), spec.window, spec.k)
-        found.append((gram, prints[a:b][owner]))
-    gram, mine = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((mine, gram))
+        grams_.append(gram >> SHORT)
+        mine.append(prints[a:b][owner])
+    gram, mine = np.concatenate(grams_), np.concatenate(mine)
+    order = np.argsort(gram, kind="stable")
     gram, mine = gram[order], mine[order]
-    once = np.ones(len(gram), bool)
-    once[1:] = (gram[1:] != gram[:-1]) | (mine[1:] != mine[:-1])
-    gram, mine = gram[once], mine[once]
     first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]) != 0)
-    many = np.repeat(np.diff(np.append(first, len(gram))), np.diff(np.append(first, len(gram)))) > 1
-    # One entry per minimiser goes to its bucket; where a portion already knows that
-    # it is shared, its rows' entries go along to the buckets of the rows.
-    out = {c: [] for c in ("bucket", "known", "prints", "counts", "grams")}
-    for known, g, p, key in (
-            (False, gram[first], mine[first], (gram[first] % np.uint64(buckets)).astype(np.int64)),
-            (True, gram[many], mine[many], homes(mine[many], buckets))):
-        order = np.lexsort((p, key))
-        g, p, key = g[order], p[order], key[order]
-        cut = np.flatnonzero(np.diff(key, prepend=-1))
-        for a, b in zip(cut, np.append(cut[1:], len(key))):
-            each = np.flatnonzero(np.concatenate([[True], p[a + 1:b] != p[a:b - 1]]))
-            out["bucket"].append(int(key[a]))
-            out["known"].append(known)
-            out["prints"].append(p[a:b][each].tobytes())
-            out["counts"].append(np.diff(np.append(each, b - a)).astype(np.uint32).tobytes())
-            out["grams"].append(g[a:b].tobytes())
+    if len(first):
+        # Some row of a minimiser differs from its first one.
+        known = np.logical_or.reduceat(mine != np.repeat(mine[first], np.diff(np.append(first, len(gram)))), first)
+    else:
+        known = np.empty(0, bool)
+    gram = gram[first]
+    out = {c: [] for c in ("bucket", "known", "grams")}
+    key, order = _by_bucket(gram, buckets)
+    for a, b in stretches(key[order]):
+        out["bucket"].append(int(key[order[a]]))
+        out["known"].append(np.packbits(known[order[a:b]]).tobytes())
+        out["grams"].append(squeezed(gram[order[a:b]]))
     return out
 
 
-def _met(group: pa.Table, hot: int, buckets: int) -> dict:
-    parts = {False: ([], []), True: ([], [])}
-    for known, prints, counts, g in zip(*(group.column(c).to_pylist()
-                                          for c in ("known", "prints", "counts", "grams"))):
-        parts[known][0].append(np.frombuffer(g, np.uint64))
-        parts[known][1].append(np.repeat(np.frombuffer(prints, np.int64), np.frombuffer(counts, np.uint32)))
-    none = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    gram, mine = (np.concatenate(n + p) for n, p in zip(none, parts[False]))
-    order = np.lexsort((mine, gram))
-    gram, mine = gram[order], mine[order]
-    first = np.flatnonzero(np.diff(gram, prepend=~gram[:1]) != 0)
+def _by_bucket(gram: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of sorted short minimisers, and their order by bucket."""
+    key = (gram % np.uint64(buckets)).astype(np.int64)
+    return key, np.argsort(key, kind="stable")
+
+
+def _met(group: pa.Table, hot: int) -> dict:
+    columns = {c: group.column(c).to_pylist() for c in group.column_names}
+    grams_ = [unsqueezed(g) for g in columns["grams"]]
+    sizes = [len(g) for g in grams_]
+    gram = np.concatenate([np.empty(0, np.int64), *grams_])
+    known = np.concatenate([np.empty(0, bool), *(
+        np.unpackbits(np.frombuffer(k, np.uint8), count=n).view(bool) for k, n in zip(columns["known"], sizes))])
+    # A portion has a minimiser once.
+    order = np.argsort(gram, kind="stable")
+    first = np.flatnonzero(np.diff(gram[order], prepend=-1) != 0)
     size = np.diff(np.append(first, len(gram)))
-    shared = np.repeat(mine[first] != mine[first + size - 1], size) if len(first) else np.empty(0, bool)
-    often = gram[first[size > hot]]
-    known_gram, known_mine = (np.concatenate(n + p) for n, p in zip(none, parts[True]))
-    gram = np.concatenate([gram[shared], known_gram])
-    mine = np.concatenate([mine[shared], known_mine])
-    home = homes(mine, buckets)
-    order = np.lexsort((mine, home))
-    gram, mine, home = gram[order], mine[order], home[order]
-    out = {c: [] for c in ("home", "prints", "counts", "grams")}
-    for a, b in stretches(home):
-        prints, counts = counted(mine[a:b])
-        for c, value in (("home", int(home[a])), ("prints", prints), ("counts", counts),
-                         ("grams", gram[a:b].tobytes())):
-            out[c].append(value)
+    shared = known
+    shared[order] |= np.repeat(size > 1, size)
+    often = gram[order[first[size > hot]]]
+    ends = np.cumsum(sizes).tolist()
+    parts = [shared[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    out = {"portion": columns["portion"], "bucket": columns["bucket"], "entries": sizes,
+           "marks": [np.packbits(p).tobytes() for p in parts], "shared": [int(p.sum()) for p in parts],
+           "hot": [None] * len(parts)}
     if len(often):
-        for c, value in (("home", EVERYWHERE), ("prints", b""), ("counts", b""), ("grams", often.tobytes())):
+        for c, value in (("portion", None), ("bucket", columns["bucket"][0]), ("entries", 0), ("marks", b""),
+                         ("shared", 0), ("hot", often.astype(np.uint64).tobytes())):
             out[c].append(value)
     return out
 
 
-def homes(prints: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket in which what belongs to a row is gathered."""
-    return (prints.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+def _marked(packed: DataFrame, marks: DataFrame) -> DataFrame:
+    """The portions with the marks of all their buckets."""
+    own = marks.where(F.col("portion").isNotNull()).groupBy("portion").agg(
+        F.array_sort(F.collect_list(F.struct("bucket", "marks"))).alias("marks"))
+    # The plan is the same at any size: few marks would else be broadcast.
+    return packed.join(own.hint("merge"), "portion")
+
+
+def _shared(spec: Spec, data: list[bytes], marks: list[dict], buckets: int) -> np.ndarray:
+    """The minimisers of a portion that other rows have too, sorted."""
+    gram = np.unique(np.concatenate([
+        runs(units(spec, data[a:b]), spec.window, spec.k)[2] for a, b in portions(data, BLOCK_BYTES)]))
+    short = gram >> SHORT
+    first = np.flatnonzero(np.diff(short, prepend=~short[:1]) != 0)
+    key, order = _by_bucket(short[first], buckets)
+    each = np.bincount(key, minlength=buckets)[[m["bucket"] for m in marks]]
+    shared = np.zeros(len(first), bool)
+    shared[order] = np.concatenate([np.empty(0, bool), *(
+        np.unpackbits(np.frombuffer(m["marks"], np.uint8), count=n).view(bool) for m, n in zip(marks, each.tolist()))])
+    return gram[np.repeat(shared, np.diff(np.append(first, len(gram))))]
 
 
 def stretches(sorted_: np.ndarray):
@@ -349,66 +461,57 @@ def stretches(sorted_: np.ndarray):
     return zip(begin.tolist(), [*begin[1:].tolist(), len(sorted_)])
 
 
-def counted(sorted_: np.ndarray) -> tuple[bytes, bytes]:
-    """Different values, and how often each comes, packed."""
-    begin = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    return (sorted_[begin].tobytes(),
-            np.diff(np.append(begin, len(sorted_))).astype(np.uint32).tobytes())
-
+def _answered(marked: DataFrame, often: Broadcast, spec: Spec, exact: Callable, buckets: int,
+              nth: int, rounds: int) -> DataFrame:
+    """ANSWERS of the nth part of the minimisers."""
+    arrow, found_arrow = arrow_of(STRINGS), arrow_of(ANSWERS)
 
-def uncounted(prints: list[bytes], counts: list[bytes]) -> np.ndarray:
-    return np.concatenate([np.empty(0, np.int64), *(
-        np.repeat(np.frombuffer(p, np.int64), np.frombuffer(c, np.uint32))
-        for p, c in zip(prints, counts))])
+    def send(batches):
+        for batch in batches:
+            for i, data in _unpacked(batch):
+                shared = _shared(spec, data, batch.column("marks")[i].as_py(), buckets)
+                shared = shared[(shared >> SHORT) // np.uint64(buckets) % np.uint64(rounds) == nth]
+                ids = unsqueezed(batch.column("ids")[i].as_py())
+                if len(shared):
+                    hot = shared[_among(shared >> SHORT, often.value)]
+                    found = _squeezed(_strings(spec, data, ids, np.arange(len(ids)), shared, hot, buckets))
+                    found["portion"] = [batch.column("portion")[i].as_py()] * len(found["bucket"])
+                    yield record_batch(found, arrow)
 
+    def answer(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_answers(group, spec, exact), found_arrow)])
 
-def _per_row(group: pa.Table) -> dict:
-    columns = {c: group.column(c).to_pylist() for c in group.column_names}
-    if columns["home"][0] == EVERYWHERE:
-        return {"print": [None], "shared": [b""], "hot": [b"".join(columns["grams"])]}
-    mine = uncounted(columns["prints"], columns["counts"])
-    gram = np.frombuffer(b"".join(columns["grams"]), np.uint64)
-    order = np.argsort(mine, kind="stable")
-    gram, mine = gram[order], mine[order]
-    cuts = list(stretches(mine))
-    return {"print": [int(mine[a]) for a, _ in cuts], "shared": [gram[a:b].tobytes() for a, b in cuts],
-            "hot": [None] * len(cuts)}
+    sent = marked.select("portion", "ids", "sizes", "data", "marks").mapInArrow(send, STRINGS)
+    return sent.groupBy("bucket").applyInArrow(answer, ANSWERS)
 
 
-def _spans(rows: DataFrame, shared: DataFrame, often: Broadcast, spec: Spec, exact: Callable,
-           buckets: int) -> DataFrame:
-    schema = StructType.fromDDL(
-        "bucket int, strings binary, lengths binary, grams binary, "
-        "uses binary, ids binary, prints binary, starts binary, known_prints binary, known_spans binary")
-    arrow = to_arrow_schema(schema)
+def _squeezed(strings: dict) -> dict:
+    """What _strings found, as it travels."""
+    spans = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in strings["known_spans"]]
 
-    def send(batches):
-        for batch in batches:
-            data = [spec.text(d) for d in texts(batch, "text")]
-            ids, prints = batch.column("id").to_numpy(), batch.column("print").to_numpy()
-            marks = batch.column("shared").to_pylist()
-            for begin, end in portions(data):
-                shared_ = np.unique(np.frombuffer(b"".join(marks[begin:end]), np.uint64))
-                yield record_batch(_strings(spec, data[begin:end], ids[begin:end], prints[begin:end],
-                                            shared_, often.value, buckets), arrow)
+    def each(column: str, kind: type, steps: bool = True, less: np.uint64 = np.uint64(0)) -> list[bytes]:
+        found = (np.frombuffer(x, kind) for x in strings[column])
+        return [squeezed(x >> less if less else x, steps) for x in found]
 
-    found = StructType.fromDDL("home int, prints binary, counts binary, spans binary")
-    found_arrow = to_arrow_schema(found)
+    return {"bucket": strings["bucket"], "strings": strings["strings"],
+            "lengths": each("lengths", np.uint32, False), "grams": each("grams", np.uint64, False, SHORT),
+            "uses": each("uses", np.uint32), "ids": each("ids", np.int64), "rows": each("prints", np.int64),
+            "starts": each("starts", np.int64), "known_rows": each("known_prints", np.int64),
+            "known_begins": [squeezed(x[:, 0]) for x in spans],
+            "known_sizes": [squeezed(x[:, 1] - x[:, 0], False) for x in spans]}
 
-    def answer(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_answers(group, spec, exact, buckets), found_arrow)])
 
-    out = StructType.fromDDL("print bigint, spans binary")
-    out_arrow = to_arrow_schema(out)
+def _spans(answers: DataFrame, marked: DataFrame) -> DataFrame:
+    """(print, spans) of the rows that have any."""
+    out = "print bigint, spans binary"
+    out_arrow = arrow_of(out)
 
-    def gather(group: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([record_batch(_spans_of_rows(group), out_arrow)])
+    def gather(found: pa.Table, portion: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(_spans_of_rows(found, portion), out_arrow)])
 
-    # The plan is the same at any size: few answers would else be broadcast.
-    sent = (rows.join(shared.hint("merge"), "print").select("print", "id", "text", "shared")
-            .mapInArrow(send, schema))
-    return (sent.groupBy("bucket").applyInArrow(answer, found)
-            .groupBy("home").applyInArrow(gather, out))
+    # Rows that are equal have equal spans, in whatever portions they are.
+    return answers.groupBy("portion").cogroup(marked.select("portion", "prints").groupBy("portion")) \
+        .applyInArrow(gather, out).dropDuplicates(["print"])
 
 
 def _among(values: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
@@ -452,53 +555,65 @@ def _strings(spec: Spec, data: list[bytes], ids: np.ndarray, prints: np.ndarray,
 
     out = {c: [] for c in ("bucket", "strings", "lengths", "grams", "uses", "ids", "prints", "starts",
                            "known_prints", "known_spans")}
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     to = (key % np.uint64(buckets)).astype(np.int64)
-    use_to = to[string[asks]]
-    known_print = prints[owner[~asks]]
-    known = np.stack([place[~asks], place[~asks] + length[~asks] + spec.window - 1], axis=1)
-    known_to = homes(known_print, buckets)
+    asking = np.flatnonzero(asks)
+    asked = string[asking]
+    use_to = to[asked]
+    known_print, known = merged(prints[owner[~asks]], np.stack(
+        [place[~asks], place[~asks] + length[~asks] + spec.window - 1], axis=1))
     number = np.empty(len(strings), np.int64)
-    by_string, by_use, by_known = (np.argsort(x, kind="stable") for x in (to, use_to, known_to))
-    for b in np.unique(np.concatenate([to, known_to])).tolist():
-        mine = by_string[np.searchsorted(to[by_string], b):np.searchsorted(to[by_string], b, "right")]
+    by_string, by_use = (np.argsort(x, kind="stable") for x in (to, use_to))
+    sorted_uses = use_to[by_use]
+    for a, b in stretches(to[by_string]):
+        mine, bucket = by_string[a:b], int(to[by_string[a]])
         number[mine] = np.arange(len(mine))
-        uses = by_use[np.searchsorted(use_to[by_use], b):np.searchsorted(use_to[by_use], b, "right")]
-        gone = by_known[np.searchsorted(known_to[by_known], b):np.searchsorted(known_to[by_known], b, "right")]
-        out["bucket"].append(b)
+        uses = by_use[np.searchsorted(sorted_uses, bucket):np.searchsorted(sorted_uses, bucket, "right")]
+        out["bucket"].append(bucket)
         out["strings"].append(packer.compress(b"".join([strings[i] for i in mine.tolist()])))
         out["lengths"].append(sizes[mine].tobytes())
         out["grams"].append(key[mine].tobytes())
-        out["uses"].append(number[string[asks][uses]].astype(np.uint32).tobytes())
-        out["ids"].append(own_id[asks][uses].tobytes())
-        out["prints"].append(prints[owner[asks][uses]].tobytes())
-        out["starts"].append(place[asks][uses].tobytes())
-        out["known_prints"].append(known_print[gone].tobytes())
-        out["known_spans"].append(known[gone].tobytes())
+        out["uses"].append(number[asked[uses]].astype(np.uint32).tobytes())
+        uses = asking[uses]
+        out["ids"].append(own_id[uses].tobytes())
+        out["prints"].append(prints[owner[uses]].tobytes())
+        out["starts"].append(place[uses].tobytes())
+        own = slice(None) if bucket == to[0] else slice(0)  # any bucket brings them home
+        out["known_prints"].append(known_print[own].tobytes())
+        out["known_spans"].append(known[own].tobytes())
     return out
 
 
-def _answers(group: pa.Table, spec: Spec, exact: Callable, buckets: int) -> dict:
+def _answers(group: pa.Table, spec: Spec, exact: Callable) -> dict:
     columns = {c: group.column(c).to_pylist() for c in group.column_names}
     seen: dict[bytes, int] = {}
     gram_of: list[np.ndarray] = []
     uses = []
-    for packed, lengths, g, use in zip(columns["strings"], columns["lengths"], columns["grams"], columns["uses"]):
-        data = zstandard.ZstdDecompressor().decompress(packed) if packed else b""
-        ends = np.cumsum(np.frombuffer(lengths, np.uint32).astype(np.int64)).tolist()
+    for packed, lengths, g, use in zip(*(columns[c] for c in ("strings", "lengths", "grams", "uses"))):
+        data = zstandard.ZstdDecompressor().decompress(packed)
+        ends = np.cumsum(unsqueezed(lengths)).tolist()
+        before = len(seen)
         own = np.fromiter((seen.setdefault(data[a:b], len(seen)) for a, b in zip([0, *ends[:-1]], ends)),
                           np.int64, len(ends))
-        fresh = np.zeros(len(seen) - sum(map(len, gram_of)), np.uint64)
-        if len(fresh):
-            new = own >= len(seen) - len(fresh)
-            fresh[own[new] - (len(seen) - len(fresh))] = np.frombuffer(g, np.uint64)[new]
+        fresh = np.zeros(len(seen) - before, np.uint64)
+        new = own >= before
+        fresh[own[new] - before] = unsqueezed(g)[new].astype(np.uint64)
         gram_of.append(fresh)
-        uses.append(own[np.frombuffer(use, np.uint32)])
+        uses.append(own[unsqueezed(use)])
+    names = {p: n for n, p in enumerate(sorted(set(columns["portion"])))}
+
+    def all_of(column: str) -> np.ndarray:
+        return np.concatenate([np.empty(0, np.int64), *map(unsqueezed, columns[column])])
+
+    def whose(column: str) -> np.ndarray:
+        """Portion, as its number here, and row."""
+        return np.concatenate([np.empty(0, np.int64), *(
+            unsqueezed(x) | names[p] << 32 for p, x in zip(columns["portion"], columns[column]))])
+
     strings = list(seen)
     gram = np.concatenate([np.empty(0, np.uint64), *gram_of])
     string = np.concatenate([np.empty(0, np.int64), *uses])
-    ids, prints, starts = (np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x, np.int64) for x in columns[c])])
-                           for c in ("ids", "prints", "starts"))
+    ids, rows, starts = all_of("ids"), whose("rows"), all_of("starts")
     least = np.full(len(strings), np.iinfo(np.int64).max)
     np.minimum.at(least, string, ids)
     sizes = np.fromiter(map(len, strings), np.int64, len(strings)) if spec.unit == "byte" else \
@@ -521,32 +636,28 @@ def _answers(group: pa.Table, spec: Spec, exact: Callable, buckets: int) -> dict
     n = windows[string]
     covered = smallest[spread(offset[string], n)] < np.repeat(ids, n)
     at = spread(starts, n)[covered]
-    whose = np.repeat(prints, n)[covered]
-    known_print = np.concatenate([np.empty(0, np.int64), *(
-        np.frombuffer(x, np.int64) for x in columns["known_prints"])])
-    known = np.concatenate([np.empty((0, 2), np.int64), *(
-        np.frombuffer(x, np.int64).reshape(-1, 2) for x in columns["known_spans"])])
-    whose = np.concatenate([whose, known_print])
-    spans = np.concatenate([np.stack([at, at + spec.window], axis=1), known])
-    whose, spans = merged(whose, spans)
-    home = homes(whose, buckets)
-    order = np.lexsort((whose, home))  # stable: a row's spans stay in order
-    whose, spans, home = whose[order], spans[order], home[order]
-    out = {c: [] for c in ("home", "prints", "counts", "spans")}
-    for a, b in stretches(home):
-        prints, counts = counted(whose[a:b])
-        for c, value in (("home", int(home[a])), ("prints", prints), ("counts", counts),
-                         ("spans", spans[a:b].tobytes())):
-            out[c].append(value)
+    begins = all_of("known_begins")
+    spans = np.concatenate([np.stack([at, at + spec.window], axis=1),
+                            np.stack([begins, begins + all_of("known_sizes")], axis=1)])
+    rows, spans = merged(np.concatenate([np.repeat(rows, n)[covered], whose("known_rows")]), spans)
+    out = {c: [] for c in ("portion", "rows", "begins", "sizes")}
+    portion_of = list(names)
+    for a, b in stretches(rows >> 32):
+        out["portion"].append(portion_of[rows[a] >> 32])
+        out["rows"].append(squeezed(rows[a:b] & 0xFFFFFFFF))
+        out["begins"].append(squeezed(spans[a:b, 0]))
+        out["sizes"].append(squeezed(spans[a:b, 1] - spans[a:b, 0], False))
     return out
 
 
-def _spans_of_rows(group: pa.Table) -> dict:
-    columns = {c: group.column(c).to_pylist() for c in group.column_names}
-    whose, spans = merged(uncounted(columns["prints"], columns["counts"]),
-                          np.frombuffer(b"".join(columns["spans"]), np.int64).reshape(-1, 2))
-    cuts = list(stretches(whose))
-    return {"print": [int(whose[a]) for a, _ in cuts], "spans": [spans[a:b].tobytes() for a, b in cuts]}
+def _spans_of_rows(found: pa.Table, portion: pa.Table) -> dict:
+    rows, begins, sizes = (np.concatenate([np.empty(0, np.int64), *map(unsqueezed, found.column(c).to_pylist())])
+                           for c in ("rows", "begins", "sizes"))
+    rows, spans = merged(rows, np.stack([begins, begins + sizes], axis=1))
+    prints = np.concatenate([np.empty(0, np.int64), *(
+        np.frombuffer(p, np.int64) for p in portion.column("prints").to_pylist())])
+    cuts = list(stretches(rows))
+    return {"print": [int(prints[rows[a]]) for a, _ in cuts], "spans": [spans[a:b].tobytes() for a, b in cuts]}
 
 
 def merged(whose: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
