@@ -248,3 +248,29 @@ def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
     for at in range(0, size, len(zeros)):
         want.update(zeros[:size - at])
     assert [(r.size, r.digest) for r in files.file_digests(spark, str(tmp_path)).collect()] == [(size, want.hexdigest())]
+
+
+def test_gzipped_xml_is_read_on_request(spark, tmp_path):
+    plain, packed = (spark.createDataFrame([(i, f"a{i} <&> é") for i in some], "n int, t string") for some in (range(3), range(3, 9)))
+    for rows, folder, codec in ((plain, "a", "none"), (packed, "b", "gzip")):
+        rows.coalesce(1).write.format("xml").options(rootTag="records", rowTag="record", compression=codec) \
+            .save(f"{tmp_path}/{folder}")
+    seen = [sorted((r.n, r.t) for r in files.scan_xml(
+        spark, str(tmp_path), schema=plain.schema, gzipped=gzipped).collect()) for gzipped in (False, True)]
+    assert seen == [[(i, f"a{i} <&> é") for i in range(n)] for n in (3, 9)]
+    assert files.scan_xml(spark, str(tmp_path), source=True, gzipped=True) \
+        .where("original_file LIKE '%.xml.gz'").count() == 6
+
+
+def test_xml_of_the_query_takes_little_disk(spark, tmp_path, monkeypatch):
+    from workload import connectors
+
+    rows = spark.range(20_000).selectExpr(
+        *(f"id * 7919 % 10007 AS {c}" for c in connectors.TIES), "date_add(DATE'2024-01-01', int(id % 365)) AS report_date",
+        "concat('NATION_', id % 25) AS region", "concat('Brand#', id % 31) AS disease_name",
+        "int(id * 31 % 50) AS case_count", "int(id % 11) AS death_count")
+    monkeypatch.setattr(connectors, "communicable", lambda spark, sf: rows)
+    monkeypatch.setattr(connectors, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = connectors.scan_xml(spark, "")
+    assert found.exceptAll(rows).isEmpty() and rows.exceptAll(found).isEmpty()
+    assert sum(f.stat().st_size for f in (tmp_path / "xml").rglob("*.xml*")) < 60 * 20_000

@@ -147,15 +147,16 @@ def pages_of(items, key, size: int | None = None) -> Iterator[tuple]:
 
 
 def scan_xml(spark: SparkSession, path: str | list[str], row_tag: str = "record",
-             schema: T.StructType | None = None, source: bool = False) -> DataFrame:
+             schema: T.StructType | None = None, source: bool = False, gzipped: bool = False) -> DataFrame:
     """One row per record element, one text column per child unless a schema says otherwise.
 
     Each file is read by one task, which leaves out what follows a malformed record. With
     a schema, if a file is larger than WHOLE_BYTES and all are of plain records (see
     _plain_xml), they are split among tasks at the records' ends, whatever their size;
-    then a malformed record costs no other.
+    then a malformed record costs no other. gzipped: files compressed as .xml.gz are read
+    too, unpacked as they are read; nothing splits such a file.
     """
-    files = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[xX][mM][lL]"}
+    files = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[xX][mM][lL]" + "{,.[gG][zZ]}" * gzipped}
     if schema and not spark.read.format("binaryFile").options(**files).load(path) \
             .where(F.col("length") > WHOLE_BYTES).select("length").isEmpty():
         pieces = with_file(spark.read.options(lineSep=f"</{row_tag}>", **files).text(path)) \

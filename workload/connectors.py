@@ -90,10 +90,10 @@ RECORD_SQL = f"""SELECT {ROW}, CAST(report_date AS VARCHAR) AS report_date, regi
 def scan_xml(spark, sf):
     path = scratch_path(spark, "xml")
     rows = communicable(spark, sf).select(*TIES, *RECORD)
-    # Files of some 180 MB.
+    # Files of some 180 MB, a twentieth of it on disk: their tags are many times the values.
     rows.write.format("xml").option("rootTag", "records").option("rowTag", "record") \
-        .option("maxRecordsPerFile", 500_000).save(path)
-    return S.scan_xml(spark, path, schema=rows.schema)
+        .option("maxRecordsPerFile", 500_000).option("compression", "gzip").save(path)
+    return S.scan_xml(spark, path, schema=rows.schema, gzipped=True)
 
 
 @query("S05_scan_json_envelope", RECORD_SQL, ("cd",))
